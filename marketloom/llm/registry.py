@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import licences, sharding, simhash
+from marketloom.llm import licences, sharding, simhash, tokens, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,12 +19,20 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_documents(spark, sf_dir))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_documents(spark, sf_dir))
 
 
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.count_tokens(_documents(spark, sf_dir), tokens.load_vocabulary())
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_licence_scan, op3_sharding, op7_simhash)}
+    return {f.__name__: f for f in (op2_licence_scan, op3_sharding, op4_toxicity, op7_simhash, op8_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
