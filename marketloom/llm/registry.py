@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import licences, sharding, simhash, tokens, toxicity
+from marketloom.llm import decontam, licences, mixing, sharding, simhash, spotsigs, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.match_licences(_documents(spark, sf_dir).select("doc_id", "text")).select("doc_id", "canonical_digest", "license_id")
 
@@ -23,6 +27,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edited_likeness(_documents(spark, sf_dir))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(_documents(spark, sf_dir))
 
@@ -31,9 +39,19 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.count_tokens(_documents(spark, sf_dir), tokens.load_vocabulary())
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    labelled = mixing.labelled_languages(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return mixing.mix(docs.select("doc_id", "text"), labelled).select("doc_id", "tokens", "domain", "posterior", "rate", "copies")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.find_leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_licence_scan, op3_sharding, op4_toxicity, op7_simhash, op8_token_counts)}
+    return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_licence_scan": licences.oracle()}
+    return {"op1_warc": warc.ORACLE, "op2_licence_scan": licences.oracle(), "op6_spotsigs": spotsigs.ORACLE}

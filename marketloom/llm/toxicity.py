@@ -183,15 +183,16 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
 def score_text(text: str, bias: float, weight) -> tuple[float, int, int, float]:
     """Noisy-or score of a text; start, end and score of its worst sentence (the first of equals).
     A text without sentences counts as one empty sentence."""
-    total, worst = 0.0, (0, 0, bias)
+    total, worst = 0.0, None
     for found in SENTENCE.finditer(text):
         z = bias + sum(map(weight, found.group().split()))
-        if z > worst[2]:
+        if worst is None or z > worst[2]:
             worst = (found.start(), found.end(), z)
         total += z if z > 30 else math.log1p(math.exp(z))
-    total = total or math.log1p(math.exp(bias))
-    top = worst[2]
-    return -math.expm1(-total), worst[0], worst[1], 1 / (1 + math.exp(-top)) if top > -30 else 0.0
+    if worst is None:
+        total, worst = math.log1p(math.exp(bias)), (0, 0, bias)
+    start, end, top = worst
+    return -math.expm1(-total), start, end, 1 / (1 + math.exp(-top)) if top > -30 else 0.0
 
 
 def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
