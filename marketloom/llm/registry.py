@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import decontam, licences, mixing, sharding, simhash, spotsigs, tokens, toxicity, warc
+from marketloom.llm import decontam, licences, mixing, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +27,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_scores(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op5_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.removal_report(_documents(spark, sf_dir))
+
+
 def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spotsigs.edited_likeness(_documents(spark, sf_dir))
 
@@ -50,7 +54,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op5_repeats, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
