@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -125,34 +126,39 @@ class Benchmark:
                                 yield items[i], start, alike, distance
 
 
+def matches_of(texts: pa.Array, bench: Benchmark) -> dict[int, dict[int, tuple]]:
+    """For each text (by its number in the batch) that holds items: item -> first word, similarity, distance."""
+    offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    hashes, first = word_hashes(data, offsets[:-1] - offsets[0])
+    found: dict[int, dict[int, tuple]] = defaultdict(dict)
+    for width in bench.marks:
+        runs = runs_of_words(hashes, width)
+        if not len(runs):
+            continue
+        maybe = np.flatnonzero(bench.sieves[width][(runs >> np.uint64(44)).astype(np.int64)])
+        hits = maybe[np.isin(runs[maybe], bench.marks[width])]
+        for k in np.unique(np.searchsorted(first, hits, "right") - 1).tolist():
+            a, b = first[k], first[k + 1] - width + 1
+            if b <= a:  # the run begins in this text and ends in the next
+                continue
+            own = hits[np.searchsorted(hits, a) : np.searchsorted(hits, b)]
+            marked = np.zeros(b - a, bool)
+            marked[own - a] = True
+            best = found[k]
+            for item, start, alike, distance in bench.in_text(runs[a:b], marked, width):
+                if item not in best or (-alike, start) < (-best[item][1], best[item][0]):
+                    best[item] = (start, alike, distance)
+    return {k: best for k, best in found.items() if best}
+
+
 def _scan(docs: DataFrame, items: list[tuple[int, bytes]], similarity: float, radius: int) -> DataFrame:
     sent = docs.sparkSession.sparkContext.broadcast(items)  # at most BLOCK_BYTES and one item
 
     def run(batches):
         bench = Benchmark(sent.value, similarity, radius)
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
-            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
-            hashes, first = word_hashes(data, offsets[:-1] - offsets[0])
-            rows = []
-            for width in bench.marks:
-                runs = runs_of_words(hashes, width)
-                if not len(runs):
-                    continue
-                maybe = np.flatnonzero(bench.sieves[width][(runs >> np.uint64(44)).astype(np.int64)])
-                hits = maybe[np.isin(runs[maybe], bench.marks[width])]
-                for k in np.unique(np.searchsorted(first, hits, "right") - 1).tolist():
-                    a, b = first[k], first[k + 1] - width + 1
-                    if b > a:
-                        own = hits[np.searchsorted(hits, a) : np.searchsorted(hits, b)]
-                        marked = np.zeros(b - a, bool)
-                        marked[own - a] = True
-                        best: dict[int, tuple] = {}
-                        for item, start, alike, distance in bench.in_text(runs[a:b], marked, width):
-                            if item not in best or (-alike, start) < (-best[item][1], best[item][0]):
-                                best[item] = (start, alike, distance)
-                        rows += [(ids[k].as_py(), item, *x) for item, x in sorted(best.items())]
+            rows = [(batch.column(0)[k].as_py(), item, *x) for k, best in matches_of(batch.column(1), bench).items() for item, x in sorted(best.items())]
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32()))],
@@ -161,6 +167,28 @@ def _scan(docs: DataFrame, items: list[tuple[int, bytes]], similarity: float, ra
     return docs.mapInArrow(run, "doc_id long, item_id long, first_word long, similarity double, distance int")
 
 
+def _without(docs: DataFrame, items: list[tuple[int, bytes]], similarity: float, radius: int) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(items)
+
+    def run(batches):
+        bench = Benchmark(sent.value, similarity, radius)
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            keep[list(matches_of(batch.column(batch.num_columns - 1), bench))] = False
+            yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
+
+    return docs.withColumn("_body", text_bytes()).mapInArrow(run, docs.schema)
+
+
+def _item_blocks(benchmark: DataFrame):
+    """The benchmark's items in lists of about BLOCK_BYTES, one list at a time."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_bytes().alias("text")).filter("item_id IS NOT NULL AND length(text) > 0").distinct()
+    blocks = (items.agg(F.sum(F.length("text"))).first()[0] or 0) // BLOCK_BYTES + 1
+    for k in range(blocks):
+        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
+        yield [(r["item_id"], bytes(r["text"])) for r in part.orderBy("item_id", "text").collect()]
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
     """doc_id, item_id, first_word, similarity, distance: each text and item that it holds.
 
@@ -172,18 +200,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     """
     small_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes().alias("text"))
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), text_bytes().alias("text")).filter("item_id IS NOT NULL AND length(text) > 0").distinct()
-    size = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
-    found = None
-    for k in range(blocks):
-        part = items.filter(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == k)
-        scan = _scan(rows, [(r["item_id"], bytes(r["text"])) for r in part.orderBy("item_id").collect()], similarity, radius)
-        found = scan if found is None else found.unionByName(scan)
-    return found
+    return reduce(DataFrame.unionByName, [_scan(rows, items, similarity, radius) for items in _item_blocks(benchmark)])
 
 
-def drop_leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without the rows whose doc_id holds a benchmark item. A null doc_id is looked up by its text."""
-    leaks = find_leaks(docs.select(F.xxhash64("doc_id", "text").alias("doc_id"), "text"), benchmark).select(F.col("doc_id").alias("_row")).distinct()
-    return docs.withColumn("_row", F.xxhash64("doc_id", "text")).join(leaks, "_row", "left_anti").drop("_row")
+def drop_leaked(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, radius: int = RADIUS) -> DataFrame:
+    """docs, all columns kept, without the rows that hold a benchmark item; in place, without a shuffle."""
+    small_batches(docs.sparkSession)
+    for items in _item_blocks(benchmark):
+        docs = _without(docs, items, similarity, radius)
+    return docs
