@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-MODULES: list = []
+from marketloom.plans import queries_market
+
+MODULES: list = [queries_market]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
