@@ -53,7 +53,7 @@ def parse_keys(df: DataFrame, key: str = "key") -> DataFrame:
 
 def edge_of(date: Column, grain: Column) -> tuple[Column, Column]:
     """Whether a file is in the first and the last period of its month."""
-    day = F.to_date(F.substring(date, 1, 8), "yyyyMMdd")
+    day = F.try_to_date(F.substring(date, 1, 8), "yyyyMMdd")
     return (grain == "monthly") | (F.substring(date, 7, 2) == "01"), (grain == "monthly") | F.coalesce(day == F.last_day(day), F.lit(False))
 
 
