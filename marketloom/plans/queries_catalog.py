@@ -457,7 +457,9 @@ SELECT p_partkey, n || CASE u WHEN 0 THEN 's' WHEN 1 THEN 'min' WHEN 2 THEN 'm'
  WHEN s % 604800 = 0 THEN s // 604800 || 'w' WHEN s % 86400 = 0 THEN s // 86400 || 'd' WHEN s % 3600 = 0 THEN s // 3600 || 'h' WHEN s % 60 = 0 THEN s // 60 || 'm' ELSE s || 's' END AS interval FROM s""",
     "tags_normalised": f"WITH {views.CATALOG_FILES} SELECT path, CASE WHEN number = 3 THEN etag || '-7' ELSE etag END AS tag, number <> 3 AS digest FROM catalog_files",
     "periods_stepped": """WITH o AS (SELECT o_orderkey, o_orderdate AS d, o_orderdate + INTERVAL '23 hours 59 minutes' AS e, o_orderkey % 4 AS g FROM orders),
-f AS (SELECT *, CASE g WHEN 0 THEN 6 WHEN 1 THEN 8 WHEN 2 THEN 10 ELSE 12 END AS w, CASE g WHEN 0 THEN INTERVAL 1 MONTH WHEN 1 THEN INTERVAL 1 DAY WHEN 2 THEN INTERVAL 1 HOUR ELSE INTERVAL 1 MINUTE END AS i, CASE WHEN g = 0 THEN date_trunc('month', d) ELSE e END AS base FROM o)
-SELECT o_orderkey, CASE g WHEN 0 THEN 'monthly' WHEN 1 THEN 'daily' WHEN 2 THEN 'hourly' ELSE 'minutely' END AS grain, substr(substr(strftime(e, '%Y%m%d%H%M'), 1, w) AS stamp, strftime(base + i, '%Y%m%d%H%M'), 1, w) AS after, substr(strftime(base - i, '%Y%m%d%H%M'), 1, w) AS before,
- substr(strftime(CASE WHEN g = 0 THEN date_trunc('month', d) ELSE d END - i, '%Y%m%d%H%M'), 1, w) AS closed, substr(strftime(CASE WHEN g = 0 THEN date_trunc('month', d - INTERVAL 15 DAY) ELSE d - INTERVAL 15 DAY END - i, '%Y%m%d%H%M'), 1, w) AS settled FROM f""",
+f AS (SELECT *, CASE g WHEN 0 THEN 6 WHEN 1 THEN 8 WHEN 2 THEN 10 ELSE 12 END AS w, CASE g WHEN 0 THEN INTERVAL 1 MONTH WHEN 1 THEN INTERVAL 1 DAY WHEN 2 THEN INTERVAL 1 HOUR ELSE INTERVAL 1 MINUTE END AS i,
+ CASE g WHEN 0 THEN date_trunc('month', d) WHEN 1 THEN d WHEN 2 THEN date_trunc('hour', e) ELSE e END AS base FROM o),
+t AS (SELECT o_orderkey, g, w, e, base + i AS after, base - i AS before, CASE WHEN g = 0 THEN date_trunc('month', d) ELSE d END - i AS closed, CASE WHEN g = 0 THEN date_trunc('month', d - INTERVAL 15 DAY) ELSE d - INTERVAL 15 DAY END - i AS settled FROM f)
+SELECT o_orderkey, CASE g WHEN 0 THEN 'monthly' WHEN 1 THEN 'daily' WHEN 2 THEN 'hourly' ELSE 'minutely' END AS grain, substr(strftime(e, '%Y%m%d%H%M'), 1, w) AS stamp, substr(strftime(after, '%Y%m%d%H%M'), 1, w) AS after,
+ substr(strftime(before, '%Y%m%d%H%M'), 1, w) AS before, substr(strftime(closed, '%Y%m%d%H%M'), 1, w) AS closed, substr(strftime(settled, '%Y%m%d%H%M'), 1, w) AS settled FROM t""",
 }

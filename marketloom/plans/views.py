@@ -13,7 +13,7 @@ from marketloom.session import table
 TICKS = """ticks AS (SELECT epoch_us(ts) AS ts, 'U' || user_id AS symbol, value AS price, CAST(json_extract_string(props, '$.k') AS DOUBLE) AS size,
   event_type AS side, event_id AS sequence FROM events)"""
 CATALOG_FILES = """catalog_files AS (SELECT l_returnflag AS venue, o_orderpriority AS dataset, strftime(l_shipdate, '%Y%m%d') AS date, strftime(l_shipdate, '%Y%m') AS month,
-  CAST(l_quantity AS BIGINT) AS size, md5(l_orderkey || '-' || l_linenumber) AS etag, l_orderkey || '/' || l_linenumber || '/' || l_partkey || '/' || l_suppkey AS path,
+  CAST(l_quantity AS BIGINT) AS size, md5(l_orderkey || '-' || l_linenumber || '-' || l_partkey || '-' || l_suppkey) AS etag, l_orderkey || '/' || l_linenumber || '/' || l_partkey || '/' || l_suppkey AS path,
   CASE WHEN l_linestatus = 'O' THEN 'confirmed' WHEN l_linenumber = 1 THEN 'absent' ELSE 'confirmed' END AS existence,
   CASE WHEN l_linenumber % 3 <> 0 THEN l_shipdate END AS downloaded_at, l_suppkey AS series, o_custkey AS owner, l_linenumber AS number
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
@@ -41,7 +41,7 @@ def catalog_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = lambda sep: F.concat(F.col("l_orderkey"), F.lit(sep), F.col("l_linenumber"))
     return j.select(
         F.col("l_returnflag").alias("venue"), F.col("o_orderpriority").alias("dataset"), F.date_format("l_shipdate", "yyyyMMdd").alias("date"), F.date_format("l_shipdate", "yyyyMM").alias("month"),
-        F.col("l_quantity").cast("long").alias("size"), F.md5(key("-").cast("binary")).alias("etag"), F.concat(key("/"), F.lit("/"), F.col("l_partkey"), F.lit("/"), F.col("l_suppkey")).alias("path"),
+        F.col("l_quantity").cast("long").alias("size"), F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").cast("binary")).alias("etag"), F.concat(key("/"), F.lit("/"), F.col("l_partkey"), F.lit("/"), F.col("l_suppkey")).alias("path"),
         F.when(F.col("l_linestatus") == "O", "confirmed").when(F.col("l_linenumber") == 1, "absent").otherwise("confirmed").alias("existence"),
         F.when(F.col("l_linenumber") % 3 != 0, F.col("l_shipdate")).alias("downloaded_at"), F.col("l_suppkey").alias("series"), F.col("o_custkey").alias("owner"), F.col("l_linenumber").alias("number"))
 
