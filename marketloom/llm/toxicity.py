@@ -1,7 +1,7 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored.
 
 A sentence is a bag of word features and has a probability p = sigmoid(bias + sum of
-weights). A document is toxic if any of its sentences is: P = 1 - prod(1 - p), the
+weights); weights are not negative, so that harmless words cannot outweigh an offence. A document is toxic if any of its sentences is: P = 1 - prod(1 - p), the
 noisy-or, whose gradient with respect to the document's label trains the weights of the
 sentences. The same weights then score every sentence of every text and point at the worst.
 
@@ -35,11 +35,11 @@ class Fit:
     """sample: labelled rows at most, the bound on what is fitted; features: weights at most."""
 
     sample: int = 12_000
-    features: int = 16_384
-    seen_in: int = 5
-    rounds: int = 120
+    features: int = 4_096
+    seen_in: int = 4
+    rounds: int = 150
     rate: float = 0.15
-    ridge: float = 2e-5
+    lasso: float = 1e-5
 
 
 @dataclass(frozen=True)
@@ -117,7 +117,8 @@ def _feature_counts(sample: DataFrame) -> DataFrame:
 
 
 def fit_noisy_or(texts: list[list[np.ndarray]], toxic: np.ndarray, n_features: int, fit: Fit) -> tuple[float, np.ndarray]:
-    """Bias and weights that minimise the log loss of the noisy-or over documents, by Adam.
+    """Bias and non-negative weights that minimise the log loss of the noisy-or over documents plus
+    lasso times the weights' sum, by projected Adam.
 
     texts: for each document its sentences, each an array of feature numbers.
     """
@@ -136,10 +137,10 @@ def fit_noisy_or(texts: list[list[np.ndarray]], toxic: np.ndarray, n_features: i
         p = np.maximum(-np.expm1(-q), 1e-12)
         by_doc = np.where(y > 0, -np.exp(-q) / p, 1.0) / len(texts)
         by_sentence = by_doc[doc_of] / (1 + np.exp(-z))
-        g = np.concatenate(([by_sentence.sum()], np.bincount(ids, by_sentence[sentence_of], n_features) + fit.ridge * w))
+        g = np.concatenate(([by_sentence.sum()], np.bincount(ids, by_sentence[sentence_of], n_features) + fit.lasso))
         m, v = 0.9 * m + 0.1 * g, 0.99 * v + 0.01 * g * g
         move = fit.rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-        bias, w = bias - move[0], w - move[1:]
+        bias, w = bias - move[0], np.maximum(w - move[1:], 0)
     return float(bias), w
 
 
@@ -147,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
     """The model from labels' toxic marks, learnt only where held_out is false.
 
     Texts are the only inputs. Of the features in at least fit.seen_in sampled texts, the
-    fit.features that tell the marks apart best are kept; they and their weights are what
+    fit.features that speak most for a toxic mark are kept; they and their weights are what
     reaches the driver. Without labelled rows of both kinds nothing scores as toxic.
     """
     small_batches(docs.sparkSession)
@@ -158,8 +159,8 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         return Model(-12.0, {})
     counts = _feature_counts(sample).filter(F.col("pos") + F.col("neg") >= fit.seen_in)
     share = (F.col("pos") + F.col("neg")) / (n_pos + n_neg)
-    gain = F.abs(F.col("pos") / n_pos - F.col("neg") / n_neg) / F.sqrt(share * (1 - share) + F.lit(1e-6))
-    names = [r["feature"] for r in counts.orderBy(gain.desc(), "feature").limit(fit.features).select("feature").collect()]
+    gain = (F.col("pos") / n_pos - F.col("neg") / n_neg) / F.sqrt(share * (1 - share) + F.lit(1e-6))
+    names = [r["feature"] for r in counts.filter(gain > 0).orderBy(gain.desc(), "feature").limit(fit.features).select("feature").collect()]
     number = {x: i for i, x in enumerate(names)}
 
     def run(batches):
@@ -167,7 +168,7 @@ def train(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> Model:
         texts, marks = [], []
         for batch in batches:
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                sentences = [np.array(sorted(set().union(*map(kept.__getitem__, s.split()))), np.int64) for s in SENTENCE.findall(text)]
+                sentences = [np.array([x for word in s.split() for x in kept[word]], np.int64) for s in SENTENCE.findall(text)]
                 # sentences without features all score alike; they stay, as their number matters
                 texts.append(sentences or [np.empty(0, np.int64)])
                 marks.append(toxic != 0)
