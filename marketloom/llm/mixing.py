@@ -126,8 +126,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     """docs' rows, all columns kept, with tokens, posterior, domain (the likeliest), rate and copies.
 
     weights: the target share of each domain (a domain not named gets none); by default the shares as
-    they are, flattened. With least = 0 the tokens in all stay as they are; with least > 0 they are
-    as many as the domain with most to spare allows at that rate. copies is the rate rounded
+    they are, flattened. With least = 0 the tokens in all stay as they are; with least > 0 the rates
+    are scaled up until the lowest domain's is that, which keeps the shares (if a domain is to have
+    nothing, its rates stop at least instead). copies is the rate rounded
     down or up by a hash of the row, so that the expected copies are the rate. A null text has no
     tokens and the domains' shares as posterior; an empty table gives no rows.
     """
@@ -138,10 +139,10 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     now = np.array([x or 0.0 for x in sums])
     shares = now / now.sum() if now.sum() else np.full(k, 1 / k)
     want = np.array([weights.get(x, 0.0) for x in domains.names]) if weights else flatter(shares)
-    total = now.sum()
-    if least > 0:
-        total = least * max([a / b for a, b in zip(now, want) if b > 0], default=0.0)
-    c = fit_rates(members, (want * total).tolist(), least)
+    c = fit_rates(members, (want * now.sum()).tolist())
+    low = 1 + min(c)
+    if least > 0 and low > 0:  # posteriors sum to one, so a rate is a mean of the domains' rates 1 + c
+        c = [least / low * (1 + x) - 1 for x in c]
     drop_stored(members)
     rated = memberships(docs.drop("domain", "rate", "copies"), domains).withColumn("rate", F.round(rate_of(c, least), 9))
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))

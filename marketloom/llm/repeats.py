@@ -79,11 +79,11 @@ def _runs(rows: DataFrame, least: int) -> DataFrame:
                 if len(text) >= least:
                     for start, windows, anchor, stretch in runs_of(text, least):
                         n = len(start)
-                        out.append((np.full(n, doc), np.full(n, key), start, windows, anchor, stretch))
+                        out.append((np.full(n, doc or 0), np.full(n, doc is None), np.full(n, key), start, windows, anchor, stretch))
             if out:
-                columns = [np.concatenate(c) for c in zip(*out)]
-                kinds = (np.int64, np.int64, np.int32, np.int32, np.int64, np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(c.astype(t)) for c, t in zip(columns, kinds)], names=["doc", "row", "start", "windows", "anchor", "stretch"])
+                doc, none, *columns = [np.concatenate(c) for c in zip(*out)]
+                kinds = (np.int64, np.int32, np.int32, np.int64, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64(), mask=none), *[pa.array(c.astype(t)) for c, t in zip(columns, kinds)]], names=["doc", "row", "start", "windows", "anchor", "stretch"])
 
     return rows.mapInArrow(run, RUNS)
 

@@ -80,7 +80,7 @@ def with_next(docs: DataFrame, columns: list[str]) -> DataFrame:
     heads = {r["_range"]: r["head"] for r in keyed.groupBy("_range").agg(F.max("_key").alias("head")).collect()}
     ranges = sorted(heads)
     before = {heads[r]: ranges[(k + 1) % len(ranges)] for k, r in enumerate(ranges)}  # the range whose last row it follows
-    guest = F.create_map(*[F.lit(x) for kv in before.items() for x in kv])[F.col("_key")] if before else F.lit(None).cast("int")
+    guest = F.create_map(*[x for k, r in before.items() for x in (F.lit(k).cast("long"), F.lit(r).cast("int"))])[F.col("_key")] if before else F.lit(None).cast("int")
     places = F.array_compact(F.array(F.struct(F.lit(False).alias("_guest"), F.col("_range").alias("_in")), F.when(guest.isNotNull(), F.struct(F.lit(True).alias("_guest"), guest.alias("_in")))))
     dealt = keyed.withColumn("_place", F.explode(places)).select(*docs.columns, "_key", "_place.*")
     order = Window.partitionBy("_in").orderBy("_guest", F.desc("_key"), *columns)
