@@ -40,7 +40,7 @@ def scan_csv_named(spark: SparkSession, paths, wanted: list[str] | None = None)
     and in columns. Files are grouped by header, and a group is read with its header as the schema:
     one read of mixed files would take the first one's for all. Empty files have no header and
     are left out. Columns that no file has are null."""
-    firsts = spark.read.text(paths, wholetext=False).select(F.col("value"), F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    firsts = spark.read.text(paths, wholetext=False).select(F.col("value"), file_of().alias("path"), F.col("_metadata.file_block_start").alias("at"))
     headers = firsts.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("header"))
     groups: dict[str, list[str]] = {}
     for row in headers.toLocalIterator():  # one short row for each file

@@ -52,9 +52,9 @@ def write_routes(frames: DataFrame, rules: DataFrame, root: str, checkpoint: str
 
 def running_bars(ticks: DataFrame, width: str, late: str = "1 minute") -> DataFrame:
     """Bars of symbol and (start, end], stamped at their end, from a stream of ticks (symbol, time, price, size, sequence)."""
-    bins = F.window(F.col("time") - F.expr("INTERVAL 1 MICROSECOND"), width)
     order = F.struct("time", "sequence")
-    out = ticks.withWatermark("time", late).groupBy("symbol", bins.alias("w")).agg(
+    shifted = ticks.withColumn("_at", F.col("time") - F.expr("INTERVAL 1 MICROSECOND")).withWatermark("_at", late)
+    out = shifted.groupBy("symbol", F.window("_at", width).alias("w")).agg(
         F.min_by("price", order).alias("open"), F.max("price").alias("high"), F.min("price").alias("low"), F.max_by("price", order).alias("close"), F.sum("size").alias("volume"), F.count("*").alias("trades"))
     return out.select("symbol", F.col("w.end").alias("time"), "open", "high", "low", "close", "volume", "trades")
 
