@@ -108,10 +108,10 @@ def _log(spark, sf_dir):
     """Ticks as a message log: content is what is traded, rounded so that some repeat; every seventh arrives late."""
     t = views.ticks(spark, sf_dir)
     return t.select(F.concat(F.lit("S"), F.col("sequence") % 4).alias("source"), F.col("side").alias("table"), F.expr("ts div 86400000000").alias("day"), F.col("sequence").alias("arrival"),
-                    F.when(F.col("sequence") % 7 == 0, F.col("ts") - 600_000).otherwise(F.col("ts")).alias("ts"), F.concat_ws("|", F.expr("cast(floor(price / 10) as bigint)"), F.expr("cast(floor(size / 20) as bigint)")).alias("content"))
+                    F.when(F.col("sequence") % 7 == 0, F.col("ts") - 600_000_000).otherwise(F.col("ts")).alias("ts"), F.concat_ws("|", F.expr("cast(floor(price / 10) as bigint)"), F.expr("cast(floor(size / 20) as bigint)")).alias("content"))
 
 
-_LOG = f"""log AS (SELECT 'S' || sequence % 4 AS source, side AS "table", ts // {DAY} AS day, sequence AS arrival, CASE WHEN sequence % 7 = 0 THEN ts - 600000 ELSE ts END AS ts,
+_LOG = f"""log AS (SELECT 'S' || sequence % 4 AS source, side AS "table", ts // {DAY} AS day, sequence AS arrival, CASE WHEN sequence % 7 = 0 THEN ts - 600000000 ELSE ts END AS ts,
   CAST(floor(price / 10) AS BIGINT) || '|' || CAST(floor(size / 20) AS BIGINT) AS content FROM ticks),
 clocked AS (SELECT *, max(ts) OVER (PARTITION BY source, "table", day ORDER BY arrival ROWS UNBOUNDED PRECEDING) AS clock, row_number() OVER (PARTITION BY source, "table", day, content ORDER BY arrival) > 1 AS repeat FROM log)"""
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.plans import queries_catalog, queries_market
+from marketloom.plans import queries_catalog, queries_io, queries_market
 
-MODULES: list = [queries_market, queries_catalog]
+MODULES: list = [queries_market, queries_catalog, queries_io]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

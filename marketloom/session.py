@@ -27,3 +27,15 @@ def build_session(app: str = "marketloom", master: str | None = None, **more: st
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder in the shared one that spark.checkpoint.dir names; set here only where it is unset."""
+    import tempfile
+    import uuid
+
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not root:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
+        root = spark.sparkContext.getCheckpointDir()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
