@@ -103,7 +103,7 @@ def settled(partitions: DataFrame, runs: DataFrame, now: str, before: str, days:
     """Partitions whose month closed over `days` days ago and that nothing touched since the oldest open run began."""
     edge = runs.filter("completed_at IS NULL").agg(F.least(F.lit(before).cast("timestamp"), F.coalesce(F.min("started_at"), F.lit(before).cast("timestamp"))).alias("_edge"))
     month = F.date_format(F.lit(now).cast("timestamp") - F.expr(f"INTERVAL {days} DAYS"), "yyyyMM")
-    return partitions.crossJoin(F.broadcast(edge)).filter((F.col("month") < month) & (F.col("updated_at") < F.col("_edge"))).drop("_edge")  # edge is one row
+    return partitions.filter((F.col("month") < month) & (F.col("updated_at") < edge.scalar()))
 
 
 def closed_months(df: DataFrame, now: str) -> DataFrame:
