@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.functions import names
+from marketloom.functions import listing, names
 from marketloom.functions.times import last_closed, last_settled, next_period
 from marketloom.operators import catalog, changes, lenses, reconcile
 from marketloom.plans import views
@@ -364,7 +364,31 @@ def periods_stepped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return o.select("o_orderkey", grain.alias("grain"), stamp.alias("stamp"), next_period(stamp, grain).alias("after"), next_period(stamp, grain, -1).alias("before"), last_closed(grain, now).alias("closed"), last_settled(grain, now).alias("settled"))
 
 
+def keys_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts as files of four URL patterns, with the key, extension, part and bar length of each."""
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    pick = lambda *x: F.element_at(F.array(*[F.lit(v) for v in x]), (k % len(x) + 1).cast("int"))
+    pattern = pick("a/1m/{SYMBOL}-{YYYY}-{MM}-{DD}.zip", "b/{SYMBOL}_15_{YYYY}.csv.gz", "c/{SYMBOL}.{YYYY}{MM}.part{PART}.gz", "d/slice_{SYMBOL}_{YYYY}")
+    path = F.concat(pick("a/1m/S", "b/S", "c/S", "d/slice_s"), pick("-2024-02-03.zip", "_15_2024.CSV.gz", ".202402.part", "_2024"), F.when(k % 4 == 2, F.concat(k % 7, F.lit(".gz"))).otherwise(""))
+    prefix = F.concat(F.lit("v/spot/trades/"), F.when(k % 5 == 0, "@/").otherwise("S/SYM/"))
+    return p.select("p_partkey", listing.catalog_key(prefix, pattern, F.lit("20240203"), path).alias("key"), listing.part_of(path, pattern).alias("part"), listing.extension_of(path).alias("extension"), listing.interval_of(pattern).alias("interval"))
+
+
+def levels_named(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = table(spark, sf_dir, "part")
+    k = F.col("p_partkey")
+    pick = lambda *x: F.element_at(F.array(*[F.lit(v) for v in x]), (k % len(x) + 1).cast("int"))
+    levels = listing.levels_map(pick("klines", "books", "trades", "funding", "quotes"), pick("", "1m", "snapshot,20,raw"))
+    return p.select("p_partkey", *[levels[n].alias(n) for n in ("interval", "kind", "depth", "aggregation")])
+
+
+def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _renderings(spark, sf_dir).filter(listing.means(market="spot", dataset="2-HIGH", variant="", start="199501", end="199606")).select("partition", "files")
+
+
 QUERIES = {f.__name__: f for f in (
+    keys_listed, levels_named, selection,
     partition_counters, partition_versions, venue_totals, counter_deltas, contents_shapes, contents_markets, contents_symbols, series_counts, series_bounds, partition_months, settled_partitions, renderings_preferred,
     lens_members, lens_figures, lens_changes, spans_united, spans_cut, contents_through_lens, listing_page, expected_days, missing_days, listing_merged, listing_revisions, files_withdrawn, files_settled, reports_applied, series_reconciled,
     coverage, months_backed, month_bytes, files_duplicated, cold_stats, coverage_gaps, stage_lag, ledger_current, ledger_repairs, store_reconciled, plans_compared, stocking_decided, ledger_validated, batches_packed, spill_neighbours,
@@ -376,6 +400,12 @@ _BEFORE = f"""{views.CATALOG_FILES}, bef AS (SELECT * FROM catalog_files WHERE s
  CASE WHEN series % 10 = 7 THEN 'n' ELSE 'm' END AS modified, 'confirmed' AS existence FROM catalog_files WHERE series % 10 <> 4)"""
 _GROUPED = "SELECT venue, existence, count(*) AS files, sum(size)::BIGINT AS bytes, count(*) FILTER (downloaded_at IS NULL) AS owed FROM r GROUP BY ALL"
 ORACLES = {
+    "keys_listed": """WITH k AS (SELECT p_partkey AS k, 'v/spot/trades/' || CASE WHEN p_partkey % 5 = 0 THEN '@/' ELSE 'S/SYM/' END AS prefix, CASE WHEN p_partkey % 5 = 0 THEN '@' ELSE 'SYM' END AS sym, CASE WHEN p_partkey % 4 = 2 THEN CAST(p_partkey % 7 AS VARCHAR) END AS part,
+ CASE p_partkey % 4 WHEN 0 THEN '.zip' WHEN 1 THEN '.csv.gz' WHEN 2 THEN '.part' || p_partkey % 7 || '.gz' ELSE '.txt' END AS extension FROM part)
+SELECT k AS p_partkey, prefix || '202402/v|spot|trades|' || sym || '|20240203' || coalesce('.part' || part, '') || extension AS key, part, extension, CASE k % 4 WHEN 0 THEN '1m' WHEN 1 THEN '15' END AS interval FROM k""",
+    "levels_named": """SELECT p_partkey, CASE WHEN d = 0 THEN CASE v WHEN 1 THEN '1m' WHEN 2 THEN 'snapshot,20,raw' END END AS interval, CASE WHEN d = 1 THEN CASE v WHEN 1 THEN '1m' WHEN 2 THEN 'snapshot' END WHEN d = 3 THEN CASE v WHEN 1 THEN '1m' WHEN 2 THEN 'snapshot,20,raw' END END AS kind,
+ CASE WHEN d = 1 AND v = 2 THEN '20,raw' END AS depth, CASE WHEN d = 2 THEN CASE v WHEN 0 THEN 'default' WHEN 1 THEN '1m' ELSE 'snapshot,20,raw' END END AS aggregation FROM (SELECT p_partkey, p_partkey % 5 AS d, p_partkey % 3 AS v FROM part)""",
+    "selection": f"WITH {_RENDER} SELECT partition, files FROM rend WHERE market = 'spot' AND dataset = '2-HIGH' AND month BETWEEN '199501' AND '199606'",
     "partition_counters": f"WITH {views.PARTITIONS} SELECT * FROM partitions",
     "partition_versions": f"WITH {views.CATALOG_FILES} SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS version FROM catalog_files GROUP BY {_B}",
     "venue_totals": f"""WITH {views.PARTITIONS}, v AS (SELECT DISTINCT venue FROM catalog_files UNION ALL SELECT r_name FROM region), p AS (SELECT * FROM partitions WHERE files > 3)
