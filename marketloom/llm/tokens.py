@@ -52,25 +52,24 @@ class Counter:
 
     def part(self, part: str) -> tuple[int, float]:
         """Pieces and score of the best path through one part."""
-        n = len(part)
-        ends: list[list[tuple[int, float]]] = [[] for _ in range(n)]
-        for end, found in self.automaton.iter(part):
-            ends[end].append(found)
-        best, pieces = [0.0] * (n + 1), [0] * (n + 1)
+        best, pieces = [0.0], [0]
         single, unknown = self.single, self.unknown
-        for end in range(n):
-            top, count = None, 0
-            for length, score in ends[end]:  # the automaton gives the longest first: the order of their starts
-                at = end + 1 - length
-                total = score + best[at]
+        at, top, count = 0, None, 0
+        for end, (length, score) in [*self.automaton.iter(part), (len(part), (0, 0.0))]:
+            while at < end:  # no more pieces end at this character
+                if part[at] not in single:
+                    total = unknown + best[at]
+                    if top is None or total > top:
+                        top, count = total, pieces[at] + len(part[at].encode("utf-8", "surrogatepass"))
+                best.append(top)
+                pieces.append(count)
+                at, top = at + 1, None
+            if length:  # at one end the automaton gives the longest first: the order of their starts
+                start = end + 1 - length
+                total = score + best[start]
                 if top is None or total > top:
-                    top, count = total, pieces[at] + 1
-            if part[end] not in single:
-                total = unknown + best[end]
-                if top is None or total > top:
-                    top, count = total, pieces[end] + len(part[end].encode("utf-8", "surrogatepass"))
-            best[end + 1], pieces[end + 1] = top, count
-        return pieces[n], best[n]
+                    top, count = total, pieces[start] + 1
+        return pieces[-1], best[-1]
 
     def text(self, text: str) -> tuple[int, float]:
         """Pieces and score of a whole text; nothing for an empty one."""
