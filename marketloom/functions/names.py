@@ -17,6 +17,7 @@ INVERSE = {
     "bitget": rf"(USD(_CM)?|CM{_EXPIRY}|USD{_EXPIRY})$",
 }
 
+# Fixed value: the grammar of the end of an archive key: date, part, inner and outer ending.
 _TAIL = r"^(\d{6}|\d{8}|\d{10}|\d{12})(?:\.part(\d+))?\.(?:([0-9a-z]*[a-z][0-9a-z]*)\.(?=(?:gz|bz2|xz|zst)$))?(?!(?:bak|part\d*)$)([0-9a-z]*[a-z][0-9a-z]*)$"
 
 
@@ -57,15 +58,15 @@ def edge_of(date: Column, grain: Column) -> tuple[Column, Column]:
     return (grain == "monthly") | (F.substring(date, 7, 2) == "01"), (grain == "monthly") | F.coalesce(day == F.last_day(day), F.lit(False))
 
 
-# Seconds of the suffixes an interval is written with.
+# How months and the suffixes of other intervals are written, with their seconds.
+_MONTHLY = r"^(\d*)\s*(?:mo|mon|month|months)$"
 _SECONDS = {"s sec secs second seconds": 1, " m min mins minute minutes": 60, "h hr hrs hour hours": 3600, "d day days": 86_400, "w wk week weeks": 604_800}
 
 
 def canonical_interval(token: Column) -> Column:
     """60min as 1h, 7d as 1w, 90m as it is, months apart, a bare number as minutes; null if it is none."""
     raw = F.lower(F.trim(token))
-    monthly = r"^(\d*)\s*(?:mo|mon|month|months)$"
-    months = F.when(F.regexp_extract(raw, monthly, 1) == "", 1).otherwise(F.regexp_extract(raw, monthly, 1).try_cast("bigint"))
+    months = F.when(F.regexp_extract(raw, _MONTHLY, 1) == "", 1).otherwise(F.regexp_extract(raw, _MONTHLY, 1).try_cast("bigint"))
     count, suffix = F.regexp_extract(raw, r"^(\d+)\s*([a-z]*)$", 1).try_cast("bigint"), F.regexp_extract(raw, r"^(\d+)\s*([a-z]*)$", 2)
     unit = F.create_map(*[F.lit(x) for words, size in _SECONDS.items() for word in words.split(" ") for x in (word, size)])
     s = count * unit[suffix]
@@ -77,7 +78,7 @@ def canonical_interval(token: Column) -> Column:
     for name, size in (("d", 86_400), ("h", 3600), ("m", 60)):
         out = out.when(s % size == 0, text(size, name))
     out = out.otherwise(text(1, "s"))
-    return F.when(raw.rlike(monthly), F.when(months > 0, F.concat(months, F.lit("mo")))).when(s > 0, out)
+    return F.when(raw.rlike(_MONTHLY), F.when(months > 0, F.concat(months, F.lit("mo")))).when(s > 0, out)
 
 
 def norm_etag(etag: Column) -> Column:
