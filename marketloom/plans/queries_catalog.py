@@ -123,15 +123,15 @@ lens AS (SELECT rend.* FROM rend WHERE partition IN (SELECT partition FROM inc)
 
 
 def _spans(spark, sf_dir):
-    """Spans of months by customer segment: of orders, from their month for as many months as the customer's nation says."""
+    """Spans of months by customer: of orders, from their month for as many months as the customer's nation says."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    j = o.join(c, o["o_custkey"] == c["c_custkey"]).filter("o_orderkey % 50 = 7")
+    j = o.join(c, o["o_custkey"] == c["c_custkey"])
     end = F.add_months("o_orderdate", F.col("c_nationkey") % 4)
-    return j.select(F.concat_ws("/", "c_mktsegment", "o_orderpriority").alias("slice"), F.col("o_orderkey"), F.date_format("o_orderdate", "yyyyMM").alias("from"), F.date_format(end, "yyyyMM").alias("to"))
+    return j.select(F.concat(F.lit("C"), "c_custkey").alias("slice"), F.col("o_orderkey"), F.date_format("o_orderdate", "yyyyMM").alias("from"), F.date_format(end, "yyyyMM").alias("to"))
 
 
-_SPANS = """sp AS (SELECT c_mktsegment || '/' || o_orderpriority AS slice, o_orderkey, strftime(o_orderdate, '%Y%m') AS f, strftime(o_orderdate + to_months(CAST(c_nationkey % 4 AS INT)), '%Y%m') AS t,
- year(o_orderdate) * 12 + month(o_orderdate) - 1 AS a, year(o_orderdate) * 12 + month(o_orderdate) - 1 + c_nationkey % 4 AS b FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderkey % 50 = 7)"""
+_SPANS = """sp AS (SELECT 'C' || c_custkey AS slice, o_orderkey, strftime(o_orderdate, '%Y%m') AS f, strftime(o_orderdate + to_months(CAST(c_nationkey % 4 AS INT)), '%Y%m') AS t,
+ year(o_orderdate) * 12 + month(o_orderdate) - 1 AS a, year(o_orderdate) * 12 + month(o_orderdate) - 1 + c_nationkey % 4 AS b FROM orders JOIN customer ON o_custkey = c_custkey)"""
 _ISLANDS = """(SELECT slice, min(a) AS a, max(b) AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY slice ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN max(b) OVER (PARTITION BY slice ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a
  THEN 0 ELSE 1 END AS fresh FROM sp {where})) GROUP BY slice, island)"""
 _MONTH = "lpad(CAST({x} // 12 AS VARCHAR), 4, '0') || lpad(CAST({x} % 12 + 1 AS VARCHAR), 2, '0')"
@@ -144,15 +144,15 @@ def spans_united(spark: SparkSession, sf_dir: str) -> DataFrame:
 def spans_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The union of the even orders' spans less those of the odd ones, as months."""
     s = _spans(spark, sf_dir)
-    even, odd = s.filter("o_orderkey % 100 = 7").drop("o_orderkey"), s.filter("o_orderkey % 100 = 57").drop("o_orderkey")
+    even, odd = s.filter("o_orderkey % 2 = 0").drop("o_orderkey"), s.filter("o_orderkey % 2 = 1").drop("o_orderkey")
     left = lenses.span_minus(lenses.span_union(even, ["slice"]), odd, ["slice"])
     return catalog.months_between(left.select("slice", F.col("from").alias("first"), F.col("to").alias("last")), ["slice"])
 
 
 def contents_through_lens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers' first and last file dates, cut to the united spans of their segment."""
-    f = views.catalog_files(spark, sf_dir).join(table(spark, sf_dir, "customer"), F.col("owner") == F.col("c_custkey"))
-    s = f.groupBy(F.concat_ws("/", "c_mktsegment", "dataset").alias("slice"), F.col("owner").alias("series")).agg(F.min("date").alias("first"), F.max("date").alias("last"))
+    """First and last file dates of each customer's datasets, cut to the united spans of the customer."""
+    f = views.catalog_files(spark, sf_dir)
+    s = f.groupBy(F.concat(F.lit("C"), "owner").alias("slice"), F.col("dataset").alias("series")).agg(F.min("date").alias("first"), F.max("date").alias("last"))
     return lenses.through_lens(s, spans_united(spark, sf_dir))
 
 
@@ -255,8 +255,7 @@ def cold_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def coverage_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    held = views.catalog_files(spark, sf_dir).filter("series % 20 = 3").select("series", "month")
-    return reconcile.coverage_gaps(held, ["series"])
+    return reconcile.coverage_gaps(views.catalog_files(spark, sf_dir).select("owner", "month"), ["owner"])
 
 
 def stage_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -429,9 +428,9 @@ SELECT venue, market, dataset, variant, month, grain, bundle, files FROM n WHERE
     "lens_figures": f"WITH {_LENS} SELECT venue, count(*) AS partitions, sum(files)::BIGINT AS files, sum(bytes)::BIGINT AS bytes FROM lens GROUP BY ROLLUP (venue)",
     "lens_changes": f"WITH {_LENS}, held AS (SELECT partition FROM rend WHERE files > 2) SELECT partition, 'add' AS change FROM lens WHERE partition NOT IN (SELECT partition FROM held) UNION ALL SELECT partition, 'remove' FROM held WHERE partition NOT IN (SELECT partition FROM lens)",
     "spans_united": f"WITH {_SPANS} SELECT slice, {_MONTH.format(x='a')} AS \"from\", {_MONTH.format(x='b')} AS \"to\" FROM {_ISLANDS.format(where='')}",
-    "spans_cut": f"""WITH {_SPANS}, plus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 100 = 7), minus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 100 = 57)
+    "spans_cut": f"""WITH {_SPANS}, plus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 0), minus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 1)
 SELECT slice, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM plus EXCEPT SELECT * FROM minus)""",
-    "contents_through_lens": f"""WITH {_SPANS}, {views.CATALOG_FILES}, s AS (SELECT c_mktsegment || '/' || dataset AS slice, owner AS series, min(date) AS first, max(date) AS last FROM catalog_files JOIN customer ON owner = c_custkey GROUP BY ALL),
+    "contents_through_lens": f"""WITH {_SPANS}, {views.CATALOG_FILES}, s AS (SELECT 'C' || owner AS slice, dataset AS series, min(date) AS first, max(date) AS last FROM catalog_files GROUP BY ALL),
 u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(where='')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
 SELECT * FROM j WHERE substr(first, 1, 6) <= substr(last, 1, 6)""",
     "listing_page": f"""WITH {views.CATALOG_FILES}, k AS (SELECT concat_ws('|', venue, dataset, date, path) AS key, max(size) AS size FROM catalog_files GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY key) AS n, count(*) OVER () AS c FROM k WHERE starts_with(key, 'N|3-MEDIUM') AND key > 'N|3-MEDIUM|19960101')
@@ -456,8 +455,8 @@ SELECT venue, count(*) AS months, count(*) FILTER (sent = parts) AS whole, sum(p
     "month_bytes": f"WITH {_PARTS} SELECT venue, month, sum(size)::BIGINT AS bytes FROM parts GROUP BY ALL",
     "files_duplicated": f"WITH {views.CATALOG_FILES} SELECT concat_ws('/', venue, dataset, date) AS key, count(*) AS places FROM catalog_files GROUP BY 1 HAVING count(*) > 1",
     "cold_stats": f"WITH {_PARTS} SELECT venue, count(*) AS files, sum(size)::BIGINT AS bytes, min(month) AS first, max(month) AS last FROM parts GROUP BY venue",
-    "coverage_gaps": f"""WITH {views.CATALOG_FILES}, h AS (SELECT DISTINCT series, CAST(substr(month, 1, 4) AS BIGINT) * 12 + CAST(substr(month, 5, 2) AS BIGINT) - 1 AS m FROM catalog_files WHERE series % 20 = 3),
-w AS (SELECT series, unnest(range(min(m), max(m) + 1)) AS m FROM h GROUP BY series) SELECT series, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM w EXCEPT SELECT * FROM h)""",
+    "coverage_gaps": f"""WITH {views.CATALOG_FILES}, h AS (SELECT DISTINCT owner, CAST(substr(month, 1, 4) AS BIGINT) * 12 + CAST(substr(month, 5, 2) AS BIGINT) - 1 AS m FROM catalog_files),
+w AS (SELECT owner, unnest(range(min(m), max(m) + 1)) AS m FROM h GROUP BY owner) SELECT owner, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM w EXCEPT SELECT * FROM h)""",
     "stage_lag": f"""WITH {views.CATALOG_FILES}, a AS (SELECT DISTINCT series, month FROM catalog_files), b AS (SELECT DISTINCT series, month FROM catalog_files WHERE number < 3), n AS (SELECT series, max(month) AS newest FROM a GROUP BY series)
 SELECT series, month FROM (SELECT * FROM a EXCEPT SELECT * FROM b) JOIN n USING (series) WHERE month <> newest""",
     "ledger_current": f"WITH {_LEDGER} SELECT led.partition, max(line) AS line, 'stocked' AS state, any_value(s) = 'outdated' AS outdated FROM led JOIN lst USING (partition) WHERE state = 'stocked' AND s <> 'updating' GROUP BY led.partition",
