@@ -270,6 +270,39 @@ def test_near_copies_by_similarity(spark):
     assert all(any(j >= 0.7 and d in p for p, j in alike.items()) for d in gone if rows[d])
 
 
+def similarity(a, b):
+    a, b = (set(zip(*[t.split()[k:] for k in range(5)])) for t in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def pairs_alike(rnd, lo, hi, pairs, words=204):
+    """Texts 2k and 2k + 1 of a similarity in [lo, hi): a shared head, tails of their own; other pairs share nothing."""
+    rows = []
+    for k in range(pairs):
+        for cut in range(words, 0, -1):
+            head, tails = [f"h{k}x{i}" for i in range(cut)], [[f"{s}{k}x{i}" for i in range(words - cut)] for s in "ab"]
+            one, two = (" ".join(head + tail) for tail in tails)
+            if similarity(one, two) < hi:
+                break
+        assert lo <= similarity(one, two)
+        rows += [(2 * k, one), (2 * k + 1, two)]
+    rnd.shuffle(rows)
+    return rows
+
+
+def test_near_copies_at_the_least_similarity(spark):
+    rows = pairs_alike(random.Random(3), 0.8, 0.812, 400)
+    assert simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count() <= 400 + 6
+    assert not [p for p in alike_kept(spark) if p[2] >= 0.8]
+
+
+def alike_kept(spark):
+    """(a, b, similarity) of the given documents that are kept."""
+    rows = {r.doc_id: set(zip(*[simhash.words_of((r.text or "").encode())[k:] for k in range(5)])) for r in documents(spark).collect()}
+    kept = sorted(r.doc_id for r in simhash.one_of_each(documents(spark)).collect())
+    return [(a, b, len(rows[a] & rows[b]) / len(rows[a] | rows[b])) for i, a in enumerate(kept) for b in kept[i + 1 :] if rows[a] & rows[b]]
+
+
 def test_components(spark):
     rnd = random.Random(8)
     edges = [(i, i + 1) for i in range(0, 300) if i % 10] + [(rnd.randrange(300), 1000) for _ in range(3)] + [(7, 7)]
