@@ -303,6 +303,14 @@ def alike_kept(spark):
     return [(a, b, len(rows[a] & rows[b]) / len(rows[a] | rows[b])) for i, a in enumerate(kept) for b in kept[i + 1 :] if rows[a] & rows[b]]
 
 
+def test_near_copies_only_from_the_least_similarity(spark):
+    rows = pairs_alike(random.Random(5), 0.78, 0.8, 400)
+    assert simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).count() == 800
+    sets = {r.doc_id: set(zip(*[simhash.words_of((r.text or "").encode())[k:] for k in range(5)])) for r in documents(spark).collect()}
+    kept = {r.doc_id for r in simhash.one_of_each(documents(spark)).collect()}
+    assert all(any(e != d and len(sets[d] & sets[e]) >= 0.8 * len(sets[d] | sets[e]) for e in sets) for d in sets if d not in kept and sets[d])
+
+
 def test_components(spark):
     rnd = random.Random(8)
     edges = [(i, i + 1) for i in range(0, 300) if i % 10] + [(rnd.randrange(300), 1000) for _ in range(3)] + [(7, 7)]
