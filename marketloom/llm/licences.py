@@ -53,6 +53,8 @@ TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
 #: A line that states a copyright and no more; the permission text's own "copyright notice" lines do not begin so.
 COPYRIGHT_LINE = r"(?:^|\n)[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?)(?:\n|\z)"
 RIGHTS_LINE = r"(?:^|\n)[ \t#/*;-]*all rights reserved[ .]*(?:\n|\z)"
+#: Either line, wherever it begins, so that runs of any length go: the break before a line is not part of the match.
+NOTICE_LINES = r"(?md)^[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?|all rights reserved[ .]*)(?:\n|\z)"
 #: Letters, digits and whatever lies beyond Latin-1 punctuation stay; curly quotes, dashes and ellipses go.
 NOT_WORD = r"[^a-z0-9\x{C0}-\x{1FFF}\x{2070}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
 
@@ -61,14 +63,14 @@ def with_canonical(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with the canonical form of `text` in `out`: words in lower case, one space apart.
 
     The two letters whose lower case depends on more than themselves are replaced first.
-    Copyright lines are removed twice over, as adjacent ones share their line break. Each
-    step that is used more than once is a column of its own, so that it runs once a row.
+    Copyright lines are removed however many are adjacent. The SQL makes two passes of patterns
+    that take the breaks on both sides, which leaves the fourth of adjacent lines and some after
+    it, so the two differ there. Each step that is used more than once is a column of its own,
+    so that it runs once a row.
     """
     low = F.lower(F.replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
     held = F.col("_low")
-    stripped = held
-    for _ in range(2):
-        stripped = F.regexp_replace(F.regexp_replace(stripped, COPYRIGHT_LINE, "\n"), RIGHTS_LINE, "\n")
+    stripped = F.regexp_replace(held, NOTICE_LINES, "")
     # most texts have neither line: a search by bytes is far cheaper than two patterns over the whole text
     mentions = held.contains("copyright") | held.contains("©") | held.contains("(c)") | held.contains("all rights")
     words = F.concat(F.lit(" "), F.regexp_replace(F.when(mentions, stripped).otherwise(held), NOT_WORD, " "), F.lit(" "))

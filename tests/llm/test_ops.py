@@ -84,6 +84,15 @@ def test_licences(spark):
     assert licences.match_licences(awkward(spark)).count() == 10 and licences.match_licences(nothing(spark)).count() == 0
 
 
+def test_licences_under_many_copyright_lines(spark):
+    lines = ["Copyright (c) 2003 Holder {}", "All rights reserved.", "# (c) 1999 by {}", "copyright by {}"]
+    runs = [*range(1, 11), 5000]
+    rows = [(n, "".join(lines[i * k % 4].format(i) + "\n" for i in range(n)) + licences.KNOWN["MIT"]) for n in runs for k in (0, 1)]
+    rows += [(-n, licences.KNOWN["ISC"] + "\r\n" + "\r\n".join([lines[0]] * n)) for n in runs]
+    got = licences.match_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == len(rows) and all(r.license_id == ("MIT" if r.doc_id > 0 else "ISC") for r in got)
+
+
 # 3 — sharding
 
 
