@@ -1,7 +1,8 @@
 """Benchmark items found inside documents by SimHash of item-sized windows.
 
 For an item of L words every window of L words of every text is a candidate place. Three
-steps, none of which loses a window that is similar enough:
+steps, of which the first and the last lose no window that is similar enough, while the radius
+of 20 bits loses 1.6e-4 to 3.3e-4 of those at 0.8 (the binomial at a mean distance of 9.2 to 9.7):
 
 1. A window that reaches the similarity shares a known number of its shingles with the
    benchmark. Positions whose shingle is in the benchmark are marked in one vectorised pass;
