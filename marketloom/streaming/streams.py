@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 #: Days after which a month's late rows are no longer waited for.
 PATIENCE = "15 days"
+#: Rows of one file of a bucket: a buffer of so many is written even if its time has not come.
+FLUSH_ROWS = 10_000
 
 
 def stream_frames(spark: SparkSession, path: str, schema: str = "venue string, value string", form: str = "json", files: int = 100) -> DataFrame:
@@ -20,7 +22,7 @@ def stream_frames(spark: SparkSession, path: str, schema: str = "venue string, v
 
 def relay(frames: DataFrame, collector: str) -> DataFrame:
     """Frames verbatim, with who collected them and when."""
-    return frames.select("venue", "value", F.lit(collector).alias("collector"), F.current_timestamp().alias("collected_at"))
+    return frames.withColumns({"collector": F.lit(collector), "collected_at": F.current_timestamp()})
 
 
 def is_data(venue: Column, value: Column) -> Column:
@@ -59,70 +61,145 @@ def running_bars(ticks: DataFrame, width: str, late: str = "1 minute") -> DataFr
     return out.select("symbol", F.col("w.end").alias("time"), "open", "high", "low", "close", "volume", "trades")
 
 
+def _carried(spark: SparkSession, folder: str, number: int, schema) -> DataFrame:
+    """What batch `number` - 1 left in folder; nothing before the first."""
+    return spark.read.schema(schema).parquet(f"{folder}/{number - 1}") if number else spark.createDataFrame([], schema)
+
+
+def carried_bars(bars: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: str):
+    """Closed bars handed to a sink, each opening at the symbol's close before it, across batches too.
+
+    The last close of each symbol is a row of a table beside the checkpoint, one table a batch, so
+    that a batch that is run again reads what the one before it left.
+    """
+
+    def batch(frame: DataFrame, number: int) -> None:
+        folder, kept = f"{checkpoint}/closes", "symbol string, time timestamp, close double"
+        last = _carried(frame.sparkSession, folder, number, kept)
+        frame.write.mode("overwrite").parquet(f"{checkpoint}/bars/{number}")
+        frame = frame.sparkSession.read.schema(frame.schema).parquet(f"{checkpoint}/bars/{number}")
+        both = frame.select("symbol", "time", "close").unionByName(last)
+        both.groupBy("symbol").agg(F.max("time").alias("time"), F.max_by("close", "time").alias("close")).write.mode("overwrite").parquet(f"{folder}/{number}")
+        guests = last.withColumn("_guest", F.lit(True))
+        order = Window.partitionBy("symbol").orderBy("time")
+        opened = frame.unionByName(guests, allowMissingColumns=True).withColumn("open", F.coalesce(F.lag("close").over(order), F.col("open")))
+        sink(opened.filter("_guest IS NULL").select(*frame.columns), number)
+
+    return bars.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def dedup_exact(messages: DataFrame, late: str = PATIENCE) -> DataFrame:
     """Messages (source, content, time) without later ones of equal content, as far back as the watermark."""
     return messages.withWatermark("time", late).withColumn("content_hash", F.sha2("content", 256)).dropDuplicatesWithinWatermark(["source", "content_hash"])
 
 
-def dedup_clocked(messages: DataFrame, threshold_ms: int, keep_ms: int = 86_400_000) -> DataFrame:
-    """Messages (source, arrival, ts µs, content) less repeats that the source's clock is threshold_ms past. The state of a source is its
-    clock and the hashes seen in the last keep_ms of it."""
+def _in_order(rows: Iterator[pd.DataFrame], order: str) -> pd.DataFrame:
+    """A key's rows of one batch, of all the chunks that they come in, in order. A batch is bounded by what its source hands out."""
+    return pd.concat(list(rows), ignore_index=True).sort_values(order, kind="stable", ignore_index=True)
+
+
+def _fields(df: DataFrame, names: tuple[str, ...]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    return ", ".join(f"`{n}` {kinds[n]}" for n in names)
+
 
-    def run(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        clock, hashes, times = state.get if state.exists else (0, [], [])
-        seen = dict(zip(hashes, times))
-        for frame in frames:
-            keep = []
-            for ts, content in frame.sort_values("arrival")[["ts", "content_hash"]].itertuples(index=False):
-                clock = max(clock, ts)
-                keep.append(not (content in seen and clock - ts >= threshold_ms * 1000))
-                seen[content] = clock
-            yield frame.sort_values("arrival")[keep][["source", "arrival", "ts", "content"]]
-        seen = {h: t for h, t in seen.items() if t >= clock - keep_ms * 1000}
-        state.update((int(clock), list(seen), [int(t) for t in seen.values()]))
+def dedup_clocked(messages: DataFrame, threshold_ms: int, by: tuple[str, ...] = ("source", "table", "day"), late: str = PATIENCE) -> DataFrame:
+    """Messages (by, arrival, ts µs, content) less repeats that the clock of their key is threshold_ms past.
 
-    hashed = messages.withColumn("content_hash", F.sha2("content", 256))
-    return hashed.groupBy("source").applyInPandasWithState(run, "source string, arrival long, ts long, content string", "clock long, hashes array<string>, times array<long>", "append", GroupStateTimeout.NoTimeout)
+    All rows of a key in a batch are put in order of arrival, however they are cut into chunks and
+    files. Across batches arrivals must rise: a row at or below the newest arrival of an earlier
+    batch is kept and changes nothing, as a drop could not be undone. A key's state is its clock,
+    its newest arrival and the hashes of the contents seen; with the day in the key it is a day's.
+    It is forgotten once the stream's times are `late` past the key's clock, and so are rows older than that.
+    """
+
+    def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        clock, newest, hashes = state.get if state.exists else (-(2**62), -(2**62), [])
+        frame, seen, keep = _in_order(rows, "arrival"), set(hashes), []
+        for arrival, ts, content in frame[["arrival", "ts", "content_hash"]].itertuples(index=False):
+            if arrival <= newest:  # after what it came before: it cannot be judged
+                keep.append(True)
+                continue
+            clock = max(clock, ts)
+            keep.append(not (content in seen and clock - ts >= threshold_ms * 1000))
+            seen.add(content)
+        state.update((int(clock), int(max(newest, frame["arrival"].max())), list(seen)))
+        state.setTimeoutTimestamp(max(int(clock) // 1000, state.getCurrentWatermarkMs()) + 1)
+        yield frame[keep].drop(columns=["content_hash", "_time"])
+
+    columns = (*by, "arrival", "ts", "content")
+    hashed = messages.select(*columns).withColumns({"content_hash": F.sha2("content", 256), "_time": F.timestamp_micros("ts")}).withWatermark("_time", late)
+    return hashed.groupBy(*by).applyInPandasWithState(run, _fields(messages, columns), "clock long, arrival long, hashes array<string>", "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def table_state(rows: DataFrame, by: str, key: str, value: str) -> DataFrame:
-    """The state that a delta stream (by, action, key, value, seq) leaves, after each batch: one row for each key of a changed `by`.
+    """What each batch of a delta stream (by, action, key, value, seq) changes: by, key, value (null: gone) and the newest seq.
 
-    partial replaces all, insert sets, update patches what is there, delete removes.
+    partial replaces all, insert sets, update patches what is there, delete removes. All rows of a
+    table in a batch are put in order of seq; a row older than the newest of an earlier batch is
+    left out. The last row of each key is the state (see current_state).
     """
 
     def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        keys, values, last = state.get if state.exists else ([], [], -1)
-        held = dict(zip(keys, values))
-        for frame in frames:
-            for seq, action, k, v in frame.sort_values("seq")[["seq", "action", key, value]].itertuples(index=False):
-                if action == "partial" and seq != last:
-                    held, last = {}, seq  # rows of one partial share its seq
-                if action in ("partial", "insert") or (action == "update" and k in held):
-                    held[k] = v
-                elif action == "delete":
-                    held.pop(k, None)
-        state.update((list(held), [float(v) for v in held.values()], int(last)))
-        yield pd.DataFrame({by: [group[0]] * len(held), key: list(held), value: list(held.values())})
-
-    return rows.groupBy(by).applyInPandasWithState(run, f"{by} string, {key} string, {value} double", "keys array<string>, vals array<double>, last long", "update", GroupStateTimeout.NoTimeout)
+        keys, values, image, before = state.get if state.exists else ([], [], -1, -1)
+        held, touched = dict(zip(keys, values)), {}
+        frame = _in_order(frames, "seq")
+        for seq, action, k, v in frame[["seq", "action", key, value]].itertuples(index=False):
+            if seq < before:
+                continue
+            if action == "partial" and seq != image:  # rows of one partial share its seq
+                touched.update(dict.fromkeys(held))
+                held, image = {}, seq
+            if action in ("partial", "insert") or (action == "update" and k in held):
+                held[k] = touched[k] = float(v)
+            elif action == "delete":
+                if held.pop(k, None) is not None:
+                    touched[k] = None
+        touched = {k: held.get(k) for k in touched}
+        newest = int(max(before, frame["seq"].max()))
+        state.update((list(held), list(held.values()), int(image), newest))
+        yield pd.DataFrame({by: [group[0]] * len(touched), key: list(touched), value: pd.array(list(touched.values()), dtype="Float64"), "seq": [newest] * len(touched)})
+
+    return rows.select(by, "action", key, value, "seq").groupBy(by).applyInPandasWithState(
+        run, f"`{by}` string, `{key}` string, `{value}` double, seq long", "keys array<string>, vals array<double>, image long, seq long", "update", GroupStateTimeout.NoTimeout)
+
+
+def current_state(changes: DataFrame, by: str, key: str, value: str) -> DataFrame:
+    """The state that the changes of table_state leave."""
+    last = changes.groupBy(by, key).agg(F.max_by(F.struct(value), "seq").alias("_last"))
+    return last.select(by, key, F.col("_last")[value].alias(value)).filter(F.col(value).isNotNull())
 
 
 def tape(ticks: DataFrame, n: int, sink: Callable[[DataFrame, int], None], checkpoint: str):
-    """The n newest trades of each batch and the one before, handed to a sink."""
+    """The n newest trades of the stream so far, after each batch, handed to a sink. The tape is a table
+    of n rows beside the checkpoint, one a batch."""
 
     def batch(frame: DataFrame, number: int) -> None:
-        sink(frame.orderBy(F.desc("ts"), F.desc("sequence")).limit(n), number)
+        folder = f"{checkpoint}/tape"
+        newest = lambda df: df.orderBy(F.desc("ts"), F.desc("sequence")).limit(n)
+        newest(newest(frame).unionByName(_carried(frame.sparkSession, folder, number, frame.schema))).write.mode("overwrite").parquet(f"{folder}/{number}")
+        sink(frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{number}"), number)
 
     return ticks.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_to_buckets(rows: DataFrame, root: str, checkpoint: str, seconds: int | None = 10):
-    """Message rows appended by table and day, at least every `seconds`; None takes what is there and ends."""
-    writer = rows.writeStream.format("parquet").partitionBy("table", "day").option("path", root).option("checkpointLocation", checkpoint)
+def stream_to_buckets(rows: DataFrame, root: str, checkpoint: str, seconds: int | None = 10, flush_rows: int = FLUSH_ROWS):
+    """Message rows appended by table and day, at least every `seconds` and at most flush_rows to a file; None takes what is
+    there and ends. seal_bucket makes a day's pieces one."""
+    writer = rows.writeStream.format("parquet").partitionBy("table", "day").option("path", root).option("checkpointLocation", checkpoint).option("maxRecordsPerFile", flush_rows)
     return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
+def seal_bucket(pieces: DataFrame, sealed: str, order: list[str], records_per_file: int = 50_000_000) -> None:
+    """Closed days of buckets (table, day), each rewritten as ordered pieces without the small files of its appends. Days are
+    dealt over tasks; a sealed day is written again whole if it is sealed again."""
+    (pieces.repartition("table", "day").sortWithinPartitions("table", "day", *order).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", records_per_file).partitionBy("table", "day").parquet(sealed))
+
+
 def route_by_event_day(messages: DataFrame) -> DataFrame:
     """messages (table, received, data) with the day of their newest row, that of receipt where they have none."""
     at = F.coalesce(F.array_max(F.transform("data", lambda x: x["timestamp"])), F.col("received"))

@@ -1,7 +1,10 @@
 """Streams with file sources, run to their end."""
 
 import json
+import os
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from marketloom.operators import market, messages
@@ -9,11 +12,15 @@ from marketloom.sources import scans, sinks
 from marketloom.streaming import streams
 
 
+NOW = 1_704_067_200_000_000  # 2024-01-01
+
+
 def feed(tmp_path, name, batches):
     folder = tmp_path / name
     folder.mkdir()
     for k, batch in enumerate(batches):
         (folder / f"{k}.json").write_text("\n".join(json.dumps(r) for r in batch))
+        os.utime(folder / f"{k}.json", (1_700_000_000 + k, 1_700_000_000 + k))  # the source takes files by age, and ties in any order
     return str(folder)
 
 
@@ -44,13 +51,45 @@ def test_running_bars(spark, tmp_path):
     assert out["2024-01-01 00:05:00"].open == 1.0 and out["2024-01-01 00:05:00"].trades == 5 and out["2024-01-01 00:00:00"].trades == 1
 
 
-def test_clocked_repeats(spark, tmp_path):
-    rows = [{"source": "s", "arrival": i, "ts": t * 1000, "content": c} for i, (t, c) in enumerate([(0, "a"), (200, "b"), (0, "a"), (900, "c"), (0, "a"), (200, "b")])]
-    log = streams.stream_frames(spark, feed(tmp_path, "m", [rows[:3], rows[3:]]), "source string, arrival long, ts long, content string", files=1)
-    assert sorted(r.arrival for r in drain(streams.dedup_clocked(log, 500), tmp_path, "dedup")) == [0, 1, 2, 3]
+def rounds(spark, tmp_path, name, schema, parts, build, mode="append"):
+    """A stream over files of shuffled rows that come in several rounds, each read by a run of its own."""
+    folder, out = tmp_path / f"{name}-in", []
+    folder.mkdir()
+    for k, part in enumerate(parts):
+        rnd = random.Random(k)
+        rnd.shuffle(part)
+        for f in range(3):
+            (folder / f"{rnd.random()}-{k}-{f}.json").write_text("\n".join(json.dumps(r) for r in part[f::3]))
+        stream = build(streams.stream_frames(spark, str(folder), schema, files=1000))
+        stream.writeStream.outputMode(mode).option("checkpointLocation", str(tmp_path / f"{name}-c")).trigger(availableNow=True).foreachBatch(lambda f, n: out.extend(f.collect())).start().awaitTermination()
+    return out
+
+
+@pytest.fixture(params=[7, 10_000])
+def chunks(spark, request):
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_clocked_repeats(spark, tmp_path, chunks):
+    rnd = random.Random(5)
+    rows = [{"source": f"s{i % 2}", "arrival": i, "ts": NOW + (i * 100 - rnd.choice([0, 0, 900])) * 1000, "content": rnd.choice("abcdefghij") * (i // 150 + 1)} for i in range(600)]
+    rows += [{"source": "t", "arrival": i, "ts": NOW + t * 1000, "content": c} for i, (t, c) in enumerate([(0, "a"), (200, "b"), (0, "a"), (900, "c"), (0, "a"), (200, "b")])]
+    parts = [[r for r in rows if lo <= r["arrival"] < hi] for lo, hi in ((0, 3), (3, 250), (250, 10_000))]
     frame = spark.createDataFrame([(r["source"], "t", 0, r["arrival"], r["ts"], r["content"]) for r in rows], "source string, table string, day long, arrival long, ts long, content string")
-    assert sorted(r.arrival for r in messages.flag_repeats(frame, 500).filter("NOT dropped").collect()) == [0, 1, 2, 3]
-    assert sorted(r.arrival for r in messages.flag_repeats(frame, 0).filter("NOT dropped").collect()) == [0, 1, 3]
+    want = sorted((r.source, r.arrival) for r in messages.flag_repeats(frame, 500).filter("NOT dropped").collect())
+    got = rounds(spark, tmp_path, "log", "source string, arrival long, ts long, content string", parts, lambda s: streams.dedup_clocked(s, 500, by=("source",)))
+    assert sorted((r.source, r.arrival) for r in got) == want and len(want) < len(rows)
+    assert [a for s, a in want if s == "t"] == [0, 1, 2, 3]
+    assert sorted(r.arrival for r in messages.flag_repeats(frame.filter("source = 't'"), 0).filter("NOT dropped").collect()) == [0, 1, 3]
+
+
+def test_clocked_repeats_keep_what_comes_too_late(spark, tmp_path):
+    row = lambda a, c: {"source": "s", "arrival": a, "ts": NOW + a, "content": c}
+    got = rounds(spark, tmp_path, "late", "source string, arrival long, ts long, content string", [[row(5, "x")], [row(4, "x"), row(6, "x")]], lambda s: streams.dedup_clocked(s, 0, by=("source",)))
+    assert sorted(r.arrival for r in got) == [4, 5]
 
 
 def test_exact_repeats(spark, tmp_path):
@@ -62,24 +101,56 @@ def test_exact_repeats(spark, tmp_path):
 DELTAS = [("T", "partial", "k1", 1.0, 1), ("T", "partial", "k2", 2.0, 1), ("T", "update", "k3", 9.0, 2), ("T", "update", "k1", 5.0, 3), ("T", "insert", "k4", 4.0, 4), ("T", "delete", "k2", 0.0, 5), ("T", "partial", "k9", 7.0, 6), ("T", "insert", "k8", 8.0, 7)]
 
 
-def test_table_state_stream_and_batch(spark, tmp_path):
-    rows = [{"name": n, "action": a, "key": k, "value": v, "seq": s} for n, a, k, v, s in DELTAS]
-    log = streams.stream_frames(spark, feed(tmp_path, "d", [rows[:6], rows[6:]]), "name string, action string, key string, value double, seq long", files=1)
-    seen = drain(streams.table_state(log, "name", "key", "value"), tmp_path, "state", "update")
-    assert sorted((r.key, r.value) for r in seen) == [("k1", 5.0), ("k4", 4.0), ("k8", 8.0), ("k9", 7.0)]
-    frame = spark.createDataFrame(DELTAS, "name string, action string, key string, value double, seq long")
-    assert sorted((r.key, r.value) for r in market.table_state(frame.filter("seq <= 5"), "name", ["key"], ["value"]).collect()) == [("k1", 5.0), ("k4", 4.0)]
-    assert sorted((r.key, r.value) for r in market.table_state(frame, "name", ["key"], ["value"]).collect()) == [("k8", 8.0), ("k9", 7.0)]
+def replay(rows):
+    held, image = {}, None
+    for n, a, k, v, s in sorted(rows, key=lambda r: r[4]):
+        if a == "partial" and s != image:
+            held, image = {x: y for x, y in held.items() if x[0] != n}, s
+        if a in ("partial", "insert") or (a == "update" and (n, k) in held):
+            held[n, k] = v
+        elif a == "delete":
+            held.pop((n, k), None)
+    return held
+
+
+def test_table_state_stream_and_batch(spark, tmp_path, chunks):
+    rnd = random.Random(2)
+    rows = DELTAS + [("U", rnd.choice(["insert", "update", "update", "delete"] + ["partial"] * (s % 40 == 0)), f"k{rnd.randrange(30)}", float(s), s) for s in range(400)]
+    parts = [[{"name": n, "action": a, "key": k, "value": v, "seq": s} for n, a, k, v, s in rows if lo <= s < hi] for lo, hi in ((0, 5), (5, 120), (120, 999))]
+    seen = rounds(spark, tmp_path, "deltas", "name string, action string, key string, value double, seq long", parts, lambda s: streams.table_state(s, "name", "key", "value"), "update")
+    state = streams.current_state(spark.createDataFrame(seen, "name string, key string, value double, seq long"), "name", "key", "value")
+    frame = spark.createDataFrame(rows, "name string, action string, key string, value double, seq long")
+    for got in (state, market.table_state(frame, "name", ["key"], ["value"])):
+        assert {(r.name, r.key): r.value for r in got.collect()} == replay(rows)
+    early = market.table_state(frame.filter("name = 'T' AND seq <= 5"), "name", ["key"], ["value"])
+    assert sorted((r.key, r.value) for r in early.collect()) == [("k1", 5.0), ("k4", 4.0)]
 
 
 def test_tape_and_buckets(spark, tmp_path):
     rows = [{"symbol": "A", "ts": i, "sequence": i, "table": "trade", "day": "2024-01-01"} for i in range(9)]
-    ticks = streams.stream_frames(spark, feed(tmp_path, "b", [rows]), "symbol string, ts long, sequence long, table string, day string")
-    held = []
-    streams.tape(ticks, 3, lambda f, _: held.append([r.ts for r in f.collect()]), str(tmp_path / "ct")).awaitTermination()
-    assert held == [[8, 7, 6]]
-    streams.stream_to_buckets(ticks, str(tmp_path / "out"), str(tmp_path / "cb"), None).awaitTermination()
-    assert spark.read.parquet(str(tmp_path / "out")).filter("table = 'trade' AND day = '2024-01-01'").count() == 9
+    kinds, folder, held = "symbol string, ts long, sequence long, table string, day string", tmp_path / "b", []
+    folder.mkdir()
+    for k, part in enumerate((rows[3:8], rows[:3], rows[8:])):
+        (folder / f"{9 - k}.json").write_text("\n".join(json.dumps(r) for r in part))
+        ticks = streams.stream_frames(spark, str(folder), kinds)
+        streams.tape(ticks, 4, lambda f, _: held.append(sorted((r.ts for r in f.collect()), reverse=True)), str(tmp_path / "ct")).awaitTermination()
+    assert held == [[7, 6, 5, 4], [7, 6, 5, 4], [8, 7, 6, 5]]
+    streams.stream_to_buckets(ticks, str(tmp_path / "out"), str(tmp_path / "cb"), None, flush_rows=2).awaitTermination()
+    day = spark.read.parquet(str(tmp_path / "out")).filter("table = 'trade' AND day = '2024-01-01'")
+    assert day.count() == 9 and max(r["count"] for r in day.groupBy(F.input_file_name()).count().collect()) == 2
+    streams.seal_bucket(day, str(tmp_path / "sealed"), ["sequence"])
+    assert [r.ts for r in spark.read.parquet(str(tmp_path / "sealed")).collect()] == list(range(9))
+
+
+def test_bars_open_at_the_close_before(spark, tmp_path):
+    folder, got = tmp_path / "t2", []
+    folder.mkdir()
+    tick = lambda m, p: {"symbol": "A", "time": f"2024-01-01T{m // 60:02}:{m % 60:02}:30.000Z", "price": p, "size": 1.0, "sequence": m}
+    for k, part in enumerate(([tick(0, 1.0), tick(1, 2.0), tick(9, 5.0)], [tick(20, 7.0)], [tick(60, 9.0)])):
+        (folder / f"{k}.json").write_text("\n".join(json.dumps(r) for r in part))
+        ticks = streams.stream_frames(spark, str(folder), "symbol string, time timestamp, price double, size double, sequence long")
+        streams.carried_bars(streams.running_bars(ticks, "5 minutes"), lambda f, _: got.extend(f.collect()), str(tmp_path / "cc")).awaitTermination()
+    assert [(str(r.time)[11:16], r.open, r.close) for r in sorted(got, key=lambda r: r.time)] == [("00:05", 1.0, 2.0), ("00:10", 2.0, 5.0), ("00:25", 5.0, 7.0)]
 
 
 def test_vault_round_trip(spark, tmp_path):
