@@ -60,7 +60,13 @@ def edge_of(date: Column, grain: Column) -> tuple[Column, Column]:
 
 # How months and the suffixes of other intervals are written, with their seconds.
 _MONTHLY = r"^(\d*)\s*(?:mo|mon|month|months)$"
-_SECONDS = {"s sec secs second seconds": 1, " m min mins minute minutes": 60, "h hr hrs hour hours": 3600, "d day days": 86_400, "w wk week weeks": 604_800}
+_SECONDS = {
+    "s": 1, "sec": 1, "secs": 1, "second": 1, "seconds": 1,
+    "": 60, "m": 60, "min": 60, "mins": 60, "minute": 60, "minutes": 60,
+    "h": 3600, "hr": 3600, "hrs": 3600, "hour": 3600, "hours": 3600,
+    "d": 86_400, "day": 86_400, "days": 86_400,
+    "w": 604_800, "wk": 604_800, "week": 604_800, "weeks": 604_800,
+}
 
 
 def canonical_interval(token: Column) -> Column:
@@ -68,7 +74,7 @@ def canonical_interval(token: Column) -> Column:
     raw = F.lower(F.trim(token))
     months = F.when(F.regexp_extract(raw, _MONTHLY, 1) == "", 1).otherwise(F.regexp_extract(raw, _MONTHLY, 1).try_cast("bigint"))
     count, suffix = F.regexp_extract(raw, r"^(\d+)\s*([a-z]*)$", 1).try_cast("bigint"), F.regexp_extract(raw, r"^(\d+)\s*([a-z]*)$", 2)
-    unit = F.create_map(*[F.lit(x) for words, size in _SECONDS.items() for word in words.split(" ") for x in (word, size)])
+    unit = F.create_map(*[F.lit(x) for pair in _SECONDS.items() for x in pair])
     s = count * unit[suffix]
     text = lambda size, name: F.concat((s / size).cast("bigint"), F.lit(name))
     out = F.when(s < 60, text(1, "s"))
@@ -133,15 +139,30 @@ def path_levels(table: Column, variant: Column) -> Column:
         F.lit("depth"), F.when(books, depth).otherwise(none), F.lit("aggregated"), F.when(table == "trades", aggregated).otherwise(none)), lambda k, v: v.isNotNull())
 
 
-def series_prefix(symbol: Column) -> Column:
-    """The folder of a symbol: its first letter, or 0 if it is none."""
+def series_prefix(venue: Column, market: Column, dataset: Column, variant: Column, symbol: Column) -> Column:
+    """venue/market/dataset[,variant]/letter/symbol/: the letter is the symbol's first, _ if that is none; @ alone stands for
+    a null symbol, and an empty one or one with a slash has no prefix."""
     first = F.upper(F.substring(symbol, 1, 1))
-    return F.when(first.rlike("[A-Z]"), first).otherwise("0")
+    letter = F.when(first.rlike("[A-Z]"), first).otherwise("_")
+    folder = F.when(symbol.isNull(), "@/").when((symbol != "") & ~symbol.contains("/"), F.concat(letter, F.lit("/"), symbol, F.lit("/")))
+    return F.concat(venue, F.lit("/"), market, F.lit("/"), F.concat_ws(",", dataset, F.nullif(variant, F.lit(""))), F.lit("/"), folder)
+
+
+#: {TRANSFORM:kind:default}, whose default may hold one slot.
+_TRANSFORM = r"\{TRANSFORM:([^:}]+):((?:[^{}]|\{[^{}]*\})*)\}"
+
 
+def transform_kind(pattern: Column) -> Column:
+    """The kind of a pattern's transform, null if it has none."""
+    return F.nullif(F.regexp_extract(pattern, _TRANSFORM, 1), F.lit(""))
 
-def fill_pattern(pattern: Column, stamp: Column, symbol: Column, part: Column) -> Column:
-    """A URL pattern with its slots filled for one period."""
-    out = pattern
+
+def fill_pattern(pattern: Column, stamp: Column, symbol: Column, part: Column, transformed: Column | None = None) -> Column:
+    """A URL pattern with its slots filled for one period. `transformed` is what its transforms stand for, their default where
+    it is null; they are resolved before the slots."""
+    out = F.regexp_replace(pattern, _TRANSFORM, "$2")
+    if transformed is not None:
+        out = F.coalesce(F.replace(pattern, F.regexp_extract(pattern, _TRANSFORM, 0), transformed), out)
     for slot, value in (("{SYMBOL}", symbol), ("{PART}", F.coalesce(part, F.lit(""))), ("{YYYY}", F.substring(stamp, 1, 4)), ("{MM}", F.substring(stamp, 5, 2)),
                         ("{DD}", F.substring(stamp, 7, 2)), ("{HH}", F.substring(stamp, 9, 2)), ("{MI}", F.substring(stamp, 11, 2))):
         out = F.replace(out, F.lit(slot), value)
@@ -152,6 +173,16 @@ def base_table(name: Column) -> Column:
     return F.split_part(name, F.lit("."), F.lit(1))
 
 
-def revision(columns: list[Column]) -> Column:
-    """Twelve hex digits over the texts that a stored partition depends on."""
-    return F.substring(F.sha2(F.concat_ws("\n", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns]), 256), 1, 12)
+def in_pool(name: Column, pool: Column) -> Column:
+    """Whether a row of a pool belongs to a table: one with a dotted name has the rows of the pool after its dot only."""
+    wanted = F.nullif(F.regexp_extract(name, r"\.(.*)$", 1), F.lit(""))
+    return wanted.isNull() | F.coalesce(F.lower(pool) == F.lower(wanted), F.lit(False))
+
+
+def revision(versions: Column, fields: Column, partition: Column, version: Column, edges: Column, missing: Column) -> Column:
+    """Twelve hex digits over all that a stored partition depends on: the versions of its series, the table's fields, its own
+    version, its neighbours (edges: structs of id, side, version) and the sides it is without."""
+    apart = F.when(F.size(edges) + F.size(missing) > 0, F.array(F.lit("apart"))).otherwise(F.array().cast("array<string>"))
+    lines = F.concat(versions, F.array(fields, partition, version), apart, F.flatten(F.transform(edges, lambda e: F.array(e["id"], e["side"], e["version"]))),
+                     F.transform(F.array_sort(missing), lambda side: F.concat(side, F.lit(" missing"))))
+    return F.substring(F.sha2(F.array_join(lines, "\n"), 256), 1, 12)

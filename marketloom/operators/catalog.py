@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.functions.names import fill_pattern, transform_kind
+from marketloom.functions.times import at_grain, last_closed, next_period, stamp_of, stamp_to_time
+
 PARTITION = ["venue", "market", "dataset", "variant", "grain", "bundle", "month"]
 
 
@@ -139,13 +142,27 @@ def list_page(keys: DataFrame, prefix: str, after: str, max_keys: int) -> DataFr
     return page.withColumn("_n", n).withColumn("more", F.max("_n").over(Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)) > max_keys).filter(F.col("_n") <= max_keys).drop("_n")
 
 
-def listing_rows(series: DataFrame, files: DataFrame, members: DataFrame | None = None, pending: bool = False) -> DataFrame:
-    """Files of series in their range, in listing order; through a lens by slice and month, which makes the range join an equi-join."""
+def listing_rows(series: DataFrame, files: DataFrame, members: DataFrame | None = None, partition: tuple[str, str] | None = None, pending: bool = False, low: str = "", high: str | None = None,
+                 after: tuple[str, str, str] | None = None, limit: int | None = None) -> DataFrame:
+    """prefix, pattern and all of the confirmed files of series (series, slice, prefix, pattern), in the order of prefix, date, path.
+
+    members: only the (slice, month) of a lens; partition: only one (slice, month); pending: only files that are owed; low and
+    high: prefixes from low to below high; after: what follows (prefix, date, path); limit: so many at most, which
+    keeps so many a task. The date range of a partition is its month, so the range join is an equi-join.
+    """
     f = files.filter("existence = 'confirmed'" + (" AND downloaded_at IS NULL" if pending else "")).withColumn("month", F.substring("date", 1, 6))
-    rows = f.join(series.select("series", "slice", "symbol"), "series")
+    s = series.select("series", "slice", "prefix", "pattern").filter((F.col("prefix") >= low) & (F.lit(True) if high is None else F.col("prefix") < high))
+    if partition is not None:
+        s, f = s.filter(F.col("slice") == partition[0]), f.filter(F.col("month") == partition[1])
+    if members is not None:
+        s = touched_slices(s, members)
+    rows = f.join(s, "series")
     if members is not None:
         rows = rows.join(members.select("slice", "month").distinct(), ["slice", "month"], "left_semi")
-    return rows.orderBy("symbol", "date", "path")
+    if after is not None:
+        rows = rows.filter(F.struct("prefix", "date", "path") > F.struct(*[F.lit(x) for x in after]))
+    out = rows.orderBy("prefix", "date", "path")
+    return out if limit is None else out.limit(limit)
 
 
 def touched_slices(slices: DataFrame, members: DataFrame) -> DataFrame:
@@ -183,23 +200,44 @@ def neighbours(partitions: DataFrame, by: int) -> DataFrame:
 def resolve_transform(asks: DataFrame, transforms: DataFrame) -> DataFrame:
     """asks (ask, venue, dataset, kind, date) with value: the transform whose dates hold, one that names the dataset before one for all."""
     a, t = asks.alias("a"), transforms.alias("t")
-    width = F.length("a.date")
+    # dates of different grains are compared as far as both go
+    cut = lambda x, y: F.substring(x, F.lit(1), F.least(F.length(x), F.length(y)))
+    date, first, last = F.col("a.date"), F.col("t.from"), F.col("t.to")
     fits = ((F.col("a.venue") == F.col("t.venue")) & (F.col("a.kind") == F.col("t.kind")) & ((F.col("t.dataset") == "") | (F.col("t.dataset") == F.col("a.dataset")))
-            & (F.col("t.from").isNull() | (F.col("a.date") >= F.substring(F.col("t.from"), F.lit(1), width))) & (F.col("t.to").isNull() | (F.col("a.date") <= F.substring(F.col("t.to"), F.lit(1), width))))
+            & (first.isNull() | (cut(date, first) >= cut(first, date))) & (last.isNull() | (cut(date, last) <= cut(last, date))))
     joined = a.join(t, fits, "left").select("a.*", F.col("t.value").alias("_v"), F.col("t.dataset").alias("_d"))
     return joined.groupBy(*[c for c in asks.columns]).agg(F.max_by("_v", F.struct(F.col("_d") != "", "_v")).alias("value"))
 
 
-def expected_keys(series: DataFrame, now: str) -> DataFrame:
-    """series, date for every day from the later of tip + 1 and first to the earlier of the last closed day less the lag and retirement.
+def expected_periods(series: DataFrame, now: str) -> DataFrame:
+    """series' rows with date, for every period of their grain from the later of tip + 1 and first to the earlier of the last closed
+    period less the lag (in periods) and retirement. Stamps may be of any grain and are taken at the series'.
 
-    Days of the measured-empty span (empty_from, empty_to) are left out.
+    Periods of the measured-empty span (empty_from, empty_to) are left out.
     """
-    day = lambda c: F.to_date(c, "yyyyMMdd")
-    start = F.greatest(F.date_add(day("tip"), 1), day("first"))
-    stop = F.least(F.date_sub(F.to_date(F.lit(now)), F.lit(1) + F.coalesce("lag", F.lit(0))), day("retired"))
-    rows = series.select("series", F.explode(F.when(start <= stop, F.sequence(start, stop))).alias("_d"), day("empty_from").alias("_a"), day("empty_to").alias("_b"))
-    return rows.filter("_a IS NULL OR _d < _a OR _d > _b").select("series", F.date_format("_d", "yyyyMMdd").alias("date"))
+    grain = F.col("grain")
+    at = lambda c: F.when(F.col(c).isNotNull(), at_grain(F.col(c), grain))
+    closed = next_period(last_closed(grain, F.lit(now).cast("timestamp")), grain)
+    step = F.expr("make_interval(0, CAST(grain = 'monthly' AS INT), 0, CAST(grain = 'daily' AS INT), CAST(grain = 'hourly' AS INT), CAST(grain = 'minutely' AS INT), 0)")
+    start = stamp_to_time(F.greatest(next_period(at("tip"), grain), at("first")))
+    last = stamp_to_time(closed) - step * (F.lit(1) + F.coalesce("lag", F.lit(0)))
+    stop = F.least(last, stamp_to_time(at("retired")))
+    bounded = series.withColumns({"_start": start, "_stop": stop, "_step": step})
+    rows = bounded.withColumn("_t", F.explode(F.when(F.col("_start") <= F.col("_stop"), F.sequence("_start", "_stop", "_step")))).withColumn("date", stamp_of(F.col("_t"), grain))
+    return rows.filter(F.col("empty_from").isNull() | (F.col("date") < at("empty_from")) | (F.col("date") > at("empty_to"))).drop("_start", "_stop", "_step", "_t")
+
+
+def expected_keys(series: DataFrame, now: str, transforms: DataFrame | None = None) -> DataFrame:
+    """series, date, key of every expected period (see expected_periods); series has pattern, symbol, venue and dataset besides. Of a
+    pattern's transform the rows of `transforms` that hold at the date (see resolve_transform) say what it stands for."""
+    periods = expected_periods(series, now)
+    if transforms is None:
+        value = F.lit(None).cast("string")
+    else:
+        asks = periods.select("series", "venue", "dataset", transform_kind(F.col("pattern")).alias("kind"), "date").filter("kind IS NOT NULL")
+        held = resolve_transform(asks, transforms).select("series", "date", F.col("value").alias("_value"))
+        periods, value = periods.join(held, ["series", "date"], "left"), F.col("_value")
+    return periods.select("series", "date", fill_pattern(F.col("pattern"), F.col("date"), F.col("symbol"), F.lit(""), value).alias("key"))
 
 
 def months_between(df: DataFrame, by: list[str]) -> DataFrame:

@@ -63,14 +63,14 @@ def span_holds(date: Column, start: Column, end: Column) -> Column:
 def match_rules(partitions: DataFrame, rules: DataFrame) -> DataFrame:
     """partition x rule where the rule covers it. rules (rule, effect, venue or *, markets array, datasets array of
     (dataset, variant), only_grain, only_bundle, prefer_grain, prefer_bundle, from, to; null leaves a choice
-    open) are written by hand, so there are few, and they are broadcast if their size is known to be small."""
+    open) are written by hand, a few dozen at most, so they are broadcast and each partition is held against each rule."""
     p, r = partitions.alias("p"), rules.alias("r")
     kinds = F.exists("r.datasets", lambda d: (d["dataset"] == F.col("p.dataset")) & (d["variant"].isNull() | (d["variant"] == F.col("p.variant"))))
     covers = (
         ((F.col("r.venue") == "*") | (F.col("r.venue") == F.col("p.venue"))) & (F.col("r.markets").isNull() | F.array_contains("r.markets", F.col("p.market")))
         & (F.col("r.datasets").isNull() | kinds) & (F.col("r.only_grain").isNull() | (F.col("r.only_grain") == F.col("p.grain")))
         & (F.col("r.only_bundle").isNull() | (F.col("r.only_bundle") == F.col("p.bundle"))) & span_holds(F.col("p.month"), F.col("r.from"), F.col("r.to")))
-    return p.join(r, covers).select("p.*", "r.rule", "r.effect", "r.prefer_bundle", "r.prefer_grain")
+    return p.join(F.broadcast(r), covers).select("p.*", "r.rule", "r.effect", "r.prefer_bundle", "r.prefer_grain")
 
 
 def prefer(matched: DataFrame, form: str, choice: str, by: list[str] = SIBLING) -> DataFrame:
@@ -106,16 +106,19 @@ def lens_changes(kept: DataFrame, held: DataFrame) -> DataFrame:
 def lens_slices(slices: DataFrame, rules: DataFrame) -> DataFrame:
     """slice, from, to: the months that a draft lens leaves each slice (venue, market, dataset, variant, grain, bundle)."""
     any_month = slices.withColumn("month", F.lit(None).cast("string"))
-    p, r = any_month.alias("p"), rules.alias("r")
     open_rules = rules.withColumns({"_from": F.col("from"), "_to": F.col("to"), "from": F.lit(None).cast("string"), "to": F.lit(None).cast("string")})
     hits = match_rules(any_month, open_rules).select("slice", "rule", "effect").join(rules.select("rule", "from", "to"), "rule")
     plus = span_union(hits.filter("effect = 'include'").select("slice", "from", "to"), ["slice"])
     return span_minus(plus, hits.filter("effect = 'exclude'").select("slice", "from", "to"), ["slice"])
 
 
-def through_lens(series: DataFrame, spans: DataFrame) -> DataFrame:
-    """series (slice, series, first, last) cut to the months of the lens: one row for each span it meets."""
+def through_lens(series: DataFrame, spans: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """series (slice, series, first, last) cut to the months of the lens: one row for each span it meets. By their bounds alone, or
+    with files (slice, series, date) exactly: to the first and last file in the span, and left out if there is none."""
     joined = series.join(spans, "slice")
+    if files is not None:
+        held = files.select("slice", "series", "date").join(spans, "slice").filter(span_holds(F.col("date"), F.col("from"), F.col("to")))
+        return held.groupBy("slice", "series", "from", "to").agg(F.min("date").alias("first"), F.max("date").alias("last")).select("slice", "series", "first", "last")
     first = F.greatest(F.col("first"), F.coalesce("from", F.lit(FIRST)))
     last = F.least(F.col("last"), F.concat(F.coalesce("to", F.lit(LAST)), F.lit("99")))
     return joined.select("slice", "series", first.alias("first"), last.alias("last")).filter(F.substring("first", 1, 6) <= F.substring("last", 1, 6))

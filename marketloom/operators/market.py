@@ -46,7 +46,9 @@ def audit_bars(published: DataFrame, summed: DataFrame, fields=("open", "high",
     """symbol, ts, verdict (equal, differs, unpublished, unexplained) and the fields that differ."""
     p, s = published.alias("p"), summed.alias("s")
     joined = p.join(s, (F.col("p.symbol") == F.col("s.symbol")) & (F.col("p.ts") == F.col("s.ts")), "full_outer")
-    wrong = F.array_compact(F.array(*[F.when(~F.col(f"p.{f}").eqNullSafe(F.col(f"s.{f}")), f) for f in fields]))
+    # sums of doubles depend on their order in the last bits
+    near = lambda a, b: F.coalesce(F.abs(a - b) <= 1e-9 * F.greatest(F.abs(a), F.abs(b)), F.lit(False)) | a.eqNullSafe(b)
+    wrong = F.array_compact(F.array(*[F.when(~near(F.col(f"p.{f}"), F.col(f"s.{f}")), f) for f in fields]))
     verdict = F.when(F.col("p.symbol").isNull(), "unpublished").when(F.col("s.symbol").isNull(), "unexplained").when(F.size(wrong) > 0, "differs").otherwise("equal")
     return joined.select(F.coalesce("p.symbol", "s.symbol").alias("symbol"), F.coalesce("p.ts", "s.ts").alias("ts"), verdict.alias("verdict"), F.array_join(wrong, ",").alias("fields"))
 

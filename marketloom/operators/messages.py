@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 # Message tables, their natural keys and casts.
 NATURAL_KEYS = {"orderBookL2": ["symbol", "id", "side"], "liquidation": ["orderID"], "instrument": ["symbol"], "position": ["account", "symbol"], "order": ["orderID"]}
-_CASTS = {"long": "bigint", "float": "double", "integer": "bigint", "boolean": "boolean"}
+_CASTS = {"long": "bigint", "float": "double", "integer": "bigint"}
 
 
 def message_ids(rows: DataFrame, file: str = "file", line: str = "line") -> DataFrame:
@@ -33,11 +33,15 @@ def skip_messages(rows: DataFrame, n: int, file: str = "file", line: str = "line
 
 
 def cast_row(rows: DataFrame, kinds: dict[str, str]) -> DataFrame:
-    """Cells by kind: numbers, booleans, `timestamp` (a D between date and time read as T), `text`, `keep` (empty stays empty)."""
+    """Cells by kind: numbers, booleans, `json`, `timestamp` (a D between date and time read as T), `text`, `keep` (empty stays empty)."""
     out = {}
     for name, kind in kinds.items():
         cell = F.nullif(F.col(name), F.lit(""))
-        if kind in _CASTS:
+        if kind == "boolean":
+            out[name] = F.when(cell.isNotNull(), cell == "true")
+        elif kind == "json":  # canonical where it parses, as it is where it does not
+            out[name] = F.coalesce(F.to_json(F.try_parse_json(cell)), cell)
+        elif kind in _CASTS:
             out[name] = cell.try_cast(_CASTS[kind])
         elif kind == "timestamp":
             out[name] = F.regexp_replace(cell, r"^(\d{4}-\d{2}-\d{2})D", "$1T")
@@ -69,10 +73,15 @@ def flag_repeats(messages: DataFrame, threshold_ms: int, inclusive: bool = True)
     return clocked.withColumn("repeat", seen).withColumn("dropped", F.col("repeat") & late).drop("_hash")
 
 
-def dedup_report(messages: DataFrame, wide_ms: int = 500) -> DataFrame:
-    """source, day (null: all days), original, dropped_t0, dropped_wide, effect, percent: what each threshold drops."""
-    strict, wide = flag_repeats(messages, 0), flag_repeats(messages, wide_ms)
-    both = strict.select("source", "day", F.col("dropped").cast("long").alias("t0"), F.lit(0).cast("long").alias("tw"), F.lit(1).cast("long").alias("n")).unionByName(
-        wide.select("source", "day", F.lit(0).cast("long").alias("t0"), F.col("dropped").cast("long").alias("tw"), F.lit(0).cast("long").alias("n")))
-    out = both.rollup("source", "day").agg(F.sum("n").alias("original"), F.sum("t0").alias("dropped_t0"), F.sum("tw").alias("dropped_wide"))
-    return out.withColumn("effect", F.col("dropped_t0") - F.col("dropped_wide")).withColumn("percent", F.round(100.0 * F.col("dropped_t0") / F.col("original"), 6))
+def dedup_report(messages: DataFrame, wide_ms: int = 500, factor: float = 2.0) -> DataFrame:
+    """source, day (null: all days), original, kept, dropped_t0, dropped_wide, effect, percent, outlier: what each threshold drops.
+
+    Contents are hashed before they are sorted, and both thresholds are read off one pass. An outlier's percent is
+    over `factor` times the floor, the lowest percent of the sources on that day.
+    """
+    narrow = messages.withColumn("content", F.sha2("content", 256))
+    flagged = flag_repeats(narrow, 0).withColumn("wide", F.col("repeat") & (F.col("clock") - F.col("ts") >= wide_ms * 1000))
+    out = flagged.rollup("source", "day").agg(F.count("*").alias("original"), F.count_if("dropped").alias("dropped_t0"), F.count_if("wide").alias("dropped_wide"))
+    out = out.withColumns({"kept": F.col("original") - F.col("dropped_wide"), "effect": F.col("dropped_t0") - F.col("dropped_wide"), "percent": F.round(100.0 * F.col("dropped_t0") / F.col("original"), 6)})
+    floor = F.min(F.when(F.col("source").isNotNull(), F.col("percent"))).over(Window.partitionBy("day"))  # a row for each source and day
+    return out.withColumn("outlier", F.col("percent") > factor * floor)

@@ -6,15 +6,16 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketloom.functions.names import revision
+
 
 def ledger_current(log: DataFrame, by: str = "partition") -> DataFrame:
     """The last line of each partition of an append-only log. `updating` means a write that never ended: the partition counts as
     absent; `outdated` marks the line before it."""
-    w = Window.partitionBy(by).orderBy(F.desc("line"))
-    real = F.col("state") == "stocked"
-    ranked = log.withColumn("_n", F.row_number().over(w)).withColumn("_last_state", F.first("state").over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    kept = ranked.filter(real).withColumn("_m", F.row_number().over(w)).filter("_m = 1 AND _last_state <> 'updating'")
-    return kept.withColumn("outdated", F.col("_last_state") == "outdated").drop("_n", "_m", "_last_state")
+    others = [c for c in log.columns if c != by]
+    stocked = F.when(F.col("state") == "stocked", F.col("line"))
+    last = log.groupBy(by).agg(F.max_by("state", "line").alias("_last_state"), F.max_by(F.struct(*others), stocked).alias("_row"), F.max(stocked).alias("_at"))
+    return last.filter("_at IS NOT NULL AND _last_state <> 'updating'").select(by, *[F.col("_row")[c].alias(c) for c in others], (F.col("_last_state") == "outdated").alias("outdated"))
 
 
 def repair_plan(log: DataFrame, by: str = "partition") -> DataFrame:
@@ -26,8 +27,7 @@ def repair_plan(log: DataFrame, by: str = "partition") -> DataFrame:
 
 def matches_catalog(stored: DataFrame, partitions: DataFrame, by: list[str]) -> DataFrame:
     """partitions with verdict: complete, incomplete (files or bytes differ) or absent on storage."""
-    held = stored.groupBy(*by).agg(F.count("*").alias("held_files"), F.sum("size").alias("held_bytes"))
-    joined = partitions.join(held, by, "left")
+    joined = partitions.join(partition_files(stored, by), by, "left")
     same = (F.col("held_files") == F.col("files")) & (F.col("held_bytes") == F.col("bytes"))
     return joined.withColumn("verdict", F.when(F.col("held_files").isNull(), "absent").when(same, "complete").otherwise("incomplete"))
 
@@ -47,13 +47,43 @@ def plan_diff(ready: DataFrame, held: DataFrame, by: list[str]) -> DataFrame:
     return joined.withColumn("plan", F.when(F.col("_held").isNull(), "new").when(F.col("_held") != F.col("version"), "changed").otherwise("unchanged")).drop("_held")
 
 
-def decide(partitions: DataFrame, ledger: DataFrame, stored: DataFrame, by: list[str]) -> DataFrame:
-    """partitions (version, files, bytes) with status: missing (not stocked, its files are there), waiting (its files are not all there),
-    outdated (stocked at another version) or current."""
-    there = matches_catalog(stored, partitions, by)
-    joined = there.join(ledger.select(*by, F.col("version").alias("_stocked")), by, "left")
-    ready = F.col("verdict") == "complete"
-    return joined.withColumn("status", F.when(F.col("_stocked").eqNullSafe(F.col("version")), "current").when(~ready, "waiting").when(F.col("_stocked").isNull(), "missing").otherwise("outdated")).drop("_stocked")
+def decide(renderings: DataFrame, ledger: DataFrame) -> DataFrame:
+    """key, status, partition, sides: what is to be done about each month, and from which rendering.
+
+    renderings: key, partition, rank (lowest preferred), files, version, versions, fields, on_disk (its files are there as
+    the catalog has them), edges (its neighbours: structs of id, side, version, here) and missing (sides without a neighbour).
+    ledger: key, partition, version, revision, lacking (the sides it was stocked without); at most one row a key.
+
+    current    stocked at a revision that a rendering has now
+    waiting    no rendering has files
+    complete   nothing has changed but that a neighbour came: only the sides are to be made, and its files are here
+    stock      not stocked; restock: stocked at another revision; both from the first rendering that is on disk with its neighbours
+    pending    a neighbour came, but its files are not here
+    outdated   stocked at another revision, and no rendering is on disk
+    missing    not stocked, and no rendering is on disk
+    """
+    held = ledger.select("key", F.col("partition").alias("_p"), F.col("version").alias("_v"), F.col("revision").alias("_r"), F.coalesce("lacking", F.array().cast("array<string>")).alias("_lacking"))
+    joined = renderings.filter("files > 0").join(held, "key", "left")
+    came = F.filter("edges", lambda e: F.array_contains("_lacking", e["side"]))
+    others = F.filter("edges", lambda e: ~F.array_contains("_lacking", e["side"]))
+    made = lambda edges, missing: revision(F.col("versions"), F.col("fields"), F.col("partition"), F.col("version"), edges, missing)
+    same = (F.col("_p") == F.col("partition")) & (F.col("_v") == F.col("version"))
+    arrived = F.coalesce(same & (F.size(came) > 0) & (made(others, F.col("_lacking")) == F.col("_r")), F.lit(False))
+    here = lambda edges: F.forall(edges, lambda e: e["here"])
+    able = F.when(arrived, here(came)).otherwise(F.col("on_disk") & here(F.col("edges")))
+    marked = joined.select(
+        "key", "partition", "rank", F.coalesce(made(F.col("edges"), F.col("missing")) == F.col("_r"), F.lit(False)).alias("_current"), arrived.alias("_arrived"), able.alias("_able"),
+        F.col("_r").isNotNull().alias("_stocked"), F.array_sort(F.transform(came, lambda e: e["side"])).alias("_sides"))
+    first = F.when(F.col("_able"), F.col("rank"))
+    by_key = marked.groupBy("key").agg(
+        F.bool_or("_current").alias("_current"), F.bool_or("_stocked").alias("_stocked"), F.bool_or("_arrived").alias("_any"),
+        F.min_by(F.struct("partition", "_arrived", "_sides"), first).alias("_pick"), F.min(first).alias("_found"))
+    all_keys = renderings.select("key").distinct().join(by_key, "key", "left")
+    picked = F.col("_found").isNotNull()
+    status = (F.when(F.col("_current").isNull(), "waiting").when(F.col("_current"), "current").when(picked & F.col("_pick._arrived"), "complete").when(picked & F.col("_stocked"), "restock")
+              .when(picked, "stock").when(F.col("_stocked") & F.col("_any"), "pending").when(F.col("_stocked"), "outdated").otherwise("missing"))
+    act = status.isin("complete", "stock", "restock")
+    return all_keys.select("key", status.alias("status"), F.when(act, F.col("_pick.partition")).alias("partition"), F.when(status == "complete", F.col("_pick._sides")).alias("sides"))
 
 
 def validate_ledger(ledger: DataFrame, files: DataFrame, backups: DataFrame) -> DataFrame:
@@ -64,17 +94,29 @@ def validate_ledger(ledger: DataFrame, files: DataFrame, backups: DataFrame) ->
     return found.filter("finding IS NOT NULL").join(backups, ["partition", "revision"], "left_anti").select("partition", "finding")
 
 
-def record_findings(stored: DataFrame, records: DataFrame) -> DataFrame:
-    """partition, revision, finding: finished but unrecorded, recorded with another number of files, recorded but not stored."""
-    held = stored.groupBy("partition", "revision").agg(F.count("*").alias("_files"))
-    both = held.join(records.select("partition", "revision", "count"), ["partition", "revision"], "full_outer")
-    out = both.withColumn("finding", F.when(F.col("count").isNull(), "unrecorded").when(F.col("_files").isNull(), "not stored").when(F.col("_files") != F.col("count"), "another number of files"))
-    return out.filter("finding IS NOT NULL").select("partition", "revision", "finding")
+def record_findings(stored: DataFrame, records: DataFrame, ledger: DataFrame, told: DataFrame) -> DataFrame:
+    """partition, revision, finding over what cold storage holds and what is written down of it.
+
+    stored: a row for each file there (partition, revision). records: revisions written down as whole (partition, revision,
+    count). ledger: the revisions that are stocked now. told: those that the vault knows to have a copy.
+    not stored and another number of files: written down as whole and not so; unrecorded: every file of the ledger's
+    revision is there (as many as its `count`) and it is not written down; untold: whole at the ledger's revision, and the vault was not told.
+    """
+    both = ["partition", "revision"]
+    held = stored.groupBy(*both).agg(F.count("*").alias("_files"))
+    wrong = records.join(held, both, "left").withColumn("finding", F.when(F.col("_files").isNull(), "not stored").when(F.col("_files") != F.col("count"), "another number of files"))
+    whole = ledger.join(held, both).filter("_files = count").join(records.select(*both), both, "left_anti").withColumn("finding", F.lit("unrecorded"))
+    untold = ledger.select(*both).join(records.select(*both), both, "left_semi").join(told.select(*both), both, "left_anti").withColumn("finding", F.lit("untold"))
+    return wrong.filter("finding IS NOT NULL").select(*both, "finding").unionByName(whole.select(*both, "finding")).unionByName(untold.select(*both, "finding"))
 
 
-def needed(wanted: DataFrame, here: DataFrame, elsewhere: DataFrame, by: list[str]) -> DataFrame:
-    """What is waited for that another place has."""
-    return wanted.join(here.select(*by).distinct(), by, "left_anti").join(elsewhere.select(*by).distinct(), by, "left_semi")
+def needed(wanted: DataFrame, here: DataFrame, catalog: DataFrame, elsewhere: DataFrame, by: list[str]) -> DataFrame:
+    """by, rendering: what is waited for (by, rendering it was recorded with) and not here, and the rendering of it that is stored
+    elsewhere at the version the catalog has: the recorded one before others, then the first by name; null if none is."""
+    absent = wanted.join(here.select(*by).distinct(), by, "left_anti")
+    held = elsewhere.select(*by, F.col("rendering").alias("_other"), "version").join(catalog.select(*by, F.col("rendering").alias("_other"), "version"), [*by, "_other", "version"], "left_semi")
+    order = F.when(F.col("_other").isNotNull(), F.struct(F.col("_other") != F.col("rendering"), F.col("_other")))
+    return absent.join(held.select(*by, "_other"), by, "left").groupBy(*by).agg(F.min_by("_other", order).alias("rendering"))
 
 
 def coverage(parts: DataFrame) -> DataFrame:
@@ -108,6 +150,23 @@ def coverage_gaps(held: DataFrame, by: list[str]) -> DataFrame:
     return missing_periods(months_between(span, by), held, [*by, "month"])
 
 
+def coverage_findings(catalog: DataFrame, store: DataFrame, by: list[str]) -> DataFrame:
+    """finding, by, month, files: months missing between the first and the last (gap), files stored that the catalog has not
+    (orphans), files of another size (sizes), and months catalogued and not stored, the newest excused (lag). Both have by, month, path, size and etag."""
+    key = [*by, "month"]
+    gaps = coverage_gaps(store, by).select(F.lit("gap").alias("finding"), *key, F.lit(0).cast("long").alias("files"))
+    lag = stage_lag(catalog, store, by).select(F.lit("lag").alias("finding"), *key, F.lit(0).cast("long").alias("files"))
+    orphans = store.join(catalog.select("path"), "path", "left_anti").groupBy(*key).agg(F.count("*").alias("files")).select(F.lit("orphans").alias("finding"), *key, "files")
+    both = store.join(catalog.select("path", F.col("size").alias("_size")), "path").filter("size <> _size")
+    sizes = both.groupBy(*key).agg(F.count("*").alias("files")).select(F.lit("sizes").alias("finding"), *key, "files")
+    return gaps.unionByName(lag).unionByName(orphans).unionByName(sizes)
+
+
+def partition_files(files: DataFrame, by: list[str]) -> DataFrame:
+    """by, held_files, held_bytes of the files on storage."""
+    return files.groupBy(*by).agg(F.count("*").alias("held_files"), F.sum("size").alias("held_bytes"))
+
+
 def stage_lag(ahead: DataFrame, behind: DataFrame, by: list[str], spills: Column | None = None) -> DataFrame:
     """Months that one stage has and the next has not; the newest is excused where it still waits for its neighbour."""
     newest = ahead.groupBy(*by).agg(F.max("month").alias("_newest"))

@@ -40,21 +40,37 @@ def assign_series(files: DataFrame, rules: list[Series] = SERIES) -> DataFrame:
     return found.filter(clear).drop("_file", "_high")
 
 
-def scan(spark: SparkSession, series: Series, paths: list[str]) -> DataFrame:
-    """Raw rows of a series' files, as strings (or declared fields), with their file's name."""
+def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool = False, contents: DataFrame | None = None) -> DataFrame:
+    """Raw rows of a series' files, as strings (or declared fields), with their file's name. archived: the files are zip or
+    tar archives, whose members are read line by line; tables that may be workbooks are told by their first bytes.
+    contents (path, content): the files themselves, where they are at hand."""
+    if contents is not None or archived or series.format == "sheet":
+        whole = scans.drop_empty(contents if contents is not None else scans.binary_files(spark, paths))
+        return scans.scan_sheets(whole, _wanted(series)) if series.format == "sheet" else scan_lines_of(series, scans.scan_archive(whole))
     if series.format == "ndjson":
         return scans.scan_ndjson(spark, paths, series.fields)
     if series.format == "lines":
         return scans.scan_lines(spark, paths)
     if series.format == "words":
         return scans.scan_words(spark, paths, list(series.columns))
-    if series.format == "sheet":
-        return scans.scan_sheets(spark, paths, _wanted(series))
     if series.header:
         return scans.assert_width(scans.scan_csv_named(spark, paths, _wanted(series)))
     return scans.assert_width(scans.scan_csv_positional(spark, paths, list(series.columns)))
 
 
+def scan_lines_of(series: Series, lines: DataFrame) -> DataFrame:
+    """Raw rows of a series from the lines of archives' members (archive, member, number, line)."""
+    if series.format == "ndjson":
+        return lines.select(F.from_json("line", series.fields).alias("_r"), F.col("archive").alias(scans.FILE)).select("_r.*", scans.FILE)
+    if series.format == "lines":
+        return lines.select("line", F.col("archive").alias(scans.FILE))
+    if series.format == "words":
+        return scans.words_of(lines.withColumnRenamed("archive", scans.FILE), list(series.columns))
+    if series.header:
+        return scans.assert_width(scans.named_cells_of_lines(lines, _wanted(series)))
+    return scans.assert_width(scans.cells_of_lines(lines, list(series.columns)))
+
+
 def _wanted(series: Series) -> list[str]:
     """The raw columns that a headed series names in its expressions."""
     import re
@@ -114,23 +130,26 @@ def with_margin(rows: DataFrame, venue: str, market: str) -> DataFrame:
 def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, rules: list[Series] = SERIES) -> dict[str, DataFrame]:
     """Canonical rows of a venue's files by table, with symbol and path levels.
 
-    files: path (readable) and key (the canonical name) of each file; one job a series, over all its
-    files at once. Spilling series are clipped to the month that the file's name says.
+    files: path (readable) and key (the canonical name) of each file, with their content if it is at hand; one job a
+    series, over all its files at once. Spilling series are clipped to the month that the file's name says.
     """
-    listed = parse_keys(files.withColumn("key", F.col("key"))).filter((F.col("venue") == venue) & (F.col("dataset") == dataset))
+    contents = files.select("path", "content") if "content" in files.columns else None
+    listed = parse_keys(files.select("path", "key")).filter((F.col("venue") == venue) & (F.col("dataset") == dataset))
     assigned = assign_series(listed, rules).filter("series IS NOT NULL")
-    groups: dict[tuple, list] = {}
-    for row in assigned.select("series", "path", "symbol", "month", "variant").toLocalIterator():  # one short row a file
-        groups.setdefault((row["series"], row["variant"]), []).append(row)
+    groups: dict[tuple, list[str]] = {}
+    archived = F.col("container").isin("zip", "tar.gz")
+    for row in assigned.select("series", "path", "variant", archived.alias("archived")).toLocalIterator():  # a path for each file of the months asked for, as readers take them
+        groups.setdefault((row["series"], row["variant"], row["archived"]), []).append(row["path"])
+    plain = lambda path: F.regexp_replace(path, r"^(file:)?/*", "/")
+    owners = assigned.select(plain(F.col("path")).alias(scans.FILE), F.col("symbol").alias("owner"), F.col("month").alias("own_month"))
     tables: dict[str, list[DataFrame]] = {}
-    for (number, variant), rows in sorted(groups.items()):
+    for (number, variant, packed), paths in sorted(groups.items()):
         series = rules[number]
-        owners = spark.createDataFrame([(r["path"], r["symbol"], r["month"]) for r in rows], "path string, owner string, own_month string")
-        raw = scan(spark, series, [r["path"] for r in rows])
+        own_contents = None if contents is None else contents.join(assigned.filter((F.col("series") == number) & (F.col("variant") == variant) & (archived == packed)).select("path"), "path", "left_semi")
+        raw = scan(spark, series, paths, packed, own_contents)
         own = (F.expr(series.instrument) if series.instrument else F.lit(None).cast("string")).alias("_own")
         made = project(series, raw, [own, F.col(scans.FILE)])
-        keyed = owners.select(F.regexp_replace("path", r"^(file:)?/*", "/").alias("_path"), "owner", "own_month")
-        made = made.withColumn("_path", F.regexp_replace(scans.FILE, r"^(file:)?/*", "/")).join(keyed, "_path").withColumn("symbol", F.coalesce("_own", "owner"))
+        made = tag_owner(made.withColumn(scans.FILE, plain(F.col(scans.FILE))), owners)
         if series.spill:
             made = clip_month(made, F.col("own_month"))
         made = assert_plausible(made)

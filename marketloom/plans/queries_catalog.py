@@ -25,7 +25,7 @@ def partition_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def venue_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     venues = views.catalog_files(spark, sf_dir).select("venue").distinct().unionByName(table(spark, sf_dir, "region").select(F.col("r_name").alias("venue")))
-    return catalog.venue_totals(venues, views.partitions(spark, sf_dir).filter("files > 3"))
+    return catalog.venue_totals(venues, views.partitions(spark, sf_dir))
 
 
 def counter_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,9 +68,9 @@ def partition_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def settled_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions touched at the newest ship date of their files, against orders of 1998 as runs, open ones without completion."""
+    """Partitions touched at the newest ship date of their files, against orders as runs, the open ones of the last months without completion."""
     touched = views.catalog_files(spark, sf_dir).groupBy(*BY).agg(F.max("downloaded_at").cast("timestamp").alias("updated_at"))
-    runs = table(spark, sf_dir, "orders").filter("o_orderdate >= '1998-06-01'").select(F.col("o_orderdate").cast("timestamp").alias("started_at"), F.when(F.col("o_orderstatus") != "O", F.col("o_orderdate").cast("timestamp")).alias("completed_at"))
+    runs = table(spark, sf_dir, "orders").select(F.col("o_orderdate").cast("timestamp").alias("started_at"), F.when((F.col("o_orderstatus") != "O") | (F.col("o_orderdate") < "1998-06-01"), F.col("o_orderdate").cast("timestamp")).alias("completed_at"))
     return catalog.settled(touched, runs, "1998-08-20 00:00:00", "1998-07-01 00:00:00").select(*BY)
 
 
@@ -162,19 +162,19 @@ def listing_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return catalog.expected_keys(_publishing(spark, sf_dir), "1998-12-01")
+    return catalog.expected_periods(_publishing(spark, sf_dir), "1998-12-01").select("series", "date")
 
 
 def missing_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = views.catalog_files(spark, sf_dir).select(F.col("series"), "date")
-    return catalog.missing_periods(catalog.expected_keys(_publishing(spark, sf_dir), "1998-12-01"), held, ["series", "date"])
+    return catalog.missing_periods(catalog.expected_periods(_publishing(spark, sf_dir), "1998-12-01").select("series", "date"), held, ["series", "date"])
 
 
 def _publishing(spark, sf_dir):
     s = table(spark, sf_dir, "supplier")
     day = lambda c: F.date_format(F.date_add(F.to_date(F.lit("1998-01-01")), c.cast("int")), "yyyyMMdd")
     k = F.col("s_suppkey")
-    return s.select(k.alias("series"), day(k % 90).alias("tip"), day(F.lit(40)).alias("first"), F.when(k % 7 == 0, day(F.lit(200))).alias("retired"), (k % 5).cast("int").alias("lag"),
+    return s.select(k.alias("series"), F.lit("daily").alias("grain"), day(k % 90).alias("tip"), day(F.lit(40)).alias("first"), F.when(k % 7 == 0, day(F.lit(200))).alias("retired"), (k % 5).cast("int").alias("lag"),
                     F.when(k % 4 == 0, day(F.lit(60))).alias("empty_from"), F.when(k % 4 == 0, day(F.lit(99))).alias("empty_to"))
 
 
@@ -297,12 +297,21 @@ _VERSION = "lower(lpad(hex(CAST(sum(CAST(('0x' || substr(sha256(etag), 1, 16)) A
 
 
 def stocking_decided(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions with their versions against a ledger that lacks one venue and has older versions of another, and a store that lacks some files."""
-    f = views.catalog_files(spark, sf_dir).filter("existence = 'confirmed'")
-    parts = catalog.partition_version(f, BY).join(f.groupBy(*BY).agg(F.count("*").alias("files"), F.sum("size").alias("bytes")), BY)
-    ledger = parts.filter("venue <> 'A'").select(*BY, F.when(F.col("venue") == "N", "old").otherwise(F.col("version")).alias("version"))
-    out = reconcile.decide(parts, ledger, f.filter("series % 97 <> 5"), BY)
-    return out.groupBy("venue", "status").agg(F.count("*").alias("partitions"), F.sum("files").alias("files"))
+    """Months of two renderings each against a ledger: the number of a month's files says what has become of it since."""
+    p = views.partitions(spark, sf_dir)
+    k, texts = F.col("files") % 8, lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+    edge = F.array(F.struct(F.lit("next").alias("id"), F.lit("post").alias("side"), F.lit("e1").alias("version"), (k != 4).alias("here")))
+    none = F.array().cast("array<struct<id:string,side:string,version:string,here:boolean>>")
+    lone = k.isin(2, 5)
+    both = p.select(F.concat_ws("/", *BY).alias("key"), "files", k.alias("k"), F.explode(F.array(F.lit(0), F.lit(1))).alias("rank")).withColumns({
+        "partition": F.concat_ws("#", "key", "rank"), "version": F.when(F.col("rank") == 0, "v0").otherwise("v1"), "versions": texts("s1", "s2"), "fields": F.lit("ts,price"),
+        "edges": F.when(lone, none).otherwise(edge), "missing": F.when(lone, texts("post")).otherwise(texts()), "on_disk": F.when(F.col("rank") == 0, F.col("k").isin(1, 2)).otherwise(F.col("k").isin(1, 5, 6))})
+    made = lambda version, edges, missing: names.revision(F.col("versions"), F.col("fields"), F.col("partition"), version, edges, missing)
+    first = both.filter("rank = 0 AND k NOT IN (2, 6)")
+    now, alone = made(F.col("version"), F.col("edges"), F.col("missing")), made(F.col("version"), none, texts("post"))
+    ledger = first.select("key", "partition", F.when(F.col("k").isin(5, 7), "old").otherwise(F.col("version")).alias("version"), F.when(F.col("k") == 0, now).when(F.col("k").isin(3, 4), alone).otherwise("other").alias("revision"),
+                          F.when(F.col("k").isin(3, 4), texts("post")).otherwise(texts()).alias("lacking"))
+    return reconcile.decide(both, ledger).select("key", "status", F.substring_index("partition", "#", -1).alias("rendering"), F.array_join("sides", ",").alias("sides"))
 
 
 def ledger_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,17 +326,21 @@ def batches_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spill_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = views.partitions(spark, sf_dir).filter("files > 6").select("venue", F.lit("spot").alias("market"), "dataset", F.lit("").alias("variant"), "month", F.concat_ws("/", *BY).alias("partition"))
+    p = views.partitions(spark, sf_dir).select("venue", F.lit("spot").alias("market"), "dataset", F.lit("").alias("variant"), "month", F.concat_ws("/", *BY).alias("partition"))
     return reconcile.spill_reach(p, "both")
 
 
 def sides_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks of a week with those of the days around it as side rows."""
+    """Each week's ticks with those of the two days on either side of its edges as side rows, some of which it has itself; a symbol's
+    week is taken for its month."""
     from marketloom.streaming.streams import accept_late
 
     t = views.ticks(spark, sf_dir)
     day = F.expr("ts div 86400000000 - 19723")
-    return accept_late(t.filter(day.between(7, 13) & (F.col("sequence") % 3 != 0)), t.filter(day.between(5, 8)), t.filter(day.between(12, 15))).select("symbol", "ts", "sequence")
+    of = lambda rows, shift: rows.withColumn("symbol", F.concat_ws("/", "symbol", F.floor(day / 7) + shift))
+    edge = lambda *days: t.filter((day % 7).isin(*days))
+    pre, post = of(edge(5, 6), 1).unionByName(of(edge(0), 0)), of(edge(0, 1), -1).unionByName(of(edge(6), 0))
+    return accept_late(of(t, 0), pre, post).select("symbol", "ts", "sequence")
 
 
 def names_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -407,7 +420,7 @@ SELECT k AS p_partkey, prefix || '202402/v|spot|trades|' || sym || '|20240203' |
     "selection": f"WITH {_RENDER} SELECT partition, files FROM rend WHERE market = 'spot' AND dataset = '2-HIGH' AND month BETWEEN '199501' AND '199606'",
     "partition_counters": f"WITH {views.PARTITIONS} SELECT * FROM partitions",
     "partition_versions": f"WITH {views.CATALOG_FILES} SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS version FROM catalog_files GROUP BY {_B}",
-    "venue_totals": f"""WITH {views.PARTITIONS}, v AS (SELECT DISTINCT venue FROM catalog_files UNION ALL SELECT r_name FROM region), p AS (SELECT * FROM partitions WHERE files > 3)
+    "venue_totals": f"""WITH {views.PARTITIONS}, v AS (SELECT DISTINCT venue FROM catalog_files UNION ALL SELECT r_name FROM region), p AS (SELECT * FROM partitions)
 SELECT venue, min(month) FILTER (files > 0) AS first, max(month) FILTER (files > 0) AS last, coalesce(sum(files), 0)::BIGINT AS files, coalesce(sum(bytes), 0)::BIGINT AS bytes, coalesce(sum(pending), 0)::BIGINT AS pending, coalesce(sum(withdrawn), 0)::BIGINT AS withdrawn FROM v LEFT JOIN p USING (venue) GROUP BY venue""",
     "counter_deltas": f"""WITH {views.CATALOG_FILES}, e AS (SELECT concat_ws('/', {_B}) AS partition, -1 AS sign, existence, size, downloaded_at FROM catalog_files WHERE series % 2 = 0
  UNION ALL SELECT concat_ws('/', {_B}), 1, CASE WHEN series % 5 = 0 THEN 'absent' ELSE existence END, size, downloaded_at FROM catalog_files),
@@ -420,7 +433,7 @@ SELECT * FROM d WHERE files <> 0 OR bytes <> 0 OR pending <> 0 OR withdrawn <> 0
     "series_counts": f"WITH {_BOUNDED} SELECT host, count(*) AS series, count(first) AS with_files FROM bounded GROUP BY host",
     "series_bounds": f"WITH {views.CATALOG_FILES} SELECT venue, series, min(date) AS first, max(date) AS last FROM catalog_files WHERE existence <> 'absent' GROUP BY ALL",
     "partition_months": f"WITH {views.PARTITIONS} SELECT venue, dataset, count(*)::INT AS months, min(month) AS oldest, string_agg(month || ':' || files, ',' ORDER BY month) AS listing FROM partitions GROUP BY ALL",
-    "settled_partitions": f"""WITH {views.CATALOG_FILES}, t AS (SELECT {_B}, max(downloaded_at) AS u FROM catalog_files GROUP BY {_B}), e AS (SELECT least(TIMESTAMP '1998-07-01', coalesce(min(o_orderdate), TIMESTAMP '1998-07-01')) AS edge FROM orders WHERE o_orderdate >= DATE '1998-06-01' AND o_orderstatus = 'O')
+    "settled_partitions": f"""WITH {views.CATALOG_FILES}, t AS (SELECT {_B}, max(downloaded_at) AS u FROM catalog_files GROUP BY {_B}), e AS (SELECT least(TIMESTAMP '1998-07-01', coalesce(min(o_orderdate), TIMESTAMP '1998-07-01')) AS edge FROM orders WHERE o_orderstatus = 'O' AND o_orderdate >= DATE '1998-06-01')
 SELECT {_B} FROM t, e WHERE month < '199808' AND u < edge""",
     "renderings_preferred": f"""WITH {_RENDER}, n AS (SELECT *, row_number() OVER (PARTITION BY venue, market, dataset, variant, month ORDER BY bundle <> 'instrument', CASE grain WHEN 'monthly' THEN 0 WHEN 'daily' THEN 1 WHEN 'hourly' THEN 2 ELSE 3 END) AS n FROM rend)
 SELECT venue, market, dataset, variant, month, grain, bundle, files FROM n WHERE n = 1""",
@@ -466,14 +479,15 @@ SELECT lst.partition, CASE WHEN prev = 'stocked' AND m = 'sides' THEN 'undo side
 SELECT verdict, count(*) AS files, min(path) AS lowest, max(path) AS highest FROM v GROUP BY verdict""",
     "plans_compared": f"""WITH {views.CATALOG_FILES}, r AS (SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS version FROM catalog_files GROUP BY {_B}), h AS (SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS old FROM catalog_files WHERE series % 50 <> 9 AND venue <> 'R' GROUP BY {_B})
 SELECT venue, CASE WHEN old IS NULL THEN 'new' WHEN old <> version THEN 'changed' ELSE 'unchanged' END AS plan, count(*) AS partitions, min(version) AS lowest FROM r LEFT JOIN h USING ({_B}) GROUP BY ALL""",
-    "stocking_decided": f"""WITH {views.CATALOG_FILES}, p AS (SELECT {_B}, count(*) AS files, count(*) FILTER (series % 97 <> 5) AS held FROM catalog_files WHERE existence = 'confirmed' GROUP BY {_B})
-SELECT venue, CASE WHEN venue NOT IN ('A', 'N') THEN 'current' WHEN held < files THEN 'waiting' WHEN venue = 'A' THEN 'missing' ELSE 'outdated' END AS status, count(*) AS partitions, sum(files)::BIGINT AS files FROM p GROUP BY ALL""",
+    "stocking_decided": f"""WITH {views.PARTITIONS}, d AS (SELECT concat_ws('/', {_B}) AS key, files, CASE WHEN files = 0 THEN 'waiting' ELSE CASE files % 8 WHEN 0 THEN 'current' WHEN 1 THEN 'restock' WHEN 2 THEN 'stock' WHEN 3 THEN 'complete' WHEN 4 THEN 'pending' WHEN 5 THEN 'restock' WHEN 6 THEN 'stock' ELSE 'outdated' END END AS status FROM partitions)
+SELECT key, status, CASE WHEN status IN ('restock', 'stock', 'complete') THEN CASE WHEN files % 8 IN (5, 6) THEN '1' ELSE '0' END END AS rendering, CASE WHEN status = 'complete' THEN 'post' END AS sides FROM d""",
     "ledger_validated": f"""WITH {views.CATALOG_FILES}, l AS (SELECT concat_ws('/', {_B}) AS partition, any_value(venue) AS venue, count(*) AS n, count(*) FILTER (series % 40 <> 7) AS held, count(*) FILTER (series % 40 = 8) AS grown FROM catalog_files GROUP BY 1)
 SELECT partition, CASE WHEN held = 0 THEN 'gone' WHEN held <> n THEN 'wrong count' ELSE 'wrong bytes' END AS finding FROM l WHERE venue <> 'R' AND (held <> n OR grown > 0)""",
-    "spill_neighbours": f"""WITH {views.PARTITIONS}, p AS (SELECT *, concat_ws('/', {_B}) AS partition, CAST(substr(month, 1, 4) AS BIGINT) * 12 + CAST(substr(month, 5, 2) AS BIGINT) AS m FROM partitions WHERE files > 6)
+    "spill_neighbours": f"""WITH {views.PARTITIONS}, p AS (SELECT *, concat_ws('/', {_B}) AS partition, CAST(substr(month, 1, 4) AS BIGINT) * 12 + CAST(substr(month, 5, 2) AS BIGINT) AS m FROM partitions)
 SELECT a.partition, b.partition AS neighbour, side FROM (SELECT *, 'first' AS side, m + 1 AS o FROM p UNION ALL SELECT *, 'last', m - 1 FROM p) a LEFT JOIN p b ON a.venue = b.venue AND a.dataset = b.dataset AND b.m = a.o""",
-    "sides_accepted": f"""WITH {views.TICKS}, d AS (SELECT *, ts // 86400000000 - 19723 AS day FROM ticks), own AS (SELECT * FROM d WHERE day BETWEEN 7 AND 13 AND sequence % 3 <> 0), r AS (SELECT symbol, min(ts) AS f, max(ts) AS l FROM own GROUP BY symbol)
-SELECT symbol, ts, sequence FROM own UNION ALL SELECT symbol, ts, sequence FROM d JOIN r USING (symbol) WHERE day BETWEEN 5 AND 8 AND ts < f UNION ALL SELECT symbol, ts, sequence FROM d JOIN r USING (symbol) WHERE day BETWEEN 12 AND 15 AND ts > l""",
+    "sides_accepted": f"""WITH {views.TICKS}, d AS (SELECT *, ts // 86400000000 - 19723 AS day FROM ticks), own AS (SELECT symbol || '/' || day // 7 AS symbol, ts, sequence FROM d), r AS (SELECT symbol, min(ts) AS f, max(ts) AS l FROM own GROUP BY symbol)
+SELECT symbol, ts, sequence FROM own UNION ALL SELECT r.symbol, ts, sequence FROM d JOIN r ON r.symbol = d.symbol || '/' || (day // 7 + 1) WHERE day % 7 IN (5, 6) AND ts < f
+UNION ALL SELECT r.symbol, ts, sequence FROM d JOIN r ON r.symbol = d.symbol || '/' || (day // 7 - 1) WHERE day % 7 IN (0, 1) AND ts > l""",
     "names_parsed": """WITH k AS (SELECT p_partkey AS k, p_partkey % 6 NOT IN (4, 5) AS ok, CASE p_partkey % 4 WHEN 0 THEN '202402' WHEN 1 THEN '20240229' WHEN 2 THEN '2024022907' ELSE '202402290715' END AS d FROM part)
 SELECT k AS p_partkey, CASE WHEN ok THEN 'okx' END AS venue, CASE WHEN ok THEN CASE WHEN k % 2 = 0 THEN 'spot' ELSE 'perp' END END AS market, CASE WHEN ok THEN CASE WHEN k % 3 = 0 THEN 'klines' ELSE 'trades' END END AS dataset,
  CASE WHEN ok THEN CASE WHEN k % 3 = 0 THEN '1m' ELSE '' END END AS variant, CASE WHEN ok THEN CASE WHEN k % 5 = 0 THEN 'market' ELSE 'instrument' END END AS bundle, CASE WHEN ok THEN CASE WHEN k % 5 = 0 THEN '@' ELSE 'BTC-USD-' || k END END AS symbol,

@@ -1,4 +1,4 @@
-"""Queries that write the given tables in venues' forms or as streams, and read them back through the scans."""
+"""Queries that write the given tables in venues' forms and read them back through the scans."""
 
 from __future__ import annotations
 
@@ -6,10 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.plans import normalise, views
-from marketloom.schema import TABLES
 from marketloom.session import scratch, table
-from marketloom.sources import scans, sinks
-from marketloom.streaming import streams
+from marketloom.sources import scans
 
 
 def csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,18 +51,6 @@ def word_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scans.scan_words(spark, path, ["p_partkey", "p_brand", "p_size", "none"]).select(F.col("p_partkey").cast("bigint").alias("p_partkey"), "p_brand", F.col("p_size").cast("int").alias("p_size"), F.col("_width").alias("width"))
 
 
-def vault_month(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks written as trades by symbol and month, and two symbols of one market read back."""
-    t = views.ticks(spark, sf_dir)
-    made = {"tradeId": F.col("sequence").cast("string"), "price": F.col("price"), "size": F.col("size"), "side": F.col("side")}
-    columns = [F.col("ts") if n == "ts" else made.get(n, F.lit(None)).cast(k).alias(n) for n, k in TABLES["trades"]]
-    market = F.when(F.substring("symbol", 2, 10).cast("int") % 2 == 0, "spot").otherwise("perp")
-    rows = t.select("symbol", *columns, F.lit("events").alias("venue"), market.alias("market"), F.lit("false").alias("aggregated"), F.date_format(F.timestamp_micros("ts"), "yyyy-MM").alias("month"))
-    root = scratch(spark, "vault")
-    sinks.write_table(rows, root, "trades")
-    return scans.read_table(spark, root, "trades", market="spot", month="2024-01", symbol=["U2", "U4", "U6"]).select("symbol", "ts", "tradeId", "price", "size", "side")
-
-
 def normalised_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as the raw trade files of three venues, normalised in one form."""
     t = views.ticks(spark, sf_dir)
@@ -83,76 +69,15 @@ def normalised_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def _stream(spark: SparkSession, rows: DataFrame, name: str, files: int = 4) -> DataFrame:
-    """rows written as files of a folder, and that folder as a stream, all of it one batch."""
-    path = scratch(spark, name)
-    rows.repartition(files).write.parquet(path)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1_000_000).parquet(path)
-
-
-def _drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
-    """The rows of a stream that ends, through a table in the shared folder."""
-    spark = stream.sparkSession
-    path = scratch(spark, name)
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{path}/state").trigger(availableNow=True).foreachBatch(lambda f, n: f.write.mode("append").parquet(f"{path}/rows")).start()
-    query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(f"{path}/rows")
-
-
-def stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Running daily bars of a stream, those that its watermark has closed."""
-    t = views.ticks(spark, sf_dir).withColumn("time", F.timestamp_micros("ts")).select("symbol", "time", "price", "size", "sequence")
-    out = _drained(streams.running_bars(_stream(spark, t, "ticks"), "1 day"), "bars")
-    return out.select("symbol", F.unix_micros("time").alias("ts"), "open", "high", "low", "close", "volume", "trades")
-
-
-def stream_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A message stream less the repeats that each source's clock is half a second past."""
-    from marketloom.plans.queries_market import _log
-
-    rows = _log(spark, sf_dir).select("source", "arrival", "ts", "content")
-    return _drained(streams.dedup_clocked(_stream(spark, rows, "log", 1), 500, 10**9), "kept")
-
-
-def stream_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What a delta stream over twenty tables leaves."""
-    e = views.ticks(spark, sf_dir)
-    action = F.when(F.col("side") == "signup", "partial").when(F.col("side") == "purchase", "insert").when(F.col("side") == "error", "delete").otherwise("update")
-    rows = e.select(F.concat(F.lit("T"), F.expr("cast(substring(symbol, 2) as int) % 20")).alias("name"), action.alias("action"), F.col("symbol").alias("key"), F.col("price").alias("value"), F.col("sequence").alias("seq"))
-    return _drained(streams.table_state(_stream(spark, rows, "deltas", 1), "name", "key", "value"), "state", "update")
-
-
-def stream_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Frames that carry data, fanned out by rules, counted by destination and key."""
-    t = views.ticks(spark, sf_dir)
-    value = F.when(F.col("side") == "error", '{"result":null}').otherwise(F.concat(F.lit('{"e":"trade","p":'), F.col("price"), F.lit("}")))
-    rows = t.select(F.lit("binance").alias("venue"), F.lit("live").alias("source"), F.concat(F.lit("trade."), F.col("side"), F.lit(".trade")).alias("key"), value.alias("value"))
-    rules = spark.createDataFrame([("live", "all", None, None, None, {"x": "1"}), ("live", "one", "fixed", None, None, None), ("live", "named", None, "trade.", "t/", None)], "source string, destination string, fixed string, find string, put string, headers map<string, string>")
-    data, _ = streams.split_control(_stream(spark, rows, "frames"))
-    return _drained(streams.route(data, rules), "routes").groupBy("destination", "key").agg(F.count("*").alias("frames"))
-
-
-QUERIES = {f.__name__: f for f in (csv_positional, csv_named, ndjson_events, word_scan, vault_month, normalised_trades, stream_bars, stream_repeats, stream_state, stream_routes)}
+QUERIES = {f.__name__: f for f in (csv_positional, csv_named, ndjson_events, word_scan, normalised_trades)}
 
 ORACLES = {
     "csv_positional": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, l_quantity AS quantity, CASE WHEN l_orderkey % 100 <> 0 THEN l_returnflag END AS flag FROM lineitem",
     "csv_named": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, c_mktsegment AS segment FROM customer",
     "ndjson_events": "SELECT event_id, value, CAST(NULL AS VARCHAR) AS absent FROM events WHERE event_id % 50 <> 7",
     "word_scan": "SELECT p_partkey, p_brand, p_size, 3 AS width FROM part",
-    "vault_month": f"WITH {views.TICKS} SELECT symbol, ts, CAST(sequence AS VARCHAR) AS \"tradeId\", price, size, side FROM ticks WHERE symbol IN ('U2', 'U4', 'U6') AND ts >= 1704067200000000 AND ts < 1706745600000000",
     "normalised_trades": f"""WITH {views.TICKS}, t AS (SELECT *, CAST(sequence AS VARCHAR) AS tid, CASE WHEN side = 'click' THEN 'sell' ELSE 'buy' END AS s FROM ticks)
 SELECT 'okx' AS venue, symbol, ts, tid AS "tradeId", price, size, s AS side, CAST(NULL AS VARCHAR) AS margin FROM t WHERE sequence % 3 = 0 AND ts >= 1704067200000000 AND ts < 1706745600000000
 UNION ALL SELECT 'gate', 'BTC_USDT', ts, tid, price, size, CASE WHEN s = 'sell' AND size > 0 THEN 'sell' ELSE 'buy' END, 'linear' FROM t WHERE sequence % 3 = 1
 UNION ALL SELECT 'binance', 'BTCUSDT', ts // 1000 * 1000, tid, price, size, s, 'linear' FROM t WHERE sequence % 3 = 2""",
-    "stream_bars": f"""WITH {views.TICKS}, m AS (SELECT max(ts) - 60000001 AS edge FROM ticks), b AS (SELECT symbol, (ts + 86399999999) // 86400000000 * 86400000000 AS bar, arg_min(price, (ts, sequence)) AS open, max(price) AS high, min(price) AS low,
- arg_max(price, (ts, sequence)) AS close, sum(size) AS volume, count(*) AS trades FROM ticks GROUP BY ALL) SELECT symbol, bar AS ts, open, high, low, close, volume, trades FROM b, m WHERE bar <= edge""",
-    "stream_repeats": f"""WITH {views.TICKS}, log AS (SELECT 'S' || sequence % 4 AS source, sequence AS arrival, CASE WHEN sequence % 7 = 0 THEN ts - 600000000 ELSE ts END AS ts, CAST(floor(price / 10) AS BIGINT) || '|' || CAST(floor(size / 20) AS BIGINT) AS content FROM ticks),
-c AS (SELECT *, max(ts) OVER (PARTITION BY source ORDER BY arrival ROWS UNBOUNDED PRECEDING) AS clock, row_number() OVER (PARTITION BY source, content ORDER BY arrival) > 1 AS repeat FROM log)
-SELECT source, arrival, ts, content FROM c WHERE NOT (repeat AND clock - ts >= 500000)""",
-    "stream_state": f"""WITH {views.TICKS}, r AS (SELECT 'T' || CAST(substr(symbol, 2) AS INT) % 20 AS name, symbol AS key, CASE side WHEN 'signup' THEN 'partial' WHEN 'purchase' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS action, sequence AS seq, price AS value FROM ticks),
-f AS (SELECT name, max(seq) AS since FROM r WHERE action = 'partial' GROUP BY name), live AS (SELECT r.* FROM r LEFT JOIN f USING (name) WHERE since IS NULL OR seq >= since),
-b AS (SELECT name, key, max(seq) FILTER (action IN ('partial', 'insert')) AS born, max(seq) FILTER (action = 'delete') AS died FROM live GROUP BY ALL)
-SELECT name, key, arg_max(value, seq) AS value FROM live JOIN b USING (name, key) WHERE born IS NOT NULL AND (died IS NULL OR died < born) AND seq >= born AND action <> 'delete' GROUP BY ALL""",
-    "stream_routes": f"""WITH {views.TICKS}, d AS (SELECT 'trade.' || side || '.trade' AS key, 't/' || side || '.trade' AS put FROM ticks WHERE side <> 'error')
-SELECT 'all' AS destination, key, count(*) AS frames FROM d GROUP BY key UNION ALL SELECT 'one', 'fixed', count(*) FROM d UNION ALL SELECT 'named', put, count(*) FROM d GROUP BY put""",
 }

@@ -45,9 +45,9 @@ def side_impact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def aggregated_trades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks of one second and symbol as fills of one time."""
-    second = views.ticks(spark, sf_dir).withColumn("ts", F.expr("ts - pmod(ts, 3600000000)"))
-    return market.aggregate_trades(second)
+    """Ticks of one hour and symbol as fills of one time."""
+    hour = views.ticks(spark, sf_dir).withColumn("ts", F.expr("ts - pmod(ts, 3600000000)"))
+    return market.aggregate_trades(hour)
 
 
 def quote_at_trade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,8 +189,9 @@ UNION ALL SELECT event_id, 4, (us // 1000000) || '.' || lpad(CAST(us % 1000000 A
 UNION ALL SELECT event_id, 5, strftime(s, '%Y-%m-%d %H:%M:%S'), epoch_us(s) FROM e UNION ALL SELECT event_id, 6, strftime(m, '%Y.%m.%d %H:%M'), epoch_us(m) FROM e
 UNION ALL SELECT event_id, 7, '12:30', NULL FROM e UNION ALL SELECT event_id, 8, '1.2.3', NULL FROM e""",
     "repeats_flagged": f"WITH {views.TICKS}, {_LOG} SELECT *, repeat AND clock - ts >= 500000 AS dropped FROM clocked",
-    "repeats_report": f"""WITH {views.TICKS}, {_LOG}, g AS (SELECT source, day, count(*) AS original, count(*) FILTER (repeat AND clock - ts >= 0) AS dropped_t0, count(*) FILTER (repeat AND clock - ts >= 500000) AS dropped_wide FROM clocked GROUP BY ROLLUP (source, day))
-SELECT *, dropped_t0 - dropped_wide AS effect, round(100.0 * dropped_t0 / original, 6)::DOUBLE AS percent FROM g""",
+    "repeats_report": f"""WITH {views.TICKS}, {_LOG}, g AS (SELECT source, day, count(*) AS original, count(*) FILTER (repeat AND clock - ts >= 0) AS dropped_t0, count(*) FILTER (repeat AND clock - ts >= 500000) AS dropped_wide FROM clocked GROUP BY ROLLUP (source, day)),
+h AS (SELECT *, original - dropped_wide AS kept, dropped_t0 - dropped_wide AS effect, round(100.0 * dropped_t0 / original, 6)::DOUBLE AS percent FROM g)
+SELECT *, percent > 2 * min(percent) FILTER (source IS NOT NULL) OVER (PARTITION BY day) AS outlier FROM h""",
     "messages_round_trip": f"""WITH g AS (SELECT conv_id, count(*) AS turns, sum(length(text))::BIGINT AS chars FROM conversations GROUP BY conv_id)
 SELECT conv_id, CAST(conv_id % 8 AS VARCHAR) AS file, row_number() OVER (PARTITION BY conv_id % 8 ORDER BY conv_id) AS message, 'insert' AS action, turns, chars FROM g""",
     "message_days": f"WITH {views.TICKS} SELECT sequence // 25 AS message, max(ts) AS event_ts, max(ts) // {DAY} AS day FROM ticks GROUP BY 1",

@@ -127,7 +127,7 @@ def _binance() -> list[Series]:
         Series("binance", "perp", "quotes", "quotes", "transaction_time", _p("bidPrice=best_bid_price bidSize=best_bid_qty askPrice=best_ask_price askSize=best_ask_qty")),
         Series("binance", "perp", "books", "orderBookBands", "timestamp", _p("percentage depth notional"), variant="bands,5pct"),
         Series("binance", "perp", "openInterest", "openInterest", "create_time", _p("openInterest=sum_open_interest openInterestValue=sum_open_interest_value longShortRatio=count_long_short_ratio takerLongShortVol=sum_taker_long_short_vol_ratio")),
-        Series("binance", "option", "optionSummary", "optionTicker", "`date` || ' ' || `hour` || ':00:00'", _p(
+        Series("binance", "option", "optionSummary", "optionTicker", "`date` || ' ' || lpad(`hour`, 2, '0') || ':00:00'", _p(
             "option=symbol open high low close volume=volume_contracts quoteVolume=volume_usdt bidPrice=best_bid_price bidSize=best_bid_qty bidIv=best_buy_iv askPrice=best_ask_price "
             f"askSize=best_ask_qty askIv=best_sell_iv markPrice=mark_price markIv=mark_iv {GREEKS} openInterest=openinterest_contracts openInterestValue=openinterest_usdt"), variant="*"),
         Series("binance", "option", "volatilityIndex", "volatilityIndex", "calc_time", _p("value=index_value"), variant="ticks"),

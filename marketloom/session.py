@@ -36,6 +36,8 @@ def scratch(spark: SparkSession, name: str) -> str:
 
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: executors would not see a folder of the driver's machine")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

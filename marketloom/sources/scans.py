@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import csv
+import gzip
 import io
 import re
 import tarfile
@@ -68,23 +70,38 @@ def scan_lines(spark: SparkSession, paths, name: str = "line") -> DataFrame:
 
 def scan_words(spark: SparkSession, paths, names: list[str]) -> DataFrame:
     """Words between runs of blanks, by place, with the number of words in _width."""
+    return words_of(scan_lines(spark, paths), names)
+
+
+def words_of(lines: DataFrame, names: list[str]) -> DataFrame:
     words = F.split(F.regexp_replace("line", r"^[ \t\r]+|[ \t\r]+$", ""), r"\s+")
-    rows = scan_lines(spark, paths).filter(F.trim("line") != "").withColumn("_words", words)
+    rows = lines.filter(F.trim("line") != "").withColumn("_words", words)
     return rows.select(*[F.get("_words", F.lit(i)).alias(n) for i, n in enumerate(names)], F.size("_words").alias("_width"), FILE)
 
 
-def split_by_signature(spark: SparkSession, paths) -> DataFrame:
+SHEET = b"PK\x03\x04"
+
+
+def binary_files(spark: SparkSession, paths) -> DataFrame:
+    """path, content of whole files: of archives and workbooks, which cannot be split."""
+    return spark.read.format("binaryFile").load(paths).select("path", "content")
+
+
+def split_by_signature(files: DataFrame) -> DataFrame:
     """path, kind (sheet or text) by the first four bytes, and the length."""
-    files = spark.read.format("binaryFile").load(paths)
-    return files.select("path", F.when(F.substring("content", 1, 4) == F.lit(b"PK\x03\x04"), "sheet").otherwise("text").alias("kind"), "length")
+    return files.select("path", F.when(F.substring("content", 1, 4) == F.lit(SHEET), "sheet").otherwise("text").alias("kind"), F.length("content").cast("long").alias("length"))
 
 
 def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
-    if path.endswith((".tar.gz", ".tgz", ".tar")):
+    if path.endswith(".gz") and not path.endswith(".tar.gz"):
+        yield path.rsplit("/", 1)[-1][:-3], gzip.GzipFile(fileobj=io.BytesIO(content))
+    elif path.endswith((".tar.gz", ".tgz", ".tar")):
         with tarfile.open(fileobj=io.BytesIO(content)) as tar:
             for member in tar:
                 if member.isfile():
                     yield member.name, tar.extractfile(member)
+    elif not path.endswith(".zip"):
+        yield path.rsplit("/", 1)[-1], io.BytesIO(content)
     else:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for info in archive.infolist():
@@ -92,9 +109,9 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase
                     yield info.filename, archive.open(info)
 
 
-def scan_archive(spark: SparkSession, paths) -> DataFrame:
-    """archive, member, number, line of every line of every member of zip and tar archives; an archive
-    is one task's, its members are streamed. Gzip files need no archive reader."""
+def scan_archive(files: DataFrame) -> DataFrame:
+    """archive, member, number, line of every line of every member of files (path, content): zip and tar
+    archives, gzip and plain files. An archive is one task's, its members are streamed."""
 
     def run(batches):
         for batch in batches:
@@ -111,8 +128,26 @@ def scan_archive(spark: SparkSession, paths) -> DataFrame:
                     if held:
                         yield _lines(path, name, number, held)
 
-    files = spark.read.format("binaryFile").load(paths).select("path", "content")
-    return files.mapInArrow(run, "archive string, member string, number long, line string")
+    return files.select("path", "content").mapInArrow(run, "archive string, member string, number long, line string")
+
+
+def cells_of_lines(lines: DataFrame, names: list[str]) -> DataFrame:
+    """Lines of scan_archive as cells by place, as scan_csv_positional has them."""
+    wide = [f"_skip{i}" if n == "-" else n for i, n in enumerate(names)] + [OVERFLOW]
+    cells = F.from_csv("line", ", ".join(f"`{n}` string" for n in wide))
+    return lines.filter("line <> ''").select(cells.alias("_c"), F.col("archive").alias(FILE)).select(*[F.col("_c")[c].alias(c) for c in wide if not c.startswith("_skip")], FILE)
+
+
+def named_cells_of_lines(lines: DataFrame, wanted: list[str], most: int = 64) -> DataFrame:
+    """Lines of scan_archive as cells by the names in each member's first line, without case, as
+    scan_csv_named has them. Members are joined to their own first line, one row a member."""
+    cells = F.from_csv("line", ", ".join(f"_c{i} string" for i in range(most + 1)))
+    split = lines.filter("line <> ''").select("archive", "member", "number", F.array(*[cells[f"_c{i}"] for i in range(most + 1)]).alias("_c"))
+    heads = split.filter("number = 0").select("archive", "member", F.transform("_c", lambda c: F.lower(F.trim(F.regexp_replace(c, "[\ufeff\r]", "")))).alias("_h"))
+    heads = heads.withColumn("_n", F.size(F.filter("_h", lambda c: c.isNotNull())))
+    at = lambda w: F.array_position("_h", F.lit(w.lower())).cast("int")
+    rows = split.filter("number > 0").join(heads, ["archive", "member"])
+    return rows.select(*[F.when(at(w) > 0, F.get("_c", at(w) - 1)).alias(w) for w in wanted], F.get("_c", F.col("_n")).alias(OVERFLOW), F.col("archive").alias(FILE))
 
 
 def _lines(path: str, name: str, number: int, held: list[str]) -> pa.RecordBatch:
@@ -149,22 +184,46 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
             element.clear()
 
 
-def scan_sheets(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
-    """The wanted columns of the first sheet of each workbook, by the names in its first row, without
-    case; a workbook is one task's."""
+def _table_rows(content: bytes) -> Iterator[list[str | None]]:
+    """Rows of a workbook's first sheet, or of a text table: the first four bytes tell."""
+    if content[:4] == SHEET:
+        yield from sheet_rows(content)
+    else:
+        for row in csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", errors="replace", newline="")):
+            if row:
+                yield [c if c != "" else None for c in row]
+
+
+def _inside(path: str, content: bytes) -> Iterator[bytes]:
+    """The tables in a file: a workbook is one although it is a zip; other archives hold theirs as members."""
+    with_members = path.endswith((".tar.gz", ".tgz", ".tar", ".gz")) or path.endswith(".zip")
+    if not with_members:
+        yield content
+        return
+    for _, stream in _members(path, content):
+        data = stream.read()
+        if data:
+            yield data
+
+
+def scan_sheets(files: DataFrame, wanted: list[str]) -> DataFrame:
+    """The wanted columns of the tables in files (path, content), by the names in each table's first row,
+    without case. A table is the first sheet of a workbook or a text table, alone or in an archive; a
+    file is one task's."""
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                rows = sheet_rows(content.as_py())
-                names = [(n or "").strip().lower() for n in next(rows, [])]
-                places = [names.index(w.lower()) if w.lower() in names else None for w in wanted]
-                cells = [[r[p] if p is not None and p < len(r) else None for p in places] for r in rows]
-                yield pa.RecordBatch.from_arrays(
-                    [*[pa.array([c[i] for c in cells], pa.string()) for i in range(len(wanted))], pa.array([path.as_py()] * len(cells), pa.string())], names=[*wanted, FILE])
+                for table in _inside(path.as_py(), content.as_py()):
+                    rows = _table_rows(table)
+                    names = [(n or "").strip().lower() for n in next(rows, [])]
+                    places = [names.index(w.lower()) if w.lower() in names else None for w in wanted]
+                    cells = [[r[p] if p is not None and p < len(r) else None for p in places] for r in rows]
+                    yield pa.RecordBatch.from_arrays(
+                        [*[pa.array([c[i] for c in cells], pa.string()) for i in range(len(wanted))], pa.array([path.as_py()] * len(cells), pa.string())], names=[*wanted, FILE])
 
     schema = ", ".join(f"`{w}` string" for w in [*wanted, FILE])
-    return spark.read.format("binaryFile").load(paths).select("path", "content").mapInArrow(run, schema)
+    return files.select("path", "content").mapInArrow(run, schema)
 
 
 def malformed_files(spark: SparkSession, paths) -> DataFrame:
@@ -178,10 +237,15 @@ def malformed_files(spark: SparkSession, paths) -> DataFrame:
 
 
 def wide_rows(rows: DataFrame) -> DataFrame:
-    """A file of each row that has more cells than were declared, with how many rows it has."""
+    """The files that have rows with more cells than were declared, and how many."""
     return rows.filter(F.col(OVERFLOW).isNotNull()).groupBy(FILE).agg(F.count("*").alias("wide"))
 
 
+def first_offender(rows: DataFrame) -> DataFrame:
+    """One row that has more cells than were declared, none if there is none: ends at the first that is found."""
+    return rows.filter(F.col(OVERFLOW).isNotNull()).limit(1)
+
+
 def assert_width(rows: DataFrame) -> DataFrame:
     """rows, failing as soon as one is wider than declared, with the file's name."""
     seen = F.when(F.col(OVERFLOW).isNotNull(), F.raise_error(F.concat(F.lit("a row is wider than declared in "), F.col(FILE)))).otherwise(F.lit(True))
@@ -195,12 +259,25 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 
 def drop_empty(files: DataFrame) -> DataFrame:
-    return files.filter("length > 0")
+    """files (path, and length or content) less those without a byte; with their content at hand, also less gzip files
+    that decode to nothing."""
+    if "content" not in files.columns:
+        return files.filter("length > 0")
+
+    def run(batches):
+        for batch in batches:
+            keep = [len(c.as_py()) > 0 and (c.as_py()[:2] != b"\x1f\x8b" or gzip.GzipFile(fileobj=io.BytesIO(c.as_py())).read(1) != b"") for c in batch.column("content")]
+            yield batch.filter(pa.array(keep))
+
+    return files.mapInArrow(run, files.schema)
 
 
 def list_buckets(spark: SparkSession, root: str, suffix: str = ".csv.gz") -> DataFrame:
     """Raw store: table, days, first, last, bytes by table, from file names root/table/day.suffix."""
-    files = list_files(spark, root, f"*{suffix}")
+    return bucket_sums(list_files(spark, root, f"*{suffix}"))
+
+
+def bucket_sums(files: DataFrame) -> DataFrame:
     named = files.select(F.regexp_extract("path", r"/([^/]+)/(\d{4}-?\d{2}-?\d{2})[^/]*$", 1).alias("table"), F.regexp_extract("path", r"/([^/]+)/(\d{4}-?\d{2}-?\d{2})[^/]*$", 2).alias("day"), "length")
     return named.filter("table <> ''").groupBy("table").agg(F.countDistinct("day").alias("days"), F.min("day").alias("first"), F.max("day").alias("last"), F.sum("length").alias("bytes"))
 
@@ -216,8 +293,10 @@ def read_bucket(spark: SparkSession, paths, table: str) -> DataFrame:
 
 
 def read_ledger(spark: SparkSession, path: str) -> DataFrame:
-    """A pipe-separated log, columns by its heading, with the number of each line."""
-    return spark.read.options(sep="|", header=True).csv(path).withColumn("line", F.monotonically_increasing_id())
+    """A pipe-separated log, columns by its heading, with `line`, by which its rows are in the order of their
+    writing: the time that append_ledger stamped on them, then their place."""
+    rows = spark.read.options(sep="|", header=True).csv(path)
+    return rows.withColumn("line", F.struct(F.col("at").cast("long").alias("at"), F.monotonically_increasing_id().alias("n"))).drop("at")
 
 
 def read_table(spark: SparkSession, root: str, table: str, **filters) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,16 +15,22 @@ NO_LEVEL = "ticks"
 SPLIT_BYTES = 1 << 30
 
 
-def write_table(df: DataFrame, root: str, table: str, part: str = "own", files_for_hot: int = 1, records_per_file: int = 50_000_000) -> None:
+def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights: DataFrame | None = None, split_bytes: int = SPLIT_BYTES, files_for_hot: int = 31, records_per_file: int = 50_000_000) -> None:
     """Replaces the partitions that df has rows of; others stay. Rows are by symbol and time in each file.
 
-    df has the table's columns and path levels; an absent level is written as `ticks`. A hot symbol
-    is dealt by day over `files_for_hot` tasks.
+    df has the table's columns and path levels; an absent level is written as `ticks`. weights (the
+    path levels and bytes of each partition) says which months are light: those are one file each. All
+    others are dealt by symbol, and a symbol by day over `files_for_hot` tasks.
     """
     levels = levels_of(table)
     rows = df.withColumns({c: F.coalesce(F.col(c), F.lit(NO_LEVEL)) if c in df.columns else F.lit(NO_LEVEL) for c in levels}).withColumn("part", F.lit(part))
-    salt = F.pmod(F.floor(F.col("ts") / 86_400_000_000), F.lit(files_for_hot))
-    dealt = rows.repartition(*[F.col(c) for c in levels], F.col("symbol"), salt)
+    heavy = F.lit(True)
+    if weights is not None:
+        laid = layout_for(weights, split_bytes).select(*levels, (F.col("layout") == "whole").alias("_whole"))
+        rows = rows.join(laid, levels, "left")
+        heavy = ~F.coalesce("_whole", F.lit(False))
+    salt = F.when(heavy, F.pmod(F.floor(F.col("ts") / 86_400_000_000), F.lit(files_for_hot)))
+    dealt = rows.repartition(*[F.col(c) for c in levels], F.when(heavy, F.col("symbol")), salt).drop("_whole")
     (dealt.sortWithinPartitions(*levels, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .option("maxRecordsPerFile", records_per_file).partitionBy(*levels, "part").parquet(f"{root}/{table}"))
 
@@ -37,9 +46,17 @@ def layout_for(partitions: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFra
     return partitions.withColumn("layout", F.when(F.col("bytes") >= split_bytes, "instrument").otherwise("whole"))
 
 
-def compact_partition(df: DataFrame, table: str, distinct: bool = False) -> DataFrame:
-    """The pieces of one partition as one ordered piece."""
-    return (df.distinct() if distinct else df).coalesce(1).sortWithinPartitions(*order_of(table))
+def compact_partitions(df: DataFrame, root: str, table: str, staged: str, distinct: bool = False) -> None:
+    """Partitions of a table (df: their rows, read from root) rewritten as one ordered piece each.
+
+    The pieces are joined in a folder beside the table first, as what is read cannot be replaced at once;
+    a run that ends between the two has lost nothing.
+    """
+    columns = [*levels_of(table), "part"]
+    (df.distinct() if distinct else df).write.mode("overwrite").partitionBy(*columns).parquet(staged)
+    held = df.sparkSession.read.schema(df.schema).parquet(staged)
+    (held.repartition(*columns).sortWithinPartitions(*columns, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+     .partitionBy(*columns).parquet(f"{root}/{table}"))
 
 
 def write_sides(df: DataFrame, root: str, table: str, side: str) -> None:
@@ -49,8 +66,17 @@ def write_sides(df: DataFrame, root: str, table: str, side: str) -> None:
     write_table(df, root, table, part=side)
 
 
-def append_ledger(df: DataFrame, path: str) -> None:
-    df.coalesce(1).write.mode("append").options(sep="|", header=True).csv(path)
+def append_ledger(df: DataFrame, path: str, at: int | None = None) -> None:
+    """Lines at the end of a log, stamped with when (ns): rows of one call are of one time, as they are of different partitions."""
+    df.withColumn("at", F.lit(at if at is not None else time.time_ns())).coalesce(1).write.mode("append").options(sep="|", header=True).csv(path)
+
+
+def recorded(partitions: DataFrame, path: str, write: Callable[[], None]) -> None:
+    """Runs write between two lines for each of partitions (partition, mode, revision, ...): `updating` before, `stocked` after, so
+    that a write that never ended is known by its line."""
+    append_ledger(partitions.withColumn("state", F.lit("updating")), path)
+    write()
+    append_ledger(partitions.withColumn("state", F.lit("stocked")), path)
 
 
 def encode_messages(messages: DataFrame, columns: list[str], order: str = "seq") -> DataFrame:

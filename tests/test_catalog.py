@@ -92,3 +92,34 @@ def test_established_prefix(spark):
     runs = spark.createDataFrame([("", 1, 2), ("x", 3, 4), ("x/y", 5, None), ("z", 6, 7)], "scope string, started_at long, completed_at long")
     prefixes = spark.createDataFrame([("x/q",), ("z/a",), ("x/y/w",)], "prefix string")
     assert rows(catalog.established_at(runs, prefixes), "prefix", "established") == [("z/a", 7)]
+
+
+def test_batches_are_first_fit_decreasing(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(v, "m", f"{v}{i}", rnd.randint(1, 120)) for v in "vw" for i in range(60)]
+    got = {r.partition: r.batch for r in reconcile.pack_batches(spark.createDataFrame(rows, "venue string, month string, partition string, bytes long"), 100).collect()}
+    for v in "vw":
+        bins, want = [], {}
+        for _, _, name, size in sorted((r for r in rows if r[0] == v), key=lambda r: (-r[3], r[2])):
+            at = next((i for i, room in enumerate(bins) if room >= size), len(bins))
+            bins += [100] * (at == len(bins))
+            bins[at] -= size
+            want[name] = at
+        assert {k: b for k, b in got.items() if k[0] == v} == want
+
+
+def test_arrived_neighbour_only_completes(spark):
+    from pyspark.sql import functions as F
+
+    from marketloom.functions.names import revision
+
+    kinds = "key string, partition string, rank int, files long, version string, versions array<string>, fields string, on_disk boolean, edges array<struct<id: string, side: string, version: string, here: boolean>>, missing array<string>"
+    r = spark.createDataFrame([("k", "p", 0, 3, "v", ["s"], "f", False, [("n", "pre", "e", True)], [])], kinds)
+    then = r.select(revision(F.col("versions"), F.col("fields"), F.col("partition"), F.col("version"), F.array().cast("array<struct<id: string, side: string, version: string>>"), F.array(F.lit("pre")))).first()[0]
+    ledger = spark.createDataFrame([("k", "p", "v", then, ["pre"])], "key string, partition string, version string, revision string, lacking array<string>")
+    assert rows(reconcile.decide(r, ledger), "key", "status", "partition") == [("k", "complete", "p")]
+    edited = r.withColumn("versions", F.array(F.lit("s2")))
+    assert rows(reconcile.decide(edited, ledger), "key", "status") == [("k", "outdated")]
+    assert rows(reconcile.decide(r.withColumn("files", F.lit(0).cast("long")), ledger), "key", "status") == [("k", "waiting")]

@@ -51,7 +51,8 @@ def test_tags_and_numbers(spark):
     assert one(spark, names.norm_etag(F.lit('W/"ABC-gzip"'))) == "abc"
     assert one(spark, listing.digest_agrees(F.lit('"5D41402ABC4B2A76B9719D911017C592"'), F.lit(b"hello"))) is True
     assert one(spark, names.unsentinel(F.lit("-999999.0"))) is None and one(spark, names.first_number(F.lit("x"), F.lit("2"))) == 2.0
-    assert one(spark, names.series_prefix(F.lit("btc"))) == "B" and one(spark, names.series_prefix(F.lit("1INCH"))) == "0"
+    prefix = lambda s, v="": one(spark, names.series_prefix(F.lit("v"), F.lit("m"), F.lit("d"), F.lit(v), F.lit(s).cast("string")))
+    assert prefix("btc") == "v/m/d/B/btc/" and prefix("1INCH", "1m") == "v/m/d,1m/_/1INCH/" and prefix(None) == "v/m/d/@/" and prefix("") is prefix("a/b") is None
 
 
 def test_listing_names(spark):
@@ -69,5 +70,10 @@ def test_periods(spark):
 
 
 def test_revision_depends_on_all(spark):
-    a, b = one(spark, names.revision([F.lit("x"), F.lit(None)])), one(spark, names.revision([F.lit("x"), F.lit("y")]))
-    assert len(a) == 12 and a != b
+    texts = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+    none, edge = F.array().cast("array<struct<id:string,side:string,version:string>>"), F.array(F.struct(F.lit("n").alias("id"), F.lit("pre").alias("side"), F.lit("e").alias("version")))
+    base = [texts("s"), F.lit("f"), F.lit("p"), F.lit("v"), none, texts()]
+    other = [texts("t"), F.lit("g"), F.lit("q"), F.lit("w"), edge, texts("post")]
+    seen = {one(spark, names.revision(*(other[j] if j == i else base[j] for j in range(6)))) for i in range(7)}
+    assert len(seen) == 7 and all(len(x) == 12 for x in seen)
+    assert one(spark, names.revision(*base[:5], texts("pre", "post"))) == one(spark, names.revision(*base[:5], texts("post", "pre")))

@@ -144,3 +144,38 @@ def test_ambiguous_rules_fail(spark):
 def test_clip_is_half_open(spark):
     rows = spark.range(1).select(F.explode(F.array(*[month_start_us(F.lit(m)) for m in ("2024-01", "2024-02")])).alias("ts"))
     assert normalise.clip_month(rows, "2024-01").count() == 1
+
+
+def test_archives_are_opened(spark, tmp_path):
+    """Zip and tar archives by line, with and without a header; a text table where a workbook may be; empty files."""
+    from marketloom.plans.queries_files import pack
+
+    def packed(key, members):
+        (tmp_path / key).write_bytes(pack(key, members))
+        return str(tmp_path / key), key
+
+    files = [packed("binance|spot|trades|BTCUSDT|20240101.zip", {"a.csv": f"1,2,3,4,{JAN},true,x\n", "b.csv": f"2,2,3,4,{JAN},true,x\n\n"}), packed("binance|spot|trades|BTCUSDT|20240102.zip", {}),
+             (put(str(tmp_path), "binance|spot|trades|BTCUSDT|20240103.zip", b""), "binance|spot|trades|BTCUSDT|20240103.zip")]
+    out = normalise.normalise(spark, spark.createDataFrame(files, "path string, key string"), "binance", "trades")["trades"]
+    assert sorted(r.tradeId for r in out.collect()) == ["1", "2"]
+    wide = [packed("binance|spot|trades|ETHUSDT|20240101.zip", {"a.csv": f"1,2,3,4,{JAN},true,x,y\n"})]
+    with pytest.raises(Exception, match="wider than declared"):
+        normalise.normalise(spark, spark.createDataFrame(wide, "path string, key string"), "binance", "trades")["trades"].collect()
+    head = "price,Size,trade_id,side,created_time,instrument_name\n"
+    files = [packed("okx|spot|trades|@|20240101.tar.gz", {"a": head + f"2,3,1,buy,{JAN}000,A-B\n", "b": "instrument_name,trade_id,price,size,side,created_time\n" + f"C-D,2,5,6,SELL,{JAN}000\n"})]
+    out = normalise.normalise(spark, spark.createDataFrame(files, "path string, key string"), "okx", "trades")["trades"]
+    assert sorted((r.symbol, r.tradeId, r.price, r["size"], r.side) for r in out.collect()) == [("A-B", "1", 2, 3, "buy"), ("C-D", "2", 5, 6, "sell")]
+    files = [packed("bitget|perp|quotes|BTCUSDT|20240101.csv", {"x": f"timestamp,bid_price\n{JAN}000,5\n"})]
+    out = normalise.normalise(spark, spark.createDataFrame(files, "path string, key string"), "bitget", "quotes")["quotes"]
+    assert [r.bidPrice for r in out.collect()] == [5]
+
+
+def test_vault_is_pruned(spark, tmp_path):
+    from marketloom.plans.queries_files import _trades
+    from marketloom.sources import scans, sinks
+
+    sinks.write_table(_trades(spark, "/root/testdata/sf0.001"), str(tmp_path), "trades")
+    one = scans.read_table(spark, str(tmp_path), "trades", market="spot", month="2024-01", symbol=["U2", "U4"])
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(market" in plan and "In(symbol" in plan
+    assert {r.symbol for r in one.collect()} == {"U2", "U4"}

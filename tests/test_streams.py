@@ -180,9 +180,9 @@ def test_archives_and_logs(spark, tmp_path):
     (tmp_path / "t.txt").write_text("p\nq\n")
     with tarfile.open(tmp_path / "b.tar.gz", "w:gz") as t:
         t.add(tmp_path / "t.txt", "t.txt")
-    got = sorted((r.member, r.number, r.line) for r in scans.scan_archive(spark, [str(tmp_path / "a.zip"), str(tmp_path / "b.tar.gz")]).collect())
+    got = sorted((r.member, r.number, r.line) for r in scans.scan_archive(scans.binary_files(spark, [str(tmp_path / "a.zip"), str(tmp_path / "b.tar.gz")])).collect())
     assert got == [("t.txt", 0, "p"), ("t.txt", 1, "q"), ("x.csv", 0, "1,2"), ("x.csv", 1, "3,4"), ("y.csv", 0, "5")]
-    assert {r.kind for r in scans.split_by_signature(spark, [str(tmp_path / "a.zip"), str(tmp_path / "t.txt")]).collect()} == {"sheet", "text"}
+    assert {r.kind for r in scans.split_by_signature(scans.binary_files(spark, [str(tmp_path / "a.zip"), str(tmp_path / "t.txt")])).collect()} == {"sheet", "text"}
     (tmp_path / "bad.csv").write_text("a,b,c\n1\n2,3\n")
     (tmp_path / "good.csv").write_text("a,b\n1,2\n")
     assert [r.rows for r in scans.malformed_files(spark, [str(tmp_path / "bad.csv"), str(tmp_path / "good.csv")]).collect()] == [2]
