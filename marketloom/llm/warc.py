@@ -1,6 +1,7 @@
 """Web pages to WARC archives and back, by way of a chunked record table.
 
-A payload is a row for each chunk of bounded size: record, chunk number, bytes. The writer turns
+A payload is a row for each chunk of bounded size: record, chunk number, bytes; it is cut before anything is
+shuffled, and which page's record is a response is decided on ids and digests alone. The writer turns
 each chunk into a WARC record: the first into a `response`, later ones into `continuation`
 records with their segment numbers, so neither side ever needs a whole payload. The reader
 streams the lines of an archive, feeds every piece to the record's running SHA-1, and gives a
@@ -59,30 +60,43 @@ def chunk_table(rows: DataFrame, payload: str, chunk_bytes: int = CHUNK_BYTES) -
     return split.select(*others, "chunk", "chunks", "total", F.expr(f"substring(`{payload}`, cast(chunk * {chunk_bytes} + 1 as int), {chunk_bytes})").alias("bytes"))
 
 
-def marked_revisits(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload (UTF-8; null as empty), sha1 (hex), first_id: the page whose record a
-    revisit refers to, null for responses. Of equal payloads of at least least_bytes, the smallest
-    page_id is the response (each of its rows, if it is repeated); null ids are revisits if
-    another page has the payload."""
+def pages_with_digest(pages: DataFrame) -> DataFrame:
+    """page_id, url, payload (UTF-8; null as empty), sha1 (hex)."""
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("sha1", F.sha1("payload"))
-    firsts = rows.filter(F.length("payload") >= least_bytes).groupBy("sha1").agg(F.min("page_id").alias("first_id"))
-    return rows.join(firsts, "sha1", "left").withColumn("first_id", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")))
+    return rows.withColumn("sha1", F.sha1("payload"))
+
+
+def marked_revisits(rows: DataFrame, least_bytes: int = 0) -> DataFrame:
+    """page_id, sha1, first_id for each page_id and sha1 of pages_with_digest: the page whose record a revisit refers to, null for
+    responses. Decided on ids and digests alone, not on payloads. Of equal payloads of at least least_bytes, the smallest page_id is the response (each of
+    its rows, if it is repeated); null ids are revisits if another page has the payload."""
+    narrow = rows.select("page_id", "sha1", F.length("payload").alias("length")).distinct()
+    firsts = narrow.filter(F.col("length") >= least_bytes).groupBy("sha1").agg(F.min("page_id").alias("first_id"))
+    return narrow.join(firsts, "sha1", "left").select("page_id", "sha1", F.when(~F.col("page_id").eqNullSafe(F.col("first_id")), F.col("first_id")).alias("first_id"))
 
 
 def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, chunk_bytes: int = CHUNK_BYTES, date: str = DATE) -> None:
-    """A WARC record (or several segments) for each row of pages (page_id, url, html), as files in folder."""
+    """A WARC record (or several segments) for each row of pages (page_id, url, html), as files in folder.
+
+    Payloads are cut into chunks where they are read, so no row that is shuffled holds more than a chunk. They are dealt by
+    page_id and digest, so a payload that many pages have is not one task's, and sorted by a number of their row, which keeps
+    repeated rows apart. An archive holds what a partition does. Columns other than the three are not read.
+    """
     small_batches(pages.sparkSession)
-    marked = marked_revisits(pages, least_bytes)
-    # a revisit has one chunk, and its payload stays behind
-    length = F.length("payload").cast("long").alias("length")
-    rows = marked.select("page_id", "url", "sha1", "first_id", length, F.when(F.col("first_id").isNull(), F.col("payload")).otherwise(F.lit(b"")).alias("payload"))
+    own = pages_with_digest(pages)
+    chunks = chunk_table(own.withColumns({"length": F.length("payload").cast("long"), "row": F.monotonically_increasing_id()}), "payload", chunk_bytes)
+    marks = marked_revisits(own, least_bytes).withColumnsRenamed({"page_id": "_page", "sha1": "_sha1"})
+    joined = chunks.join(marks, F.col("page_id").eqNullSafe(F.col("_page")) & (F.col("sha1") == F.col("_sha1")))
+    # of a revisit the first chunk stays, without its bytes
+    revisit = F.col("first_id").isNotNull()
+    kept = joined.filter(~revisit | (F.col("chunk") == 0)).sortWithinPartitions("row", "chunk")
+    records_of = kept.select("page_id", "url", "sha1", "first_id", "length", "chunk", F.when(revisit, 1).otherwise(F.col("chunks")).alias("chunks"), F.when(revisit, F.lit(b"")).otherwise(F.col("bytes")).alias("bytes"))
 
     def run(batches):
         running = hashlib.sha1()
         for batch in batches:
             out = []
-            for page_id, url, sha1, first_id, length, chunk, chunks, _, body in zip(*(c.to_pylist() for c in batch.columns)):
+            for page_id, url, sha1, first_id, length, chunk, chunks, body in zip(*(c.to_pylist() for c in batch.columns)):
                 digest = base32(bytes.fromhex(sha1))
                 head = b""
                 if chunk == 0:
@@ -111,7 +125,7 @@ def write_archives(pages: DataFrame, folder: str, least_bytes: int = 0, chunk_by
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["value"])
 
-    records = chunk_table(rows, "payload", chunk_bytes).mapInArrow(run, "value binary")
+    records = records_of.mapInArrow(run, "value binary")
     records.select(F.col("value").cast("string").alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
 
 
