@@ -33,6 +33,14 @@ THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH RE
 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "BSL-1.0": """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Unlicense": """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>""",
     "Zlib": """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software.
 Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
@@ -50,11 +58,25 @@ TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION
     "CC-BY-NC-4.0-notice": "Licensed under CC BY-NC 4.0.",
 }
 
-#: A line that states a copyright and no more; the permission text's own "copyright notice" lines do not begin so.
-COPYRIGHT_LINE = r"(?:^|\n)[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?)(?:\n|\z)"
-RIGHTS_LINE = r"(?:^|\n)[ \t#/*;-]*all rights reserved[ .]*(?:\n|\z)"
-#: Either line, wherever it begins, so that runs of any length go: the break before a line is not part of the match.
-NOTICE_LINES = r"(?md)^[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?|all rights reserved[ .]*)(?:\n|\z)"
+# Licences that differ from one above by a clause.
+_FREE, _AS_IS = KNOWN["MIT"].split("\n")[0], KNOWN["MIT"].split("\n")[2]
+KNOWN["MIT-0"] = _FREE.replace(", subject to the following conditions:", ".") + "\n" + _AS_IS
+KNOWN["X11"] = KNOWN["MIT"].replace("THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE", "THE X CONSORTIUM BE LIABLE") + (
+    "\nExcept as contained in this notice, the name of the X Consortium shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the X Consortium.")
+_NAMES = "{} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\nTHIS SOFTWARE IS PROVIDED BY"
+KNOWN["BSD-3-Clause"] = KNOWN["BSD-2-Clause"].replace("THIS SOFTWARE IS PROVIDED BY", _NAMES.format("3."))
+#: The same texts as they are also published: without numbers or with stars before the clauses, with "and" for "and/or".
+VARIANTS = {
+    "BSD-2-Clause": [KNOWN["BSD-2-Clause"].replace("\n1. ", "\n* ").replace("\n2. ", "\n* ")],
+    "BSD-3-Clause": [KNOWN["BSD-3-Clause"].replace("\n1. ", "\n* ").replace("\n2. ", "\n* ").replace("\n3. ", "\n* ")],
+    "ISC": [KNOWN["ISC"].replace("and/or distribute", "and distribute")],
+}
+
+#: A line that states a copyright, reserves all rights or is a licence's title, and no more, wherever it begins, so that runs of any length go: the
+#: break before a line is not part of the match. The permission text's own "copyright notice" lines do not begin so.
+NOTICE = (r"^[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?|all rights reserved[ .]*"
+          r"|(?:the )?(?:mit|isc|x11|zlib|bsd[ -]2-clause|bsd[ -]3-clause|bsd zero clause|boost software|mit no attribution)(?: \"[a-z ]+\"| license| licence| \(mit\)| - version [0-9.]+ - august 17th, 2003)*[ .:]*)(?:\n|\z)")
+NOTICE_LINES, SQL_NOTICE_LINES = "(?md)" + NOTICE, "(?m)" + NOTICE
 #: Letters, digits and whatever lies beyond Latin-1 punctuation stay; curly quotes, dashes and ellipses go.
 NOT_WORD = r"[^a-z0-9\x{C0}-\x{1FFF}\x{2070}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
 
@@ -63,25 +85,28 @@ def with_canonical(df: DataFrame, text: str, out: str) -> DataFrame:
     """df with the canonical form of `text` in `out`: words in lower case, one space apart.
 
     The two letters whose lower case depends on more than themselves are replaced first.
-    Copyright lines are removed however many are adjacent. The SQL makes two passes of patterns
-    that take the breaks on both sides, which leaves the fourth of adjacent lines and some after
-    it, so the two differ there. Each step that is used more than once is a column of its own,
-    so that it runs once a row.
+    Copyright and title lines are removed however many are adjacent. Each step that is used more than
+    once is a column of its own, so that it runs once a row.
     """
     low = F.lower(F.replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
     held = F.col("_low")
     stripped = F.regexp_replace(held, NOTICE_LINES, "")
-    # most texts have neither line: a search by bytes is far cheaper than two patterns over the whole text
-    mentions = held.contains("copyright") | held.contains("©") | held.contains("(c)") | held.contains("all rights")
+    titled = held.startswith("mit") | held.startswith("isc") | held.startswith("x11") | held.startswith("zlib") | held.startswith("bsd")
+    # most texts have no such line: a search by bytes is far cheaper than a pattern over the whole text
+    mentions = held.contains("copyright") | held.contains("©") | held.contains("(c)") | held.contains("all rights") | held.contains("license") | held.contains("licence") | titled
     words = F.concat(F.lit(" "), F.regexp_replace(F.when(mentions, stripped).otherwise(held), NOT_WORD, " "), F.lit(" "))
     for old, new in SPELLINGS:
         words = F.replace(words, F.lit(f" {old} "), F.lit(f" {new} "))
     return df.withColumn("_low", F.replace(low, F.lit("\r"), F.lit("\n"))).withColumn(out, F.trim(words)).drop("_low")
 
 
+def known_texts() -> list[tuple[str, str]]:
+    return sorted([*KNOWN.items(), *((name, text) for name, texts in VARIANTS.items() for text in texts)])
+
+
 def known_digests(spark: SparkSession) -> DataFrame:
-    """license_id, license_digest: one row for each entry of KNOWN."""
-    frame = spark.createDataFrame(sorted(KNOWN.items()), "license_id string, body string")
+    """license_id, license_digest: one row for each text of KNOWN and VARIANTS."""
+    frame = spark.createDataFrame(known_texts(), "license_id string, body string")
     return with_canonical(frame, "body", "_words").select("license_id", F.sha2("_words", 256).alias("license_digest"))
 
 
@@ -89,7 +114,7 @@ def match_licences(docs: DataFrame, text: str = "text", known: DataFrame | None
     """docs' rows (all columns) with canonical_digest and license_id (null if unknown).
 
     A null text counts as empty, and an empty canonical form matches nothing. Two known
-    licences with one canonical form would both match, giving two rows; KNOWN has none. The
+    licences with one canonical form would both match, giving two rows; those kept here have none, which a test holds. The
     licence table is broadcast, as it is a constant of this module; a table given as `known`
     is joined by hash, at whatever size. Columns `_low`, `_words`, `canonical_digest` and
     `license_id` of docs are replaced; an empty table gives no rows.
@@ -106,9 +131,9 @@ def _sql_text(s: str) -> str:
 
 def _sql_canonical(text: str) -> str:
     out = f"replace(lower(replace(replace(coalesce({text}, ''), 'İ', 'i'), 'Σ', 'σ')), chr(13), chr(10))"
-    line = out
-    for _ in range(2):
-        line = f"regexp_replace(regexp_replace({line}, {_sql_text(COPYRIGHT_LINE)}, chr(10), 'g'), {_sql_text(RIGHTS_LINE)}, chr(10), 'g')"
+    marks = " OR ".join(f"contains({out}, '{x}')" for x in ("copyright", "©", "(c)", "all rights", "license", "licence"))
+    titles = " OR ".join(f"starts_with({out}, '{x}')" for x in ("mit", "isc", "x11", "zlib", "bsd"))
+    line = f"CASE WHEN {marks} OR {titles} THEN regexp_replace({out}, {_sql_text(SQL_NOTICE_LINES)}, '', 'g') ELSE {out} END"
     out = f"(' ' || regexp_replace({line}, {_sql_text(NOT_WORD)}, ' ', 'g') || ' ')"
     for old, new in SPELLINGS:
         out = f"replace({out}, ' {old} ', ' {new} ')"
@@ -116,7 +141,7 @@ def _sql_canonical(text: str) -> str:
 
 
 def oracle() -> str:
-    known = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in sorted(KNOWN.items()))
+    known = ", ".join(f"({_sql_text(k)}, {_sql_text(v)})" for k, v in known_texts())
     return f"""
 WITH known AS (SELECT license_id, sha256({_sql_canonical('body')}) AS license_digest FROM (VALUES {known}) AS v(license_id, body)),
 digested AS (SELECT doc_id, sha256({_sql_canonical('text')}) AS canonical_digest FROM documents)
