@@ -23,6 +23,8 @@ def shared_folder(spark: SparkSession) -> str:
     """The folder named by spark.checkpoint.dir; set here only where it is unset."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is unset: executors would not see a folder of the driver's machine")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-shared-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
@@ -50,6 +52,18 @@ def drop_stored(df: DataFrame) -> None:
         folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def join_spread(rows: DataFrame, facts: DataFrame, keys: list[str], n: str = "n", parts: int = 2000) -> DataFrame:
+    """rows joined to facts (one row a key, with n, how many of rows it has), without the key of many rows in one task.
+
+    Keys with more than one in `parts` of the rows are at most `parts` keys, whatever the input, so their
+    facts are broadcast; all other keys are joined as usual. Both are stored tables.
+    """
+    edge = max(rows.count() // parts, 1)
+    hot = facts.filter(F.col(n) > edge)
+    rest = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti").join(facts.filter(F.col(n) <= edge), keys)
+    return rows.join(F.broadcast(hot), keys).unionByName(rest)
+
+
 def text_bytes(column: str = "text"):
     """The UTF-8 bytes of a text; a null is an empty text."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

@@ -12,12 +12,15 @@ leaves:
    windows in them are repeated. Only where stretches differ, at the ends of matches, are
    windows looked at one by one: the differing stretches of a minimizer go to one block.
 3. In a block, prefix doubling gives the order of the suffixes by their first `least` bytes, equal
-   ones in order of position. The previous smaller position in that order that agrees in all of
-   them is an earlier occurrence, so the longest previous factor is at least `least`; the next
-   one is a later occurrence. Values above `least` are not needed and not told apart.
+   ones in order of position. A suffix's previous smaller position in that order gives its longest
+   previous factor: all `least` bytes if the two agree in them, and else no earlier suffix does, as
+   nothing lies between equal ones. The next greater position gives the occurrence after it in the same
+   way. Factors are cut at `least`: longer ones are not needed and not told apart.
 
 A minimizer with very many differing stretches (CROWD) would make a block too large; its windows
-are hashed to 128 bits and counted by a grouped aggregate instead, which splits at any size.
+are hashed to 128 bits and counted by a grouped aggregate instead, which splits at any size. Both ways
+give the same spans, which the tests hold for CROWD = 0 and for sizes on either side of it. Minimizers
+and stretches that hold many of the runs are joined by broadcast (see join_spread).
 """
 
 from __future__ import annotations
@@ -29,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import drop_stored, small_batches, stored, text_bytes
+from marketloom.llm.common import drop_stored, join_spread, small_batches, stored, text_bytes
 from marketloom.llm.rolling import SLICE, Prefixes, mix
 
 LEAST = 200
@@ -93,11 +96,13 @@ def _place() -> Column:
 
 
 
-def windows_in_order(stretches: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of the stretches, laid end to end: whether an earlier and a later window equals it.
+def factor_arrays(stretches: list[np.ndarray], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every window of the stretches, laid end to end: its longest previous factor, cut at `least` (0 for a
+    shorter one), and the numbers of the windows that are its source and its next occurrence, -1 for none.
 
-    Prefix doubling ranks the suffixes by 8, 16, ... bytes, the last step by exactly `least`; then
-    neighbours in the order of (rank, position) are the previous and next smaller position's candidates.
+    Prefix doubling ranks the suffixes by 8, 16, ... bytes, the last step by exactly `least`. In the order of
+    (rank, position) the suffixes of one rank stand by position, so the previous smaller position of a
+    suffix is the neighbour before it, if that has its rank, and the next greater one the neighbour after it.
     """
     data = np.concatenate(stretches)
     n = len(data)
@@ -117,10 +122,10 @@ def windows_in_order(stretches: list[np.ndarray], least: int) -> tuple[np.ndarra
     own = rank[starts]
     order = np.argsort(own, kind="stable")
     same = own[order][1:] == own[order][:-1]
-    earlier, later = np.zeros(len(own), bool), np.zeros(len(own), bool)
-    earlier[order[1:][same]] = True
-    later[order[:-1][same]] = True
-    return earlier, later
+    previous, following = np.full(len(own), -1), np.full(len(own), -1)
+    previous[order[1:][same]] = order[:-1][same]
+    following[order[:-1][same]] = order[1:][same]
+    return np.where(previous >= 0, least, 0), previous, following
 
 
 def _intervals(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -140,8 +145,8 @@ def _blocks(texts: DataFrame, least: int, keep: str) -> DataFrame:
 
         def flush():
             held.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
-            earlier, later = windows_in_order([np.frombuffer(r[4], np.uint8) for r in held], least)
-            flags = earlier if keep == "first" else earlier | later
+            factors, _, following = factor_arrays([np.frombuffer(r[4], np.uint8) for r in held], least)
+            flags = factors >= least if keep == "first" else (factors >= least) | (following >= 0)
             at, out = 0, []
             for doc, row, start, alone, body in held:
                 n = len(body) - least + 1
@@ -198,16 +203,19 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, keep: str = "none") -> t
     runs = stored(_runs(rows, least))
     firsts = [F.min(_place()).alias("first")] if keep == "first" else []
     anchors = runs.groupBy("anchor").agg(F.count("*").alias("n"), F.min("stretch").alias("low"), F.max("stretch").alias("high"), *firsts).filter("n > 1")
-    marked = stored(runs.join(anchors.select("anchor", (F.col("low") != F.col("high")).alias("differ"), *(["first"] if firsts else [])), "anchor"))
+    anchors = stored(anchors.select("anchor", "n", (F.col("low") != F.col("high")).alias("differ"), *(["first"] if firsts else [])))
+    marked = stored(join_spread(runs, anchors, ["anchor"]).drop("n"))
     drop_stored(runs)
+    drop_stored(anchors)
 
     differing = marked.filter("differ")
-    by_stretch = differing.groupBy("anchor", "stretch").agg(F.count("*").alias("n"), F.min(_place()).alias("place"))
+    by_stretch = stored(differing.groupBy("anchor", "stretch").agg(F.count("*").alias("n"), F.min(_place()).alias("place")))
     crowds = by_stretch.groupBy("anchor").agg(F.count("*").alias("stretches"))
-    picked = stored(by_stretch.join(crowds, "anchor").select("anchor", "stretch", (F.col("n") == 1).alias("alone"), (F.col("stretches") > CROWD).alias("crowded"), "place", "place.*"))
+    picked = stored(join_spread(by_stretch, crowds, ["anchor"], "stretches").select("anchor", "stretch", (F.col("n") == 1).alias("alone"), (F.col("stretches") > CROWD).alias("crowded"), "n", "place", "place.*"))
+    drop_stored(by_stretch)
 
     stop = (F.col("start") + F.col("windows") - 1 + least).alias("stop")
-    alike, copied = marked.filter("NOT differ"), differing.join(picked.filter("NOT alone").select("anchor", "stretch", "place"), ["anchor", "stretch"])
+    alike, copied = marked.filter("NOT differ"), join_spread(differing, picked.filter("NOT alone").select("anchor", "stretch", "n", "place"), ["anchor", "stretch"])
     if keep == "first":
         alike, copied = alike.filter(~_place().eqNullSafe(F.col("first"))), copied.filter(~_place().eqNullSafe(F.col("place")))
     found = alike.select("doc", "row", "start", stop).unionByName(copied.select("doc", "row", "start", stop))
@@ -245,8 +253,9 @@ def remove_repeats(docs: DataFrame, least: int = LEAST, keep: str = "none") -> D
     """doc_id, n_bytes, n_removed, n_spans, kept (the remaining bytes), removed (spans) for every row of docs.
 
     Texts are UTF-8 bytes, a null one is empty; matches never cross texts; a text shorter than
-    `least` keeps all. Spans are maximal: ones that touch are one. An empty table gives no rows;
-    further columns are not read.
+    `least` keeps all. Texts are read whole, a slice of SLICE bytes at a time when they are hashed; of a very
+    long one the list of its spans is in one row, at most one for every `least` / 2 bytes. Spans are maximal:
+    ones that touch are one. An empty table gives no rows; further columns are not read, whatever their names.
     """
     rows, spans = repeated_spans(docs, least, keep)
     by_row = spans.groupBy("doc", "row").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
