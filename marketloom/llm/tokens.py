@@ -12,6 +12,8 @@ less ten; a run of unknown characters is spelt in UTF-8 bytes.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,6 +27,8 @@ BLANK = "▁"
 UNKNOWN_PENALTY = 10.0
 #: Distinct parts whose count a task keeps before it starts anew, and the longest part kept.
 CACHE, LONGEST_KEPT = 300_000, 64
+#: Steps of the dynamic program that are held at a time in a part without a blank, however long it is.
+KEPT_STEPS = 1 << 14
 
 
 def load_vocabulary(path: str = f"{TOKENIZERS}/piece_bpe_32k.model") -> list[tuple[str, float]]:
@@ -47,25 +51,30 @@ class Counter:
                 self.automaton.add_word(piece, (len(piece), score))
         self.automaton.make_automaton()
         self.unknown = min(score for _, score in vocabulary) - UNKNOWN_PENALTY
+        self.longest = max(len(piece) for piece, _ in vocabulary)
         self.single = {piece for piece, _ in vocabulary if len(piece) == 1}
         self.kept: dict[str, tuple[int, float]] = {}
 
     def part(self, part: str) -> tuple[int, float]:
         """Pieces and score of the best path through one part."""
-        best, pieces = [0.0], [0]
+        best, pieces, base = [0.0], [0], 0  # of the characters from base on
         single, unknown = self.single, self.unknown
         at, top, count = 0, None, 0
-        for end, (length, score) in [*self.automaton.iter(part), (len(part), (0, 0.0))]:
+        for end, (length, score) in chain(self.automaton.iter(part), (((len(part), (0, 0.0))),)):
             while at < end:  # no more pieces end at this character
                 if part[at] not in single:
-                    total = unknown + best[at]
+                    total = unknown + best[at - base]
                     if top is None or total > top:
-                        top, count = total, pieces[at] + len(part[at].encode("utf-8", "surrogatepass"))
+                        top, count = total, pieces[at - base] + len(part[at].encode("utf-8", "surrogatepass"))
                 best.append(top)
                 pieces.append(count)
                 at, top = at + 1, None
+            if len(best) > KEPT_STEPS:  # no piece reaches further back than the longest
+                drop = len(best) - self.longest - 1
+                del best[:drop], pieces[:drop]
+                base += drop
             if length:  # at one end the automaton gives the longest first: the order of their starts
-                start = end + 1 - length
+                start = end + 1 - length - base
                 total = score + best[start]
                 if top is None or total > top:
                     top, count = total, pieces[start] + 1
@@ -96,8 +105,9 @@ class Counter:
 def count_tokens(docs: DataFrame, vocabulary: list[tuple[str, float]], id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """id_column, n_tokens, best_score, n_chars for every row of docs.
 
-    Texts are read whole and stay where they are. A null text has no tokens and no
-    characters. An empty table gives no rows; further columns are not read.
+    Texts are read whole and stay where they are; of a long text without a blank only the last steps
+    of the program are held. A null text has no tokens and no characters; repeated rows are counted row by
+    row. An empty table gives no rows; further columns are not read, whatever their names.
     """
     small_batches(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(vocabulary)  # a vocabulary, whatever the corpus
