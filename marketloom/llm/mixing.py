@@ -14,13 +14,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import drop_stored, small_batches, stored
 
-#: The classifier's bounds: labelled rows, words, domains; and how sharp its posteriors are.
-SAMPLE, WORDS, DOMAINS, SHARPNESS = 4_000, 20_000, 64, 2.0
+#: The classifier's bounds: labelled rows and words it is fitted on; and how sharp its posteriors are.
+SAMPLE, WORDS, SHARPNESS = 4_000, 20_000, 2.0
 
 
 class Domains:
@@ -40,19 +40,21 @@ class Domains:
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str = "domain") -> Domains:
-    """Naive Bayes on at most SAMPLE labelled rows (doc_id, domain), the first by a hash of their id.
+    """Naive Bayes on about SAMPLE labelled rows (doc_id, domain): of every domain as many, the first by a hash of their
+    id, so that the rarest has its own. The shares are those of all labelled rows.
 
-    Rows without an id or a domain are left out; of several domains of one id the first by name counts;
-    the DOMAINS most frequent domains are told apart, and a rarer one has no rows of its own. The
-    WORDS most frequent words of the sample are used.
+    Rows without an id or a domain are left out; of several domains of one id the first by name counts. The
+    WORDS most frequent words of the sample are used, a bound of the model.
     """
     rows = labelled.filter(F.col("doc_id").isNotNull() & F.col(domain).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col(domain).cast("string")).alias("domain"))
-    picked = rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)  # bounded, so it can be broadcast
+    shares = rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy("domain").collect()  # a row a domain
+    each = -(-SAMPLE // max(1, len(shares)))
+    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
+    picked = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).drop("_n")  # bounded, so it can be broadcast
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(picked), "doc_id").select("domain", "text")
     sample = stored(sample)
-    shares = sample.groupBy("domain").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "domain").limit(DOMAINS).collect()
-    names = sorted(r["domain"] for r in shares)
+    names = [r["domain"] for r in shares]
     if not names:
         return Domains(["all"], np.zeros(1), {}, np.zeros((0, 1)))
     at = {x: i for i, x in enumerate(names)}
@@ -65,8 +67,7 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str = "domain") ->
     table = np.full((len(top), len(names)), 0.5)
     for i, r in enumerate(top):
         for x in r["by"]:
-            if x["domain"] in at:
-                table[i, at[x["domain"]]] += x["n"]
+            table[i, at[x["domain"]]] += x["n"]
     drop_stored(sample)
     return Domains(names, np.log(prior / prior.sum()), {r["word"]: i for i, r in enumerate(top)}, np.log(table / table.sum(axis=0)) if len(top) else np.zeros((0, len(names))))
 
@@ -94,12 +95,14 @@ def rate_of(c: list[float], least: float) -> Column:
     return F.greatest(F.lit(least), dot)
 
 
-def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, rounds: int = 50, close: float = 1e-9) -> list[float]:
-    """The numbers c for which the rates max(least, 1 + posterior . c) meet the targets.
+def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, rounds: int = 50, close: float = 1e-9) -> tuple[list[float], float]:
+    """The numbers c for which the rates max(least, 1 + posterior . c) meet the targets, and by which share of all
+    tokens they miss them.
 
     members: tokens and posterior of every document; targets: expected tokens of each domain. The
     step is a gradient in the metric of the first round's second moments, which bounds the
-    curvature, so every step is a descent. Domains that no document belongs to cannot be met and are left.
+    curvature, so every step is a descent. Targets that no rates meet (nothing of a domain to which
+    documents of another belong in part) leave a miss.
     """
     k = len(targets)
     p = [F.col("posterior")[i] for i in range(k)]
@@ -107,13 +110,14 @@ def fit_rates(members: DataFrame, targets: list[float], least: float = 0.0, roun
     metric = np.array([x or 0.0 for x in moments]).reshape(k, k)
     step = np.linalg.pinv(metric, rcond=1e-9, hermitian=True)
     c, goal = np.zeros(k), np.array(targets)
-    for _ in range(rounds):
+    for n in range(rounds + 1):
         got = members.agg(*[F.sum(F.col("tokens") * rate_of(c.tolist(), least) * x) for x in p]).first()
         gap = goal - np.array([x or 0.0 for x in got])
-        if np.abs(gap).sum() <= close * max(1.0, goal.sum()):
+        miss = float(np.abs(gap).sum() / max(1.0, goal.sum()))
+        if miss <= close or n == rounds:
             break
         c = c + step @ gap
-    return [round(x, 12) for x in c.tolist()]
+    return [round(x, 12) for x in c.tolist()], miss
 
 
 def flatter(shares: np.ndarray, power: float = 0.7) -> np.ndarray:
@@ -122,32 +126,39 @@ def flatter(shares: np.ndarray, power: float = 0.7) -> np.ndarray:
     return out / out.sum() if out.sum() else shares
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, least: float = 0.0) -> DataFrame:
-    """docs' rows, all columns kept, with tokens, posterior, domain (the likeliest), rate and copies.
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, least: float = 0.0, most_miss: float | None = 1e-3, keep: list[str] | None = None) -> DataFrame:
+    """docs' rows, all columns kept (or those of keep), with tokens, posterior, domain (the likeliest, the first of equals by
+    name), rate and copies. Columns of these names in docs are replaced.
 
     weights: the target share of each domain (a domain not named gets none); by default the shares as
-    they are, flattened. With least = 0 the tokens in all stay as they are; with least > 0 the rates
+    they are, flattened. Targets that are missed by over most_miss of all tokens are an error, unless it is
+    None. With least = 0 the tokens in all stay as they are; with least > 0 the rates
     are scaled up until the lowest domain's is that, which keeps the shares (if a domain is to have
     nothing, its rates stop at least instead). copies is the rate rounded
-    down or up by a hash of the row, so that the expected copies are the rate. A null text has no
-    tokens and the domains' shares as posterior; an empty table gives no rows.
+    down or up by a hash of the row, so that the expected copies are the rate, and repeated rows have equal
+    ones. A null text has no tokens and the domains' shares as posterior; an empty table gives no rows.
     """
     domains = fit_domains(docs, labelled)
     k = len(domains.names)
-    members = stored(memberships(docs.select("text"), domains).select("tokens", "posterior"))
+    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    own = docs.drop("domain", "rate", "copies", "tokens", "posterior")
+    kept = [c for c in own.columns if keep is None or c in keep]
+    # one pass over the texts: what follows reads the table
+    members = stored(memberships(own.withColumn("_unit", unit), domains).select(*kept, "_unit", "tokens", "posterior"))
     sums = members.agg(*[F.sum(F.col("tokens") * F.col("posterior")[i]) for i in range(k)]).first()
     now = np.array([x or 0.0 for x in sums])
     shares = now / now.sum() if now.sum() else np.full(k, 1 / k)
     want = np.array([weights.get(x, 0.0) for x in domains.names]) if weights else flatter(shares)
-    c = fit_rates(members, (want * now.sum()).tolist())
+    c, miss = fit_rates(members, (want * now.sum()).tolist())
+    if most_miss is not None and miss > most_miss:
+        raise ValueError(f"the targets are missed by {miss:.3g} of all tokens")
     low = 1 + min(c)
     if least > 0 and low > 0:  # posteriors sum to one, so a rate is a mean of the domains' rates 1 + c
         c = [least / low * (1 + x) - 1 for x in c]
-    drop_stored(members)
-    rated = memberships(docs.drop("domain", "rate", "copies"), domains).withColumn("rate", F.round(rate_of(c, least), 9))
-    unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    rated = members.withColumn("rate", F.round(rate_of(c, least), 9))
     domain = F.element_at(F.array(*[F.lit(x) for x in domains.names]), F.array_position("posterior", F.array_max("posterior")).cast("int"))
-    return rated.withColumn("domain", domain).withColumn("copies", (F.floor("rate") + (unit < F.col("rate") - F.floor("rate")).cast("long")).cast("int"))
+    copies = (F.floor("rate") + (F.col("_unit") < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
+    return rated.withColumn("domain", domain).withColumn("copies", copies).drop("_unit")
 
 
 def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -46,7 +46,7 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir)
     labelled = mixing.labelled_languages(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return mixing.mix(docs.select("doc_id", "text"), labelled).select("doc_id", "tokens", "domain", "posterior", "rate", "copies")
+    return mixing.mix(docs.select("doc_id", "text"), labelled, keep=["doc_id"]).select("doc_id", "tokens", "domain", "posterior", "rate", "copies")
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
