@@ -66,6 +66,19 @@ def test_warc_chunks_carry_digests(spark, tmp_path):
     assert rows[1].digest_so_far == warc.base32(hashlib.sha1(("abcdefghij" * 6).encode()).digest())
 
 
+def test_warc_awkward(spark):
+    """Columns of clashing names, a payload of many chunks, one payload on most rows, repeated rows."""
+    rows = [(i % 40, "u", "popular" if i % 3 else "x" * (i * 50), 1, "response", "d", i) for i in range(120)] + [(7, "u", None, 1, "r", "d", 0)] * 2
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, chunk int, record_type string, payload_digest string, row int").repartition(5)
+    got = warc.round_trip(pages, chunk_bytes=64).collect()
+    first = {}
+    for i, _, h, *_ in rows:
+        first[h or ""] = min(first.get(h or "", i), i)
+    want = Counter((i, len(h or ""), warc.base32(hashlib.sha1((h or "").encode()).digest()), None if first[h or ""] == i else first[h or ""]) for i, _, h, *_ in rows)
+    assert Counter((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to) for r in got) == want
+    assert all((r.record_type == "revisit") == (r.refers_to is not None) for r in got)
+
+
 def test_warc_damage_is_seen():
     reader = warc.Reader()
     with pytest.raises(ValueError):
@@ -84,6 +97,34 @@ def test_licences(spark):
     assert licences.match_licences(awkward(spark)).count() == 10 and licences.match_licences(nothing(spark)).count() == 0
 
 
+def test_licences_as_they_are_published(spark):
+    """Titles, stars for numbers, other spellings; every text has a digest of its own, and none but its own matches."""
+    k = licences.KNOWN
+    rows = [("MIT", "MIT License\n\nCopyright (c) 2024 A\n\n" + k["MIT"]), ("MIT", "The MIT License (MIT)\n" + k["MIT"]), ("ISC", "ISC License\nCopyright 1999 B\n" + k["ISC"].replace("and/or distribute", "and distribute")),
+            ("BSD-3-Clause", "BSD 3-Clause License\nCopyright (c) 2020, C\nAll rights reserved.\n" + k["BSD-3-Clause"].replace("\n2. ", "\n* ").replace("\n1. ", "\n* ").replace("\n3. ", "\n* ")), ("BSD-2-Clause", k["BSD-2-Clause"]),
+            ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n" + k["BSL-1.0"].replace("organization", "organisation")), ("Unlicense", k["Unlicense"].upper()), ("MIT-0", "MIT No Attribution\nCopyright 2020 D\n" + k["MIT-0"]), ("X11", k["X11"]),
+            (None, "MIT License"), (None, k["MIT"][:-10]), (None, k["BSD-3-Clause"].replace("endorse", "praise"))]
+    docs = spark.createDataFrame([(i, t, "x", "y") for i, (_, t) in enumerate(rows)], "doc_id long, text string, license_id string, canonical_digest string")
+    got = {r.doc_id: r.license_id for r in licences.match_licences(docs).collect()}
+    assert got == {i: name for i, (name, _) in enumerate(rows)}
+    digests = [r.license_digest for r in licences.known_digests(spark).collect()]
+    assert len(set(digests)) == len(digests) == len(licences.known_texts())
+
+
+def test_licences_sql_agrees(spark):
+    """The SQL and the operator on published texts, whatever the number of copyright lines."""
+    import duckdb
+
+    texts = [("Copyright (c) 2003 A\n" * n) + body + ("\r\n(c) 1999\n" * (n % 3)) for n in (0, 1, 4, 7) for _, body in licences.known_texts()] + ["", "MIT License\nx", "ISC\n\nall rights reserved.\n a  B", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame = docs.toPandas()
+    con = duckdb.connect()
+    con.register("documents", frame)
+    want = {tuple(r) for r in con.execute(licences.oracle()).fetchall()}
+    assert {(r.doc_id, r.canonical_digest, r.license_id) for r in licences.match_licences(docs).select("doc_id", "canonical_digest", "license_id").collect()} == want
+    assert sum(r[2] is not None for r in want) >= 4 * len(licences.known_texts())
+
+
 def test_licences_under_many_copyright_lines(spark):
     lines = ["Copyright (c) 2003 Holder {}", "All rights reserved.", "# (c) 1999 by {}", "copyright by {}"]
     runs = [*range(1, 11), 5000]
@@ -136,6 +177,28 @@ def test_toxicity_held_out(spark):
     assert all("zork" in texts[r.doc_id][r.worst_start : r.worst_end].lower() for r in held if r.predicted)
 
 
+def test_toxicity_score_by_hand(spark):
+    """Every score is the noisy-or of its sentences' logistic scores, from the model's weights."""
+    import math
+    import re
+
+    docs = documents(spark)
+    model = toxicity.train(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    assert model.weights and all(w > 0 for w in model.weights.values())
+
+    def pieces(word):
+        marked = "<" + re.sub(r"[\W\d_]+", "", word).lower() + ">"
+        return {marked} | {marked[i : i + n] for n in (4, 5) for i in range(len(marked) - n + 1)} if len(marked) > 2 else set()
+
+    def by_hand(text):
+        sentences = [s for s in re.split(r"[.!?\n]", text) if s] or [""]
+        scores = [1 / (1 + math.exp(-(model.bias + sum(model.weights.get(x, 0.0) for w in s.split() for x in pieces(w))))) for s in sentences]
+        return 1 - math.prod(1 - p for p in scores)
+
+    for r in toxicity.score(docs, model).collect():
+        assert abs(r.score - by_hand(r.text or "")) < 1e-9 and r.predicted == (r.score >= 0.7)
+
+
 def test_toxicity_awkward(spark):
     out = toxicity.toxicity_scores(awkward(spark), labels(spark)).collect()
     assert len(out) == 10 and all(0 <= r.score < 0.7 for r in out)
@@ -147,6 +210,28 @@ def test_toxicity_awkward(spark):
 # 5 — repeats
 
 
+def test_factor_arrays():
+    """Longest previous factors cut at 4, and the nearest occurrences, against all pairs of windows."""
+    rnd = random.Random(4)
+    parts = [bytes(rnd.choice(b"ab") for _ in range(rnd.randint(4, 30))) for _ in range(8)]
+    windows = [p[i : i + 4] for p in parts for i in range(len(p) - 3)]
+    factors, previous, following = repeats.factor_arrays([repeats.np.frombuffer(p, repeats.np.uint8) for p in parts], 4)
+    for i, w in enumerate(windows):
+        before, after = [j for j in range(i) if windows[j] == w], [j for j in range(i + 1, len(windows)) if windows[j] == w]
+        assert (factors[i], previous[i], following[i]) == (4 if before else 0, before[-1] if before else -1, after[0] if after else -1)
+
+
+def test_repeats_of_a_crowded_anchor(spark):
+    """More differing stretches around one passage than CROWD, without touching it; and a passage that most rows share."""
+    rnd = random.Random(8)
+    word = lambda n: "".join(rnd.choice("abcdefghij") for _ in range(n))
+    passage = word(230)
+    texts = [word(120) + passage[rnd.randrange(20) :] + word(120) for _ in range(2300)] + [passage] * 40
+    raw = [t.encode() for t in texts]
+    got = {r.doc_id: (r.n_removed, r.n_spans) for r in repeats.removal_report(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert got == {i: (sum(b - a for a, b in cuts), len(cuts)) for i, cuts in enumerate(repeats.brute_force(raw))}
+
+
 @pytest.mark.parametrize("crowd", [2048, 0])
 def test_repeats_brute_force(spark, monkeypatch, crowd):
     monkeypatch.setattr(repeats, "CROWD", crowd)
@@ -361,6 +446,20 @@ def test_token_counts(spark):
     assert out[1] == out[2] == 0 and tokens.count_tokens(nothing(spark), vocabulary).count() == 0
 
 
+def test_token_counts_of_an_unbroken_text():
+    """A text without a blank, longer than the steps that are held, against the whole program."""
+    vocabulary = tokens.load_vocabulary()
+    rnd = random.Random(6)
+    text = "".join(rnd.choice("abcthe漢é🙂ingxyz") for _ in range(3 * tokens.KEPT_STEPS))
+    held = tokens.Counter(vocabulary).text(text)
+    whole = tokens.KEPT_STEPS
+    try:
+        tokens.KEPT_STEPS = 10**9
+        assert held == tokens.Counter(vocabulary).text(text)
+    finally:
+        tokens.KEPT_STEPS = whole
+
+
 def test_token_ties():
     vocabulary = [("<unk>", 0.0), ("a", -1.0), ("b", -1.0), ("ab", -2.0), ("▁", -1.0), ("▁a", -2.0)]
     from tokenizers import Tokenizer, models, pre_tokenizers
@@ -388,11 +487,44 @@ def test_mixing_meets_targets(spark):
     assert sum(r.domain == truth[r.doc_id] for r in rows) / len(rows) > 0.95
 
 
+def test_mixing_is_the_least_squares_optimum(spark):
+    """The conditions of the optimum of sum tokens (rate - 1)^2 under the targets and rate >= 0, held densely: free rates are 1 + posterior . c
+    for one c, those at the bound would be below it."""
+    import numpy as np
+
+    docs = documents(spark)
+    labelled = mixing.labelled_languages(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    for weights in ({"de": 0.4, "en": 0.1, "es": 0.2, "fr": 0.3}, {"de": 0.01, "en": 0.9, "es": 0.05, "fr": 0.04}):
+        rows = [r for r in mixing.mix(docs, labelled, weights, most_miss=0.05).collect() if r.tokens]
+        p, rate, t = np.array([r.posterior for r in rows]), np.array([r.rate for r in rows]), np.array([float(r.tokens) for r in rows])
+        free = rate > 1e-9
+        c = np.linalg.lstsq(p[free], rate[free] - 1, rcond=None)[0]
+        assert np.abs(1 + p[free] @ c - rate[free]).max() < 1e-6 and (1 + p[~free] @ c <= 1e-6).all()
+        # no step along the null space of the targets lowers the objective: rates from a dense solve of the free rows agree
+        a, w = (p * t[:, None]).T[:, free], t[free]
+        goal = a @ rate[free]
+        dense = 1 + (a.T @ np.linalg.lstsq((a / w) @ a.T, goal - a @ np.ones(free.sum()), rcond=None)[0]) / w
+        assert np.abs(dense - rate[free]).max() < 1e-6
+
+
+def test_mixing_keeps_rare_domains(spark):
+    """A hundred domains, of which one has two rows among thousands: each has its target."""
+    rows = [(i, f"d{i % 99:02} word{i % 99} more{i % 99}", f"d{i % 99:02}") for i in range(3960)] + [(5000, "rare one", "rare"), (5001, "rare two", "rare")]
+    docs = spark.createDataFrame([r[:2] + ("old", 9) for r in rows], "doc_id long, text string, domain string, tokens int")
+    labelled = spark.createDataFrame([(r[0], r[2]) for r in rows], "doc_id long, domain string")
+    out = mixing.fit_domains(docs, labelled)
+    assert len(out.names) == 100 and "rare" in out.names
+    got = {r.doc_id: r.domain for r in mixing.memberships(docs, out).select("doc_id", "posterior").collect() for r in [type("R", (), {"doc_id": r.doc_id, "domain": out.names[max(range(100), key=lambda k: r.posterior[k])]})]}
+    assert got == {r[0]: r[2] for r in rows}
+
+
 def test_mixing_bound_is_active(spark):
     """A target that wants nothing of one domain: its rates stop at zero."""
     docs = documents(spark)
     labelled = mixing.labelled_languages(docs, spark.read.parquet(f"{SF}/labels.parquet"))
-    rows = mixing.mix(docs, labelled, {"en": 1.0}).collect()
+    with pytest.raises(ValueError, match="missed"):
+        mixing.mix(docs, labelled, {"en": 1.0})
+    rows = mixing.mix(docs, labelled, {"en": 1.0}, most_miss=None).collect()
     assert min(r.rate for r in rows) == 0.0
     en = sum(r.rate * r.tokens * r.posterior[1] for r in rows)
     assert en / sum(r.rate * r.tokens for r in rows) > 0.97
@@ -470,6 +602,19 @@ def test_leaks_blocks_and_awkward(spark, monkeypatch):
     assert decontam.find_leaks(documents(spark), empty).count() == 0
 
 
+def test_leaks_of_all_documents(spark):
+    """The default radius against brute force on all documents of sf0.01: none is lost."""
+    big = SF.replace("sf0.001", "sf0.01")
+    docs, bench = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/benchmark.parquet")
+    got = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontam.find_leaks(docs, bench).collect()}
+    want = {(r.doc_id, r.item_id): round(r.similarity, 9) for r in decontam.find_leaks(docs, bench, radius=63).collect()}
+    assert got == want and want
+    items = [(r.item_id, r.text) for r in bench.collect()]
+    texts = [(r.doc_id, r.text) for r in docs.collect() if len(r.text or "") < 1500]
+    small = {d for d, _ in texts}
+    assert {(d, i, j) for d, i, _, j in brute_leaks(texts, items)} == {(d, i, j) for (d, i), j in got.items() if d in small}
+
+
 def test_hamming_index():
     rnd = random.Random(6)
     held = [rnd.getrandbits(64) for _ in range(300)]
