@@ -14,7 +14,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.llm.common import drop_stored, small_batches, stored
@@ -40,8 +40,8 @@ class Domains:
 
 
 def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str = "domain") -> Domains:
-    """Naive Bayes on about SAMPLE labelled rows (doc_id, domain): of every domain as many, the first by a hash of their
-    id, so that the rarest has its own. The shares are those of all labelled rows.
+    """Naive Bayes on about SAMPLE labelled rows (doc_id, domain): of every domain as many, by a hash of their id, and all
+    rows of one that has fewer, so that the rarest has its own. The shares are those of all labelled rows.
 
     Rows without an id or a domain are left out; of several domains of one id the first by name counts. The
     WORDS most frequent words of the sample are used, a bound of the model.
@@ -49,8 +49,9 @@ def fit_domains(docs: DataFrame, labelled: DataFrame, domain: str = "domain") ->
     rows = labelled.filter(F.col("doc_id").isNotNull() & F.col(domain).isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(F.col(domain).cast("string")).alias("domain"))
     shares = rows.groupBy("domain").agg(F.count("*").alias("n")).orderBy("domain").collect()  # a row a domain
     each = -(-SAMPLE // max(1, len(shares)))
-    order = Window.partitionBy("domain").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= each).drop("_n")  # bounded, so it can be broadcast
+    cuts = docs.sparkSession.createDataFrame([(r["domain"], min(1.0, each / r["n"])) for r in shares], "domain string, share double")
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    picked = rows.join(F.broadcast(cuts), "domain").filter(place < F.col("share")).drop("share")  # about SAMPLE rows whatever the input, so it can be broadcast
     text = F.lower(F.coalesce(F.col("text"), F.lit("")))
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).join(F.broadcast(picked), "doc_id").select("domain", "text")
     sample = stored(sample)
