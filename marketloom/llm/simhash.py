@@ -243,9 +243,10 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     pairs at a similarity of 0.8 do with a chance of 0.9965, at 0.85 with 0.9999. A 1,024-bit
     fingerprint of the set then spares exact checks of pairs more than `radius` bits apart; at 0.8 the
     expected distance is 155 bits, and 200 is 4 deviations off, so it loses under 1 in 10,000 there.
-    In a cell, each set is first compared with the one before it, which links up copies by the
-    thousand with as few comparisons; then sets of one cell that are still in different groups are
-    compared one by one. Texts without words have equal, empty sets.
+    Each set is first compared with the one before it in two of its cells, which links up copies by the
+    thousand with as few comparisons; then, in every cell, with the one before it if that is in another group; then
+    sets of one cell that are still in different groups are compared one by one. Texts without words have
+    equal, empty sets.
     """
     small_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("_text")).withColumn("row", F.xxhash64("_text"))
@@ -268,9 +269,17 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     nodes = stored(rows.groupBy("node").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("cells").alias("cells")))
     print_of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("fp").alias(f"{side}fp"))
     inside = Window.partitionBy("cell").orderBy("node")
-    chained = nodes.select("node", F.explode("cells").alias("cell")).select(F.col("node").alias("a"), F.lag("node").over(inside).alias("b")).filter("b IS NOT NULL").distinct()
-    tried = stored(chained.join(print_of("a"), "a").join(print_of("b"), "b").filter(_may_match("a", "b", radius)).select("a", "b"))
-    links = _similar(tried, nodes, keyed)
+    fitting = lambda pairs: stored(pairs.join(print_of("a"), "a").join(print_of("b"), "b").filter(_may_match("a", "b", radius)).select("a", "b"))
+    chained = nodes.select("node", F.explode("cells").alias("cell")).select(F.col("node").alias("a"), "cell", F.lag("node").over(inside).alias("b")).filter("b IS NOT NULL")
+    two = chained.groupBy("a").agg(F.array(F.min_by("b", "cell"), F.max_by("b", "cell")).alias("bs")).select("a", F.explode(F.array_distinct("bs")).alias("b"))
+    first = fitting(two)
+    links = _similar(first, nodes, keyed)
+    labelled = stored(nodes.join(components(links), "node", "left").select("node", "cells", F.coalesce("component", "node").alias("group")))
+    beside = labelled.select("node", "group", F.explode("cells").alias("cell")).select(F.col("node").alias("a"), "group", F.lag("node").over(inside).alias("b"), F.lag("group").over(inside).alias("other"))
+    second = fitting(beside.filter("group <> other").select("a", "b").distinct())
+    links = stored(links.unionByName(_similar(second, nodes, keyed)))
+    tried = first.unionByName(second)
+    drop_stored(labelled)
     groups = components(links)
     labelled = stored(nodes.join(groups, "node", "left").select("node", "n", "fp", "cells", F.coalesce("component", "node").alias("group")))
     placed = labelled.select("node", "group", F.explode("cells").alias("cell"))
@@ -279,6 +288,7 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     a, b = (left.select("cell", *(F.col(c).alias(f"{side}{c}") for c in ("node", "n", "fp", "group"))) for side in "ab")
     across = a.join(b, "cell").filter((F.col("agroup") < F.col("bgroup")) & _may_match("a", "b", radius)).select(F.least("anode", "bnode").alias("b"), F.greatest("anode", "bnode").alias("a")).distinct()
     more = _similar(stored(across.select("a", "b").join(tried, ["a", "b"], "left_anti")), nodes, keyed)
+    drop_stored(labelled)
     groups = components(links.unionByName(more))
     named = nodes.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
     return rows.select("doc", "row", "node").join(named, "node").select("doc", "row", "group")
