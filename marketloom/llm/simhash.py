@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import components, drop_stored, small_batches, stored, text_bytes
+from marketloom.llm.common import components, drop_stored, join_spread, small_batches, stored, text_bytes
 
 SEED = 42
 #: Shingles that are voted on at a time: bounds the memory a very long text takes.
@@ -213,24 +213,54 @@ def _may_match(a: str, b: str, radius: int) -> Column:
     return sizes & ((n < SURE_SIZE) | (m < SURE_SIZE) | (_apart(f"{a}fp", f"{b}fp") <= radius))
 
 
-def _similar(pairs: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
-    """The pairs (a, b) of nodes whose shingle sets have COPY_SHARE of their union in common, exactly. The sets
-    are made again for the nodes in a pair only, from the text of each node's first row."""
+def _sets(wanted: DataFrame, nodes: DataFrame, keyed: DataFrame) -> DataFrame:
+    """node, shingles: the shingle sets of the wanted nodes, made again from the text of each node's first row."""
     def run(batches):
         for batch in batches:
             found = [shingle_set(x.as_py()).view(np.int64) for x in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.list_(pa.int64()))], names=["node", "shingles"])
 
-    least, whole = COPY_SHARE
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     first = nodes.join(wanted, "node").select("node", F.col("place.doc").alias("_doc"), F.col("place.row").alias("_row"))
     texts = keyed.join(first, keyed["doc"].eqNullSafe(first["_doc"]) & (keyed["row"] == first["_row"])).select("node", "_text")
     # rows of one id and text are one node's, so they may come more than once
-    sets = stored(texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")))
+    return stored(texts.mapInArrow(run, "node long, shingles array<long>").groupBy("node").agg(F.first("shingles").alias("shingles")))
+
+
+def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) of nodes whose shingle sets have COPY_SHARE of their union in common, exactly."""
+    least, whole = COPY_SHARE
     one, two = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
-    found = stored(pairs.join(one, "a").join(two, "b").filter(common * (least + whole) >= (F.size("sa") + F.size("sb")) * least).select("a", "b"))
-    drop_stored(sets)
+    return stored(pairs.join(one, "a").join(two, "b").filter(common * (least + whole) >= (F.size("sa") + F.size("sb")) * least).select("a", "b"))
+
+
+def _prefix_pairs(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of different groups that hold every pair with COPY_SHARE of its union in common.
+
+    Each set is put in order from its rarest shingle. Of two similar sets, the first common shingle stands so
+    early in both that the shingles from it on still make the overlap needed: among the first (1 - s) n + 1 of the
+    larger set and the first (1 - 2s/(1+s)) n + 1 of the smaller, s being the share. Only sets that meet in such a
+    shingle are a pair, so texts of one template that differ in over a ninth of their own shingles never meet.
+    Shingles of one set alone take up places in the order but are not joined.
+    """
+    least, whole = COPY_SHARE
+    both = least + whole
+    tokens = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    facts = stored(tokens.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"))
+    of_node = Window.partitionBy("node")
+    shared = join_spread(tokens, facts, ["shingle"], "df").withColumn("alone", F.col("n") - F.count("*").over(of_node))
+    placed = shared.withColumn("at", F.col("alone") + F.row_number().over(of_node.orderBy("df", "shingle")))
+    probing = F.expr(f"n - ceil(n * {least} / {whole}) + 1")
+    early = stored(placed.filter(F.col("at") <= probing).join(groups, "node").select("node", "group", "n", "shingle", "at"))
+    drop_stored(facts)
+    a, b = (early.select("shingle", *(F.col(c).alias(f"{side}{c}") for c in ("node", "group", "n", "at"))) for side in "ab")
+    overlap = 1 + F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat"))
+    larger = (F.col("an") > F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("anode") > F.col("bnode")))
+    sizes = F.col("bn") * whole >= F.col("an") * least
+    indexed = b.filter(F.expr(f"bat <= bn - ceil(bn * {2 * least} / {both}) + 1"))
+    met = a.join(indexed, "shingle").filter(larger & sizes & (F.col("agroup") != F.col("bgroup")) & (overlap * both >= (F.col("an") + F.col("bn")) * least))
+    found = stored(met.select(F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")).distinct())
+    drop_stored(early)
     return found
 
 
@@ -243,9 +273,10 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     pairs at a similarity of 0.8 do with a chance of 0.9965, at 0.85 with 0.9999. A 1,024-bit
     fingerprint of the set then spares exact checks of pairs more than `radius` bits apart; at 0.8 the
     expected distance is 155 bits, and 200 is 4 deviations off, so it loses under 1 in 10,000 there.
-    In a cell, each set is first compared with the one before it, which links up copies by the
-    thousand with as few comparisons; then sets of one cell that are still in different groups are
-    compared one by one. Texts without words have equal, empty sets.
+    In a cell, each set is first compared with the least one, which links up copies by the thousand with
+    as few comparisons. Sets in a cell that is still of several groups are not compared one by one: those
+    that share one of their rarest shingles are, which misses none of the pairs there, so a thousand texts
+    of one template under the similarity make few pairs. Texts without words have equal, empty sets.
     """
     small_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("_text")).withColumn("row", F.xxhash64("_text"))
@@ -267,18 +298,22 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     place = F.struct("doc", "row")
     nodes = stored(rows.groupBy("node").agg(F.min(place).alias("place"), F.first("n").alias("n"), F.first("fp").alias("fp"), F.first("cells").alias("cells")))
     print_of = lambda side: nodes.select(F.col("node").alias(side), F.col("n").alias(f"{side}n"), F.col("fp").alias(f"{side}fp"))
-    inside = Window.partitionBy("cell").orderBy("node")
-    chained = nodes.select("node", F.explode("cells").alias("cell")).select(F.col("node").alias("a"), F.lag("node").over(inside).alias("b")).filter("b IS NOT NULL").distinct()
-    tried = stored(chained.join(print_of("a"), "a").join(print_of("b"), "b").filter(_may_match("a", "b", radius)).select("a", "b"))
-    links = _similar(tried, nodes, keyed)
+    may_match = lambda pairs: stored(pairs.join(print_of("a"), "a").join(print_of("b"), "b").filter(_may_match("a", "b", radius)).select("a", "b"))
+    placed = nodes.select("node", F.explode("cells").alias("cell"))
+    least = stored(placed.groupBy("cell").agg(F.min("node").alias("b"), F.count("*").alias("n")).filter("n > 1"))
+    tried = may_match(join_spread(placed, least, ["cell"]).filter("node <> b").select(F.col("node").alias("a"), "b").distinct())
+    ends = tried.select(F.col("a").alias("node")).unionByName(tried.select(F.col("b").alias("node"))).distinct()
+    sets = _sets(ends, nodes, keyed)
+    links = _similar(tried, sets)
+    drop_stored(sets)
     groups = components(links)
-    labelled = stored(nodes.join(groups, "node", "left").select("node", "n", "fp", "cells", F.coalesce("component", "node").alias("group")))
+    labelled = stored(nodes.join(groups, "node", "left").select("node", "cells", F.coalesce("component", "node").alias("group")))
     placed = labelled.select("node", "group", F.explode("cells").alias("cell"))
-    mixed = placed.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high")).filter("low <> high").select("cell")
-    left = placed.join(mixed, "cell").select("node", "cell").join(labelled.select("node", "n", "fp", "group"), "node")
-    a, b = (left.select("cell", *(F.col(c).alias(f"{side}{c}") for c in ("node", "n", "fp", "group"))) for side in "ab")
-    across = a.join(b, "cell").filter((F.col("agroup") < F.col("bgroup")) & _may_match("a", "b", radius)).select(F.least("anode", "bnode").alias("b"), F.greatest("anode", "bnode").alias("a")).distinct()
-    more = _similar(stored(across.select("a", "b").join(tried, ["a", "b"], "left_anti")), nodes, keyed)
+    mixed = stored(placed.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")).filter("low <> high").select("cell", "n"))
+    left = stored(join_spread(placed, mixed, ["cell"]).select("node", "group").distinct())
+    sets = _sets(left.select("node"), nodes, keyed)
+    more = _similar(may_match(_prefix_pairs(sets, left)), sets)
+    drop_stored(sets)
     groups = components(links.unionByName(more))
     named = nodes.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
     return rows.select("doc", "row", "node").join(named, "node").select("doc", "row", "group")

@@ -405,6 +405,32 @@ def test_near_copies_only_from_the_least_similarity(spark):
     assert all(any(e != d and len(sets[d] & sets[e]) >= 0.8 * len(sets[d] | sets[e]) for e in sets) for d in sets if d not in kept and sets[d])
 
 
+def test_near_copies_of_one_template(spark):
+    rnd = random.Random(12)
+    base = [f"w{rnd.randrange(3000)}" for _ in range(400)]
+    rows = []
+    for i in range(240):
+        words = list(base)
+        for at in rnd.sample(range(400), rnd.choice((3, 6, 10, 14, 20))):
+            words[at] = f"x{rnd.randrange(40)}" if i % 2 else f"y{i}_{at}"
+        rows.append((i, " ".join(words[: rnd.choice((400, 400, 380))])))
+    sets = [set(zip(*[t.split()[k:] for k in range(5)])) for _, t in rows]
+    alike = [(a, b) for a in range(240) for b in range(a) if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))]
+    top = list(range(240))
+    for _ in range(240):
+        for a, b in alike:
+            top[a] = top[b] = min(top[a], top[b])
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc: r.group for r in simhash.near_copies(docs).collect()}
+    names = {}
+    assert [names.setdefault(found[i], i) for i in range(240)] == top and 1 < len(set(top)) < 240
+    number = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
+    whole = spark.createDataFrame([(i, [number[x] for x in s]) for i, s in enumerate(sets)], "node long, shingles array<long>")
+    ids = spark.createDataFrame([(i, i) for i in range(240)], "node long, group long")
+    pairs = {(r.a, r.b) for r in simhash._prefix_pairs(whole, ids).collect()}
+    assert pairs.issuperset(alike) and len(pairs) < 240 * 239 // 4
+
+
 def test_components(spark):
     rnd = random.Random(8)
     edges = [(i, i + 1) for i in range(0, 300) if i % 10] + [(rnd.randrange(300), 1000) for _ in range(3)] + [(7, 7)]
