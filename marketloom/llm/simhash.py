@@ -179,6 +179,9 @@ def near_groups(docs: DataFrame, width: int = 3, radius: int = 2) -> DataFrame:
 # of SURE_SIZE shingles or more, as votes of fewer are too coarse.
 COPY_WIDTH, COPY_SHARE, BANDS, BAND_MINS = 5, (4, 5), 24, 7
 COPY_WORDS, COPY_RADIUS, SURE_SIZE = 16, 200, 64
+#: Pairs across groups are compared in rounds: a sixteenth of them by hash, then up to a quarter, then all others that
+#: are of different groups still.
+ROUNDS = (1, 4, 16)
 #: Odd factors, each of which puts the shingle hashes in another order.
 FACTORS = np.random.default_rng(SEED).integers(0, 2**63, BANDS * BAND_MINS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -234,34 +237,47 @@ def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return stored(pairs.join(one, "a").join(two, "b").filter(common * (least + whole) >= (F.size("sa") + F.size("sb")) * least).select("a", "b"))
 
 
-def _prefix_pairs(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of nodes of different groups that hold every pair with COPY_SHARE of its union in common.
+def _rarest(sets: DataFrame) -> DataFrame:
+    """node, n, shingle, at: the shingles among which every pair of sets with COPY_SHARE of its union in common meets.
 
     Each set is put in order from its rarest shingle. Of two similar sets, the first common shingle stands so
     early in both that the shingles from it on still make the overlap needed: among the first (1 - s) n + 1 of the
-    larger set and the first (1 - 2s/(1+s)) n + 1 of the smaller, s being the share. Only sets that meet in such a
-    shingle are a pair, so texts of one template that differ in over a ninth of their own shingles never meet.
-    Shingles of one set alone take up places in the order but are not joined.
+    larger set and the first (1 - 2s/(1+s)) n + 1 of the smaller, s being the share. Shingles of one set alone
+    take up places in the order but are not joined.
     """
     least, whole = COPY_SHARE
-    both = least + whole
     tokens = sets.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     facts = stored(tokens.groupBy("shingle").agg(F.count("*").alias("df")).filter("df > 1"))
     of_node = Window.partitionBy("node")
     shared = join_spread(tokens, facts, ["shingle"], "df").withColumn("alone", F.col("n") - F.count("*").over(of_node))
     placed = shared.withColumn("at", F.col("alone") + F.row_number().over(of_node.orderBy("df", "shingle")))
-    probing = F.expr(f"n - ceil(n * {least} / {whole}) + 1")
-    early = stored(placed.filter(F.col("at") <= probing).join(groups, "node").select("node", "group", "n", "shingle", "at"))
+    early = stored(placed.filter(F.col("at") <= F.expr(f"n - ceil(n * {least} / {whole}) + 1")).select("node", "n", "shingle", "at"))
     drop_stored(facts)
-    a, b = (early.select("shingle", *(F.col(c).alias(f"{side}{c}") for c in ("node", "group", "n", "at"))) for side in "ab")
+    return early
+
+
+def _meeting(early: DataFrame, groups: DataFrame, low: int, high: int) -> DataFrame:
+    """Distinct pairs (a, b) of nodes of different groups that meet in one of their rarest shingles, early enough for
+    the overlap needed, and whose hash modulo the last of ROUNDS is from low to below high."""
+    least, whole = COPY_SHARE
+    both = least + whole
+    named = early.join(groups, "node")
+    a, b = (named.select("shingle", *(F.col(c).alias(f"{side}{c}") for c in ("node", "group", "n", "at"))) for side in "ab")
     overlap = 1 + F.least(F.col("an") - F.col("aat"), F.col("bn") - F.col("bat"))
     larger = (F.col("an") > F.col("bn")) | ((F.col("an") == F.col("bn")) & (F.col("anode") > F.col("bnode")))
     sizes = F.col("bn") * whole >= F.col("an") * least
+    turn = F.pmod(F.xxhash64(F.greatest("anode", "bnode"), F.least("anode", "bnode")), F.lit(ROUNDS[-1])).between(low, high - 1)
     indexed = b.filter(F.expr(f"bat <= bn - ceil(bn * {2 * least} / {both}) + 1"))
-    met = a.join(indexed, "shingle").filter(larger & sizes & (F.col("agroup") != F.col("bgroup")) & (overlap * both >= (F.col("an") + F.col("bn")) * least))
-    found = stored(met.select(F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")).distinct())
-    drop_stored(early)
-    return found
+    met = a.join(indexed, "shingle").filter(larger & sizes & turn & (F.col("agroup") != F.col("bgroup")) & (overlap * both >= (F.col("an") + F.col("bn")) * least))
+    return stored(met.select(F.greatest("anode", "bnode").alias("a"), F.least("anode", "bnode").alias("b")).distinct())
+
+
+def _merged(labelled: DataFrame, links: DataFrame) -> DataFrame:
+    """labelled (node, group) after the links (a, b) of nodes: linked groups take the least of their names."""
+    name = lambda end: labelled.select(F.col("node").alias(end), F.col("group").alias(f"{end}group"))
+    edges = links.join(name("a"), "a").join(name("b"), "b").select(F.col("agroup").alias("a"), F.col("bgroup").alias("b"))
+    found = components(edges).withColumnRenamed("node", "group")
+    return stored(labelled.join(found, "group", "left").select("node", F.coalesce("component", "group").alias("group")))
 
 
 def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
@@ -274,9 +290,11 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     fingerprint of the set then spares exact checks of pairs more than `radius` bits apart; at 0.8 the
     expected distance is 155 bits, and 200 is 4 deviations off, so it loses under 1 in 10,000 there.
     In a cell, each set is first compared with the least one, which links up copies by the thousand with
-    as few comparisons. Sets in a cell that is still of several groups are not compared one by one: those
-    that share one of their rarest shingles are, which misses none of the pairs there, so a thousand texts
-    of one template under the similarity make few pairs. Texts without words have equal, empty sets.
+    as few comparisons. Sets in a cell that is still of several groups are compared where they meet in one
+    of their rarest shingles, which misses none of the similar pairs there. That is done in rounds over growing
+    parts of the pairs, by hash: a set that a round links to a group is not compared with the rest of that
+    group any more, and the last round takes every pair of different groups that is left, so the rounds
+    change how many pairs are compared but no group. Texts without words have equal, empty sets.
     """
     small_batches(docs.sparkSession)
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc"), text_bytes().alias("_text")).withColumn("row", F.xxhash64("_text"))
@@ -307,16 +325,20 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     links = _similar(tried, sets)
     drop_stored(sets)
     groups = components(links)
-    labelled = stored(nodes.join(groups, "node", "left").select("node", "cells", F.coalesce("component", "node").alias("group")))
-    placed = labelled.select("node", "group", F.explode("cells").alias("cell"))
+    celled = stored(nodes.join(groups, "node", "left").select("node", "cells", F.coalesce("component", "node").alias("group")))
+    labelled = celled.select("node", "group")
+    placed = celled.select("node", "group", F.explode("cells").alias("cell"))
     mixed = stored(placed.groupBy("cell").agg(F.min("group").alias("low"), F.max("group").alias("high"), F.count("*").alias("n")).filter("low <> high").select("cell", "n"))
-    left = stored(join_spread(placed, mixed, ["cell"]).select("node", "group").distinct())
-    sets = _sets(left.select("node"), nodes, keyed)
-    more = _similar(may_match(_prefix_pairs(sets, left)), sets)
+    left = stored(join_spread(placed, mixed, ["cell"]).select("node").distinct())
+    sets = _sets(left, nodes, keyed)
+    early = _rarest(sets)
+    for low, high in zip((0, *ROUNDS), ROUNDS):
+        links = _similar(may_match(_meeting(early, labelled, low, high)), sets)
+        if not links.isEmpty():
+            labelled = _merged(labelled, links)
+    drop_stored(early)
     drop_stored(sets)
-    groups = components(links.unionByName(more))
-    named = nodes.select("node").join(groups, "node", "left").select("node", F.coalesce("component", "node").alias("group"))
-    return rows.select("doc", "row", "node").join(named, "node").select("doc", "row", "group")
+    return rows.select("doc", "row", "node").join(labelled, "node").select("doc", "row", "group")
 
 
 def one_of_each(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:

@@ -427,8 +427,11 @@ def test_near_copies_of_one_template(spark):
     number = {x: k for k, x in enumerate(sorted(set().union(*sets)))}
     whole = spark.createDataFrame([(i, [number[x] for x in s]) for i, s in enumerate(sets)], "node long, shingles array<long>")
     ids = spark.createDataFrame([(i, i) for i in range(240)], "node long, group long")
-    pairs = {(r.a, r.b) for r in simhash._prefix_pairs(whole, ids).collect()}
+    early = simhash._rarest(whole)
+    pairs = {(r.a, r.b) for r in simhash._meeting(early, ids, 0, simhash.ROUNDS[-1]).collect()}
     assert pairs.issuperset(alike) and len(pairs) < 240 * 239 // 4
+    rounds = [{(r.a, r.b) for r in simhash._meeting(early, ids, low, high).collect()} for low, high in zip((0, *simhash.ROUNDS), simhash.ROUNDS)]
+    assert sum(map(len, rounds)) == len(pairs) and set.union(*rounds) == pairs
 
 
 def test_components(spark):
