@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import decontam, licences, mixing, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
+from marketloom.llm import decontam, licences, mixing, orchard, piecebpe, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,9 +53,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.find_leaks(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecebpe.coding_report(_documents(spark, sf_dir), piecebpe.load_model())
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op5_repeats, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination)}
+    return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op5_repeats, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination,
+                                    op11_piece_coding, op13_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": warc.ORACLE, "op2_licence_scan": licences.oracle(), "op6_spotsigs": spotsigs.ORACLE}
+    return {"op1_warc": warc.ORACLE, "op2_licence_scan": licences.oracle(), "op6_spotsigs": spotsigs.ORACLE, "op13_clustering": orchard.ORACLE}
