@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.llm import decontam, licences, mixing, orchard, piecebpe, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
+from marketloom.llm import audit, decontam, licences, mixing, orchard, piecebpe, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,13 +57,17 @@ def op11_piece_coding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecebpe.coding_report(_documents(spark, sf_dir), piecebpe.load_model())
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orchard.cluster_report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_warc, op2_licence_scan, op3_sharding, op4_toxicity, op5_repeats, op6_spotsigs, op7_simhash, op8_token_counts, op9_mixing, op10_decontamination,
-                                    op11_piece_coding, op13_clustering)}
+                                    op11_piece_coding, op12_conversation_repair, op13_clustering)}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -657,7 +657,7 @@ def test_hamming_index():
 
 
 def test_registry_names():
-    assert {f"op{n}" for n in range(1, 11)} == {n.split("_")[0] for n in registry.queries()}
+    assert {f"op{n}" for n in range(1, 14)} == {n.split("_")[0] for n in registry.queries()}
 
 
 def test_pipeline(spark):
