@@ -88,8 +88,10 @@ def canonical_interval(token: Column) -> Column:
 
 
 def norm_etag(etag: Column) -> Column:
-    """An entity tag without quotes, entity quotes, weak mark and compression suffix, in lower case."""
-    return F.lower(F.regexp_replace(F.regexp_replace(etag, r'(?i)^W/|"|&quot;|&#34;', ""), r"(?i)-gzip$", ""))
+    """An entity tag without one quote at either end (written out first, then plain) and a compression suffix, in lower
+    case. What else is in it stays: a weak mark, a quote inside."""
+    bare = F.regexp_replace(F.regexp_replace(etag, r"\A&quot;|&quot;\z", ""), r'\A"|"\z', "")
+    return F.lower(F.regexp_replace(bare, r"-gzip\z", ""))
 
 
 def is_digest(etag: Column) -> Column:
@@ -180,9 +182,14 @@ def in_pool(name: Column, pool: Column) -> Column:
 
 
 def revision(versions: Column, fields: Column, partition: Column, version: Column, edges: Column, missing: Column) -> Column:
-    """Twelve hex digits over all that a stored partition depends on: the versions of its series, the table's fields, its own
-    version, its neighbours (edges: structs of id, side, version) and the sides it is without."""
-    apart = F.when(F.size(edges) + F.size(missing) > 0, F.array(F.lit("apart"))).otherwise(F.array().cast("array<string>"))
-    lines = F.concat(versions, F.array(fields, partition, version), apart, F.flatten(F.transform(edges, lambda e: F.array(e["id"], e["side"], e["version"]))),
-                     F.transform(F.array_sort(missing), lambda side: F.concat(side, F.lit(" missing"))))
-    return F.substring(F.sha2(F.array_join(lines, "\n"), 256), 1, 12)
+    """Twelve hex digits over all that a stored partition depends on: the versions of its series, the table's fields (as JSON, see
+    schema.fields_json), its own version, its neighbours (edges: structs of id, side, version) and the sides it is without.
+
+    Each part ends in a line break, but for the fields, behind which the partition follows at once: a recorded revision is compared byte for byte.
+    """
+    line = lambda *parts: F.concat(*[x for p in parts for x in (p, F.lit("\n"))])
+    apart = F.when(F.size(edges) + F.size(missing) > 0, "apart\n").otherwise("")
+    neighbours = F.array_join(F.transform(edges, lambda e: line(e["id"], e["side"], e["version"])), "")
+    without = F.array_join(F.transform(F.array_sort(missing), lambda side: line(side, F.lit("missing"))), "")
+    text = F.concat(line(F.array_join(versions, "\n")), fields, line(partition, version), apart, neighbours, without)
+    return F.substring(F.sha2(text, 256), 1, 12)

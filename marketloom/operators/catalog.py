@@ -124,12 +124,27 @@ def drop_excluded(files: DataFrame, exclusions: DataFrame) -> DataFrame:
     return files.join(exclusions.select("venue", "path"), ["venue", "path"], "left_anti")
 
 
+# A month's folder before a name that ends in a hyphen and six or eight digits, and the instrument and day of a daily name.
+_FILED = r"/(\d{6})/[^/]*?-(\d{6})(?:\d{2})?\.[a-z.]+\z"
+_DAILY = r"/([^/]+)-(\d{8})\.[a-z.]+\z"
+
+
 def misfiled(files: DataFrame, kept: DataFrame | None = None) -> DataFrame:
-    """Files in a folder of another month than their name's; those of the kept list are not reported."""
-    folder, name = F.regexp_extract("path", r"/(\d{4})-?(\d{2})/[^/]*$", 0), F.regexp_extract("path", r"(\d{6})(?:\d{2})?(?:\d{2})?\.[^/]*$", 1)
-    month = F.regexp_replace(folder, r"^/(\d{4})-?(\d{2})/.*$", "$1$2")
-    out = files.filter((folder != "") & (name != "") & (month != name))
-    return out if kept is None else out.join(kept.select("path"), "path", "left_anti")
+    """Files in a folder of another month than their name's, by six or eight digits of the name: those with an hour's ten are not asked, as there
+    the misfiled one is the only copy. Nor are those of kept (symbol, day), of which there is no other, reported."""
+    folder, name = F.regexp_extract("path", _FILED, 1), F.regexp_extract("path", _FILED, 2)
+    out = files.filter((folder != "") & (folder != name))
+    if kept is None:
+        return out
+    marked = out.withColumns({"_symbol": F.regexp_extract("path", _DAILY, 1), "_day": F.regexp_extract("path", _DAILY, 2)})
+    known = F.broadcast(kept.select(F.col("symbol").alias("_symbol"), F.col("day").alias("_day")))  # a list written by hand
+    return marked.join(known, ["_symbol", "_day"], "left_anti").select(*files.columns)
+
+
+def wrong_tree(files: DataFrame, tree: str = "futures_btc", instrument: str = "_USD-") -> DataFrame:
+    """Files of a tree, a month's folder below any, whose names hold no instrument of it."""
+    parts = F.split("path", "/")
+    return files.filter((F.size(parts) == 4) & (parts[0] == tree) & (parts[1] != "") & parts[2].rlike(r"\A\d{6}\z") & (parts[3] != "") & ~F.contains(parts[3], F.lit(instrument)))
 
 
 def list_page(keys: DataFrame, prefix: str, after: str, max_keys: int) -> DataFrame:

@@ -7,9 +7,11 @@ downloaded_at.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from marketloom.functions.times import last_closed, last_settled
+
 KEY = ["venue", "path"]
 STATE = ["date", "size", "etag", "modified", "existence", "downloaded_at"]
 
@@ -51,15 +53,25 @@ def withdraw(files: DataFrame, page: DataFrame, low: str, high: str) -> DataFram
     return joined.withColumn("withdrawn", gone).withColumn("existence", F.when(gone, "absent").otherwise(F.col("existence"))).select(*files.columns, "withdrawn")
 
 
-def settle(files: DataFrame, probes: DataFrame) -> DataFrame:
-    """files after probes (venue, path, found, size, etag): one that returned unchanged keeps its download, one that changed is owed again."""
-    p = probes.select(*KEY, "found", F.col("size").alias("_size"), F.col("etag").alias("_etag"))
-    joined = files.join(p, KEY, "left")
-    same = F.col("_size").eqNullSafe(F.col("size")) & F.col("_etag").eqNullSafe(F.col("etag"))
-    found, lost = F.coalesce(F.col("found"), F.lit(False)), F.coalesce(~F.col("found"), F.lit(False))
-    return joined.select(
-        *KEY, "date", F.when(found, F.coalesce("_size", "size")).otherwise(F.col("size")).alias("size"), F.when(found, F.coalesce("_etag", "etag")).otherwise(F.col("etag")).alias("etag"), "modified",
-        F.when(found, "confirmed").when(lost, "absent").otherwise(F.col("existence")).alias("existence"), F.when(found & ~same, None).otherwise(F.col("downloaded_at")).alias("downloaded_at"))
+def learned(parked: DataFrame, probes: DataFrame) -> DataFrame:
+    """Parked candidates (venue, path, date, size, etag, modified) with what probes (venue, path, size, etag, modified, existence) say of them, and
+    settled: whether a probe answered and size and tag are known now. Probes of what is not parked say nothing."""
+    p = probes.select(*KEY, *[F.col(c).alias(f"_{c}") for c in ("size", "etag", "modified", "existence")], F.lit(True).alias("_asked"))
+    known = {c: F.coalesce(f"_{c}", c) for c in ("size", "etag", "modified")}
+    asked = F.coalesce("_asked", F.lit(False))
+    return parked.join(p, KEY, "left").select(*KEY, "date", *[v.alias(c) for c, v in known.items()], F.coalesce("_existence", F.lit("confirmed")).alias("existence"), (asked & known["size"].isNotNull() & known["etag"].isNotNull()).alias("settled"))
+
+
+def settle(files: DataFrame, parked: DataFrame, probes: DataFrame) -> DataFrame:
+    """files after probes of parked candidates: a settled one arrives if its path is new; where the path is held as withdrawn and
+    the candidate is not, the row is brought back, keeping its download if size and tag are the same; any other row stays as it is."""
+    came = learned(parked, probes).filter("settled").select(*KEY, *[F.col(c).alias(f"new_{c}") for c in STATE if c != "downloaded_at"], F.lit(True).alias("_new"))
+    old = files.select(*KEY, *STATE, F.lit(True).alias("_old"))
+    both = old.join(came, KEY, "full_outer")
+    back = F.col("_old").isNull() | (F.coalesce("_new", F.lit(False)) & (F.col("existence") == "absent") & (F.col("new_existence") != "absent"))
+    same = F.col("_old").isNotNull() & F.col("size").eqNullSafe(F.col("new_size")) & F.col("etag").eqNullSafe(F.col("new_etag"))
+    return both.select(*KEY, *[F.when(back, F.col(f"new_{c}")).otherwise(F.col(c)).alias(c) for c in STATE if c != "downloaded_at"],
+                       F.when(~back | same, F.col("downloaded_at")).alias("downloaded_at"))
 
 
 def apply_report(files: DataFrame, report: DataFrame) -> DataFrame:
@@ -75,10 +87,16 @@ def apply_report(files: DataFrame, report: DataFrame) -> DataFrame:
         F.when(wrong, None).when(done, F.col("_at")).otherwise(F.col("downloaded_at")).alias("downloaded_at"))
 
 
-def reconcile_series(series: DataFrame, files: DataFrame, by: list[str]) -> DataFrame:
-    """series (first, last, tip, floor) after their files: first falls, last rises, tip rises to the newest file or the floor; a
-    series without files or bounds is left out."""
+def reconcile_series(series: DataFrame, files: DataFrame, by: list[str], now: Column) -> DataFrame:
+    """series (by, grain, first, last, tip) after their files, with lifted and corrected.
+
+    A series without files goes, whatever its columns say. first and last become what the files hold, wider or narrower. The tip
+    only rises: to the newest period that was over 15 days before now, or to the last that the series knew of, where that is newer, but never past
+    the newest period that is over, as a file of an open one does not say that it is whole.
+    """
     bounds = files.filter("existence <> 'absent'").groupBy(*by).agg(F.min("date").alias("_first"), F.max("date").alias("_last"))
-    joined = series.join(bounds, by, "left")
-    out = joined.select(*by, F.least("first", "_first").alias("first"), F.greatest("last", "_last").alias("last"), F.greatest("tip", "floor", "_last").alias("tip"))
-    return out.filter("first IS NOT NULL")
+    floor, proof = last_settled(F.col("grain"), now), F.when(F.col("last").isNotNull(), F.least("last", last_closed(F.col("grain"), now)))
+    tip = F.greatest("tip", floor, proof)
+    return series.join(bounds, by).select(
+        *by, "grain", F.col("_first").alias("first"), F.col("_last").alias("last"), tip.alias("tip"), (~tip.eqNullSafe(F.col("tip"))).alias("lifted"),
+        (~(F.col("first").eqNullSafe(F.col("_first")) & F.col("last").eqNullSafe(F.col("_last")))).alias("corrected"))

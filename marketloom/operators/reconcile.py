@@ -3,26 +3,54 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.functions.names import revision
 
 
-def ledger_current(log: DataFrame, by: str = "partition") -> DataFrame:
-    """The last line of each partition of an append-only log. `updating` means a write that never ended: the partition counts as
-    absent; `outdated` marks the line before it."""
+#: What a ledger line has for the version of a neighbour that was not there.
+MISSING = "missing"
+
+
+def _last_line(state: str) -> Column:
+    return F.max(F.when(F.col("state") == state, F.col("line")))
+
+
+def ledger_current(log: DataFrame, by: str = "partition", distrusted: DataFrame | None = None) -> DataFrame:
+    """What an append-only log says of each partition now: its last stocked line, with outdated.
+
+    `updating` takes away what was stocked before it, for good: only a later stocked line brings the partition back. `outdated` marks the
+    stocked line before it, if one still holds. distrusted (by, revision): lines that the store was found not to bear out, left out.
+    """
     others = [c for c in log.columns if c != by]
     stocked = F.when(F.col("state") == "stocked", F.col("line"))
-    last = log.groupBy(by).agg(F.max_by("state", "line").alias("_last_state"), F.max_by(F.struct(*others), stocked).alias("_row"), F.max(stocked).alias("_at"))
-    return last.filter("_at IS NOT NULL AND _last_state <> 'updating'").select(by, *[F.col("_row")[c].alias(c) for c in others], (F.col("_last_state") == "outdated").alias("outdated"))
+    last = log.groupBy(by).agg(F.max_by(F.struct(*others), stocked).alias("_row"), F.max(stocked).alias("_at"), _last_line("updating").alias("_gone"), _last_line("outdated").alias("_old"))
+    held = last.filter("_at IS NOT NULL AND (_gone IS NULL OR _at > _gone)").select(by, *[F.col("_row")[c].alias(c) for c in others], F.coalesce(F.col("_old") > F.col("_at"), F.lit(False)).alias("outdated"))
+    return held if distrusted is None else held.join(distrusted.select(by, "revision").distinct(), [by, "revision"], "left_anti").select(by, *others, "outdated")
+
 
+def repair_plan(log: DataFrame, held: DataFrame, by: str = "partition") -> DataFrame:
+    """by, action, sides for partitions whose last line is `updating`, a write that never ended.
 
-def repair_plan(log: DataFrame, by: str = "partition") -> DataFrame:
-    """partition, action for those whose last state is `updating`: undo the sides it was adding to a stocked partition, else drop it."""
-    w = Window.partitionBy(by).orderBy("line")
-    seen = log.withColumn("_before", F.lag("state").over(w)).withColumn("_n", F.row_number().over(Window.partitionBy(by).orderBy(F.desc("line"))))
-    return seen.filter("_n = 1 AND state = 'updating'").select(by, F.when((F.col("_before") == "stocked") & F.col("mode").eqNullSafe(F.lit("sides")), "undo sides").otherwise("drop").alias("action"))
+    undo sides: the last stocked line, however many marks follow it, is of the same rendering (grain, bundle) and version, and all that
+    the new line has besides are versions of neighbours it was without: those sides' files go, and the stocked line holds again.
+    drop: anything else of which the store (held: by) has files. Of what the store has nothing, there is nothing to put right.
+    """
+    facts = ["grain", "bundle", "version", "pre_version", "post_version"]
+    stocked = F.when(F.col("state") == "stocked", F.col("line"))
+    last = log.groupBy(by).agg(F.max_by(F.struct("state", *facts), "line").alias("_now"), F.max_by(F.struct(*facts), stocked).alias("_was"))
+    same = F.lit(True)
+    for c in facts[:3]:
+        same = same & F.col(f"_was.{c}").eqNullSafe(F.col(f"_now.{c}"))
+    for c in facts[3:]:
+        same = same & (F.col(f"_was.{c}").eqNullSafe(F.col(f"_now.{c}")) | (F.col(f"_was.{c}") == MISSING))
+    came = lambda side: F.when((F.col(f"_was.{side}_version") == MISSING) & ~F.col(f"_now.{side}_version").eqNullSafe(F.lit(MISSING)), F.lit(side))
+    sides = F.when(F.col("_was").isNotNull() & F.coalesce(same, F.lit(False)), F.array_compact(F.array(came("pre"), came("post")))).otherwise(F.array().cast("array<string>"))
+    left = last.filter("_now.state = 'updating'").withColumn("sides", sides)
+    left = left.join(held.select(by).distinct().withColumn("_held", F.lit(True)), by, "left")
+    action = F.when(F.size("sides") > 0, "undo sides").when(F.col("_held"), "drop")
+    return left.select(by, action.alias("action"), "sides").filter("action IS NOT NULL")
 
 
 def matches_catalog(stored: DataFrame, partitions: DataFrame, by: list[str]) -> DataFrame:

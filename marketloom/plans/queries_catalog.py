@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions import listing, names
-from marketloom.functions.times import last_closed, last_settled, next_period
+from marketloom.functions.times import WIDTH, at_grain, last_closed, last_settled, next_period
 from marketloom.operators import catalog, changes, lenses, reconcile
 from marketloom.plans import views
 from marketloom.session import table
@@ -207,10 +207,13 @@ def files_withdrawn(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_settled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Probes of every supplier's files ending in 1, 2 or 3: back unchanged, back changed, gone."""
+    """Candidates of every supplier, some of them catalogued, probed: found as they were, changed, without a tag, gone, not asked, or asked without being parked."""
     f = views.catalog_files(spark, sf_dir)
-    probes = f.filter("series % 10 IN (1, 2, 3)").select("venue", "path", (F.col("series") % 10 != 3).alias("found"), (F.col("size") + F.when(F.col("series") % 10 == 2, 1).otherwise(0)).alias("size"), "etag")
-    out = changes.settle(f.select("venue", "path", "date", "size", "etag", F.lit("m").alias("modified"), "existence", "downloaded_at"), probes)
+    k = F.col("series") % 10
+    files = f.filter((k != 5) & (k != 6)).select("venue", "path", "date", "size", "etag", F.lit("m").alias("modified"), "existence", "downloaded_at")
+    parked = f.filter(k != 4).select("venue", "path", "date", F.lit(None).cast("long").alias("size"), F.when(k != 3, F.col("etag")).alias("etag"), F.lit("p").alias("modified"))
+    probes = f.filter(k != 6).select("venue", "path", (F.col("size") + F.when(k == 2, 1).otherwise(0)).alias("size"), F.lit(None).cast("string").alias("etag"), F.lit(None).cast("string").alias("modified"), F.when(k == 7, "absent").alias("existence"))
+    out = changes.settle(files, parked, probes)
     return out.groupBy("venue", "existence").agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.count_if(F.col("downloaded_at").isNull()).alias("owed"))
 
 
@@ -223,8 +226,16 @@ def reports_applied(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def series_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series"), F.lit("19950101").alias("first"), F.when(F.col("s_suppkey") % 3 == 0, "19990101").otherwise("19960101").alias("last"), F.lit("19970101").alias("tip"), F.when(F.col("s_suppkey") % 2 == 0, "19981231").otherwise("19900101").alias("floor"))
-    return changes.reconcile_series(s, views.catalog_files(spark, sf_dir).filter("series % 5 <> 1"), ["series"])
+    """Series of four grains, their bounds too wide, too narrow, right or unknown, at a time within the span of the files; a fifth have no file."""
+    k = F.col("series")
+    grain = F.element_at(F.array(*[F.lit(g) for g in WIDTH]), (k % 4 + 1).cast("int"))
+    date = F.substring(F.concat("date", F.lit("0730")), 1, F.element_at(F.create_map(*[F.lit(x) for kv in WIDTH.items() for x in kv]), grain))
+    files = views.catalog_files(spark, sf_dir).filter("series % 5 <> 1").select("series", date.alias("date"), "existence")
+    at = lambda stamp: F.when(F.lit(stamp).isNotNull(), at_grain(F.lit(stamp), F.col("grain")))
+    s = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("series")).withColumn("grain", grain)
+    s = s.select("series", "grain", F.when(k % 7 > 0, F.when(k % 3 == 0, at("199501")).otherwise(at("19960601"))).alias("first"),
+                 F.when(k % 7 > 0, F.when(k % 3 == 0, at("20991231")).when(k % 3 == 1, at("19980515")).otherwise(at("19970101"))).alias("last"), F.when(k % 7 > 1, F.when(k % 2 == 0, at("19980701")).otherwise(at("19900101"))).alias("tip"))
+    return changes.reconcile_series(s, files, ["series"], F.lit("1998-06-10 12:30:00").cast("timestamp"))
 
 
 def _parts(spark, sf_dir):
@@ -264,21 +275,29 @@ def stage_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.ledger_current(_ledger(spark, sf_dir)).select("partition", "line", "state", "outdated")
+    """What the log says now, a tenth of its lines distrusted."""
+    log = _ledger(spark, sf_dir)
+    return reconcile.ledger_current(log, distrusted=log.filter("line % 10 = 3").select("partition", "revision")).select("partition", "line", "state", "outdated")
 
 
 def ledger_repairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reconcile.repair_plan(_ledger(spark, sf_dir))
+    """The store has nothing of every eleventh user's partitions."""
+    log = _ledger(spark, sf_dir)
+    plan = reconcile.repair_plan(log, log.filter("line % 11 > 0").select("partition"))
+    return plan.select("partition", "action", F.array_join("sides", ",").alias("sides"))
 
 
 def _ledger(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     state = F.when(F.col("event_type") == "error", "updating").when(F.col("event_type") == "click", "outdated").otherwise("stocked")
-    return e.select(F.concat(F.lit("P"), F.col("user_id") % 997 * 31 + F.col("event_id") % 31).alias("partition"), F.col("event_id").alias("line"), state.alias("state"), F.when(F.col("event_id") % 2 == 0, "sides").otherwise("whole").alias("mode"))
+    k = F.col("event_id")
+    side = lambda n, m: F.when(k % n == 0, "missing").when(k % n < m, "e1").otherwise("e2")
+    return e.select(F.concat(F.lit("P"), F.col("user_id") % 997 * 31 + k % 31).alias("partition"), k.alias("line"), state.alias("state"), F.concat(F.lit("r"), k).alias("revision"), F.when(k % 13 == 0, "monthly").otherwise("daily").alias("grain"),
+                    F.lit("market").alias("bundle"), F.when(k % 17 == 0, "v2").otherwise("v1").alias("version"), side(2, 2).alias("pre_version"), side(3, 3).alias("post_version"))
 
 
-_LEDGER = """led AS (SELECT 'P' || (user_id % 997 * 31 + event_id % 31) AS partition, event_id AS line, CASE event_type WHEN 'error' THEN 'updating' WHEN 'click' THEN 'outdated' ELSE 'stocked' END AS state,
- CASE WHEN event_id % 2 = 0 THEN 'sides' ELSE 'whole' END AS mode FROM events), lst AS (SELECT partition, arg_max(state, line) AS s, arg_max(mode, line) AS m, max(line) AS l FROM led GROUP BY partition)"""
+_LEDGER = """led AS (SELECT 'P' || (user_id % 997 * 31 + event_id % 31) AS partition, event_id AS line, CASE event_type WHEN 'error' THEN 'updating' WHEN 'click' THEN 'outdated' ELSE 'stocked' END AS state, 'r' || event_id AS revision,
+ CASE WHEN event_id % 13 = 0 THEN 'monthly' ELSE 'daily' END AS grain, CASE WHEN event_id % 17 = 0 THEN 'v2' ELSE 'v1' END AS version, CASE WHEN event_id % 2 = 0 THEN 'missing' ELSE 'e1' END AS pre, CASE WHEN event_id % 3 = 0 THEN 'missing' ELSE 'e1' END AS post FROM events)"""
 
 
 def store_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,7 +383,9 @@ def intervals_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def tags_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = views.catalog_files(spark, sf_dir)
-    raw = F.when(F.col("number") == 1, F.concat(F.lit('"'), F.upper("etag"), F.lit('"'))).when(F.col("number") == 2, F.concat(F.lit("&quot;"), "etag", F.lit("-gzip&quot;"))).when(F.col("number") == 3, F.concat("etag", F.lit("-7"))).otherwise(F.col("etag"))
+    n = F.col("number")
+    raw = (F.when(n == 1, F.concat(F.lit('"'), F.upper("etag"), F.lit('"'))).when(n == 2, F.concat(F.lit("&quot;"), "etag", F.lit("-gzip&quot;"))).when(n == 3, F.concat("etag", F.lit("-7")))
+           .when(n == 4, F.concat(F.lit('W/"'), "etag", F.lit('"'))).when(n == 5, F.concat(F.lit('a"'), "etag", F.lit("-GZIP"))).otherwise(F.col("etag")))
     return f.select("path", names.norm_etag(raw).alias("tag"), names.is_digest(raw).alias("digest"))
 
 
@@ -456,12 +477,20 @@ SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",
 SELECT venue, action, existence, count(*) AS files, sum(size)::BIGINT AS bytes, count(*) FILTER (d IS NULL OR action = 'revised') AS owed, min(path) AS lowest FROM j GROUP BY ALL""",
     "listing_revisions": f"WITH {_BEFORE} SELECT b.venue, b.path, b.size, b.etag FROM bef b JOIN page p ON b.venue = p.venue AND b.path = p.path WHERE b.existence = 'confirmed' AND (p.size <> b.size OR p.etag <> b.etag)",
     "files_withdrawn": f"WITH {_BEFORE} SELECT venue, path, 'absent' AS existence, size FROM bef b WHERE existence <> 'absent' AND path BETWEEN '1' AND '5' AND NOT EXISTS (SELECT 1 FROM page p WHERE p.venue = b.venue AND p.path = b.path)",
-    "files_settled": f"""WITH {views.CATALOG_FILES}, r AS (SELECT venue, CASE WHEN series % 10 IN (1, 2) THEN 'confirmed' WHEN series % 10 = 3 THEN 'absent' ELSE existence END AS existence, CASE WHEN series % 10 = 2 THEN size + 1 ELSE size END AS size,
- CASE WHEN series % 10 = 2 THEN NULL ELSE downloaded_at END AS downloaded_at FROM catalog_files) {_GROUPED}""",
+    "files_settled": f"""WITH {views.CATALOG_FILES}, f AS (SELECT venue, path, size, etag, existence, downloaded_at FROM catalog_files WHERE series % 10 NOT IN (5, 6)),
+c AS (SELECT venue, path, CASE WHEN series % 10 = 2 THEN size + 1 ELSE size END AS size, CASE WHEN series % 10 = 7 THEN 'absent' ELSE 'confirmed' END AS existence, etag FROM catalog_files WHERE series % 10 NOT IN (3, 4, 6)),
+r AS (SELECT venue, existence, size, NULL::TIMESTAMP AS downloaded_at FROM c WHERE (venue, path) NOT IN (SELECT venue, path FROM f)
+ UNION ALL SELECT f.venue, 'confirmed', c.size, CASE WHEN c.size = f.size THEN f.downloaded_at END FROM f JOIN c ON f.venue = c.venue AND f.path = c.path WHERE f.existence = 'absent' AND c.existence = 'confirmed'
+ UNION ALL SELECT venue, existence, size, downloaded_at FROM f WHERE (venue, path) NOT IN (SELECT f.venue, f.path FROM f JOIN c ON f.venue = c.venue AND f.path = c.path WHERE f.existence = 'absent' AND c.existence = 'confirmed')) {_GROUPED}""",
     "reports_applied": f"""WITH {views.CATALOG_FILES}, r AS (SELECT venue, CASE WHEN series % 10 < 5 AND series % 3 = 1 AND number % 2 = 0 THEN 'absent' ELSE existence END AS existence, CASE WHEN series % 10 < 5 AND series % 3 = 2 THEN size + 2 ELSE size END AS size,
  CASE WHEN series % 10 < 5 AND series % 3 = 2 THEN NULL WHEN series % 10 < 5 AND series % 3 = 0 AND downloaded_at IS NULL AND existence = 'confirmed' THEN TIMESTAMP '1999-01-01' ELSE downloaded_at END AS downloaded_at FROM catalog_files) {_GROUPED}""",
-    "series_reconciled": f"""WITH {views.CATALOG_FILES}, b AS (SELECT series, min(date) AS f, max(date) AS l FROM catalog_files WHERE existence <> 'absent' AND series % 5 <> 1 GROUP BY series)
-SELECT s_suppkey AS series, least('19950101', f) AS first, greatest(CASE WHEN s_suppkey % 3 = 0 THEN '19990101' ELSE '19960101' END, l) AS last, greatest('19970101', CASE WHEN s_suppkey % 2 = 0 THEN '19981231' ELSE '19900101' END, l) AS tip FROM supplier LEFT JOIN b ON s_suppkey = series""",
+    "series_reconciled": f"""WITH {views.CATALOG_FILES}, g AS (SELECT * FROM (VALUES (0, 'monthly', 6, '199804', '199805'), (1, 'daily', 8, '19980525', '19980609'), (2, 'hourly', 10, '1998052611', '1998061011'), (3, 'minutely', 12, '199805261229', '199806101229')) t(k, grain, w, settled, closed)),
+s AS (SELECT s_suppkey AS series, g.*, CASE WHEN s_suppkey % 7 > 0 THEN CASE WHEN s_suppkey % 3 = 0 THEN '199501010000' ELSE '199606010000' END END AS first, CASE WHEN s_suppkey % 7 > 0 THEN CASE s_suppkey % 3 WHEN 0 THEN '209912310000' WHEN 1 THEN '199805150000' ELSE '199701010000' END END AS last,
+ CASE WHEN s_suppkey % 7 > 1 THEN CASE WHEN s_suppkey % 2 = 0 THEN '199807010000' ELSE '199001010000' END END AS tip FROM supplier JOIN g ON s_suppkey % 4 = k),
+b AS (SELECT series, min(date) || '0730' AS f, max(date) || '0730' AS l FROM catalog_files WHERE existence <> 'absent' AND series % 5 <> 1 GROUP BY series),
+r AS (SELECT s.series, grain, left(f, w) AS f, left(l, w) AS l, left(first, w) AS first, left(last, w) AS last, left(tip, w) AS tip, settled, closed FROM s JOIN b USING (series)),
+u AS (SELECT *, CASE WHEN last IS NOT NULL AND CASE WHEN last < closed THEN last ELSE closed END > settled THEN CASE WHEN last < closed THEN last ELSE closed END ELSE settled END AS upto FROM r)
+SELECT series, grain, f AS first, l AS last, CASE WHEN tip IS NULL OR tip < upto THEN upto ELSE tip END AS tip, tip IS NULL OR tip < upto AS lifted, first IS DISTINCT FROM f OR last IS DISTINCT FROM l AS corrected FROM u""",
     "coverage": f"""WITH {_PARTS}, m AS (SELECT venue, month, count(*) AS parts, sum(size) AS bytes, count(*) FILTER (uploaded) AS sent FROM parts GROUP BY ALL)
 SELECT venue, count(*) AS months, count(*) FILTER (sent = parts) AS whole, sum(parts)::BIGINT AS parts, sum(bytes)::BIGINT AS bytes, sum(sent)::BIGINT AS sent, round(sum(sent / parts), 6) AS share FROM m GROUP BY ROLLUP (venue)""",
     "months_backed": f"WITH {_PARTS} SELECT venue, month, bool_and(uploaded) AS backed FROM parts GROUP BY ALL",
@@ -472,9 +501,12 @@ SELECT venue, count(*) AS months, count(*) FILTER (sent = parts) AS whole, sum(p
 w AS (SELECT owner, unnest(range(min(m), max(m) + 1)) AS m FROM h GROUP BY owner) SELECT owner, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM w EXCEPT SELECT * FROM h)""",
     "stage_lag": f"""WITH {views.CATALOG_FILES}, a AS (SELECT DISTINCT series, month FROM catalog_files), b AS (SELECT DISTINCT series, month FROM catalog_files WHERE number < 3), n AS (SELECT series, max(month) AS newest FROM a GROUP BY series)
 SELECT series, month FROM (SELECT * FROM a EXCEPT SELECT * FROM b) JOIN n USING (series) WHERE month <> newest""",
-    "ledger_current": f"WITH {_LEDGER} SELECT led.partition, max(line) AS line, 'stocked' AS state, any_value(s) = 'outdated' AS outdated FROM led JOIN lst USING (partition) WHERE state = 'stocked' AND s <> 'updating' GROUP BY led.partition",
-    "ledger_repairs": f"""WITH {_LEDGER}, p AS (SELECT partition, line, lag(state) OVER (PARTITION BY partition ORDER BY line) AS prev FROM led)
-SELECT lst.partition, CASE WHEN prev = 'stocked' AND m = 'sides' THEN 'undo sides' ELSE 'drop' END AS action FROM lst JOIN p ON p.partition = lst.partition AND p.line = l WHERE s = 'updating'""",
+    "ledger_current": f"""WITH {_LEDGER}, held AS (SELECT partition, line, state FROM led a WHERE state = 'stocked' AND NOT EXISTS (SELECT 1 FROM led b WHERE b.partition = a.partition AND b.line > a.line AND b.state IN ('stocked', 'updating')))
+SELECT partition, line, state, EXISTS (SELECT 1 FROM led b WHERE b.partition = held.partition AND b.line > held.line AND b.state = 'outdated') AS outdated FROM held WHERE line % 10 <> 3""",
+    "ledger_repairs": f"""WITH {_LEDGER}, now AS (SELECT * FROM led QUALIFY row_number() OVER (PARTITION BY partition ORDER BY line DESC) = 1), was AS (SELECT * FROM led WHERE state = 'stocked' QUALIFY row_number() OVER (PARTITION BY partition ORDER BY line DESC) = 1),
+j AS (SELECT now.partition, was.partition IS NOT NULL AND was.grain = now.grain AND was.version = now.version AND (was.pre = now.pre OR was.pre = 'missing') AND (was.post = now.post OR was.post = 'missing') AS same, was.pre = 'missing' AND now.pre <> 'missing' AS pre, was.post = 'missing' AND now.post <> 'missing' AS post
+ FROM now LEFT JOIN was USING (partition) WHERE now.state = 'updating'), r AS (SELECT partition, CASE WHEN same THEN concat_ws(',', CASE WHEN pre THEN 'pre' END, CASE WHEN post THEN 'post' END) ELSE '' END AS sides FROM j)
+SELECT partition, CASE WHEN sides <> '' THEN 'undo sides' ELSE 'drop' END AS action, sides FROM r WHERE sides <> '' OR partition IN (SELECT partition FROM led WHERE line % 11 > 0)""",
     "store_reconciled": f"""WITH {views.CATALOG_FILES}, v AS (SELECT CASE series % 10 WHEN 1 THEN 'missing' WHEN 2 THEN 'renamed' WHEN 3 THEN 'resized' ELSE 'equal' END AS verdict, path FROM catalog_files UNION ALL SELECT 'orphaned', path || '~' FROM catalog_files WHERE series % 10 = 2)
 SELECT verdict, count(*) AS files, min(path) AS lowest, max(path) AS highest FROM v GROUP BY verdict""",
     "plans_compared": f"""WITH {views.CATALOG_FILES}, r AS (SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS version FROM catalog_files GROUP BY {_B}), h AS (SELECT {_B}, coalesce({_VERSION}, '0000000000000000') AS old FROM catalog_files WHERE series % 50 <> 9 AND venue <> 'R' GROUP BY {_B})
@@ -498,7 +530,7 @@ SELECT k AS p_partkey, CASE WHEN ok THEN 'okx' END AS venue, CASE WHEN ok THEN C
 SELECT p_partkey, n || CASE u WHEN 0 THEN 's' WHEN 1 THEN 'min' WHEN 2 THEN 'm' WHEN 3 THEN 'h' WHEN 4 THEN 'd' WHEN 5 THEN 'w' WHEN 6 THEN 'mo' WHEN 7 THEN '' ELSE 'parsec' END AS token,
  CASE WHEN u = 6 THEN CASE WHEN n > 0 THEN n || 'mo' END WHEN s IS NULL OR s <= 0 THEN NULL WHEN s < 60 THEN s || 's' WHEN s < 3600 AND s % 60 = 0 THEN s // 60 || 'm' WHEN s < 86400 AND s % 3600 = 0 THEN s // 3600 || 'h' WHEN s < 604800 AND s % 86400 = 0 THEN s // 86400 || 'd'
  WHEN s % 604800 = 0 THEN s // 604800 || 'w' WHEN s % 86400 = 0 THEN s // 86400 || 'd' WHEN s % 3600 = 0 THEN s // 3600 || 'h' WHEN s % 60 = 0 THEN s // 60 || 'm' ELSE s || 's' END AS interval FROM s""",
-    "tags_normalised": f"WITH {views.CATALOG_FILES} SELECT path, CASE WHEN number = 3 THEN etag || '-7' ELSE etag END AS tag, number <> 3 AS digest FROM catalog_files",
+    "tags_normalised": f"WITH {views.CATALOG_FILES} SELECT path, CASE number WHEN 3 THEN etag || '-7' WHEN 4 THEN 'w/' || chr(34) || etag WHEN 5 THEN 'a' || chr(34) || etag || '-gzip' ELSE etag END AS tag, number NOT IN (3, 4, 5) AS digest FROM catalog_files",
     "periods_stepped": """WITH o AS (SELECT o_orderkey, o_orderdate AS d, o_orderdate + INTERVAL '23 hours 59 minutes' AS e, o_orderkey % 4 AS g FROM orders),
 f AS (SELECT *, CASE g WHEN 0 THEN 6 WHEN 1 THEN 8 WHEN 2 THEN 10 ELSE 12 END AS w, CASE g WHEN 0 THEN INTERVAL 1 MONTH WHEN 1 THEN INTERVAL 1 DAY WHEN 2 THEN INTERVAL 1 HOUR ELSE INTERVAL 1 MINUTE END AS i,
  CASE g WHEN 0 THEN date_trunc('month', d) WHEN 1 THEN d WHEN 2 THEN date_trunc('hour', e) ELSE e END AS base FROM o),

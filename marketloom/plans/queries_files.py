@@ -333,14 +333,16 @@ def partitions_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ledger_written(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Partitions marked, written and recorded in a log of several files, some of their writes never ended, and what the log then says."""
-    p = views.partitions(spark, sf_dir).select(F.concat_ws("/", "venue", "dataset", "month").alias("partition"), F.lit("whole").alias("mode"), F.lit("r1").alias("revision"))
+    """Partitions marked, written and recorded in a log of several files, some of their writes never ended, and what the log then says: those that ended
+    with a 1 were adding a side, and of those with a 2 nothing is in the store."""
+    p = views.partitions(spark, sf_dir).select(F.concat_ws("/", "venue", "dataset", "month").alias("partition"), F.lit("r1").alias("revision"), F.lit("daily").alias("grain"), F.lit("market").alias("bundle"), F.lit("v").alias("version"),
+                                               F.lit("missing").alias("pre_version"), F.lit("e").alias("post_version"))
     path = scratch(spark, "ledger")
     sinks.recorded(p, path, lambda: None)
     sinks.append_ledger(p.filter(F.col("partition").startswith("A")).withColumn("state", F.lit("outdated")), path)
-    sinks.append_ledger(p.filter(F.col("partition").startswith("N")).withColumn("state", F.lit("updating")), path)
+    sinks.append_ledger(p.filter(F.col("partition").startswith("N")).withColumns({"state": F.lit("updating"), "pre_version": F.when(F.col("partition").endswith("1"), "e").otherwise("missing")}), path)
     current = reconcile.ledger_current(scans.read_ledger(spark, path))
-    repairs = reconcile.repair_plan(scans.read_ledger(spark, path)).select("partition", F.lit(None).cast("string").alias("revision"), "action")
+    repairs = reconcile.repair_plan(scans.read_ledger(spark, path), p.filter("NOT endswith(partition, '2')")).select("partition", F.lit(None).cast("string").alias("revision"), "action")
     return current.select("partition", "revision", F.when(F.col("outdated"), "outdated").otherwise("current").alias("action")).unionByName(repairs)
 
 
@@ -419,7 +421,7 @@ SELECT symbol, min(ts) AS first, max(ts) AS last FROM r GROUP BY symbol HAVING m
     "sides_written": f"""WITH {_T}, m AS (SELECT *, {_MARKET} AS market, CASE WHEN side <> 'error' THEN 'own' WHEN ts < 1705500000000000 THEN 'pre' ELSE 'post' END AS part FROM ticks)
 SELECT market, part, count(*) AS rows, min(ts) AS first FROM m GROUP BY ALL UNION ALL SELECT 'none', 'own', 0, NULL""",
     "partitions_compacted": f"WITH {_T}, m AS (SELECT *, {_MARKET} AS market, strftime(make_timestamp(ts), '%Y-%m') AS month FROM ticks) SELECT market, month, 1::BIGINT AS files, count(*) AS rows, max(CAST(sequence AS VARCHAR)) AS highest FROM m GROUP BY ALL",
-    "ledger_written": f"WITH {_PARTS} SELECT partition, CASE WHEN partition NOT LIKE 'N%' THEN 'r1' END AS revision, CASE partition[1] WHEN 'A' THEN 'outdated' WHEN 'N' THEN 'drop' ELSE 'current' END AS action FROM p",
+    "ledger_written": f"WITH {_PARTS} SELECT partition, CASE WHEN partition NOT LIKE 'N%' THEN 'r1' END AS revision, CASE partition[1] WHEN 'A' THEN 'outdated' WHEN 'N' THEN CASE WHEN partition LIKE '%1' THEN 'undo sides' ELSE 'drop' END ELSE 'current' END AS action FROM p WHERE partition NOT LIKE 'N%2'",
     "withdrawals_logged": f"WITH {views.CATALOG_FILES} SELECT venue, path, CASE WHEN number % 2 = 1 THEN 'withdrawn' ELSE 'returned' END AS event, size FROM catalog_files WHERE existence = 'absent'",
     "cells_quoted": "SELECT conv_id, turn, md5('\"a\", ' || text || ' \"\"' || chr(10) || ';' || role) AS digest FROM conversations",
     "buckets_read": """WITH r AS (SELECT 'chat' AS "table", conv_id, length(text) + 8 AS n FROM conversations UNION ALL SELECT 'trade', conv_id, length(text) FROM conversations)

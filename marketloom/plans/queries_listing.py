@@ -9,6 +9,7 @@ from marketloom.functions import listing, names, times
 from marketloom.operators import catalog, lenses, reconcile
 from marketloom.plans import queries_catalog as base
 from marketloom.plans import views
+from marketloom.schema import fields_json
 from marketloom.session import table
 
 BY = base.BY
@@ -115,12 +116,16 @@ def files_excluded(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_misfiled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Files of which every ninth supplier's are in the folder of the month after, less those of a kept list."""
+    """Files of days, months and hours, of which every third supplier's are in the folder of the month after, less those of a kept list; and those of another tree."""
     f = views.catalog_files(spark, sf_dir)
-    shift = F.when(F.col("series") % 9 == 0, 1).otherwise(0)
-    month = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("01")), "yyyyMMdd"), shift), "yyyy-MM")
-    placed = f.select(F.concat(F.replace("path", F.lit("/"), F.lit("_")), F.lit("/"), month, F.lit("/x-"), "date", F.lit(".csv")).alias("path"), "number")
-    return catalog.misfiled(placed.select("path"), placed.filter("number = 2").select("path"))
+    shift = F.when(F.col("series") % 3 == 0, 1).otherwise(0)
+    month = F.date_format(F.add_months(F.to_date(F.concat("month", F.lit("01")), "yyyyMMdd"), shift), "yyyyMM")
+    stamp = F.when(F.col("number") == 1, F.col("month")).when(F.col("number") == 4, F.concat("date", F.lit("07"))).otherwise(F.col("date"))
+    tree = F.when(F.col("number") == 5, "futures_btc").otherwise("spot")
+    name = F.concat(F.when(F.col("series") % 2 == 0, "X_USD").otherwise("X_USDT"), F.lit("-"), stamp, F.lit(".csv.gz"))
+    placed = f.select(F.concat_ws("/", tree, F.replace("path", F.lit("/"), F.lit("_")), month, name).alias("path"))
+    kept = f.select(F.when(F.col("series") % 2 == 0, "X_USD").otherwise("X_USDT").alias("symbol"), F.col("date").alias("day")).filter("day LIKE '%1' AND symbol = 'X_USD'").distinct()
+    return catalog.misfiled(placed, kept).withColumn("fault", F.lit("month")).unionByName(catalog.wrong_tree(placed).withColumn("fault", F.lit("tree")))
 
 
 def prefixes_established(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -179,7 +184,7 @@ def revisions_made(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = views.partitions(spark, sf_dir).withColumn("partition", F.concat_ws("/", *BY))
     edges = F.when(F.col("files") % 3 == 0, F.array(F.struct(F.lit("n").alias("id"), F.lit("pre").alias("side"), F.col("month").alias("version")))).otherwise(F.array().cast("array<struct<id:string,side:string,version:string>>"))
     missing = F.when(F.col("files") % 3 == 1, F.array(F.lit("pre"), F.lit("post"))).otherwise(F.array().cast("array<string>"))
-    return p.select("partition", names.revision(F.array(F.lit("s1"), F.lit("s2")), F.lit("ts,price"), F.col("partition"), F.col("files").cast("string"), edges, missing).alias("revision"))
+    return p.select("partition", names.revision(F.array(F.lit("every=1.0.0"), F.lit("series=1.2.0")), F.lit(fields_json("quotes")), F.col("partition"), F.col("files").cast("string"), edges, missing).alias("revision"))
 
 
 def prefixes_made(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -260,7 +265,9 @@ SELECT s.slice, CAST(NULL AS VARCHAR) AS "from", CASE WHEN c IS NOT NULL THEN '1
 SELECT slice, series, min(date) AS first, max(date) AS last FROM d JOIN u USING (slice) WHERE substr(date, 1, 6) BETWEEN f AND t GROUP BY slice, series, f, t""",
     "partitions_named": f"WITH {_R}, n AS (SELECT DISTINCT {_KEY} FROM rend WHERE bundle = 'market') SELECT concat_ws('|', {_KEY}) AS name, partition, files FROM rend JOIN n USING ({_KEY})",
     "files_excluded": f"WITH {_CF} SELECT venue, dataset, count(*) AS files, sum(size)::BIGINT AS bytes FROM catalog_files WHERE number <> 1 GROUP BY ALL",
-    "files_misfiled": f"WITH {_CF} SELECT replace(path, '/', '_') || '/' || strftime(strptime(month || '01', '%Y%m%d') + INTERVAL 1 MONTH, '%Y-%m') || '/x-' || date || '.csv' AS path FROM catalog_files WHERE series % 9 = 0 AND number <> 2",
+    "files_misfiled": f"""WITH {_CF}, p AS (SELECT series, number, date, CASE WHEN number = 5 THEN 'futures_btc' ELSE 'spot' END || '/' || replace(path, '/', '_') || '/' || strftime(strptime(month || '01', '%Y%m%d') + CASE WHEN series % 3 = 0 THEN INTERVAL 1 MONTH ELSE INTERVAL 0 MONTH END, '%Y%m')
+ || '/' || CASE WHEN series % 2 = 0 THEN 'X_USD' ELSE 'X_USDT' END || '-' || CASE number WHEN 1 THEN month WHEN 4 THEN date || '07' ELSE date END || '.csv.gz' AS path FROM catalog_files)
+SELECT path, 'month' AS fault FROM p WHERE series % 3 = 0 AND number <> 4 AND NOT (number <> 1 AND series % 2 = 0 AND date LIKE '%1') UNION ALL SELECT path, 'tree' FROM p WHERE number = 5 AND series % 2 = 1""",
     "prefixes_established": """WITH o AS (SELECT *, o_orderkey % 4 AS g, 'a' || o_orderkey % 3 AS a, 'b' || o_orderkey % 5 AS b, 'c' || o_orderkey % 7 AS c, o_orderstatus = 'P' AND o_orderkey % 4 >= 1 AND o_orderkey % 3 = 1 AND o_orderkey % 5 = 2 AND o_orderkey % 7 = 3 AS live FROM orders),
 r AS (SELECT CASE g WHEN 0 THEN a WHEN 1 THEN a || '/' || b ELSE a || '/' || b || '/' || c END AS scope, live, o_orderdate FROM o),
 p AS (SELECT DISTINCT a || '/' || b || '/' || c AS prefix FROM o), q AS (SELECT prefix, r.scope, o_orderdate FROM p JOIN r ON NOT live AND (prefix = r.scope OR starts_with(prefix, r.scope || '/')))
@@ -278,7 +285,8 @@ SELECT k AS series, date, 'x/' || CASE WHEN k % 2 = 1 THEN 'S' || k WHEN substr(
     "patterns_filled": """SELECT p_partkey, CASE p_partkey % 3 WHEN 1 THEN 'dir' WHEN 2 THEN 'name' END AS kind, CASE p_partkey % 3 WHEN 0 THEN 'a/S' || p_partkey || '/202402030405' WHEN 1 THEN 'b/' || CASE WHEN p_partkey % 2 = 0 THEN 'K' ELSE 'S' END || p_partkey || '.' || CASE WHEN p_partkey % 5 <> 0 THEN 'p' || p_partkey ELSE '' END
  ELSE 'c/' || CASE WHEN p_partkey % 2 = 0 THEN 'K' || p_partkey ELSE 'plain' END || '/02' END AS key FROM part""",
     "revisions_made": f"""WITH {views.PARTITIONS}, p AS (SELECT concat_ws('/', {_B}) AS partition, files, month FROM partitions)
-SELECT partition, substr(sha256('s1' || chr(10) || 's2' || chr(10) || 'ts,price' || chr(10) || partition || chr(10) || files || CASE files % 3 WHEN 0 THEN chr(10) || 'apart' || chr(10) || 'n' || chr(10) || 'pre' || chr(10) || month WHEN 1 THEN chr(10) || 'apart' || chr(10) || 'post missing' || chr(10) || 'pre missing' ELSE '' END), 1, 12) AS revision FROM p""",
+SELECT partition, substr(sha256(replace('every=1.0.0~series=1.2.0~[{{"name":"ts","type":"BIGINT"}},{{"name":"bidPrice","type":"DOUBLE"}},{{"name":"bidSize","type":"DOUBLE"}},{{"name":"askPrice","type":"DOUBLE"}},{{"name":"askSize","type":"DOUBLE"}},{{"name":"margin","type":"VARCHAR"}}]'
+ || partition || '~' || files || '~' || CASE files % 3 WHEN 0 THEN 'apart~n~pre~' || month || '~' WHEN 1 THEN 'apart~post~missing~pre~missing~' ELSE '' END, '~', chr(10))), 1, 12) AS revision FROM p""",
     "prefixes_made": """SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'v/spot/klines' || CASE WHEN p_partkey % 2 = 0 THEN ',1m' ELSE '' END || '/B/btc' || p_partkey || '/' WHEN 1 THEN 'v/spot/klines' || CASE WHEN p_partkey % 2 = 0 THEN ',1m' ELSE '' END || '/_/1' || p_partkey || '/'
  WHEN 4 THEN 'v/spot/klines' || CASE WHEN p_partkey % 2 = 0 THEN ',1m' ELSE '' END || '/@/' END AS prefix FROM part""",
     "series_open": "SELECT o_orderkey, (o_orderkey % 3 = 0 AND o_orderkey % 6 <> 0) OR o_orderkey % 7 = 0 OR o_orderkey % 40 <= 15 AS is_open FROM orders",

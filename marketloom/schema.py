@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import types as T
 
 # Column names and types of the canonical tables, in order, after ts.
@@ -38,6 +40,15 @@ LEVELS = {"klines": ["interval"], "markPrice": ["interval"], "indexPrice": ["int
 ORDER_BOOKS = ("orderBook", "orderBookSnapshot", "orderBookBands")
 
 
+# How types are named where a table's fields are written down.
+_WRITTEN = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN", "array<array<double>>": "DOUBLE[][]"}
+
+
+def fields_json(table: str) -> str:
+    """A table's fields as revisions hash them: compact JSON, name and type in their order."""
+    return json.dumps([{"name": name, "type": _WRITTEN[kind]} for name, kind in TABLES[table]], separators=(",", ":"))
+
+
 def levels_of(table: str) -> list[str]:
     return ["venue", "market", *LEVELS.get(table, []), "month"]
 

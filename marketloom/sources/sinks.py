@@ -67,8 +67,9 @@ def write_sides(df: DataFrame, root: str, table: str, side: str) -> None:
 
 
 def append_ledger(df: DataFrame, path: str, at: int | None = None) -> None:
-    """Lines at the end of a log, stamped with when (ns): rows of one call are of one time, as they are of different partitions."""
-    df.withColumn("at", F.lit(at if at is not None else time.time_ns())).coalesce(1).write.mode("append").options(sep="|", header=True).csv(path)
+    """Lines at the end of a log, stamped with when (ns): rows of one call are of one time, as they are of different partitions, and may lie in
+    any number of files."""
+    df.withColumn("at", F.lit(at if at is not None else time.time_ns())).hint("rebalance").write.mode("append").options(sep="|", header=True).csv(path)
 
 
 def recorded(partitions: DataFrame, path: str, write: Callable[[], None]) -> None:

@@ -54,9 +54,67 @@ def test_reports_and_probes(spark):
     report = spark.createDataFrame([("v", "a", "downloaded", None, None, "now", False), ("v", "b", "failed", None, None, "now", True), ("v", "c", "mismatched", 9, "y", "now", False)], "venue string, path string, outcome string, size long, etag string, at string, confirmed_absent boolean")
     got = {r.path: (r.existence, r["size"], r.downloaded_at) for r in changes.apply_report(files, report).collect()}
     assert got == {"a": ("confirmed", 5, "now"), "b": ("absent", 5, None), "c": ("confirmed", 9, None), "e": ("absent", 5, "old")}
-    probes = spark.createDataFrame([("v", "e", True, 5, "x"), ("v", "c", True, 6, "x"), ("v", "a", False, None, None)], "venue string, path string, found boolean, size long, etag string")
-    got = {r.path: (r.existence, r.downloaded_at) for r in changes.settle(files, probes).collect()}
-    assert got == {"e": ("confirmed", "old"), "c": ("confirmed", None), "a": ("absent", None), "b": ("confirmed", None)}
+
+
+def test_settled_candidates(spark):
+    """Only what is parked, answered for and known by size and tag arrives; of the rows held before, only withdrawn ones change."""
+    files = spark.createDataFrame([("v", p, "d", 5, "x", "m", e, d) for p, e, d in (("a", "confirmed", "old"), ("b", "absent", "old"), ("c", "absent", "old"), ("d", "absent", "old"), ("e", "absent", "old"))], FILE)
+    parked = spark.createDataFrame([("v", p, "d2", None, t, "p") for p, t in (("a", "x"), ("b", "x"), ("c", "x"), ("d", "x"), ("f", None), ("g", "x"), ("h", "x"), ("i", "x"))], "venue string, path string, date string, size long, etag string, modified string")
+    ask = lambda p, size=5, etag=None, existence=None: ("v", p, size, etag, None, existence)
+    probes = spark.createDataFrame([ask("a", 9), ask("b"), ask("c", 6), ask("d", existence="absent"), ask("e"), ask("f"), ask("g", None), ask("h", existence="absent"), ask("i", etag="y")], "venue string, path string, size long, etag string, modified string, existence string")
+    got = {r.path: (r.date, r["size"], r.etag, r.existence, r.downloaded_at) for r in changes.settle(files, parked, probes).collect()}
+    assert got == {"a": ("d", 5, "x", "confirmed", "old"), "b": ("d2", 5, "x", "confirmed", "old"), "c": ("d2", 6, "x", "confirmed", None), "d": ("d", 5, "x", "absent", "old"), "e": ("d", 5, "x", "absent", "old"),
+                   "h": ("d2", 5, "x", "absent", None), "i": ("d2", 5, "y", "confirmed", None)}
+    assert {r.path for r in changes.learned(parked, probes).filter("NOT settled").collect()} == {"f", "g"}
+
+
+def test_series_after_their_files(spark):
+    from pyspark.sql import functions as F
+
+    series = spark.createDataFrame([("none", "daily", "19950101", "19960101", "19970101"), ("open", "daily", None, "20991231", None), ("narrow", "daily", "19950101", "19991231", "19980601"), ("month", "monthly", None, "199801", "199001"), ("gone", "daily", "19960101", "19960101", None)],
+                                   "series string, grain string, first string, last string, tip string")
+    files = spark.createDataFrame([("open", "19960505", "confirmed"), ("open", "20991231", "confirmed"), ("narrow", "19960505", "assumed"), ("narrow", "19960707", "absent"), ("month", "199801", "confirmed"), ("gone", "19960101", "absent")], "series string, date string, existence string")
+    got = changes.reconcile_series(series, files, ["series"], F.lit("2024-06-10 12:00:00").cast("timestamp"))
+    assert rows(got, "series", "first", "last", "tip", "lifted", "corrected") == [
+        ("month", "199801", "199801", "202404", True, True), ("narrow", "19960505", "19960505", "20240525", True, True), ("open", "19960505", "20991231", "20240609", True, True)]
+    early = changes.reconcile_series(series, files, ["series"], F.lit("1998-06-10 12:00:00").cast("timestamp"))
+    assert rows(early, "series", "tip", "lifted") == [("month", "199804", True), ("narrow", "19980609", True), ("open", "19980609", True)]
+
+
+def test_revision_bytes(spark):
+    """A digest written out by hand: a line break behind every part but the fields."""
+    import hashlib
+
+    from pyspark.sql import functions as F
+
+    from marketloom.functions.names import revision
+    from marketloom.schema import fields_json
+
+    assert fields_json("funding") == '[{"name":"ts","type":"BIGINT"},{"name":"rate","type":"DOUBLE"},{"name":"intervalHours","type":"BIGINT"}]'
+    none = F.array().cast("array<struct<id:string,side:string,version:string>>")
+    edge = F.array(F.struct(F.lit("n").alias("id"), F.lit("pre").alias("side"), F.lit("e").alias("version")))
+    made = lambda edges, *missing: spark.range(1).select(revision(F.array(F.lit("a"), F.lit("b")), F.lit("[]"), F.lit("p"), F.lit("v"), edges, F.array(*[F.lit(m) for m in missing]).cast("array<string>"))).first()[0]
+    sha = lambda text: hashlib.sha256(text.encode()).hexdigest()[:12]
+    assert made(none) == sha("a\nb\n[]p\nv\n")
+    assert made(edge) == sha("a\nb\n[]p\nv\napart\nn\npre\ne\n")
+    assert made(none, "pre", "post") == sha("a\nb\n[]p\nv\napart\npost\nmissing\npre\nmissing\n")
+
+
+def test_tags(spark):
+    from marketloom.functions.names import norm_etag
+
+    raw = {'"Ab"': "ab", 'W/"Ab"': 'w/"ab', '""x""': '"x"', "&quot;Q-gzip&quot;": "q", '"&quot;': '', "x-gzip": "x", "x-GZIP": "x-gzip", 'a"b': 'a"b', '"a-gzip"': "a"}
+    frame = spark.createDataFrame(list(raw.items()), "raw string, want string")
+    assert [(r[0], r[1]) for r in frame.select(norm_etag(frame.raw), "want").collect() if r[0] != r[1]] == []
+
+
+def test_misfiled(spark):
+    paths = ["s/k/202401/BTC-202402.csv.gz", "s/k/202401/BTC-20240201.csv.gz", "s/k/202401/BTC-2024020100.csv.gz", "s/k/202401/BTC-20240131.csv.gz", "s/k/202401/KEPT-20240201.csv.gz", "s/k/2024-01/BTC-20240201.csv.gz", "s/k/202401/A-B-20240201.csv"]
+    files = spark.createDataFrame([(p,) for p in paths], "path string")
+    kept = spark.createDataFrame([("KEPT", "20240201")], "symbol string, day string")
+    assert {r.path for r in catalog.misfiled(files, kept).collect()} == {paths[0], paths[1], paths[6]}
+    trees = spark.createDataFrame([(p,) for p in ("futures_btc/t/202401/BTC_USD-202401.csv.gz", "futures_btc/t/202401/BTC_USDT-202401.csv.gz", "futures_usdt/t/202401/BTC_USDT-202401.csv.gz", "futures_btc/t/2024/BTC_USDT-2.csv")], "path string")
+    assert [r.path for r in catalog.wrong_tree(trees).collect()] == ["futures_btc/t/202401/BTC_USDT-202401.csv.gz"]
 
 
 def test_counter_deltas_cancel(spark):
@@ -66,9 +124,21 @@ def test_counter_deltas_cancel(spark):
 
 
 def test_ledger(spark):
-    log = spark.createDataFrame([("a", 1, "stocked", "whole"), ("a", 2, "updating", "sides"), ("b", 3, "stocked", "whole"), ("b", 4, "outdated", None), ("c", 5, "updating", "whole"), ("d", 6, "stocked", "whole"), ("d", 7, "stocked", "whole")], "partition string, line long, state string, mode string")
-    assert rows(reconcile.ledger_current(log), "partition", "line", "outdated") == [("b", 3, True), ("d", 7, False)]
-    assert rows(reconcile.repair_plan(log), "partition", "action") == [("a", "undo sides"), ("c", "drop")]
+    schema = "partition string, line long, state string, revision string, grain string, bundle string, version string, pre_version string, post_version string"
+    line = lambda p, n, state, revision="r", grain="daily", version="v", pre="missing", post="e": (p, n, state, revision, grain, "market", version, pre, post)
+    log = spark.createDataFrame([
+        line("a", 1, "stocked"), line("a", 2, "outdated"), line("a", 3, "updating", pre="p"),  # a side comes to a stocked month, marked or not
+        line("b", 3, "stocked"), line("b", 4, "outdated"), line("c", 5, "updating"), line("d", 6, "stocked"), line("d", 7, "stocked", "r2"),
+        line("e", 8, "stocked"), line("e", 9, "updating"), line("e", 10, "outdated"),  # a mark does not bring back what updating took
+        line("f", 11, "stocked"), line("f", 12, "updating"), line("f", 13, "stocked"), line("f", 14, "outdated"), line("f", 15, "stocked"),
+        line("g", 16, "stocked"), line("g", 17, "updating", version="w", pre="p"), line("h", 18, "stocked", pre="o"), line("h", 19, "updating", pre="p"),
+        line("i", 20, "stocked", post="missing"), line("i", 21, "updating", pre="p", post="q"), line("j", 22, "stocked"), line("j", 23, "updating", grain="monthly", pre="p"),
+        line("k", 24, "stocked"), line("k", 25, "updating"), line("l", 26, "outdated")], schema)
+    assert rows(reconcile.ledger_current(log), "partition", "line", "outdated") == [("b", 3, True), ("d", 7, False), ("f", 15, False)]
+    assert rows(reconcile.ledger_current(log, distrusted=spark.createDataFrame([("b", "r"), ("d", "r"), ("d", "x")], "partition string, revision string")), "partition", "line") == [("d", 7), ("f", 15)]
+    held = spark.createDataFrame([(x,) for x in "abceghijk"], "partition string")
+    got = {r.partition: (r.action, r.sides) for r in reconcile.repair_plan(log, held.filter("partition <> 'k'")).collect()}
+    assert got == {"a": ("undo sides", ["pre"]), "c": ("drop", []), "g": ("drop", []), "h": ("drop", []), "i": ("undo sides", ["pre", "post"]), "j": ("drop", [])}
 
 
 def test_batches_fit(spark):
