@@ -64,6 +64,14 @@ def join_spread(rows: DataFrame, facts: DataFrame, keys: list[str], n: str = "n"
     return rows.join(F.broadcast(hot), keys).unionByName(rest)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A name that no column of df has, in any case of letters: name, or name with underscores behind it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def text_bytes(column: str = "text"):
     """The UTF-8 bytes of a text; a null is an empty text."""
     return F.coalesce(F.col(column), F.lit("")).cast("binary")

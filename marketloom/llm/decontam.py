@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import small_batches, text_bytes
+from marketloom.llm.common import fresh, small_batches, text_bytes
 from marketloom.llm.rolling import runs_of_words, word_hashes
 
 SHINGLE, SIMILARITY, RADIUS = 5, 0.8, 20
@@ -178,7 +178,7 @@ def _without(docs: DataFrame, items: list[tuple[int, bytes]], similarity: float,
             keep[list(matches_of(batch.column(batch.num_columns - 1), bench))] = False
             yield pa.RecordBatch.from_arrays(batch.columns[:-1], names=batch.schema.names[:-1]).filter(pa.array(keep))
 
-    return docs.withColumn("_body", text_bytes()).mapInArrow(run, docs.schema)
+    return docs.withColumn(fresh(docs, "_body"), text_bytes()).mapInArrow(run, docs.schema)
 
 
 def _item_blocks(benchmark: DataFrame):

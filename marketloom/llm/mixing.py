@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import drop_stored, small_batches, stored
+from marketloom.llm.common import drop_stored, fresh, small_batches, stored
 
 #: The classifier's bounds: labelled rows and words it is fitted on; and how sharp its posteriors are.
 SAMPLE, WORDS, SHARPNESS = 4_000, 20_000, 2.0
@@ -88,7 +88,7 @@ def memberships(docs: DataFrame, domains: Domains) -> DataFrame:
                 names=[*batch.schema.names[:-1], "tokens", "posterior"])
 
     schema = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in base.schema.fields)
-    return base.withColumn("_words", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(run, f"{schema}tokens long, posterior array<double>")
+    return base.withColumn(fresh(base, "_words"), F.coalesce(F.col("text"), F.lit(""))).mapInArrow(run, f"{schema}tokens long, posterior array<double>")
 
 
 def rate_of(c: list[float], least: float) -> Column:
@@ -143,9 +143,10 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
     k = len(domains.names)
     unit = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     own = docs.drop("domain", "rate", "copies", "tokens", "posterior")
+    part = fresh(own, "_unit")
     kept = [c for c in own.columns if keep is None or c in keep]
     # one pass over the texts: what follows reads the table
-    members = stored(memberships(own.withColumn("_unit", unit), domains).select(*kept, "_unit", "tokens", "posterior"))
+    members = stored(memberships(own.withColumn(part, unit), domains).select(*kept, part, "tokens", "posterior"))
     sums = members.agg(*[F.sum(F.col("tokens") * F.col("posterior")[i]) for i in range(k)]).first()
     now = np.array([x or 0.0 for x in sums])
     shares = now / now.sum() if now.sum() else np.full(k, 1 / k)
@@ -158,8 +159,8 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
         c = [least / low * (1 + x) - 1 for x in c]
     rated = members.withColumn("rate", F.round(rate_of(c, least), 9))
     domain = F.element_at(F.array(*[F.lit(x) for x in domains.names]), F.array_position("posterior", F.array_max("posterior")).cast("int"))
-    copies = (F.floor("rate") + (F.col("_unit") < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
-    return rated.withColumn("domain", domain).withColumn("copies", copies).drop("_unit")
+    copies = (F.floor("rate") + (F.col(part) < F.col("rate") - F.floor("rate")).cast("long")).cast("int")
+    return rated.withColumn("domain", domain).withColumn("copies", copies).drop(part)
 
 
 def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -170,4 +171,5 @@ def labelled_languages(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def repeat_rows(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """Each row as often as its copies say; none for no copies."""
-    return mixed.filter("copies > 0").select(*columns, F.explode(F.array_repeat(F.lit(True), F.col("copies"))).alias("_copy")).drop("_copy")
+    rows = mixed.filter("copies > 0")
+    return rows.withColumn(fresh(rows, "_copy"), F.explode(F.array_repeat(F.lit(True), F.col("copies")))).select(*columns)

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import components, drop_stored, join_spread, small_batches, stored, text_bytes
+from marketloom.llm.common import components, drop_stored, fresh, join_spread, small_batches, stored, text_bytes
 
 SEED = 42
 #: Shingles that are voted on at a time: bounds the memory a very long text takes.
@@ -343,12 +343,13 @@ def near_copies(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
 
 def one_of_each(docs: DataFrame, radius: int = COPY_RADIUS) -> DataFrame:
     """docs, all columns kept, with one row of each group of near copies: that of the smallest doc_id
-    (nulls last), of equal ids that of the smallest text hash; of wholly equal ones any."""
+    (nulls last), of equal ids that of the smallest text hash; of rows equal in both, which may differ in other columns, any."""
     grouped = stored(near_copies(docs, radius))
     place = F.struct(F.col("doc").isNull().alias("none"), "doc", "row")
     first = grouped.groupBy("group").agg(F.min(place).alias("p")).select("p.doc", "p.row")
-    keyed = docs.withColumn("_doc", F.col("doc_id").cast("long")).withColumn("_row", F.xxhash64(text_bytes()))
-    kept = keyed.join(first, keyed["_doc"].eqNullSafe(first["doc"]) & (keyed["_row"] == first["row"]), "left_semi")
+    doc, row = fresh(docs, "_doc"), fresh(docs, "_row")
+    keyed = docs.withColumn(doc, F.col("doc_id").cast("long")).withColumn(row, F.xxhash64(text_bytes()))
+    kept = keyed.join(first, keyed[doc].eqNullSafe(first["doc"]) & (keyed[row] == first["row"]), "left_semi")
     if not grouped.groupBy("doc", "row").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_doc", "_row"])
+        kept = kept.dropDuplicates([doc, row])
     return kept.select(*docs.columns)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketloom.llm.common import small_batches, stored
+from marketloom.llm.common import fresh, small_batches, stored
 
 SENTENCE = re.compile(r"[^.!?\n]+")
 NOT_LETTERS = re.compile(r"[\W\d_]+")
@@ -219,7 +219,7 @@ def score(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFr
                 names=[*batch.schema.names[:-1], *added])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in base.schema.fields)
-    return base.withColumn("_scored_text", F.coalesce(F.col("text"), F.lit(""))).mapInArrow(run, f"{schema}, score double, predicted int, worst_start int, worst_end int, worst_score double")
+    return base.withColumn(fresh(base, "_scored_text"), F.coalesce(F.col("text"), F.lit(""))).mapInArrow(run, f"{schema}, score double, predicted int, worst_start int, worst_end int, worst_score double")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, fit: Fit = Fit()) -> DataFrame:

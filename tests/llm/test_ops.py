@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from marketloom.llm import decontam, licences, mixing, registry, repeats, sharding, simhash, spotsigs, tokens, toxicity, warc
 from marketloom.llm.common import components
@@ -680,3 +681,25 @@ def test_pipeline(spark):
     assert stages["mixing"][0] == stages["mixing"][1] == stages["sharding"][1]
     whole = corpus_pipeline.run(spark, SF)
     assert {r.doc_id for r in whole.collect()} == stages["sharding"][1]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    """Columns that are called as a stage's helpers and outputs are: all stages keep them, with their values."""
+    docs = documents(spark)
+    names = ["_scored_text", "_words", "_unit", "_copy", "_body", "_doc", "_row", "doc", "row", "group", "node", "license_id", "canonical_digest", "component_id", "fingerprint", "law", "slot", "domain_"]
+    with_clashes = docs.withColumns({n: F.concat(F.lit(f"{n}:"), "doc_id") for n in names})
+    marks = spark.read.parquet(f"{SF}/labels.parquet")
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+
+    def stages(frame):
+        yield "toxicity", toxicity.reject_toxic(spark, frame, marks)
+        yield "copies", simhash.one_of_each(frame)
+        yield "leaks", decontam.drop_leaked(frame, bench)
+        yield "mixing", mixing.repeat_rows(mixing.mix(frame, mixing.labelled_languages(frame, marks), least=1.0), frame.columns)
+
+    plain = {name: sorted(r.doc_id for r in out.collect()) for name, out in stages(docs)}
+    for name, out in stages(with_clashes):
+        assert out.columns == with_clashes.columns, name
+        rows = out.collect()
+        assert sorted(r.doc_id for r in rows) == plain[name], name
+        assert all(r[n] == f"{n}:{r.doc_id}" for r in rows for n in names), name
