@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 #: Days after which a month's late rows are no longer waited for.
 PATIENCE = "15 days"
@@ -103,68 +103,125 @@ def _fields(df: DataFrame, names: tuple[str, ...]) -> str:
     return ", ".join(f"`{n}` {kinds[n]}" for n in names)
 
 
-def dedup_clocked(messages: DataFrame, threshold_ms: int, by: tuple[str, ...] = ("source", "table", "day"), late: str = PATIENCE) -> DataFrame:
-    """Messages (by, arrival, ts µs, content) less repeats that the clock of their key is threshold_ms past.
+def keyed_state(spark: SparkSession) -> None:
+    """State of any number of keys lies in a local database on disk and its changes in the checkpoint, not in a task's memory. A query that is begun
+    under another store keeps that one."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
-    All rows of a key in a batch are put in order of arrival, however they are cut into chunks and
-    files. Across batches arrivals must rise: a row at or below the newest arrival of an earlier
-    batch is kept and changes nothing, as a drop could not be undone. A key's state is its clock,
-    its newest arrival and the hashes of the contents seen; with the day in the key it is a day's.
-    It is forgotten once the stream's times are `late` past the key's clock, and so are rows older than that.
-    """
 
-    def run(key: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        clock, newest, hashes = state.get if state.exists else (-(2**62), -(2**62), [])
-        frame, seen, keep = _in_order(rows, "arrival"), set(hashes), []
+class ClockedRepeats(StatefulProcessor):
+    """A key's clock and newest arrival, and a map entry for each content it has seen: a batch reads and writes the entries of its own contents only."""
+
+    def __init__(self, threshold_ms: int, columns: list[str], forget_ms: int | None):
+        self.threshold, self.columns, self.forget_ms = threshold_ms * 1000, columns, forget_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.clock = handle.getValueState("clock", "clock long, arrival long", self.forget_ms)
+        self.seen = handle.getMapState("seen", "content_hash binary", "arrival long", self.forget_ms)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        clock, newest = self.clock.get() if self.clock.exists() else (-(2**62), -(2**62))
+        frame, known, keep = _in_order(rows, "arrival"), {}, []
         for arrival, ts, content in frame[["arrival", "ts", "content_hash"]].itertuples(index=False):
             if arrival <= newest:  # after what it came before: it cannot be judged
                 keep.append(True)
                 continue
             clock = max(clock, ts)
-            keep.append(not (content in seen and clock - ts >= threshold_ms * 1000))
-            seen.add(content)
-        state.update((int(clock), int(max(newest, frame["arrival"].max())), list(seen)))
-        state.setTimeoutTimestamp(max(int(clock) // 1000, state.getCurrentWatermarkMs()) + 1)
-        yield frame[keep].drop(columns=["content_hash", "_time"])
+            if content not in known:
+                known[content] = self.seen.containsKey((content,))
+                if not known[content]:
+                    self.seen.updateValue((content,), (int(arrival),))
+            keep.append(not (known[content] and clock - ts >= self.threshold))
+            known[content] = True
+        self.clock.update((int(clock), int(max(newest, frame["arrival"].max()))))
+        if self.forget_ms is None:
+            for timer in self.handle.listTimers():
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(max(int(clock) // 1000, timerValues.getCurrentWatermarkInMs()) + 1)
+        yield frame.loc[keep, self.columns]
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        self.clock.clear()
+        self.seen.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass
+
+
+def dedup_clocked(messages: DataFrame, threshold_ms: int, by: tuple[str, ...] = ("source", "table", "day"), late: str = PATIENCE, forget_ms: int | None = None) -> DataFrame:
+    """Messages (by, arrival, ts µs, content) less repeats that the clock of their key is threshold_ms past.
 
-    columns = (*by, "arrival", "ts", "content")
-    hashed = messages.select(*columns).withColumns({"content_hash": F.sha2("content", 256), "_time": F.timestamp_micros("ts")}).withWatermark("_time", late)
-    return hashed.groupBy(*by).applyInPandasWithState(run, _fields(messages, columns), "clock long, arrival long, hashes array<string>", "append", GroupStateTimeout.EventTimeTimeout)
+    All rows of a key in a batch are put in order of arrival, however they are cut into chunks and
+    files; a batch is bounded by what its source hands out. Across batches arrivals must rise: a row at or below the newest arrival of an earlier
+    batch is kept and changes nothing, as a drop could not be undone. What a key has seen is a map of content hashes, an entry each, with its clock
+    beside it; with the day in the key it is a day's. It is forgotten once the stream's times are `late` past the key's clock, and so are rows older than that.
+    With forget_ms each entry is forgotten so long after it was written instead, by the clock of the machines; such a query never ends by itself.
+    """
+    keyed_state(messages.sparkSession)
+    columns = [*by, "arrival", "ts", "content"]
+    hashed = messages.select(*columns).withColumns({"content_hash": F.unhex(F.sha2("content", 256)), "_time": F.timestamp_micros("ts")})
+    timed = hashed if forget_ms is not None else hashed.withWatermark("_time", late)
+    return timed.groupBy(*by).transformWithStateInPandas(ClockedRepeats(threshold_ms, columns, forget_ms), _fields(messages, tuple(columns)), "append", "processingTime" if forget_ms is not None else "eventTime")
 
 
-def table_state(rows: DataFrame, by: str, key: str, value: str) -> DataFrame:
-    """What each batch of a delta stream (by, action, key, value, seq) changes: by, key, value (null: gone) and the newest seq.
+class TableState(StatefulProcessor):
+    """The keys of a table, a map entry each, and the newest image and seq: a batch touches the entries of its own keys, an image all of them."""
 
-    partial replaces all, insert sets, update patches what is there, delete removes. All rows of a
-    table in a batch are put in order of seq; a row older than the newest of an earlier batch is
-    left out. The last row of each key is the state (see current_state).
-    """
+    def __init__(self, by: str, key: str, value: str):
+        self.by, self.key, self.value = by, key, value
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.at = handle.getValueState("at", "image long, seq long")
+        self.held = handle.getMapState("held", "k string", "v double")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        image, before = self.at.get() if self.at.exists() else (-1, -1)
+        frame, touched, was, cleared = _in_order(rows, "seq"), {}, {}, False  # touched: the value of a key after the batch, None: gone; was: whether a key was held before it
+
+        def held(k) -> bool:
+            if k in touched:
+                return touched[k] is not None
+            if k not in was:
+                was[k] = not cleared and self.held.containsKey((k,))
+            return was[k]
 
-    def run(group: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        keys, values, image, before = state.get if state.exists else ([], [], -1, -1)
-        held, touched = dict(zip(keys, values)), {}
-        frame = _in_order(frames, "seq")
-        for seq, action, k, v in frame[["seq", "action", key, value]].itertuples(index=False):
+        for seq, action, k, v in frame[["seq", "action", self.key, self.value]].itertuples(index=False):
             if seq < before:
                 continue
             if action == "partial" and seq != image:  # rows of one partial share its seq
-                touched.update(dict.fromkeys(held))
-                held, image = {}, seq
-            if action in ("partial", "insert") or (action == "update" and k in held):
-                held[k] = touched[k] = float(v)
-            elif action == "delete":
-                if held.pop(k, None) is not None:
-                    touched[k] = None
-        touched = {k: held.get(k) for k in touched}
+                if not cleared:
+                    for (old,) in list(self.held.keys()):
+                        touched.setdefault(old, None)
+                    self.held.clear()
+                touched, image, cleared = dict.fromkeys(touched), seq, True
+            if action in ("partial", "insert") or (action == "update" and held(k)):
+                touched[k] = float(v)
+            elif action == "delete" and held(k):
+                touched[k] = None
+        for k, v in touched.items():
+            if v is not None:
+                self.held.updateValue((k,), (v,))
+            elif not cleared:
+                self.held.removeKey((k,))
         newest = int(max(before, frame["seq"].max()))
-        state.update((list(held), list(held.values()), int(image), newest))
-        yield pd.DataFrame({by: [group[0]] * len(touched), key: list(touched), value: pd.array(list(touched.values()), dtype="Float64"), "seq": [newest] * len(touched)})
+        self.at.update((int(image), newest))
+        yield pd.DataFrame({self.by: [key[0]] * len(touched), self.key: list(touched), self.value: pd.array(list(touched.values()), dtype="Float64"), "seq": [newest] * len(touched)})
 
-    return rows.select(by, "action", key, value, "seq").groupBy(by).applyInPandasWithState(
-        run, f"`{by}` string, `{key}` string, `{value}` double, seq long", "keys array<string>, vals array<double>, image long, seq long", "update", GroupStateTimeout.NoTimeout)
+    def close(self) -> None:
+        pass
+
+
+def table_state(rows: DataFrame, by: str, key: str, value: str) -> DataFrame:
+    """What each batch of a delta stream (by, action, key, value, seq) changes: by, key, value (null: gone) and the newest seq.
+
+    partial replaces all, insert sets, update patches what is there, delete removes. All rows of a
+    table in a batch are put in order of seq; a row older than the newest of an earlier batch is
+    left out. The last row of each key is the state (see current_state).
+    """
+    keyed_state(rows.sparkSession)
+    return rows.select(by, "action", key, value, "seq").groupBy(by).transformWithStateInPandas(TableState(by, key, value), f"`{by}` string, `{key}` string, `{value}` double, seq long", "update", "none")
 
 
 def current_state(changes: DataFrame, by: str, key: str, value: str) -> DataFrame:

@@ -92,6 +92,59 @@ def test_clocked_repeats_keep_what_comes_too_late(spark, tmp_path):
     assert sorted(r.arrival for r in got) == [4, 5]
 
 
+def test_state_is_touched_by_content(spark, tmp_path):
+    """A batch writes entries for its own new contents only, however many its key has; a batch of contents known writes its clock and timer."""
+    folder, written = tmp_path / "grow", []
+    folder.mkdir()
+    batches = [[f"c{i}" for i in range(10)], [f"c{i}" for i in range(10, 310)], ["c1", "c200", "new"], ["c2"]]
+    arrival = 0
+    for k, contents in enumerate(batches):
+        rows = [{"source": "s", "arrival": (arrival := arrival + 1), "ts": NOW, "content": c} for c in contents]
+        (folder / f"{k}.json").write_text("\n".join(json.dumps(r) for r in rows))
+        stream = streams.dedup_clocked(streams.stream_frames(spark, str(folder), "source string, arrival long, ts long, content string"), 0, by=("source",))
+        query = stream.writeStream.format("noop").outputMode("append").option("checkpointLocation", str(tmp_path / "grow-c")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        ops = [p["stateOperators"][0] for p in query.recentProgress if p["numInputRows"]]
+        written.append((ops[-1]["numRowsUpdated"], ops[-1]["numRowsTotal"]))
+    assert written[1][1] >= 310 and written[2][0] < 20 and written[3][0] < 20, written
+
+
+def test_contents_are_forgotten(spark, tmp_path):
+    """Entries older than forget_ms, by the clock of the machines, are gone."""
+    import time
+
+    folder, out, began = tmp_path / "ttl", [], time.time()
+    folder.mkdir()
+
+    def put(name, *rows):
+        (folder / f".{name}").write_text("\n".join(json.dumps({"source": s, "arrival": a, "ts": NOW, "content": c}) for s, a, c in rows))
+        os.rename(folder / f".{name}", folder / f"{name}.json")
+
+    def wait(n):
+        while len(out) < n and time.time() - began < 240:
+            time.sleep(0.1)
+        assert sorted(r.arrival for r in out if r.source == "s") == wanted
+
+    stream = streams.dedup_clocked(streams.stream_frames(spark, str(folder), "source string, arrival long, ts long, content string"), 0, by=("source",), forget_ms=20_000)
+    query = stream.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "ttl-c")).trigger(processingTime="200 milliseconds").foreachBatch(lambda f, n: out.extend(f.collect())).start()
+    try:
+        wanted = []
+        put("0", ("warm", 1, "x"))
+        wait(1)
+        wanted = [1, 2]
+        put("1", ("s", 1, "a"), ("s", 2, "b"))
+        wait(3)
+        wanted = [1, 2, 4]
+        put("2", ("s", 3, "a"), ("s", 4, "c"))
+        wait(4)
+        time.sleep(25)
+        wanted = [1, 2, 4, 5]
+        put("3", ("s", 5, "a"))
+        wait(5)
+    finally:
+        query.stop()
+
+
 def test_exact_repeats(spark, tmp_path):
     rows = [{"source": "s", "content": c, "time": "2024-01-01T00:00:00Z"} for c in "aab"]
     log = streams.stream_frames(spark, feed(tmp_path, "e", [rows]), "source string, content string, time timestamp")
