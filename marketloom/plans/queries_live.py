@@ -125,6 +125,37 @@ def stream_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(sealed).groupBy("table", F.col("day").cast("string").alias("day")).agg(F.count("*").alias("messages"), F.sum("message").alias("numbers"))
 
 
+#: A time that closes the streams of stream_sides: what waits in them is decided then.
+_CLOSED = "2030-01-01 00:00:00"
+
+
+def stream_sides(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks of the two days on either side of each week's edges as sides of the week, taken for a month, played a round after the weeks they belong
+    to: which were accepted, and which came too late, as every fiftieth does by weeks, and as those of a week without rows do."""
+    t = views.ticks(spark, sf_dir)
+    day = F.expr("ts div 86400000000 - 19723")
+    week = F.floor(day / 7)
+    months = t.groupBy("symbol", week.alias("month")).agg(F.min("ts").alias("first"), F.max("ts").alias("last")).withColumn("at", F.timestamp_micros(((F.col("month") + 1) * 7 + 19723) * 86_400_000_000))
+    reach = F.expr("explode(array(named_struct('by', -1, 'side', 'post', 'a', 0, 'b', 1), named_struct('by', 1, 'side', 'pre', 'a', 5, 'b', 6), named_struct('by', 0, 'side', 'pre', 'a', 0, 'b', 0)))")
+    sides = t.withColumn("r", reach).filter((day % 7).isin(F.col("r.a"), F.col("r.b"))).select(
+        "symbol", (week + F.col("r.by")).alias("month"), F.col("r.side").alias("side"), "ts", "sequence", F.timestamp_micros(F.col("ts") + F.when(F.col("sequence") % 50 == 7, 60 * 86_400_000_000).otherwise(0)).alias("at"))
+    feeds = {name: scratch(spark, name) for name in ("weeks", "sides")}
+    state, accepted, late = scratch(spark, "state"), scratch(spark, "accepted"), scratch(spark, "late")
+    edges = ["2000-01-01", "2024-01-12", "2024-01-24", "2024-03-05", "2029-01-01"]
+    for k in range(len(edges) + 1):  # weeks of round k, sides of the round before, and at last a row that says how late it is
+        for name, rows, back in (("weeks", months, 0), ("sides", sides, 1)):
+            if 0 <= k - back < len(edges) - 1:
+                rows.filter((F.col("at") >= edges[k - back]) & (F.col("at") < edges[k - back + 1])).repartition(FILES).write.mode("append").parquet(feeds[name])
+            elif k == len(edges):
+                rows.limit(1).withColumns({"symbol": F.lit(f"end of {name}"), "at": F.lit(_CLOSED).cast("timestamp")}).write.mode("append").parquet(feeds[name])
+            else:
+                rows.limit(0).write.mode("append").parquet(feeds[name])
+        read = lambda name, rows: spark.readStream.schema(rows.schema).parquet(feeds[name])
+        streams.write_judged(streams.judge_sides(read("sides", sides), read("weeks", months)), accepted, late, state).awaitTermination()
+    out = [spark.read.schema(sides.schema).parquet(root).select("symbol", "month", "side", "ts", "sequence", F.lit(verdict).alias("verdict")) for root, verdict in ((accepted, "accepted"), (late, "late"))]
+    return out[0].unionByName(out[1])
+
+
 def _message_rows(spark, sf_dir):
     turns = views.conversations(spark, sf_dir)
     first = F.col("turn") == F.min("turn").over(Window.partitionBy("conv_id"))
@@ -152,7 +183,7 @@ def pools_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", names.base_table(name).alias("base"), names.in_pool(name, F.col("event_type")).alias("in_pool"))
 
 
-QUERIES = {f.__name__: f for f in (stream_bars, stream_repeats, stream_exact, stream_state, stream_tape, stream_relayed, stream_routes, stream_buckets, messages_skipped, rows_cast, pools_filtered)}
+QUERIES = {f.__name__: f for f in (stream_bars, stream_repeats, stream_exact, stream_state, stream_tape, stream_relayed, stream_routes, stream_buckets, stream_sides, messages_skipped, rows_cast, pools_filtered)}
 
 _T = views.TICKS
 _VENUE = "CASE sequence % 5 WHEN 0 THEN 'binance' WHEN 1 THEN 'bybit' WHEN 2 THEN 'okx' WHEN 3 THEN 'kraken' ELSE 'gate' END"
@@ -176,6 +207,10 @@ SELECT venue, 'me' AS collector, data, count(*) AS frames, count(*) AS stamped,
 SELECT 'all' AS destination, key, count(*) AS frames, count(*) AS headed FROM d GROUP BY key UNION ALL SELECT 'one', 'fixed', count(*), 0 FROM d UNION ALL SELECT 'named', put, count(*), 0 FROM d GROUP BY put""",
     "stream_buckets": f"""WITH {_T}, m AS (SELECT sequence // 25 AS message, CASE WHEN sequence // 25 % 4 <> 0 THEN max(ts) ELSE min(ts) END AS us FROM ticks GROUP BY 1)
 SELECT 't' || message % 3 AS "table", strftime(make_timestamp(us), '%Y-%m-%d') AS day, count(*) AS messages, sum(message)::BIGINT AS numbers FROM m GROUP BY ALL""",
+    "stream_sides": f"""WITH {_T}, d AS (SELECT *, ts // 86400000000 - 19723 AS day FROM ticks), m AS (SELECT symbol, day // 7 AS month, min(ts) AS first, max(ts) AS last, (day // 7 + 1) * 7 AS at FROM d GROUP BY ALL),
+r AS (SELECT * FROM (VALUES (-1, 'post', 0, 1), (1, 'pre', 5, 6), (0, 'pre', 0, 0)) t(shift, side, a, b)), s AS (SELECT symbol, day // 7 + shift AS month, r.side, ts, sequence, (ts - 19723 * 86400000000) / 86400000000 + CASE WHEN sequence % 50 = 7 THEN 60 ELSE 0 END AS at FROM d JOIN r ON day % 7 IN (a, b)),
+j AS (SELECT s.*, first, last FROM s LEFT JOIN m ON m.symbol = s.symbol AND m.month = s.month AND abs(s.at - m.at) <= 15)
+SELECT symbol, month, side, ts, sequence, CASE WHEN first IS NULL THEN 'late' ELSE 'accepted' END AS verdict FROM j WHERE first IS NULL OR CASE side WHEN 'post' THEN ts > last ELSE ts < first END""",
     "messages_skipped": """WITH n AS (SELECT CAST(conv_id % 8 AS VARCHAR) AS file, conv_id, turn, dense_rank() OVER (PARTITION BY conv_id % 8 ORDER BY conv_id) AS message, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS "row" FROM conversations) SELECT * FROM n WHERE message > 5""",
     "rows_cast": """SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN value END AS price, event_id % 2 = 0 AS live, CASE WHEN event_id % 2 = 1 THEN event_type END AS note, CASE WHEN event_id % 2 = 0 THEN '' ELSE 'x' END AS kept,
  strftime(ts, '%Y-%m-%dT%H:%M:%S') AS at, CASE WHEN event_id % 2 = 0 THEN json(props)::VARCHAR ELSE '{no json' END AS props, CASE WHEN event_id % 2 = 0 THEN user_id END AS count FROM events""",

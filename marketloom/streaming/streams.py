@@ -263,6 +263,34 @@ def route_by_event_day(messages: DataFrame) -> DataFrame:
     return messages.withColumn("day", F.date_format(F.timestamp_micros(at), "yyyy-MM-dd"))
 
 
+def judge_sides(sides: DataFrame, months: DataFrame, patience: str = PATIENCE, late: str = "1 day") -> DataFrame:
+    """The streaming form of accept_late: sides (symbol, month, side, ts µs, at, ...) with verdict, against months as they are stocked (symbol, month,
+    first, last: the reach of their own rows in µs, at: when they were stocked), one row a symbol and month.
+
+    A side waits for its month, and a month for its sides, for `patience`: the times of the two may be so far apart, in either order, and what is
+    held of either stream is dropped once both streams' times are past that. accepted: the row lies beyond the month's own rows; held: within their reach; late: no month of
+    its symbol was stocked within the patience, known once the times have passed. Rows over `late` behind their stream's newest are not read.
+    """
+    s = sides.withWatermark("at", late)
+    m = months.select(F.col("symbol").alias("_symbol"), F.col("month").alias("_month"), F.col("first").alias("_first"), F.col("last").alias("_last"), F.col("at").alias("_stocked")).withWatermark("_stocked", late)
+    joined = s.join(m, F.expr(f"symbol = _symbol AND month = _month AND at >= _stocked - INTERVAL {patience} AND at <= _stocked + INTERVAL {patience}"), "leftOuter")
+    beyond = F.when(F.col("side") == "post", F.col("ts") > F.col("_last")).otherwise(F.col("ts") < F.col("_first"))
+    verdict = F.when(F.col("_symbol").isNull(), "late").when(beyond, "accepted").otherwise("held")
+    return joined.select(*sides.columns, verdict.alias("verdict"))
+
+
+def write_judged(judged: DataFrame, accepted: str, late: str, checkpoint: str):
+    """Accepted sides to one table, late ones to a table of their own, a folder for each batch, which a batch that is run again writes again."""
+
+    def batch(frame: DataFrame, number: int) -> None:
+        kept = frame.persist()
+        for verdict, root in (("accepted", accepted), ("late", late)):
+            kept.filter(F.col("verdict") == verdict).drop("verdict").write.mode("overwrite").parquet(f"{root}/batch={number}")
+        kept.unpersist()
+
+    return judged.writeStream.foreachBatch(batch).outputMode("append").option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def accept_late(main: DataFrame, pre: DataFrame, post: DataFrame) -> DataFrame:
     """A month's rows with the side rows that lie beyond them, by symbol, and only for symbols that it has."""
     from marketloom.operators.reconcile import drop_overlap, sides_of_own

@@ -250,6 +250,31 @@ def test_late_sides(spark):
     assert sorted(r.ts for r in out.collect()) == [5, 10, 20, 21]
 
 
+def test_late_sides_in_a_stream(spark, tmp_path):
+    """The same sides a round after their months, before them, and after the patience: what is accepted is what the batch form accepts."""
+    at = lambda d: f"2024-01-{d:02}T00:00:00Z" if d < 32 else f"2024-03-{d - 31:02}T00:00:00Z"
+    months = [[("A", "m", 10, 20, 1)], [("B", "m", 5, 5, 9)], [("C", "m", 1, 2, 20)], [], [("x", "end", 0, 0, 60)]]
+    sides = [[], [("A", "pre", 5, 2), ("A", "pre", 12, 2), ("A", "post", 21, 14)], [("B", "post", 6, 20), ("B", "post", 5, 20), ("C", "pre", 0, 10)], [("A", "post", 30, 22), ("D", "pre", 1, 22)], [("y", "pre", 1, 60)]]
+    for name, parts, keys in (("m", months, ("symbol", "month", "first", "last", "at")), ("s", sides, ("symbol", "side", "ts", "at"))):
+        (tmp_path / name).mkdir()
+        for k, part in enumerate(parts):
+            text = "\n".join(json.dumps({"month": "m", **dict(zip(keys, r)), "at": at(r[-1])}) for r in part)
+            (tmp_path / f"{name}{k}").write_text(text)
+    for k in range(len(months)):
+        for name in "ms":
+            os.rename(tmp_path / f"{name}{k}", tmp_path / name / f"{k}.json")
+        s = streams.stream_frames(spark, str(tmp_path / "s"), "symbol string, month string, side string, ts long, at timestamp")
+        m = streams.stream_frames(spark, str(tmp_path / "m"), "symbol string, month string, first long, last long, at timestamp")
+        streams.write_judged(streams.judge_sides(s, m), str(tmp_path / "ok"), str(tmp_path / "late"), str(tmp_path / "cs")).awaitTermination()
+    read = lambda name: sorted((r.symbol, r.side, r.ts) for r in spark.read.parquet(str(tmp_path / name)).collect())
+    assert read("ok") == [("A", "post", 21), ("A", "pre", 5), ("B", "post", 6), ("C", "pre", 0)]
+    assert read("late") == [("A", "post", 30), ("D", "pre", 1)]
+    rows = lambda *x: spark.createDataFrame([("own", *r) for r in x], "part string, symbol string, ts long")
+    own = rows(("A", 10), ("A", 20), ("B", 5), ("C", 1), ("C", 2))
+    batch = streams.accept_late(own, rows(("A", 5), ("A", 12), ("C", 0)), rows(("A", 21), ("B", 6), ("B", 5)))
+    assert sorted((r.symbol, r.ts) for r in batch.exceptAll(own).collect()) == [(s, t) for s, _, t in sorted(read("ok"), key=lambda r: (r[0], r[2]))]
+
+
 def test_event_day_routes(spark):
     rows = spark.createDataFrame([("t", 86_400_000_000 * 3, [(86_400_000_000,), (5,)]), ("t", 86_400_000_000 * 3, [])], "table string, received long, data array<struct<timestamp: long>>")
     assert [r.day for r in streams.route_by_event_day(rows).orderBy(F.size("data").desc()).collect()] == ["1970-01-02", "1970-01-04"]
