@@ -46,7 +46,11 @@ def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool =
     contents (path, content): the files themselves, where they are at hand."""
     if contents is not None or archived or series.format == "sheet":
         whole = scans.drop_empty(contents if contents is not None else scans.binary_files(spark, paths))
-        return scans.scan_sheets(whole, _wanted(series)) if series.format == "sheet" else scan_lines_of(series, scans.scan_archive(whole))
+        if series.format == "sheet":
+            return scans.scan_sheets(whole, _wanted(series))
+        if series.header and series.format == "csv":
+            return scans.assert_width(scans.scan_archive_named(whole, _wanted(series)))
+        return scan_lines_of(series, scans.scan_archive(whole))
     if series.format == "ndjson":
         return scans.scan_ndjson(spark, paths, series.fields)
     if series.format == "lines":
@@ -59,15 +63,13 @@ def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool =
 
 
 def scan_lines_of(series: Series, lines: DataFrame) -> DataFrame:
-    """Raw rows of a series from the lines of archives' members (archive, member, number, line)."""
+    """Raw rows of a series without a header from the lines of archives' members (archive, member, number, line)."""
     if series.format == "ndjson":
         return lines.select(F.from_json("line", series.fields).alias("_r"), F.col("archive").alias(scans.FILE)).select("_r.*", scans.FILE)
     if series.format == "lines":
         return lines.select("line", F.col("archive").alias(scans.FILE))
     if series.format == "words":
         return scans.words_of(lines.withColumnRenamed("archive", scans.FILE), list(series.columns))
-    if series.header:
-        return scans.assert_width(scans.named_cells_of_lines(lines, _wanted(series)))
     return scans.assert_width(scans.cells_of_lines(lines, list(series.columns)))
 
 

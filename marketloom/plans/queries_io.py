@@ -23,13 +23,13 @@ def csv_positional(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def csv_named(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers in files whose headers differ in order, case and columns."""
-    c = table(spark, sf_dir, "customer")
+    """Customers in a thousand files of five headers, which differ in order, case and columns."""
+    c = table(spark, sf_dir, "customer").withColumns({"segment": F.col("c_mktsegment"), "extra": F.col("c_acctbal"), "more": F.lit('a,"b"')})
     path = scratch(spark, "named")
-    one, two = c.filter("c_custkey % 2 = 0"), c.filter("c_custkey % 2 = 1")
-    one.select("c_custkey", "c_name", F.col("c_mktsegment").alias("Segment")).write.option("header", True).csv(f"{path}/one")
-    two.select(F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("extra"), "c_custkey").write.option("header", True).csv(f"{path}/two")
-    rows = scans.scan_csv_named(spark, [f"{path}/one", f"{path}/two"], ["c_custkey", "c_name", "segment"])
+    headers = (["c_custkey", "c_name", "segment"], ["SEGMENT", "extra", "C_CustKey"], ["more", "c_name", "extra", "c_custkey", "segment"], ["c_name", "c_custkey"], ["c_custkey", "Segment", "more"])
+    for k, names in enumerate(headers):
+        c.filter(F.col("c_custkey") % 5 == k).select(*[F.col(n).alias(n) for n in names]).repartition(200).write.option("header", True).option("escape", '"').csv(f"{path}/{k}")
+    rows = scans.scan_csv_named(spark, [f"{path}/{k}" for k in range(len(headers))], ["c_custkey", "c_name", "segment"])
     return rows.select(F.col("c_custkey").cast("bigint").alias("c_custkey"), "c_name", "segment")
 
 
@@ -73,7 +73,7 @@ QUERIES = {f.__name__: f for f in (csv_positional, csv_named, ndjson_events, wor
 
 ORACLES = {
     "csv_positional": "SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS key, l_quantity AS quantity, CASE WHEN l_orderkey % 100 <> 0 THEN l_returnflag END AS flag FROM lineitem",
-    "csv_named": "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN c_name END AS c_name, c_mktsegment AS segment FROM customer",
+    "csv_named": "SELECT c_custkey, CASE WHEN c_custkey % 5 IN (0, 2, 3) THEN c_name END AS c_name, CASE WHEN c_custkey % 5 <> 3 THEN c_mktsegment END AS segment FROM customer",
     "ndjson_events": "SELECT event_id, value, CAST(NULL AS VARCHAR) AS absent FROM events WHERE event_id % 50 <> 7",
     "word_scan": "SELECT p_partkey, p_brand, p_size, 3 AS width FROM part",
     "normalised_trades": f"""WITH {views.TICKS}, t AS (SELECT *, CAST(sequence AS VARCHAR) AS tid, CASE WHEN side = 'click' THEN 'sell' ELSE 'buy' END AS s FROM ticks)

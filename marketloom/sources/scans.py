@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import bz2
+import codecs
 import csv
 import gzip
 import io
@@ -9,9 +11,12 @@ import re
 import tarfile
 import xml.etree.ElementTree as ET
 import zipfile
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.csv as pa_csv
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -37,26 +42,123 @@ def scan_csv_positional(spark: SparkSession, paths, names: list[str], **options)
     return rows.select(*[c for c in wide if not c.startswith("_skip")], FILE)
 
 
-def scan_csv_named(spark: SparkSession, paths, wanted: list[str] | None = None) -> DataFrame:
-    """Cells by the names of each file's own header, compared without case; files may differ in order
-    and in columns. Files are grouped by header, and a group is read with its header as the schema:
-    one read of mixed files would take the first one's for all. Empty files have no header and
-    are left out. Columns that no file has are null."""
-    firsts = spark.read.text(paths, wholetext=False).select(F.col("value"), file_of().alias("path"), F.col("_metadata.file_block_start").alias("at"))
-    headers = firsts.filter("at = 0").withColumn("n", F.monotonically_increasing_id()).groupBy("path").agg(F.min_by("value", "n").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for row in headers.toLocalIterator():  # one short row for each file
-        groups.setdefault((row["header"] or "").strip("\r﻿"), []).append(row["path"])
-    out = None
-    for header, files in sorted(groups.items()):
-        names = [n.strip().strip('"').lower() for n in header.split(",")]
-        rows = spark.read.schema(_strings([*names, OVERFLOW])).options(header=True, enforceSchema=True).csv(files).withColumn(FILE, file_of())
-        if wanted:
-            rows = rows.select(*[F.col(f"`{w.lower()}`").alias(w) if w.lower() in names else F.lit(None).cast("string").alias(w) for w in wanted], OVERFLOW, FILE)
-        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
-    if out is None:
-        out = spark.createDataFrame([], _strings([*(wanted or []), OVERFLOW, FILE]))
-    return out
+def _header(line: str) -> list[str]:
+    """The names in a table's first line, in lower case."""
+    return [n.strip().strip('"').lower() for n in next(csv.reader([line.strip("\r\n\ufeff")]), [])]
+
+
+class _Cells:
+    """Cells of headed tables as columns: the wanted ones by the table's own names, the first cell past them, and the table's file."""
+
+    def __init__(self, wanted: list[str]):
+        self.wanted = wanted
+        self.schema = pa.schema([(w, pa.string()) for w in [*wanted, OVERFLOW, FILE]])
+
+    def batches(self, path: str, names: list[str], rows, line_breaks: bool) -> Iterator[pa.RecordBatch]:
+        """Columns of rows, a file of comma-separated lines without the header. Short rows are padded with nulls."""
+        ragged: list[str] = []
+
+        def put_by(row) -> str:
+            ragged.append(row.text)
+            return "skip"
+
+        width, places = len(names), {n: i for i, n in reversed(list(enumerate(names)))}
+        taken = [places.get(w.lower()) for w in self.wanted]
+        columns = [f"c{i}" for i in range(width)]
+        try:
+            reader = pa_csv.open_csv(rows, pa_csv.ReadOptions(column_names=columns, block_size=8 << 20, use_threads=False), pa_csv.ParseOptions(newlines_in_values=line_breaks, invalid_row_handler=put_by),
+                                     pa_csv.ConvertOptions(column_types=dict.fromkeys(columns, pa.string()), strings_can_be_null=True, quoted_strings_can_be_null=False, null_values=[""]))
+        except pa.ArrowInvalid as broken:
+            if not str(broken).startswith("Empty CSV") and not ragged:
+                raise
+            reader = ()
+        for batch in reader:
+            none = pa.nulls(batch.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays([*(none if i is None else batch.column(i) for i in taken), none, pa.array([path] * batch.num_rows)], schema=self.schema)
+        cells = list(csv.reader(ragged))
+        at = lambda row, i: row[i] or None if i is not None and i < len(row) else None
+        if cells:
+            yield pa.RecordBatch.from_arrays([*(pa.array([at(r, i) for r in cells], pa.string()) for i in taken), pa.array([at(r, width) for r in cells], pa.string()), pa.array([path] * len(cells))], schema=self.schema)
+
+    def table(self, path: str, stream: io.BufferedIOBase) -> Iterator[pa.RecordBatch]:
+        """Columns of a whole table, header included."""
+        stream = stream if hasattr(stream, "peek") else io.BufferedReader(stream)
+        first = stream.readline().decode("utf-8", "replace")
+        if first.strip("\r\n\ufeff"):
+            yield from self.batches(path, _header(first), pa.PythonFile(_Utf8(stream)), True)
+
+
+class _Utf8(io.RawIOBase):
+    """A stream of text with what is no UTF-8 replaced."""
+
+    def __init__(self, stream):
+        self.stream, self.decoder, self.left = stream, codecs.getincrementaldecoder("utf-8")("replace"), b""
+
+    def readable(self) -> bool:
+        return True
+
+    def read(self, size: int = -1) -> bytes:
+        while not self.left:
+            data = self.stream.read(size if size and size > 0 else 1 << 20)
+            self.left = self.decoder.decode(data, final=not data).encode()
+            if not data:
+                break
+        out, self.left = (self.left, b"") if size is None or size < 0 else (self.left[:size], self.left[size:])
+        return out
+
+
+def _split_from(spark: SparkSession) -> int:
+    """The size from which a file is read in splits. Splits of two such files are never one task's, so a task that reads the head of one begins with it."""
+    text = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return int(text) // 2
+
+
+def scan_csv_named(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
+    """Cells by the names of each file's own header, compared without case; files may differ in order and in columns, and columns that a file has not
+    are null. Folders are read with all below them. Files are not listed or grouped in the driver.
+
+    A file is read once, whole, by the task that has it, and may have line breaks inside quotes. One too large for a task is read in splits: a first pass takes the
+    first lines of such files, each from the head of one task's split, and every split has its file's header beside it (a short row for each file of half
+    a split's size or more). There, a quoted line break ends the row. Empty files have no header and are left out.
+    """
+    cells, most = _Cells(wanted), _split_from(spark)
+    schema = ", ".join(f"`{w}` string" for w in [*wanted, OVERFLOW, FILE])
+
+    def whole(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                for name, stream in _members(path.as_py(), content.as_buffer().to_pybytes(), single=True):
+                    yield from cells.table(path.as_py(), stream)
+
+    def heads(batches):
+        for batch in batches:
+            if batch.num_rows:
+                if batch.column(2)[0].as_py() == 0:
+                    yield pa.RecordBatch.from_arrays([batch.column(1).slice(0, 1), batch.column(0).slice(0, 1)], names=["path", "header"])
+                return
+
+    def splits(batches):
+        for batch in batches:
+            value, path, at, header = batch.columns
+            file = path.dictionary_encode()
+            where = np.asarray(file.indices) * (1 << 1) + (np.asarray(at) > 0)
+            edges = np.flatnonzero(np.r_[True, where[1:] != where[:-1], True]) if len(where) else []
+            for lo, hi in zip(edges, edges[1:]):
+                name, first = path[int(lo)].as_py(), header[int(lo)].as_py()
+                lines = value.slice(lo, hi - lo).to_pylist()
+                if at[int(lo)].as_py() == 0 and name not in begun:
+                    begun.add(name)
+                    lines = lines[1:]
+                if first and lines:
+                    yield from cells.batches(name, _header(first), io.BytesIO("\n".join(lines).encode()), False)
+
+    begun: set[str] = set()
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    small = files.filter(F.col("length").between(1, most)).select(file_of().alias("path"), "content").mapInArrow(whole, schema)
+    lines = spark.read.option("recursiveFileLookup", True).text(paths).filter(F.col("_metadata.file_size") > most).select("value", file_of().alias("path"), F.col("_metadata.file_block_start").alias("at"))
+    known = lines.mapInArrow(heads, "path string, header string")
+    large = lines.join(F.broadcast(known), "path").select("value", "path", "at", "header").mapInArrow(splits, schema)
+    return small.unionByName(large)
 
 
 def scan_ndjson(spark: SparkSession, paths, fields: str) -> DataFrame:
@@ -83,8 +185,8 @@ SHEET = b"PK\x03\x04"
 
 
 def binary_files(spark: SparkSession, paths) -> DataFrame:
-    """path, content of whole files: of archives and workbooks, which cannot be split."""
-    return spark.read.format("binaryFile").load(paths).select("path", "content")
+    """path, content, length of whole files: of archives and workbooks, which cannot be split."""
+    return spark.read.format("binaryFile").load(paths).select("path", "content", "length")
 
 
 def split_by_signature(files: DataFrame) -> DataFrame:
@@ -92,16 +194,19 @@ def split_by_signature(files: DataFrame) -> DataFrame:
     return files.select("path", F.when(F.substring("content", 1, 4) == F.lit(SHEET), "sheet").otherwise("text").alias("kind"), F.length("content").cast("long").alias("length"))
 
 
-def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase]]:
+def _members(path: str, content: bytes, single: bool = False) -> Iterator[tuple[str, io.BufferedIOBase]]:
+    """The files in a file: single takes it for one, compressed or not."""
     if path.endswith(".gz") and not path.endswith(".tar.gz"):
         yield path.rsplit("/", 1)[-1][:-3], gzip.GzipFile(fileobj=io.BytesIO(content))
-    elif path.endswith((".tar.gz", ".tgz", ".tar")):
+    elif path.endswith(".bz2"):
+        yield path.rsplit("/", 1)[-1][:-4], bz2.BZ2File(io.BytesIO(content))
+    elif single or not path.endswith((".zip", ".tar.gz", ".tgz", ".tar")):
+        yield path.rsplit("/", 1)[-1], io.BytesIO(content)
+    elif not path.endswith(".zip"):
         with tarfile.open(fileobj=io.BytesIO(content)) as tar:
             for member in tar:
                 if member.isfile():
                     yield member.name, tar.extractfile(member)
-    elif not path.endswith(".zip"):
-        yield path.rsplit("/", 1)[-1], io.BytesIO(content)
     else:
         with zipfile.ZipFile(io.BytesIO(content)) as archive:
             for info in archive.infolist():
@@ -109,26 +214,110 @@ def _members(path: str, content: bytes) -> Iterator[tuple[str, io.BufferedIOBase
                     yield info.filename, archive.open(info)
 
 
-def scan_archive(files: DataFrame) -> DataFrame:
-    """archive, member, number, line of every line of every member of files (path, content): zip and tar
-    archives, gzip and plain files. An archive is one task's, its members are streamed."""
+#: A zip archive of over this many bytes is handed out member by member.
+SPREAD_FROM = 32 << 20
+
+
+class _Inflated(io.RawIOBase):
+    """A member of a zip archive from its bytes there: stored (0) or deflated (8), held to its checksum."""
+
+    def __init__(self, packed: bytes, method: int, crc: int):
+        if method not in (0, 8):
+            raise ValueError(f"a member is packed by method {method}")
+        self.packed, self.inflate, self.crc, self.seen, self.at = packed, zlib.decompressobj(-15) if method else None, crc, 0, 0
+
+    def readable(self) -> bool:
+        return True
+
+    def readinto(self, into) -> int:
+        if self.inflate is None:
+            data = self.packed[self.at : self.at + len(into)]
+            self.at += len(data)
+        else:
+            data = b""
+            while not data and not self.inflate.eof:
+                fed = self.inflate.unconsumed_tail or self.packed[self.at : self.at + (1 << 16)]
+                if not self.inflate.unconsumed_tail:
+                    self.at += len(fed)
+                data = self.inflate.decompress(fed, len(into))
+                if not fed and not data:
+                    break
+        self.seen = zlib.crc32(data, self.seen)
+        if not data and self.seen != self.crc:
+            raise ValueError("a member is damaged")
+        into[: len(data)] = data
+        return len(data)
+
+
+def zip_members(files: DataFrame) -> DataFrame:
+    """path, member, method, crc, packed: the members of zip archives (path, content) as they lie there, by the archive's own directory, not inflated."""
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                path = path.as_py()
-                for name, stream in _members(path, content.as_py()):
-                    held: list[str] = []
-                    number = 0
-                    for raw in io.TextIOWrapper(stream, encoding="utf-8", errors="replace", newline="\n"):
-                        held.append(raw.rstrip("\r\n"))
-                        if len(held) == 8192:
-                            yield _lines(path, name, number, held)
-                            number, held = number + len(held), []
-                    if held:
-                        yield _lines(path, name, number, held)
+                data = content.as_buffer()
+                with zipfile.ZipFile(pa.BufferReader(data)) as archive:
+                    for info in archive.infolist():
+                        if info.is_dir():
+                            continue
+                        if info.flag_bits & 1:
+                            raise ValueError(f"{info.filename} is encrypted")
+                        lengths = data.slice(info.header_offset + 26, 4).to_pybytes()  # of the name and the extra field before the bytes
+                        begin = info.header_offset + 30 + int.from_bytes(lengths[:2], "little") + int.from_bytes(lengths[2:], "little")
+                        packed = data.slice(begin, info.compress_size).to_pybytes()
+                        yield pa.RecordBatch.from_arrays([pa.array([path.as_py()]), pa.array([info.filename]), pa.array([info.compress_type], pa.int32()), pa.array([info.CRC], pa.int64()), pa.array([packed], pa.binary())],
+                                                         names=["path", "member", "method", "crc", "packed"])
+
+    return files.select("path", "content").mapInArrow(run, "path string, member string, method int, crc long, packed binary")
+
+
+def _unpacked(files: DataFrame, read, schema: str) -> DataFrame:
+    """read(archive, member, stream) over every member of files (path, content). Zip archives over SPREAD_FROM are taken apart first, and their
+    members, still packed, dealt over tasks, which inflate and read them; any other file is one task's, its members streamed, and so is a file without
+    a length (see binary_files), which a reader could not choose by."""
+    spread = F.col("path").endswith(".zip") & (F.col("length") > SPREAD_FROM)
 
-    return files.select("path", "content").mapInArrow(run, "archive string, member string, number long, line string")
+    def run(batches):
+        for batch in batches:
+            for path, content in zip(batch.column(0), batch.column(1)):
+                for name, stream in _members(path.as_py(), content.as_buffer().to_pybytes()):
+                    yield from read(path.as_py(), name, stream)
+
+    def run_members(batches):
+        for batch in batches:
+            for path, name, method, crc, packed in zip(*batch.columns):
+                yield from read(path.as_py(), name.as_py(), io.BufferedReader(_Inflated(packed.as_buffer().to_pybytes(), method.as_py(), crc.as_py())))
+
+    if "length" not in files.columns:
+        return files.select("path", "content").mapInArrow(run, schema)
+    near = files.filter(~spread).select("path", "content").mapInArrow(run, schema)
+    tasks = int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # said, so that packed bytes are not put together for being few
+    return near.unionByName(zip_members(files.filter(spread)).repartition(tasks, "path", "member").mapInArrow(run_members, schema))
+
+
+def scan_archive(files: DataFrame) -> DataFrame:
+    """archive, member, number, line of every line of every member of files (path, content): zip and tar
+    archives, gzip and plain files."""
+
+    def read(path: str, name: str, stream):
+        held: list[str] = []
+        number = 0
+        for raw in io.TextIOWrapper(stream, encoding="utf-8", errors="replace", newline="\n"):
+            held.append(raw.rstrip("\r\n"))
+            if len(held) == 8192:
+                yield _lines(path, name, number, held)
+                number, held = number + len(held), []
+        if held:
+            yield _lines(path, name, number, held)
+
+    return _unpacked(files, read, "archive string, member string, number long, line string")
+
+
+def scan_archive_named(files: DataFrame, wanted: list[str]) -> DataFrame:
+    """Cells of the members of files (path, content) by the names in each member's first line, without case, as scan_csv_named has them, of any number of columns;
+    line breaks inside quotes are part of their cell."""
+    cells = _Cells(wanted)
+    return _unpacked(files, lambda path, name, stream: cells.table(path, stream), ", ".join(f"`{w}` string" for w in [*wanted, OVERFLOW, FILE]))
 
 
 def cells_of_lines(lines: DataFrame, names: list[str]) -> DataFrame:
@@ -138,18 +327,6 @@ def cells_of_lines(lines: DataFrame, names: list[str]) -> DataFrame:
     return lines.filter("line <> ''").select(cells.alias("_c"), F.col("archive").alias(FILE)).select(*[F.col("_c")[c].alias(c) for c in wide if not c.startswith("_skip")], FILE)
 
 
-def named_cells_of_lines(lines: DataFrame, wanted: list[str], most: int = 64) -> DataFrame:
-    """Lines of scan_archive as cells by the names in each member's first line, without case, as
-    scan_csv_named has them. Members are joined to their own first line, one row a member."""
-    cells = F.from_csv("line", ", ".join(f"_c{i} string" for i in range(most + 1)))
-    split = lines.filter("line <> ''").select("archive", "member", "number", F.array(*[cells[f"_c{i}"] for i in range(most + 1)]).alias("_c"))
-    heads = split.filter("number = 0").select("archive", "member", F.transform("_c", lambda c: F.lower(F.trim(F.regexp_replace(c, "[\ufeff\r]", "")))).alias("_h"))
-    heads = heads.withColumn("_n", F.size(F.filter("_h", lambda c: c.isNotNull())))
-    at = lambda w: F.array_position("_h", F.lit(w.lower())).cast("int")
-    rows = split.filter("number > 0").join(heads, ["archive", "member"])
-    return rows.select(*[F.when(at(w) > 0, F.get("_c", at(w) - 1)).alias(w) for w in wanted], F.get("_c", F.col("_n")).alias(OVERFLOW), F.col("archive").alias(FILE))
-
-
 def _lines(path: str, name: str, number: int, held: list[str]) -> pa.RecordBatch:
     n = len(held)
     return pa.RecordBatch.from_arrays([pa.array([path] * n), pa.array([name] * n), pa.array(range(number, number + n), pa.int64()), pa.array(held)], names=["archive", "member", "number", "line"])
@@ -229,7 +406,7 @@ def scan_sheets(files: DataFrame, wanted: list[str]) -> DataFrame:
 def malformed_files(spark: SparkSession, paths) -> DataFrame:
     """Headed files whose rows have fewer cells than the header, or that are a single column: file,
     header_cells, most_cells, rows."""
-    cells = F.size(F.split("line", ","))
+    cells = F.size(F.split(F.regexp_replace("line", r'"(?:[^"]|"")*"', ""), ","))  # commas inside quotes part nothing
     rows = scan_lines(spark, paths).select(FILE, "line", cells.alias("cells"), F.monotonically_increasing_id().alias("at"))
     by = rows.groupBy(FILE).agg(F.min_by("cells", "at").alias("header_cells"), F.max("at").alias("last"), F.min("at").alias("first"), F.count("*").alias("lines"))
     most = rows.join(by.select(FILE, "first"), FILE).filter("at > first").groupBy(FILE).agg(F.max("cells").alias("most_cells"))
