@@ -9,7 +9,8 @@ from marketloom.functions import listing, names
 from marketloom.functions.times import WIDTH, at_grain, last_closed, last_settled, next_period
 from marketloom.operators import catalog, changes, lenses, reconcile
 from marketloom.plans import views
-from marketloom.session import table
+from marketloom.session import scratch, table
+from marketloom.sources import ordered
 
 BY = ["venue", "dataset", "month"]
 _SLICE = "CASE number % 4 WHEN 0 THEN 'monthly' WHEN 1 THEN 'daily' WHEN 2 THEN 'hourly' ELSE 'minutely' END"
@@ -198,6 +199,28 @@ def listing_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("files"), F.sum("size").alias("bytes"), F.count_if(F.col("downloaded_at").isNull()).alias("owed"), F.min("path").alias("lowest"))
 
 
+def listing_merged_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue in ordered ranges of files, and a listing's page of one venue's paths from 2 to 3 merged into it: the catalogue after it, and whether
+    most ranges were neither read nor written."""
+    root = scratch(spark, "catalogue")
+    before = _before(spark, sf_dir)
+    ordered.build(before, root, changes.KEY, range_rows=max(100, before.count() // 60))
+    page = _page(spark, sf_dir).filter("venue = 'N' AND path >= '2' AND path < '3'")
+    done = ordered.merge(spark, root, changes.KEY, page, changes.merge_listing, range_rows=1000)
+    after = ordered.read_all(spark, root)
+    return after.groupBy("venue", "existence").agg(
+        F.count("*").alias("files"), F.sum("size").alias("bytes"), F.count_if(F.col("downloaded_at").isNull()).alias("owed"), F.min("path").alias("lowest"), F.max("path").alias("highest")).withColumn("mostly_kept", F.lit(done["kept"] > 3 * done["touched"]))
+
+
+def listing_page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page of listing_page from keys in ordered ranges, of which the index names those to open."""
+    root = scratch(spark, "keys")
+    keys = views.catalog_files(spark, sf_dir).select(F.concat_ws("|", "venue", "dataset", "date", "path").alias("key"), "size").groupBy("key").agg(F.max("size").alias("size"))
+    ordered.build(keys, root, ["key"], range_rows=1000)
+    prefix, after = "N|3-MEDIUM", "N|3-MEDIUM|19960101"
+    return catalog.list_page(ordered.read_from(spark, root, "key", prefix, after, 201), prefix, after, 200)
+
+
 def listing_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changes.revisions(_before(spark, sf_dir), _page(spark, sf_dir)).select("venue", "path", "size", "etag")
 
@@ -423,7 +446,7 @@ def selection(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     keys_listed, levels_named, selection,
     partition_counters, partition_versions, venue_totals, counter_deltas, contents_shapes, contents_markets, contents_symbols, series_counts, series_bounds, partition_months, settled_partitions, renderings_preferred,
-    lens_members, lens_figures, lens_changes, spans_united, spans_cut, contents_through_lens, listing_page, expected_days, missing_days, listing_merged, listing_revisions, files_withdrawn, files_settled, reports_applied, series_reconciled,
+    lens_members, lens_figures, lens_changes, spans_united, spans_cut, contents_through_lens, listing_page, expected_days, missing_days, listing_merged, listing_merged_ranges, listing_page_ranges, listing_revisions, files_withdrawn, files_settled, reports_applied, series_reconciled,
     coverage, months_backed, month_bytes, files_duplicated, cold_stats, coverage_gaps, stage_lag, ledger_current, ledger_repairs, store_reconciled, plans_compared, stocking_decided, ledger_validated, batches_packed, spill_neighbours,
     sides_accepted, names_parsed, intervals_canonical, tags_normalised, periods_stepped)}
 
@@ -468,6 +491,8 @@ SELECT slice, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM plus EXCEPT SE
 u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(where='')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
 SELECT * FROM j WHERE substr(first, 1, 6) <= substr(last, 1, 6)""",
     "listing_page": f"""WITH {views.CATALOG_FILES}, k AS (SELECT concat_ws('|', venue, dataset, date, path) AS key, max(size) AS size FROM catalog_files GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY key) AS n, count(*) OVER () AS c FROM k WHERE starts_with(key, 'N|3-MEDIUM') AND key > 'N|3-MEDIUM|19960101')
+SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",
+    "listing_page_ranges": f"""WITH {views.CATALOG_FILES}, k AS (SELECT concat_ws('|', venue, dataset, date, path) AS key, max(size) AS size FROM catalog_files GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY key) AS n, count(*) OVER () AS c FROM k WHERE starts_with(key, 'N|3-MEDIUM') AND key > 'N|3-MEDIUM|19960101')
 SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",
     "expected_days": f"WITH {_EXPECTED} SELECT * FROM want",
     "missing_days": f"WITH {_EXPECTED}, {views.CATALOG_FILES} SELECT * FROM want ANTI JOIN catalog_files USING (series, date)",
@@ -475,6 +500,9 @@ SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",
  WHEN b.existence = 'confirmed' AND (p.size <> b.size OR p.etag <> b.etag) THEN 'revised' WHEN p.size <> b.size OR p.etag <> b.etag OR p.modified <> 'm' OR p.existence <> b.existence THEN 'restated' ELSE 'unchanged' END AS action,
  coalesce(p.existence, b.existence) AS existence, coalesce(p.size, b.size) AS size, b.downloaded_at AS d FROM bef b FULL JOIN page p ON b.venue = p.venue AND b.path = p.path)
 SELECT venue, action, existence, count(*) AS files, sum(size)::BIGINT AS bytes, count(*) FILTER (d IS NULL OR action = 'revised') AS owed, min(path) AS lowest FROM j GROUP BY ALL""",
+    "listing_merged_ranges": f"""WITH {_BEFORE}, q AS (SELECT * FROM page WHERE venue = 'N' AND path >= '2' AND path < '3'), j AS (SELECT coalesce(b.venue, p.venue) AS venue, coalesce(b.path, p.path) AS path, coalesce(p.existence, b.existence) AS existence, coalesce(p.size, b.size) AS size,
+ CASE WHEN b.existence = 'confirmed' AND (p.size <> b.size OR p.etag <> b.etag) THEN NULL ELSE b.downloaded_at END AS d FROM bef b FULL JOIN q p ON b.venue = p.venue AND b.path = p.path)
+SELECT venue, existence, count(*) AS files, sum(size)::BIGINT AS bytes, count(*) FILTER (d IS NULL) AS owed, min(path) AS lowest, max(path) AS highest, true AS mostly_kept FROM j GROUP BY ALL""",
     "listing_revisions": f"WITH {_BEFORE} SELECT b.venue, b.path, b.size, b.etag FROM bef b JOIN page p ON b.venue = p.venue AND b.path = p.path WHERE b.existence = 'confirmed' AND (p.size <> b.size OR p.etag <> b.etag)",
     "files_withdrawn": f"WITH {_BEFORE} SELECT venue, path, 'absent' AS existence, size FROM bef b WHERE existence <> 'absent' AND path BETWEEN '1' AND '5' AND NOT EXISTS (SELECT 1 FROM page p WHERE p.venue = b.venue AND p.path = b.path)",
     "files_settled": f"""WITH {views.CATALOG_FILES}, f AS (SELECT venue, path, size, etag, existence, downloaded_at FROM catalog_files WHERE series % 10 NOT IN (5, 6)),
