@@ -27,7 +27,7 @@ def _played(rows: DataFrame, order: str, start: Callable[[DataFrame, str], objec
         part = rows if low is None else rows.filter(F.col(order) > low)
         part = part if high is None else part.filter(F.col(order) <= high)
         part.repartition(FILES).write.mode("append").parquet(path)
-        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1_000_000).parquet(path)
+        stream = streams.stream_frames(spark, path, rows.schema, "parquet", 1_000_000)
         start(stream, state).awaitTermination()
     return state
 
@@ -92,6 +92,22 @@ def stream_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(out).drop("place")
 
 
+def stream_tapes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five newest trades of every symbol of a stream that comes newest third first."""
+    rows, out = views.ticks(spark, sf_dir).withColumn("order", -F.col("sequence")), scratch(spark, "tapes")
+    kinds = []
+
+    def start(stream, state):
+        tapes = streams.tape_by_symbol(stream, 5)
+        kinds.append(tapes.schema)
+        return tapes.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(lambda f, n: f.write.mode("overwrite").parquet(f"{out}/batch={n}")).start()
+
+    _played(rows, "order", start)
+    given = spark.read.schema(kinds[0]).parquet(out).withColumn("_batch", F.regexp_extract("_metadata.file_path", r"batch=(\d+)/", 1).cast("int"))
+    newest = given.groupBy("symbol").agg(F.max("_batch").alias("_batch"))
+    return given.join(newest, ["symbol", "_batch"]).select("symbol", "place", "ts", "sequence", "price", "size", "side")
+
+
 def _frames(spark, sf_dir):
     t = views.ticks(spark, sf_dir)
     venue = F.element_at(F.array(*[F.lit(v) for v in ("binance", "bybit", "okx", "kraken", "gate")]), (F.col("sequence") % 5 + 1).cast("int"))
@@ -183,7 +199,7 @@ def pools_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", names.base_table(name).alias("base"), names.in_pool(name, F.col("event_type")).alias("in_pool"))
 
 
-QUERIES = {f.__name__: f for f in (stream_bars, stream_repeats, stream_exact, stream_state, stream_tape, stream_relayed, stream_routes, stream_buckets, stream_sides, messages_skipped, rows_cast, pools_filtered)}
+QUERIES = {f.__name__: f for f in (stream_bars, stream_repeats, stream_exact, stream_state, stream_tape, stream_tapes, stream_relayed, stream_routes, stream_buckets, stream_sides, messages_skipped, rows_cast, pools_filtered)}
 
 _T = views.TICKS
 _VENUE = "CASE sequence % 5 WHEN 0 THEN 'binance' WHEN 1 THEN 'bybit' WHEN 2 THEN 'okx' WHEN 3 THEN 'kraken' ELSE 'gate' END"
@@ -200,6 +216,7 @@ f AS (SELECT name, max(seq) AS since FROM r WHERE action = 'partial' GROUP BY na
 b AS (SELECT name, key, max(seq) FILTER (action IN ('partial', 'insert')) AS born, max(seq) FILTER (action = 'delete') AS died FROM live GROUP BY ALL)
 SELECT name, key, arg_max(value, seq) AS value FROM live JOIN b USING (name, key) WHERE born IS NOT NULL AND (died IS NULL OR died < born) AND seq >= born AND action <> 'delete' GROUP BY ALL""",
     "stream_tape": f"WITH {_T} SELECT * FROM ticks ORDER BY ts DESC, sequence DESC LIMIT 50",
+    "stream_tapes": f"WITH {_T} SELECT symbol, CAST(row_number() OVER (PARTITION BY symbol ORDER BY ts DESC, sequence DESC) AS INTEGER) AS place, ts, sequence, price, size, side FROM ticks QUALIFY place <= 5",
     "stream_relayed": f"""WITH {_T}, f AS (SELECT {_VENUE} AS venue, side <> 'error' AS data FROM ticks)
 SELECT venue, 'me' AS collector, data, count(*) AS frames, count(*) AS stamped, CASE WHEN data THEN CASE venue WHEN 'binance' THEN '{{"e":"trade"}}' WHEN 'bybit' THEN '{{"topic":"t","data":[1]}}' WHEN 'okx' THEN '{{"arg":{{"a":1}},"data":[1]}}' WHEN 'kraken' THEN '{{"channel":"trade","data":[1]}}' ELSE '{{"data":1}}' END
  ELSE CASE venue WHEN 'kraken' THEN '{{"channel":"heartbeat","data":[1]}}' WHEN 'okx' THEN 'pong' ELSE '{{"result":null}}' END END AS value FROM f GROUP BY venue, data""",

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import StructType
 
 #: Days after which a month's late rows are no longer waited for.
 PATIENCE = "15 days"
-#: Rows of one file of a bucket: a buffer of so many is written even if its time has not come.
+#: Rows of a bucket that are written even if their time has not come, and of one file.
 FLUSH_ROWS = 10_000
 
 
@@ -243,11 +245,100 @@ def tape(ticks: DataFrame, n: int, sink: Callable[[DataFrame, int], None], check
     return ticks.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def stream_to_buckets(rows: DataFrame, root: str, checkpoint: str, seconds: int | None = 10, flush_rows: int = FLUSH_ROWS):
-    """Message rows appended by table and day, at least every `seconds` and at most flush_rows to a file; None takes what is
-    there and ends. seal_bucket makes a day's pieces one."""
-    writer = rows.writeStream.format("parquet").partitionBy("table", "day").option("path", root).option("checkpointLocation", checkpoint).option("maxRecordsPerFile", flush_rows)
-    return (writer.trigger(processingTime=f"{seconds} seconds") if seconds else writer.trigger(availableNow=True)).start()
+class NewestRows(StatefulProcessor):
+    """A symbol's n newest rows, as a list that never grows past n."""
+
+    def __init__(self, n: int):
+        self.n = n
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.kept = handle.getListState("kept", "ts long, sequence long, row string")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        newest = [tuple(r) for r in self.kept.get()] if self.kept.exists() else []
+        for frame in rows:  # chunk by chunk: no more than n and a chunk are held
+            newest = heapq.nlargest(self.n, [*newest, *((int(t), int(s), r) for t, s, r in frame[["ts", "sequence", "row"]].itertuples(index=False))], key=lambda r: r[:2])
+        self.kept.put(newest)
+        yield pd.DataFrame({"symbol": [key[0]] * len(newest), "place": range(1, len(newest) + 1), "row": [r[2] for r in newest]})
+
+    def close(self) -> None:
+        pass
+
+
+def tape_by_symbol(ticks: DataFrame, n: int) -> DataFrame:
+    """The n newest trades of each symbol that a batch has trades of: symbol, place (1 is the newest) and the trade's columns. What a batch gives of a
+    symbol stands in place of what earlier ones gave."""
+    keyed_state(ticks.sparkSession)
+    rest = [f for f in ticks.schema.fields if f.name != "symbol"]
+    rows = ticks.select("symbol", "ts", "sequence", F.to_json(F.struct(*[f.name for f in rest])).alias("row"))
+    kept = rows.groupBy("symbol").transformWithStateInPandas(NewestRows(n), "symbol string, place int, row string", "update", "none")
+    return kept.select("symbol", "place", F.from_json("row", StructType(rest)).alias("_r")).select("symbol", "place", "_r.*")
+
+
+class Buffers(StatefulProcessor):
+    """The rows of a bucket that are not written yet: handed on when there are flush_rows of them, or flush_ms after the first came."""
+
+    def __init__(self, flush_rows: int, flush_ms: int):
+        self.flush_rows, self.flush_ms = flush_rows, flush_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.held = handle.getListState("held", "row string")
+        self.count = handle.getValueState("count", "n long")
+
+    def _flushed(self, key, rows: list[str], reason: str) -> pd.DataFrame:
+        return pd.DataFrame({"table": [key[0]] * len(rows), "day": [key[1]] * len(rows), "row": rows, "reason": reason})
+
+    def _taken(self) -> list[str]:
+        rows = [r[0] for r in self.held.get()] if self.held.exists() else []
+        self.held.clear()
+        self.count.clear()
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        return rows
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        for frame in rows:
+            n = self.count.get()[0] if self.count.exists() else 0
+            if n + len(frame) >= self.flush_rows:
+                yield self._flushed(key, self._taken() + frame["row"].tolist(), "full")
+                continue
+            if not n:
+                self.handle.registerTimer(timerValues.getCurrentProcessingTimeInMs() + self.flush_ms)
+            self.held.appendList([(r,) for r in frame["row"]])
+            self.count.update((n + len(frame),))
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        rows = self._taken()
+        if rows:
+            yield self._flushed(key, rows, "stale")
+
+    def close(self) -> None:
+        pass
+
+
+def buffered(rows: DataFrame, seconds: float = 10, flush_rows: int = FLUSH_ROWS) -> DataFrame:
+    """rows (table, day, ...) as their buckets' buffers hand them on, with reason: full, at flush_rows or more of a table and day, or stale, `seconds` after
+    the first of them came. Rows that wait are in the checkpoint: a query that is stopped hands them on when it is begun again."""
+    keyed_state(rows.sparkSession)
+    kept = [f for f in rows.schema.fields if f.name not in ("table", "day")]
+    packed = rows.select("table", F.col("day").cast("string").alias("day"), F.to_json(F.struct(*[f.name for f in kept])).alias("row"))
+    out = packed.groupBy("table", "day").transformWithStateInPandas(Buffers(flush_rows, int(seconds * 1000)), "table string, day string, row string, reason string", "append", "processingTime")
+    return out.select("table", "day", F.from_json("row", StructType(kept)).alias("_r"), "reason").select("table", "day", "_r.*", "reason")
+
+
+def waiting(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """table, day, row (JSON) of what waits in the buffers of a stopped query, for a day that is sealed without it."""
+    state = spark.read.format("statestore").option("path", checkpoint).option("stateVarName", "held").option("flattenCollectionTypes", True).load()
+    return state.select("key.table", "key.day", "list_element.row")
+
+
+def stream_to_buckets(rows: DataFrame, root: str, checkpoint: str, seconds: float | None = 10, flush_rows: int = FLUSH_ROWS):
+    """Message rows appended by table and day, each bucket's when it has flush_rows of them or `seconds` after the first, whichever is first, and at most flush_rows
+    to a file; None takes what is there and ends. seal_bucket makes a day's pieces one."""
+    ready = buffered(rows, seconds, flush_rows).drop("reason") if seconds else rows
+    writer = ready.writeStream.format("parquet").partitionBy("table", "day").option("path", root).option("checkpointLocation", checkpoint).option("maxRecordsPerFile", flush_rows)
+    return (writer.trigger(processingTime=f"{min(1.0, seconds / 4)} seconds") if seconds else writer.trigger(availableNow=True)).start()
 
 
 def seal_bucket(pieces: DataFrame, sealed: str, order: list[str], records_per_file: int = 50_000_000) -> None:

@@ -195,6 +195,70 @@ def test_tape_and_buckets(spark, tmp_path):
     assert [r.ts for r in spark.read.parquet(str(tmp_path / "sealed")).collect()] == list(range(9))
 
 
+def test_tapes_by_symbol(spark, tmp_path, chunks):
+    rnd = random.Random(6)
+    rows = [{"symbol": f"S{rnd.randrange(4)}", "ts": NOW + rnd.randrange(50), "sequence": i, "price": float(i)} for i in range(300)]
+    parts = [rows[200:], rows[:40], rows[40:200]]
+    out = {}
+    kinds = "symbol string, ts long, sequence long, price double"
+    folder = tmp_path / "tapes"
+    folder.mkdir()
+    for k, part in enumerate(parts):
+        for f in range(2):
+            (folder / f"{k}-{f}.json").write_text("\n".join(json.dumps(r) for r in part[f::2]))
+        tapes = streams.tape_by_symbol(streams.stream_frames(spark, str(folder), kinds), 6)
+
+        def sink(frame, number):
+            for symbol, group in frame.toPandas().groupby("symbol"):
+                out[symbol] = list(group.sort_values("place")[["ts", "sequence", "price"]].itertuples(index=False, name=None))
+
+        tapes.writeStream.outputMode("update").option("checkpointLocation", str(tmp_path / "tapes-c")).trigger(availableNow=True).foreachBatch(sink).start().awaitTermination()
+    for symbol in {r["symbol"] for r in rows}:
+        own = sorted(((r["ts"], r["sequence"], r["price"]) for r in rows if r["symbol"] == symbol), reverse=True)[:6]
+        assert out[symbol] == own
+
+
+def test_buffers_flush_by_size_or_age(spark, tmp_path):
+    """A fast table is written when it has enough rows, a slow one when its first row is old enough, and what waits survives a stop."""
+    import time
+
+    folder, got, began = tmp_path / "buf", [], time.time()
+    folder.mkdir()
+
+    def put(name, *rows):
+        (folder / f".{name}").write_text("\n".join(json.dumps({"table": t, "day": "2024-01-01", "n": n, "data": [{"x": n}]}) for t, n in rows))
+        os.rename(folder / f".{name}", folder / f"{name}.json")
+
+    def start(seconds):
+        rows = streams.stream_frames(spark, str(folder), "table string, day string, n long, data array<struct<x: long>>")
+        return streams.buffered(rows, seconds, 10).writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "buf-c")).trigger(processingTime="200 milliseconds").foreachBatch(
+            lambda f, i: got.extend((r.table, r.n, r.data[0].x, r.reason, i) for r in f.collect())).start()
+
+    def wait(ready):
+        while not ready() and time.time() - began < 240:
+            time.sleep(0.1)
+        assert ready(), got
+
+    query = start(6)
+    put("0", *(("fast", n) for n in range(25)), *(("slow", n) for n in range(3)))
+    wait(lambda: len(got) >= 25)
+    assert {g[:2] for g in got if g[3] == "full"} == {("fast", n) for n in range(25)}
+    wait(lambda: len(got) >= 28)
+    assert {g[:2] for g in got if g[3] == "stale"} == {("slow", n) for n in range(3)}
+    query.stop()
+    query = start(100_000)
+    put("1", *(("slow", n) for n in range(3, 7)))
+    wait(lambda: query.lastProgress is not None and any(p["numInputRows"] for p in query.recentProgress))
+    time.sleep(2)
+    query.stop()
+    assert sorted((r.table, json.loads(r.row)["n"]) for r in streams.waiting(spark, str(tmp_path / "buf-c")).collect()) == [("slow", n) for n in range(3, 7)]
+    query = start(100_000)
+    put("2", *(("slow", n) for n in range(7, 14)))
+    wait(lambda: len(got) >= 39)
+    query.stop()
+    assert sorted(g[1] for g in got if g[0] == "slow") == list(range(14)) and all(g[1] == g[2] for g in got) and len(got) == 39
+
+
 def test_bars_open_at_the_close_before(spark, tmp_path):
     folder, got = tmp_path / "t2", []
     folder.mkdir()
