@@ -8,6 +8,8 @@ table, whose rows are the handful listed here.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,6 +79,8 @@ VARIANTS = {
 NOTICE = (r"^[ \t#/*;-]*(?:copyright[ \t]*(?:\(c\)|©)[^\n]*|(?:copyright|©|\(c\))[ \t]*(?:[0-9][^\n]*|by [^\n]*)?|all rights reserved[ .]*"
           r"|(?:the )?(?:mit|isc|x11|zlib|bsd[ -]2-clause|bsd[ -]3-clause|bsd zero clause|boost software|mit no attribution)(?: \"[a-z ]+\"| license| licence| \(mit\)| - version [0-9.]+ - august 17th, 2003)*[ .:]*)(?:\n|\z)")
 NOTICE_LINES, SQL_NOTICE_LINES = "(?md)" + NOTICE, "(?m)" + NOTICE
+#: Each alternative of NOTICE holds one of these, wherever its line begins.
+IN_NOTICES = ("copyright", "©", "(c)", "all rights", "mit", "isc", "x11", "zlib", "bsd", "boost software")
 #: Letters, digits and whatever lies beyond Latin-1 punctuation stay; curly quotes, dashes and ellipses go.
 NOT_WORD = r"[^a-z0-9\x{C0}-\x{1FFF}\x{2070}-\x{2FFF}\x{3040}-\x{10FFFF}]+"
 
@@ -91,9 +95,8 @@ def with_canonical(df: DataFrame, text: str, out: str) -> DataFrame:
     low = F.lower(F.replace(F.replace(F.coalesce(F.col(text), F.lit("")), F.lit("İ"), F.lit("i")), F.lit("Σ"), F.lit("σ")))
     held = F.col("_low")
     stripped = F.regexp_replace(held, NOTICE_LINES, "")
-    titled = held.startswith("mit") | held.startswith("isc") | held.startswith("x11") | held.startswith("zlib") | held.startswith("bsd")
-    # most texts have no such line: a search by bytes is far cheaper than a pattern over the whole text
-    mentions = held.contains("copyright") | held.contains("©") | held.contains("(c)") | held.contains("all rights") | held.contains("license") | held.contains("licence") | titled
+    # every match of the pattern has one of these in it, and a search by bytes is far cheaper than a pattern over the whole text
+    mentions = reduce(Column.__or__, [held.contains(x) for x in IN_NOTICES])
     words = F.concat(F.lit(" "), F.regexp_replace(F.when(mentions, stripped).otherwise(held), NOT_WORD, " "), F.lit(" "))
     for old, new in SPELLINGS:
         words = F.replace(words, F.lit(f" {old} "), F.lit(f" {new} "))
@@ -131,9 +134,7 @@ def _sql_text(s: str) -> str:
 
 def _sql_canonical(text: str) -> str:
     out = f"replace(lower(replace(replace(coalesce({text}, ''), 'İ', 'i'), 'Σ', 'σ')), chr(13), chr(10))"
-    marks = " OR ".join(f"contains({out}, '{x}')" for x in ("copyright", "©", "(c)", "all rights", "license", "licence"))
-    titles = " OR ".join(f"starts_with({out}, '{x}')" for x in ("mit", "isc", "x11", "zlib", "bsd"))
-    line = f"CASE WHEN {marks} OR {titles} THEN regexp_replace({out}, {_sql_text(SQL_NOTICE_LINES)}, '', 'g') ELSE {out} END"
+    line = f"regexp_replace({out}, {_sql_text(SQL_NOTICE_LINES)}, '', 'g')"  # of every text, without the search before it
     out = f"(' ' || regexp_replace({line}, {_sql_text(NOT_WORD)}, ' ', 'g') || ' ')"
     for old, new in SPELLINGS:
         out = f"replace({out}, ' {old} ', ' {new} ')"

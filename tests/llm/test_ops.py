@@ -104,6 +104,7 @@ def test_licences_as_they_are_published(spark):
     rows = [("MIT", "MIT License\n\nCopyright (c) 2024 A\n\n" + k["MIT"]), ("MIT", "The MIT License (MIT)\n" + k["MIT"]), ("ISC", "ISC License\nCopyright 1999 B\n" + k["ISC"].replace("and/or distribute", "and distribute")),
             ("BSD-3-Clause", "BSD 3-Clause License\nCopyright (c) 2020, C\nAll rights reserved.\n" + k["BSD-3-Clause"].replace("\n2. ", "\n* ").replace("\n1. ", "\n* ").replace("\n3. ", "\n* ")), ("BSD-2-Clause", k["BSD-2-Clause"]),
             ("BSL-1.0", "Boost Software License - Version 1.0 - August 17th, 2003\n" + k["BSL-1.0"].replace("organization", "organisation")), ("Unlicense", k["Unlicense"].upper()), ("MIT-0", "MIT No Attribution\nCopyright 2020 D\n" + k["MIT-0"]), ("X11", k["X11"]),
+            ("Zlib", k["Zlib"]), ("Zlib", "zlib\n" + k["Zlib"]), ("Zlib", "\n\nzlib\n\n" + k["Zlib"]), ("Zlib", "# zlib\n\t// X11:\n" + k["Zlib"]), ("0BSD", k["0BSD"] + "\n * BSD Zero Clause"), ("BSL-1.0", "-- the Boost Software.\n" + k["BSL-1.0"]),
             (None, "MIT License"), (None, k["MIT"][:-10]), (None, k["BSD-3-Clause"].replace("endorse", "praise"))]
     docs = spark.createDataFrame([(i, t, "x", "y") for i, (_, t) in enumerate(rows)], "doc_id long, text string, license_id string, canonical_digest string")
     got = {r.doc_id: r.license_id for r in licences.match_licences(docs).collect()}
