@@ -162,6 +162,7 @@ def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, r
         if any(n == "margin" for n, _ in TABLES[series.table]):
             out = with_margin(out, series.venue, series.market)
         levels = path_levels(F.lit(series.table), F.lit(variant))
-        out = out.withColumns({"venue": F.lit(series.venue), "market": F.lit(series.market), "month": month_of(F.col("ts")), **{n: levels[n] for n in ("interval", "kind", "depth", "aggregated")}})
+        named = {("band" if n == "depth" and n in columns else n): levels[n] for n in ("interval", "kind", "depth", "aggregated")}
+        out = out.withColumns({"venue": F.lit(series.venue), "market": F.lit(series.market), "month": month_of(F.col("ts")), **named})
         tables.setdefault(series.table, []).append(out)
     return {name: reduce(DataFrame.unionByName, parts) for name, parts in tables.items()}

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from marketloom.plans import queries_catalog, queries_files, queries_io, queries_listing, queries_live, queries_market
+from marketloom.plans import queries_catalog, queries_files, queries_io, queries_listing, queries_live, queries_market, queries_series
 
-MODULES: list = [queries_market, queries_catalog, queries_io, queries_files, queries_listing, queries_live]
+MODULES: list = [queries_market, queries_catalog, queries_io, queries_files, queries_listing, queries_live, queries_series]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -33,10 +33,11 @@ _COLUMNS = {
 TABLES: dict[str, list[tuple[str, str]]] = {
     name: [("ts", "bigint"), *[tuple(c.strip().split(" ", 1)) for c in text.split(", ")]] for name, text in _COLUMNS.items()}
 
-#: Path levels beyond venue, market and dataset; a table has the same ones at every venue.
+#: Path levels beyond venue, market and dataset; a table has the same ones at every venue. The depth level of orderBookBands is called band, as the table has
+#: a depth of its own, and a reader cannot tell a level from a column of its name.
 LEVELS = {"klines": ["interval"], "markPrice": ["interval"], "indexPrice": ["interval"], "premiumIndex": ["interval"], "optionMarkPrice": ["interval"],
           "optionTicker": ["interval"], "funding": ["kind"], "orderBook": ["kind", "depth"], "orderBookSnapshot": ["kind", "depth"],
-          "orderBookBands": ["kind", "depth"], "trades": ["aggregated"]}
+          "orderBookBands": ["kind", "band"], "trades": ["aggregated"]}
 ORDER_BOOKS = ("orderBook", "orderBookSnapshot", "orderBookBands")
 
 
