@@ -21,12 +21,15 @@ HOUR, DAY = market.HOUR, market.DAY
 LATER = 790
 
 
-def _normalised(spark: SparkSession, made: list[tuple[str, DataFrame, dict[str, Column | str], bool]], target: str, columns: list[str]) -> DataFrame:
-    """Writes each (key, rows, raw columns, header) as files and normalises all of a venue and dataset together."""
+def _normalised(spark: SparkSession, made: list[tuple[str, DataFrame, dict[str, Column | str] | Column, bool]], target: str, columns: list[str]) -> DataFrame:
+    """Writes each (key, rows, raw columns, header) as files, or (key, rows, a line, _) as lines, and normalises all of a venue and dataset together."""
     groups: dict[tuple[str, str], list[DataFrame]] = {}
     for key, rows, raw, header in made:
         path = scratch(spark, "raw")
-        rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in raw.items()]).write.option("header", header).csv(path)
+        if isinstance(raw, Column):
+            rows.select(raw.alias("value")).write.text(path)
+        else:
+            rows.select(*[(F.col(c) if isinstance(c, str) else c).alias(name) for name, c in raw.items()]).write.options(header=header, escape='"').csv(path)
         venue, _, dataset = key.split("|")[:3]
         files = scans.drop_empty(scans.list_files(spark, path, "part-*")).select("path", F.lit(key).alias("key"))
         groups.setdefault((venue, dataset.split(",")[0]), []).append(files)
@@ -204,7 +207,56 @@ def liquidations(spark: SparkSession, sf_dir: str) -> DataFrame:
                        ["venue", "market", "symbol", "ts", "side", "price", "size", "averagePrice", "status", "margin"])
 
 
-QUERIES = {f.__name__: f for f in (trades_by_position, trades_by_name, klines_of_series, mark_prices, index_prices, premium_indexes, volatility_indexes, option_marks, borrowing_rates, open_interests, depth_bands, liquidations)}
+def _levels(price: Column, size: Column, more: int = 0) -> tuple[Column, Column, Column]:
+    """A tick as the levels of one side, of the other, and none."""
+    level = F.array(F.array(price.cast("string"), size.cast("string"), *[F.lit(str(more))] * (more > 0)))
+    none = F.array().cast("array<array<string>>")
+    even = F.col("sequence") % 2 == 0
+    return F.when(even, level).otherwise(none), F.when(even, none).otherwise(level), none
+
+
+def books_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as book changes of the series that normalised_books has not: JSON of two venues, signed sizes of a third."""
+    t = _ticks(spark, sf_dir)
+    asks, bids, _ = _levels(F.col("price"), F.col("size"), 3)
+    action = F.when(F.col("side") == "signup", "snapshot").otherwise("update")
+    line = F.to_json(F.struct(F.col("symbol").alias("instId"), action.alias("action"), F.col("ms").cast("string").alias("ts"), asks.alias("asks"), bids.alias("bids")))
+    signed = {"a": "seconds", "b": F.lit("set"), "c": "price", "d": F.when(F.col("sequence") % 2 == 0, -F.col("size")).otherwise(F.col("size")), "e": "sequence", "f": F.lit("x")}
+    return _normalised(spark, [
+        *[(f"htx|{m}|books,incremental,150|BTC-USDT|202401.json", t, line, False) for m in ("spot", "perp", "future")],
+        *[(f"okx|{m}|books,incremental,400|@|202401.json", t, line, False) for m in ("perp", "future", "option")],
+        *[(f"gate|{m}|books,incremental,full|BTC_USDT|202401.csv", t, signed, False) for m in ("perp", "future")],
+    ], "orderBook", ["venue", "market", "symbol", "ts", "action", "side", "price", "size", "orderCount", "sequence", "margin", "kind", "depth"])
+
+
+def snapshots_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as whole books: lines of JSON, and JSON in the cells of tables."""
+    t = _ticks(spark, sf_dir)
+    asks, bids, _ = _levels(F.col("price"), F.col("size"))
+    line = F.to_json(F.struct(asks.alias("asks"), bids.alias("bids"), F.col("ms").alias("timestamp"), "sequence"))
+    cells = {"timestamp": "ms", "asks": F.to_json(asks), "bids": F.to_json(bids)}
+    first = lambda side, i: F.try_element_at(F.try_element_at(F.col(side), F.lit(1)), F.lit(i))
+    out = _normalised(spark, [
+        ("kucoin|perp|books,snapshot,50|XBTUSDTM|202401.csv", t, line, False),
+        *[(f"bitget|{m}|books,snapshot,5|BTCUSDT|202401.csv", t, cells, True) for m in ("spot", "perp", "future")],
+    ], "orderBookSnapshot", ["venue", "market", "symbol", "ts", "asks", "bids", "sequence", "margin", "kind", "depth"])
+    return out.select("venue", "market", "symbol", "ts", first("asks", 1).alias("ask"), first("asks", 2).alias("ask_size"), first("bids", 1).alias("bid"), first("bids", 2).alias("bid_size"), "sequence", "margin", "kind", "depth")
+
+
+def quotes_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = {"timestamp": "ms", "ask_price": F.when(F.col("side") == "error", -999999).otherwise(F.col("price")), "bid_price": "price", "ask_volume": "base", "bid_volume": "size"}
+    return _normalised(spark, [(f"bitget|{m}|quotes|BTCUSDT|202401.csv", _ticks(spark, sf_dir), raw, True) for m in ("spot", "future")], "quotes",
+                       ["venue", "market", "symbol", "ts", "bidPrice", "bidSize", "askPrice", "askSize", "margin"])
+
+
+def funding_of_a_later_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A series that begins in 2026."""
+    return _normalised(spark, [("htx|perp|funding,realised|BTC-USDT|202603.csv", _later(_ticks(spark, sf_dir)), {"instId": "symbol", "fundingRate": "price", "fundingTime": "ms"}, True)], "funding",
+                       ["venue", "market", "symbol", "ts", "rate", "intervalHours", "kind"])
+
+
+QUERIES = {f.__name__: f for f in (trades_by_position, trades_by_name, klines_of_series, mark_prices, index_prices, premium_indexes, volatility_indexes, option_marks, borrowing_rates, open_interests, depth_bands, liquidations,
+                                    books_of_series, snapshots_of_series, quotes_of_series, funding_of_a_later_month)}
 
 _T, _HB = views.TICKS, queries_files._HB
 _AT = "ts // unit * unit + later * 790 * 86400000000"
@@ -238,6 +290,16 @@ SELECT venue, market, own AS symbol, ts + later * {LATER} * {DAY} AS ts, NULL::D
     "borrowing_rates": f"WITH {_T} SELECT 'okx' AS venue, 'spot' AS market, symbol, ts // 1000 * 1000 AS ts, symbol AS currency, price AS rate FROM ticks",
     "open_interests": f"""WITH {_T} SELECT 'binance' AS venue, 'perp' AS market, 'BTCUSDT' AS symbol, ts // 1000000 * 1000000 AS ts, price AS "openInterest", size * 3 AS "openInterestValue", CASE WHEN side <> 'error' THEN size END AS "longShortRatio", size * 5 AS "takerLongShortVol", 'linear' AS margin FROM ticks""",
     "depth_bands": f"WITH {_T} SELECT 'binance' AS venue, 'perp' AS market, 'BTCUSDT' AS symbol, ts // 1000000 * 1000000 AS ts, CAST(sequence % 11 - 5 AS DOUBLE) AS percentage, size AS depth, size * 5 AS notional, 'linear' AS margin, 'bands' AS kind, '5pct' AS band FROM ticks",
+    "books_of_series": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('htx', 'spot', 'BTC-USDT', NULL, '150'), ('htx', 'perp', 'BTC-USDT', 'linear', '150'), ('htx', 'future', 'BTC-USDT', 'linear', '150'), ('okx', 'perp', NULL, 'linear', '400'), ('okx', 'future', NULL, 'linear', '400'), ('okx', 'option', NULL, NULL, '400'),
+ ('gate', 'perp', 'BTC_USDT', 'linear', 'full'), ('gate', 'future', 'BTC_USDT', 'linear', 'full')) AS x(venue, market, own, margin, depth))
+SELECT venue, market, coalesce(own, symbol) AS symbol, CASE WHEN venue = 'gate' THEN ts ELSE ts // 1000 * 1000 END AS ts, CASE WHEN venue <> 'gate' AND side = 'signup' THEN 'snapshot' ELSE 'set' END AS action,
+ CASE WHEN venue = 'gate' AND size = 0 THEN NULL WHEN sequence % 2 = 0 THEN 'ask' ELSE 'bid' END AS side, price, size, CASE WHEN venue = 'okx' THEN 3::BIGINT END AS "orderCount", CASE WHEN venue = 'gate' THEN sequence END AS sequence, margin, 'incremental' AS kind, depth FROM ticks, v""",
+    "snapshots_of_series": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('kucoin', 'perp', 'XBTUSDTM', 'linear', '50'), ('bitget', 'spot', 'BTCUSDT', NULL, '5'), ('bitget', 'perp', 'BTCUSDT', 'linear', '5'), ('bitget', 'future', 'BTCUSDT', 'linear', '5')) AS x(venue, market, symbol, margin, depth))
+SELECT venue, market, v.symbol, ts // 1000 * 1000 AS ts, CASE WHEN sequence % 2 = 0 THEN price END AS ask, CASE WHEN sequence % 2 = 0 THEN size END AS ask_size, CASE WHEN sequence % 2 = 1 THEN price END AS bid, CASE WHEN sequence % 2 = 1 THEN size END AS bid_size,
+ CASE WHEN venue = 'kucoin' THEN sequence END AS sequence, margin, 'snapshot' AS kind, depth FROM ticks, v""",
+    "quotes_of_series": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('spot', NULL), ('future', 'linear')) AS x(market, margin))
+SELECT 'bitget' AS venue, market, 'BTCUSDT' AS symbol, ts // 1000 * 1000 AS ts, price AS "bidPrice", size AS "bidSize", CASE WHEN side <> 'error' THEN price END AS "askPrice", size * 3 AS "askSize", margin FROM ticks, v""",
+    "funding_of_a_later_month": f"""WITH {_T} SELECT 'htx' AS venue, 'perp' AS market, 'BTC-USDT' AS symbol, ts // 1000 * 1000 + {LATER} * {DAY} AS ts, price AS rate, NULL::BIGINT AS "intervalHours", 'realised' AS kind FROM ticks""",
     "liquidations": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('perp', 'BTCUSDT', 'linear'), ('future', 'BTCUSD_240628', 'inverse')) AS x(market, own, margin)), d AS (SELECT DISTINCT ts // 1000 * 1000 AS ts, CASE WHEN side = 'click' THEN 'sell' ELSE 'buy' END AS side, price, size FROM ticks)
 SELECT 'binance' AS venue, market, own AS symbol, ts, side, price, size, size * 3 AS "averagePrice", 'FILLED' AS status, margin FROM d, v""",
 }
