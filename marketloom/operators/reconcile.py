@@ -6,7 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from marketloom.functions.names import revision
+from marketloom.functions.names import parse_keys, revision
 
 
 #: What a ledger line has for the version of a neighbour that was not there.
@@ -53,11 +53,22 @@ def repair_plan(log: DataFrame, held: DataFrame, by: str = "partition") -> DataF
     return left.select(by, action.alias("action"), "sides").filter("action IS NOT NULL")
 
 
-def matches_catalog(stored: DataFrame, partitions: DataFrame, by: list[str]) -> DataFrame:
-    """partitions with verdict: complete, incomplete (files or bytes differ) or absent on storage."""
+#: What a partition of the archives is named by.
+PARTITION = ["venue", "market", "dataset", "variant", "bundle", "grain", "month"]
+
+
+def archive_files(listing: DataFrame) -> DataFrame:
+    """PARTITION and size of the files of a listing (path, length) of the archives. Names that are no archive keys, as those of downloads in progress and backups, are of no partition."""
+    named = parse_keys(listing.select("length", F.element_at(F.split("path", "/"), -1).alias("_name")), "_name")
+    return named.filter("month IS NOT NULL").select(*PARTITION, F.col("length").alias("size"))
+
+
+def matches_catalog(stored: DataFrame, partitions: DataFrame, by: list[str] = PARTITION) -> DataFrame:
+    """partitions (by, files, bytes) with verdict: complete (as many files and bytes are stored; names are not compared one by one), absent (none is) or incomplete."""
     joined = partitions.join(partition_files(stored, by), by, "left")
-    same = (F.col("held_files") == F.col("files")) & (F.col("held_bytes") == F.col("bytes"))
-    return joined.withColumn("verdict", F.when(F.col("held_files").isNull(), "absent").when(same, "complete").otherwise("incomplete"))
+    held = F.coalesce("held_files", F.lit(0))
+    same = (held == F.col("files")) & (F.coalesce("held_bytes", F.lit(0)) == F.col("bytes"))
+    return joined.withColumn("verdict", F.when(same, "complete").when(held == 0, "absent").otherwise("incomplete")).drop("held_files", "held_bytes")
 
 
 def reconcile_store(catalog: DataFrame, store: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketloom.functions.names import margin_of, parse_keys, path_levels
@@ -40,17 +40,17 @@ def assign_series(files: DataFrame, rules: list[Series] = SERIES) -> DataFrame:
     return found.filter(clear).drop("_file", "_high")
 
 
-def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool = False, contents: DataFrame | None = None) -> DataFrame:
+def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool = False, contents: DataFrame | None = None, width=scans.assert_width) -> DataFrame:
     """Raw rows of a series' files, as strings (or declared fields), with their file's name. archived: the files are zip or
     tar archives, whose members are read line by line; tables that may be workbooks are told by their first bytes.
-    contents (path, content): the files themselves, where they are at hand."""
+    contents (path, content): the files themselves, where they are at hand. width takes the rows of a text table with what lies past their columns."""
     if contents is not None or archived or series.format == "sheet":
         whole = scans.drop_empty(contents if contents is not None else scans.binary_files(spark, paths))
         if series.format == "sheet":
             return scans.scan_sheets(whole, _wanted(series))
         if series.header and series.format == "csv":
-            return scans.assert_width(scans.scan_archive_named(whole, _wanted(series)))
-        return scan_lines_of(series, scans.scan_archive(whole))
+            return width(scans.scan_archive_named(whole, _wanted(series)))
+        return scan_lines_of(series, scans.scan_archive(whole), width)
     if series.format == "ndjson":
         return scans.scan_ndjson(spark, paths, series.fields)
     if series.format == "lines":
@@ -58,11 +58,11 @@ def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool =
     if series.format == "words":
         return scans.scan_words(spark, paths, list(series.columns))
     if series.header:
-        return scans.assert_width(scans.scan_csv_named(spark, paths, _wanted(series)))
-    return scans.assert_width(scans.scan_csv_positional(spark, paths, list(series.columns)))
+        return width(scans.scan_csv_named(spark, paths, _wanted(series)))
+    return width(scans.scan_csv_positional(spark, paths, list(series.columns)))
 
 
-def scan_lines_of(series: Series, lines: DataFrame) -> DataFrame:
+def scan_lines_of(series: Series, lines: DataFrame, width=scans.assert_width) -> DataFrame:
     """Raw rows of a series without a header from the lines of archives' members (archive, member, number, line)."""
     if series.format == "ndjson":
         return lines.select(F.from_json("line", series.fields).alias("_r"), F.col("archive").alias(scans.FILE)).select("_r.*", scans.FILE)
@@ -70,7 +70,7 @@ def scan_lines_of(series: Series, lines: DataFrame) -> DataFrame:
         return lines.select("line", F.col("archive").alias(scans.FILE))
     if series.format == "words":
         return scans.words_of(lines.withColumnRenamed("archive", scans.FILE), list(series.columns))
-    return scans.assert_width(scans.cells_of_lines(lines, list(series.columns)))
+    return width(scans.cells_of_lines(lines, list(series.columns)))
 
 
 def _wanted(series: Series) -> list[str]:
@@ -85,9 +85,9 @@ def _wanted(series: Series) -> list[str]:
     return list(dict.fromkeys([*quoted, *bare, *inner, *plain]))
 
 
-def project(series: Series, rows: DataFrame, keep: list[Column] = ()) -> DataFrame:
+def project(series: Series, rows: DataFrame, keep: list[Column] = (), watch: Observation | None = None) -> DataFrame:
     """The table's columns in order, each tried as its type: null where a cell is none or the venue has no
-    such number; rows without a time are no rows."""
+    such number; rows without a time are no rows. watch gets how many have one and none, and the bounds of the times."""
     if series.rows:
         rows = series.rows(rows)
     timed = with_us(rows, F.expr(series.ts), "_us", series.utc_offset_hours)
@@ -98,7 +98,11 @@ def project(series: Series, rows: DataFrame, keep: list[Column] = ()) -> DataFra
         elif name != "margin":
             made = F.expr(series.project[name]).try_cast(kind) if name in series.project else F.lit(None).cast(kind)
             columns.append(made.alias(name))
-    return timed.select(*columns, *keep).filter("ts IS NOT NULL")
+    made = timed.select(*columns, *keep)
+    if watch is not None:
+        ts, early, late = F.col("ts"), month_start_us(F.lit(EARLIEST)), month_start_us(F.lit(LATEST))
+        made = made.observe(watch, F.count("ts").alias("rows"), F.count_if(ts.isNull()).alias("untimed"), F.min("ts").alias("first"), F.max("ts").alias("last"), F.count_if((ts < early) | (ts >= late)).alias("implausible"))
+    return made.filter("ts IS NOT NULL")
 
 
 def clip_month(rows: DataFrame, month: str | Column) -> DataFrame:
@@ -129,11 +133,33 @@ def with_margin(rows: DataFrame, venue: str, market: str) -> DataFrame:
     return rows.withColumn("margin", margin_of(F.lit(venue), F.lit(market), F.col("symbol")))
 
 
-def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, rules: list[Series] = SERIES) -> dict[str, DataFrame]:
+class Watch:
+    """What a write sees of each series as its rows go by, in the one pass that writes them: rows, untimed (rows without a time, which are left out), first and
+    last time, implausible (times out of bounds) and wide (rows with more cells than declared). Read it when the write is over."""
+
+    def __init__(self):
+        self.series: list[tuple[Series, str, Observation, Observation]] = []
+
+    def added(self, series: Series, variant: str) -> tuple[Observation, Observation]:
+        self.series.append((series, variant, Observation(), Observation()))
+        return self.series[-1][2:]
+
+    def facts(self) -> list[dict]:
+        """A row a series. Waits for a write that has not ended."""
+        return [{"venue": s.venue, "market": s.market, "dataset": s.dataset, "variant": variant, "table": s.table, **rows.get, "wide": width.get["wide"]} for s, variant, rows, width in self.series]
+
+    def sound(self) -> bool:
+        """Whether what was written may be recorded as stocked."""
+        return all(not f["implausible"] and not f["wide"] for f in self.facts())
+
+
+def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, rules: list[Series] = SERIES, watch: Watch | None = None) -> dict[str, DataFrame]:
     """Canonical rows of a venue's files by table, with symbol and path levels.
 
     files: path (readable) and key (the canonical name) of each file, with their content if it is at hand; one job a
     series, over all its files at once. Spilling series are clipped to the month that the file's name says.
+    A row that is wider than declared, and a time out of bounds, is an error; with a watch they are counted instead, and
+    it is for the caller not to record what is not sound.
     """
     contents = files.select("path", "content") if "content" in files.columns else None
     listed = parse_keys(files.select("path", "key")).filter((F.col("venue") == venue) & (F.col("dataset") == dataset))
@@ -148,13 +174,20 @@ def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, r
     for (number, variant, packed), paths in sorted(groups.items()):
         series = rules[number]
         own_contents = None if contents is None else contents.join(assigned.filter((F.col("series") == number) & (F.col("variant") == variant) & (archived == packed)).select("path"), "path", "left_semi")
-        raw = scan(spark, series, paths, packed, own_contents)
+        seen, width = watch.added(series, variant) if watch is not None else (None, None)
+
+        def counted(rows: DataFrame, width=width) -> DataFrame:
+            return rows.observe(width, F.count(scans.OVERFLOW).alias("wide")).drop(scans.OVERFLOW)
+
+        raw = scan(spark, series, paths, packed, own_contents, scans.assert_width if watch is None else counted)
+        if watch is not None and series.format in ("ndjson", "lines", "words", "sheet"):
+            raw = raw.observe(width, F.count_if(F.lit(False)).alias("wide"))  # no width is declared
         own = (F.expr(series.instrument) if series.instrument else F.lit(None).cast("string")).alias("_own")
-        made = project(series, raw, [own, F.col(scans.FILE)])
+        made = project(series, raw, [own, F.col(scans.FILE)], seen)
         made = tag_owner(made.withColumn(scans.FILE, plain(F.col(scans.FILE))), owners)
         if series.spill:
             made = clip_month(made, F.col("own_month"))
-        made = assert_plausible(made)
+        made = made if watch is not None else assert_plausible(made)
         columns = [n for n, _ in TABLES[series.table] if n != "margin"]
         out = made.select("symbol", *columns)
         if series.repeats:

@@ -356,6 +356,33 @@ def stocking_decided(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reconcile.decide(both, ledger).select("key", "status", F.substring_index("partition", "#", -1).alias("rendering"), F.array_join("sides", ",").alias("sides"))
 
 
+def _archives(spark, sf_dir):
+    """The catalogue's files as archives: every venue's datasets by instrument, the names that a store would list."""
+    f = views.catalog_files(spark, sf_dir).filter("existence = 'confirmed'")
+    dataset = F.concat(F.lit("d"), F.substring("dataset", 1, 1))
+    key = F.concat_ws("|", F.lower("venue"), F.lit("spot"), dataset, F.concat(F.lit("S"), "series", F.lit("x"), F.regexp_replace("path", "/", "x")), F.concat("date", F.lit(".csv")))
+    return f.select(F.lower("venue").alias("venue"), F.lit("spot").alias("market"), dataset.alias("dataset"), F.lit("").alias("variant"), F.lit("instrument").alias("bundle"), F.lit("daily").alias("grain"),
+                    F.concat_ws("-", F.substring("month", 1, 4), F.substring("month", 5, 2)).alias("month"), F.col("size"), key.alias("name"), "series", "number", F.substring("month", 6, 1).alias("k"))
+
+
+def stocking_from_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is to be done about each month as its archives are on the disk: of months that end in 1 a file is missing, in 2 one is cut short, in 3 nothing is there,
+    and everywhere lie files that are no archives."""
+    a = _archives(spark, sf_dir)
+    partitions = a.groupBy(*reconcile.PARTITION).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
+    first = a.groupBy(*reconcile.PARTITION).agg(F.min("name").alias("_first"))
+    disk = a.join(first, reconcile.PARTITION).filter("k <> '3' AND NOT (k = '1' AND name = _first)").select(F.concat(F.lit("/archives/x/"), "name").alias("path"), (F.col("size") - F.when((F.col("k") == "2") & (F.col("name") == F.col("_first")), 1).otherwise(0)).alias("length"))
+    junk = a.select(F.explode(F.array(F.concat(F.lit("/archives/x/"), "name", F.lit(".part")), F.concat(F.lit("/archives/x/"), "name", F.lit(".bak")), F.lit("/archives/x/notes.txt"))).alias("path"), F.lit(9).cast("long").alias("length"))
+    judged = reconcile.matches_catalog(reconcile.archive_files(disk.unionByName(junk)), partitions)
+    none = F.array().cast("array<struct<id:string,side:string,version:string,here:boolean>>")
+    texts = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
+    renderings = judged.select(F.concat_ws("/", "venue", "dataset", "month").alias("key"), F.concat_ws("/", *reconcile.PARTITION).alias("partition"), F.lit(0).alias("rank"), "files", F.lit("v").alias("version"), texts("every=1.0.0").alias("versions"),
+                               F.lit("[]").alias("fields"), (F.col("verdict") == "complete").alias("on_disk"), none.alias("edges"), texts().alias("missing"), "verdict")
+    ledger = renderings.filter("key LIKE 'n/%'").select("key", "partition", "version", F.lit("old").alias("revision"), texts().alias("lacking"))
+    decided = reconcile.decide(renderings.drop("verdict"), ledger)
+    return decided.join(renderings.select("key", "verdict"), "key").select("key", "verdict", "status")
+
+
 def ledger_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = views.catalog_files(spark, sf_dir).withColumn("partition", F.concat_ws("/", *BY)).select("partition", "size", "series", "venue")
     ledger = f.groupBy("partition").agg(F.count("*").alias("count"), F.sum("size").alias("size"), F.min("venue").alias("revision"))
@@ -447,7 +474,7 @@ QUERIES = {f.__name__: f for f in (
     keys_listed, levels_named, selection,
     partition_counters, partition_versions, venue_totals, counter_deltas, contents_shapes, contents_markets, contents_symbols, series_counts, series_bounds, partition_months, settled_partitions, renderings_preferred,
     lens_members, lens_figures, lens_changes, spans_united, spans_cut, contents_through_lens, listing_page, expected_days, missing_days, listing_merged, listing_merged_ranges, listing_page_ranges, listing_revisions, files_withdrawn, files_settled, reports_applied, series_reconciled,
-    coverage, months_backed, month_bytes, files_duplicated, cold_stats, coverage_gaps, stage_lag, ledger_current, ledger_repairs, store_reconciled, plans_compared, stocking_decided, ledger_validated, batches_packed, spill_neighbours,
+    coverage, months_backed, month_bytes, files_duplicated, cold_stats, coverage_gaps, stage_lag, ledger_current, ledger_repairs, store_reconciled, plans_compared, stocking_decided, stocking_from_storage, ledger_validated, batches_packed, spill_neighbours,
     sides_accepted, names_parsed, intervals_canonical, tags_normalised, periods_stepped)}
 
 _B = "venue, dataset, month"
@@ -541,6 +568,9 @@ SELECT verdict, count(*) AS files, min(path) AS lowest, max(path) AS highest FRO
 SELECT venue, CASE WHEN old IS NULL THEN 'new' WHEN old <> version THEN 'changed' ELSE 'unchanged' END AS plan, count(*) AS partitions, min(version) AS lowest FROM r LEFT JOIN h USING ({_B}) GROUP BY ALL""",
     "stocking_decided": f"""WITH {views.PARTITIONS}, d AS (SELECT concat_ws('/', {_B}) AS key, files, CASE WHEN files = 0 THEN 'waiting' ELSE CASE files % 8 WHEN 0 THEN 'current' WHEN 1 THEN 'restock' WHEN 2 THEN 'stock' WHEN 3 THEN 'complete' WHEN 4 THEN 'pending' WHEN 5 THEN 'restock' WHEN 6 THEN 'stock' ELSE 'outdated' END END AS status FROM partitions)
 SELECT key, status, CASE WHEN status IN ('restock', 'stock', 'complete') THEN CASE WHEN files % 8 IN (5, 6) THEN '1' ELSE '0' END END AS rendering, CASE WHEN status = 'complete' THEN 'post' END AS sides FROM d""",
+    "stocking_from_storage": f"""WITH {views.CATALOG_FILES}, k AS (SELECT lower(venue) AS venue, 'd' || left(dataset, 1) AS dataset, left(month, 4) || '-' || right(month, 2) AS month, count(*) AS files FROM catalog_files WHERE existence = 'confirmed' GROUP BY ALL),
+v AS (SELECT *, CASE right(month, 1) WHEN '1' THEN CASE WHEN files = 1 THEN 'absent' ELSE 'incomplete' END WHEN '2' THEN 'incomplete' WHEN '3' THEN 'absent' ELSE 'complete' END AS verdict FROM k)
+SELECT venue || '/' || dataset || '/' || month AS key, verdict, CASE WHEN venue = 'n' THEN CASE verdict WHEN 'complete' THEN 'restock' ELSE 'outdated' END ELSE CASE verdict WHEN 'complete' THEN 'stock' ELSE 'missing' END END AS status FROM v""",
     "ledger_validated": f"""WITH {views.CATALOG_FILES}, l AS (SELECT concat_ws('/', {_B}) AS partition, any_value(venue) AS venue, count(*) AS n, count(*) FILTER (series % 40 <> 7) AS held, count(*) FILTER (series % 40 = 8) AS grown FROM catalog_files GROUP BY 1)
 SELECT partition, CASE WHEN held = 0 THEN 'gone' WHEN held <> n THEN 'wrong count' ELSE 'wrong bytes' END AS finding FROM l WHERE venue <> 'R' AND (held <> n OR grown > 0)""",
     "spill_neighbours": f"""WITH {views.PARTITIONS}, p AS (SELECT *, concat_ws('/', {_B}) AS partition, CAST(substr(month, 1, 4) AS BIGINT) * 12 + CAST(substr(month, 5, 2) AS BIGINT) AS m FROM partitions)

@@ -372,17 +372,41 @@ def buckets_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = F.concat(F.lit("2024-01-0"), F.col("conv_id") % 3 + 1)
     for name, text in (("chat", F.concat(F.lit('say "x"\n'), "text")), ("trade", F.regexp_replace("text", '[\\n\\r,"]', " "))):
         for d in (1, 2, 3):
-            c.filter(days == f"2024-01-0{d}").select("conv_id", "turn", text.alias("text")).coalesce(1).write.options(header=True, escape='"').csv(f"{root}/{name}/2024-01-0{d}")
-    listed = scans.list_files(spark, root, "*.csv").select(F.regexp_replace("path", r"/(2024-01-0\d)/[^/]*$", "/$1.csv").alias("path"), "length")
-    sums = scans.bucket_sums(listed).select("table", "days", F.col("first").alias("first_day"), F.col("last").alias("last_day"))
+            c.filter(days == f"2024-01-0{d}").select("conv_id", "turn", text.alias("text")).write.options(header=True, escape='"').csv(f"{root}/{name}/2024-01-0{d}")
+    sums = scans.list_buckets(spark, root, ".csv").select("table", "days", F.col("first").alias("first_day"), F.col("last").alias("last_day"))
     rows = [scans.read_bucket(spark, f"{root}/{name}/*", name).select(F.lit(name).alias("table"), F.col("conv_id").cast("bigint").alias("conv_id"), "text") for name in ("chat", "trade")]
     held = rows[0].unionByName(rows[1]).groupBy("table").agg(F.count("*").alias("rows"), F.sum("conv_id").alias("ids"), F.sum(F.length("text")).alias("chars"))
     return held.join(sums, "table")
 
 
+def writes_watched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ticks as trades of two series, some without a time, some with one far out, some too wide, written to the vault in one pass that counts them: the facts
+    of each series, and of the ledger's line."""
+    t = views.ticks(spark, sf_dir)
+    root, ledger = scratch(spark, "vault"), scratch(spark, "ledger")
+    k = F.col("sequence")
+    ms = F.when(k % 10 == 1, "none").when(k % 100 == 2, "1").otherwise(F.expr("cast(ts div 1000 AS string)"))
+    spot = _written(spark, t, [k, F.col("price"), F.col("size"), F.lit("0").alias("q"), ms.alias("t"), (F.col("side") == "click").alias("m"), F.lit("x").alias("b"), F.when(k % 7 == 0, "more").alias("w")])
+    perp = _written(spark, t.filter(k % 2 == 0), [k, F.col("price"), F.col("size"), F.lit("0").alias("q"), ms.alias("t"), (F.col("side") == "click").alias("m")])
+    files = [scans.list_files(spark, p, "part-*").select("path", F.lit(key).alias("key")) for p, key in ((spot, "binance|spot|trades|BTCUSDT|202401.csv"), (perp, "binance|perp|trades|BTCUSDT|202401.csv"))]
+    watch = normalise.Watch()
+
+    def write() -> dict:
+        sinks.write_table(normalise.normalise(spark, files[0].unionByName(files[1]), "binance", "trades", watch=watch)["trades"], root, "trades")
+        facts = watch.facts()
+        return {"rows": sum(f["rows"] for f in facts), "first": min(f["first"] for f in facts), "last": max(f["last"] for f in facts)}
+
+    sinks.recorded(spark.createDataFrame([("binance/trades", "r")], "partition string, revision string"), ledger, write)
+    names = ["market", "rows", "untimed", "first", "last", "implausible", "wide"]
+    seen = spark.createDataFrame([tuple(f[n] for n in names) for f in watch.facts()], "market string, rows long, untimed long, first long, last long, implausible long, wide long")
+    line = scans.read_ledger(spark, ledger).filter("state = 'stocked'").select(F.lit("ledger").alias("market"), *[F.col(n).cast("long").alias(n) for n in ("rows",)], F.lit(None).cast("long").alias("untimed"), F.col("first").cast("long").alias("first"), F.col("last").cast("long").alias("last"))
+    back = scans.read_table(spark, root, "trades").agg(F.lit("vault").alias("market"), F.count("*").alias("rows"), F.min("ts").alias("first"), F.max("ts").alias("last"))
+    return seen.unionByName(line, allowMissingColumns=True).unionByName(back, allowMissingColumns=True)
+
+
 QUERIES = {f.__name__: f for f in (
     archives_read, sheets_read, signatures_sniffed, empties_dropped, normalised_klines, normalised_funding, normalised_books, normalised_snapshots, normalised_options, normalised_quotes, normalised_archives,
-    files_malformed, rows_too_wide, times_implausible, tables_united, partition_stats, vault_month, layouts_written, sides_written, partitions_compacted, ledger_written, withdrawals_logged, cells_quoted, buckets_read)}
+    files_malformed, rows_too_wide, times_implausible, tables_united, partition_stats, vault_month, layouts_written, sides_written, partitions_compacted, ledger_written, withdrawals_logged, cells_quoted, buckets_read, writes_watched)}
 
 _T = views.TICKS
 _HB = f"""hb AS (SELECT symbol, ts - ts % {HOUR} AS ts, arg_min(price, (ts, sequence)) AS open, max(price) AS high, min(price) AS low, arg_max(price, (ts, sequence)) AS close, sum(size) AS volume, count(*) AS trades FROM ticks GROUP BY symbol, ts - ts % {HOUR})"""
@@ -422,6 +446,9 @@ SELECT symbol, min(ts) AS first, max(ts) AS last FROM r GROUP BY symbol HAVING m
 SELECT market, part, count(*) AS rows, min(ts) AS first FROM m GROUP BY ALL UNION ALL SELECT 'none', 'own', 0, NULL""",
     "partitions_compacted": f"WITH {_T}, m AS (SELECT *, {_MARKET} AS market, strftime(make_timestamp(ts), '%Y-%m') AS month FROM ticks) SELECT market, month, 1::BIGINT AS files, count(*) AS rows, max(CAST(sequence AS VARCHAR)) AS highest FROM m GROUP BY ALL",
     "ledger_written": f"WITH {_PARTS} SELECT partition, CASE WHEN partition NOT LIKE 'N%' THEN 'r1' END AS revision, CASE partition[1] WHEN 'A' THEN 'outdated' WHEN 'N' THEN CASE WHEN partition LIKE '%1' THEN 'undo sides' ELSE 'drop' END ELSE 'current' END AS action FROM p WHERE partition NOT LIKE 'N%2'",
+    "writes_watched": f"""WITH {_T}, r AS (SELECT sequence AS k, CASE WHEN sequence % 10 <> 1 THEN CASE WHEN sequence % 100 = 2 THEN 1000000 ELSE ts // 1000 * 1000 END END AS ts FROM ticks), s AS (SELECT 'spot' AS market, * FROM r UNION ALL SELECT 'perp', * FROM r WHERE k % 2 = 0),
+f AS (SELECT market, count(ts) AS rows, count(*) FILTER (ts IS NULL) AS untimed, min(ts) AS first, max(ts) AS last, count(*) FILTER (ts < 1420070400000000) AS implausible, count(*) FILTER (market = 'spot' AND k % 7 = 0) AS wide FROM s GROUP BY market)
+SELECT * FROM f UNION ALL SELECT m, sum(rows)::BIGINT, NULL, min(first), max(last), NULL, NULL FROM f, (VALUES ('ledger'), ('vault')) AS x(m) GROUP BY m""",
     "withdrawals_logged": f"WITH {views.CATALOG_FILES} SELECT venue, path, CASE WHEN number % 2 = 1 THEN 'withdrawn' ELSE 'returned' END AS event, size FROM catalog_files WHERE existence = 'absent'",
     "cells_quoted": "SELECT conv_id, turn, md5('\"a\", ' || text || ' \"\"' || chr(10) || ';' || role) AS digest FROM conversations",
     "buckets_read": """WITH r AS (SELECT 'chat' AS "table", conv_id, length(text) + 8 AS n FROM conversations UNION ALL SELECT 'trade', conv_id, length(text) FROM conversations)

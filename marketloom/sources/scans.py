@@ -450,12 +450,13 @@ def drop_empty(files: DataFrame) -> DataFrame:
 
 
 def list_buckets(spark: SparkSession, root: str, suffix: str = ".csv.gz") -> DataFrame:
-    """Raw store: table, days, first, last, bytes by table, from file names root/table/day.suffix."""
+    """Raw store: table, days, first, last, bytes by table, from the names of root/table/day.suffix, or of the pieces in root/table/day/."""
     return bucket_sums(list_files(spark, root, f"*{suffix}"))
 
 
 def bucket_sums(files: DataFrame) -> DataFrame:
-    named = files.select(F.regexp_extract("path", r"/([^/]+)/(\d{4}-?\d{2}-?\d{2})[^/]*$", 1).alias("table"), F.regexp_extract("path", r"/([^/]+)/(\d{4}-?\d{2}-?\d{2})[^/]*$", 2).alias("day"), "length")
+    day = r"/([^/]+)/(\d{4}-?\d{2}-?\d{2})[^/]*(?:/part-[^/]*)?$"
+    named = files.select(F.regexp_extract("path", day, 1).alias("table"), F.regexp_extract("path", day, 2).alias("day"), "length")
     return named.filter("table <> ''").groupBy("table").agg(F.countDistinct("day").alias("days"), F.min("day").alias("first"), F.max("day").alias("last"), F.sum("length").alias("bytes"))
 
 

@@ -66,18 +66,27 @@ def write_sides(df: DataFrame, root: str, table: str, side: str) -> None:
     write_table(df, root, table, part=side)
 
 
-def append_ledger(df: DataFrame, path: str, at: int | None = None) -> None:
-    """Lines at the end of a log, stamped with when (ns): rows of one call are of one time, as they are of different partitions, and may lie in
-    any number of files."""
-    df.withColumn("at", F.lit(at if at is not None else time.time_ns())).hint("rebalance").write.mode("append").options(sep="|", header=True).csv(path)
+#: The columns of a ledger's lines, in their order: every file of a log has all of them, as they are read by place.
+LEDGER = ["partition", "state", "revision", "venue", "market", "dataset", "variant", "month", "grain", "bundle", "version", "pre_version", "post_version", "size", "count", "rows", "first", "last", "at"]
 
 
-def recorded(partitions: DataFrame, path: str, write: Callable[[], None]) -> None:
-    """Runs write between two lines for each of partitions (partition, mode, revision, ...): `updating` before, `stocked` after, so
-    that a write that never ended is known by its line."""
-    append_ledger(partitions.withColumn("state", F.lit("updating")), path)
-    write()
-    append_ledger(partitions.withColumn("state", F.lit("stocked")), path)
+def append_ledger(df: DataFrame, path: str, at: int | None = None) -> None:
+    """Lines (columns of LEDGER, those that are not there are empty) at the end of a log, stamped with when (ns): rows of one call are of one time, as they are of different partitions, and may lie in
+    any number of files."""
+    if more := set(df.columns) - set(LEDGER):
+        raise ValueError(f"a ledger has no {sorted(more)}")
+    lines = df.withColumns({c: F.lit(None).cast("string") for c in LEDGER if c not in df.columns}).withColumn("at", F.lit(at if at is not None else time.time_ns()))
+    lines.select(*LEDGER).hint("rebalance").write.mode("append").options(sep="|", header=True).csv(path)
+
+
+def recorded(partitions: DataFrame, path: str, write: Callable[[], dict | None]) -> None:
+    """Runs write between two lines for each of partitions (partition, revision, ...): `updating` before, `stocked` after, so
+    that a write that never ended is known by its line. What write gives (rows, first, last: what its pass has seen, or None) stands in the second line; a
+    write that raises leaves the first one the last."""
+    facts = dict.fromkeys(("rows", "first", "last"))
+    note = lambda state, f: partitions.withColumns({"state": F.lit(state), **{k: F.lit(f.get(k)).cast("long") for k in facts}})
+    append_ledger(note("updating", facts), path)
+    append_ledger(note("stocked", write() or facts), path)
 
 
 def encode_messages(messages: DataFrame, columns: list[str], order: str = "seq") -> DataFrame:

@@ -141,6 +141,37 @@ def test_ledger(spark):
     assert got == {"a": ("undo sides", ["pre"]), "c": ("drop", []), "g": ("drop", []), "h": ("drop", []), "i": ("undo sides", ["pre", "post"]), "j": ("drop", [])}
 
 
+def test_archives_on_the_disk(spark):
+    name = lambda month, day, more="": f"/a/okx|spot|trades|BTC-USDT|2024{month}{day}.csv{more}"
+    listing = spark.createDataFrame([(name("01", "01"), 5), (name("01", "02"), 6), (name("01", "03", ".bak"), 7), ("/a/notes", 1), (name("02", "01"), 5), (name("03", "01"), 4), ("/a/okx|spot|trades|BTC-USDT|202404.csv", 9)], "path string, length long")
+    part = lambda month, files, size, grain="daily": ("okx", "spot", "trades", "", "instrument", grain, f"2024-{month}", files, size)
+    partitions = spark.createDataFrame([part("01", 2, 11), part("02", 2, 11), part("03", 1, 5), part("04", 1, 9), part("04", 1, 9, "monthly"), part("05", 0, 0)], "venue string, market string, dataset string, variant string, bundle string, grain string, month string, files long, bytes long")
+    got = rows(reconcile.matches_catalog(reconcile.archive_files(listing), partitions), "month", "grain", "verdict")
+    assert got == [("2024-01", "daily", "complete"), ("2024-02", "daily", "incomplete"), ("2024-03", "daily", "incomplete"), ("2024-04", "daily", "absent"), ("2024-04", "monthly", "complete"), ("2024-05", "daily", "complete")]
+
+
+def test_recorded_writes(spark, tmp_path):
+    """A write that raises leaves its mark the last line; one that ends records what it has seen."""
+    import pytest
+
+    from marketloom.sources import scans, sinks
+
+    path = str(tmp_path / "log")
+    part = spark.createDataFrame([("p", "r")], "partition string, revision string")
+
+    def broken():
+        raise RuntimeError("no room")
+
+    with pytest.raises(RuntimeError):
+        sinks.recorded(part, path, broken)
+    assert reconcile.ledger_current(scans.read_ledger(spark, path)).count() == 0
+    sinks.recorded(part, path, lambda: {"rows": 3, "first": 1, "last": 9})
+    line = reconcile.ledger_current(scans.read_ledger(spark, path)).first()
+    assert (line.rows, line.first, line.last, line.outdated) == ("3", "1", "9", False)
+    with pytest.raises(ValueError, match="has no"):
+        sinks.append_ledger(part.withColumn("colour", part.revision), path)
+
+
 def test_batches_fit(spark):
     p = spark.createDataFrame([("v", "m", str(i), s) for i, s in enumerate([60, 50, 40, 30, 20, 130])], "venue string, month string, partition string, bytes long")
     got = {}
