@@ -60,7 +60,8 @@ PARTITION = ["venue", "market", "dataset", "variant", "bundle", "grain", "month"
 def archive_files(listing: DataFrame) -> DataFrame:
     """PARTITION and size of the files of a listing (path, length) of the archives. Names that are no archive keys, as those of downloads in progress and backups, are of no partition."""
     named = parse_keys(listing.select("length", F.element_at(F.split("path", "/"), -1).alias("_name")), "_name")
-    return named.filter("month IS NOT NULL").select(*PARTITION, F.col("length").alias("size"))
+    # a row of its own for each name: else an aggregate of these takes in the whole grammar of names once a column
+    return named.select(F.inline(F.array(F.struct(*PARTITION, F.col("length").alias("size"))))).filter("month IS NOT NULL")
 
 
 def matches_catalog(stored: DataFrame, partitions: DataFrame, by: list[str] = PARTITION) -> DataFrame:

@@ -374,7 +374,8 @@ def stocking_from_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     disk = a.join(first, reconcile.PARTITION).filter("k <> '3' AND NOT (k = '1' AND name = _first)").select(F.concat(F.lit("/archives/x/"), "name").alias("path"), (F.col("size") - F.when((F.col("k") == "2") & (F.col("name") == F.col("_first")), 1).otherwise(0)).alias("length"))
     junk = a.select(F.explode(F.array(F.concat(F.lit("/archives/x/"), "name", F.lit(".part")), F.concat(F.lit("/archives/x/"), "name", F.lit(".bak")), F.lit("/archives/x/notes.txt"))).alias("path"), F.lit(9).cast("long").alias("length"))
     judged = reconcile.matches_catalog(reconcile.archive_files(disk.unionByName(junk)), partitions)
-    none = F.array().cast("array<struct<id:string,side:string,version:string,here:boolean>>")
+    edge = F.array(F.struct(F.lit("next").alias("id"), F.lit("post").alias("side"), F.lit("e1").alias("version"), F.lit(True).alias("here")))
+    none = F.filter(edge, lambda e: F.col("files") < 0)  # no month has a neighbour here
     texts = lambda *x: F.array(*[F.lit(v) for v in x]).cast("array<string>")
     renderings = judged.select(F.concat_ws("/", "venue", "dataset", "month").alias("key"), F.concat_ws("/", *reconcile.PARTITION).alias("partition"), F.lit(0).alias("rank"), "files", F.lit("v").alias("version"), texts("every=1.0.0").alias("versions"),
                                F.lit("[]").alias("fields"), (F.col("verdict") == "complete").alias("on_disk"), none.alias("edges"), texts().alias("missing"), "verdict")
