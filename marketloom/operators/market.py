@@ -119,9 +119,14 @@ def latest(ticks: DataFrame, n: int) -> DataFrame:
     return ticks.orderBy(F.desc("ts"), F.desc("sequence")).limit(n)
 
 
-def newest_page(ticks: DataFrame, end: int, n: int) -> DataFrame:
-    """The n newest rows at or before `end`, newest first."""
-    return latest(ticks.filter(F.col("ts") <= end), n)
+def newest_page(ticks: DataFrame, end: int, n: int, start: int = 0, symbol: str | None = None) -> DataFrame:
+    """The n newest rows at or before `end` after the `start` newest, of one symbol or all, newest first, with total: how many there are
+    in all. A page is as many rows a task as it ends at; the total is a count beside it."""
+    asked = ticks.filter(F.col("ts") <= end)
+    asked = asked if symbol is None else asked.filter(F.col("symbol") == symbol)
+    page = asked.orderBy(F.desc("ts"), F.desc("sequence"))
+    page = page.offset(start).limit(n) if start else page.limit(n)
+    return page.withColumn("total", asked.agg(F.count("*")).scalar())
 
 
 def table_state(rows: DataFrame, by: str, keys: list[str], values: list[str], order: str = "seq") -> DataFrame:

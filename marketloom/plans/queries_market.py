@@ -73,7 +73,7 @@ def tape_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def page_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return market.newest_page(views.ticks(spark, sf_dir), _AT, 100)
+    return market.newest_page(views.ticks(spark, sf_dir), _AT, 100, 50)
 
 
 def delta_state(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +176,7 @@ SELECT symbol, ts, sequence, price, (SELECT arg_max(quote, (q.ts, q.sequence)) F
 SELECT symbol, max(price) FILTER (side = 'bid') AS best_bid, min(price) FILTER (side = 'ask') AS best_ask, count(*) FILTER (side = 'bid') AS bid_levels, count(*) FILTER (side = 'ask') AS ask_levels,
  min(price) FILTER (side = 'ask') - max(price) FILTER (side = 'bid') AS spread FROM top WHERE n <= 5 GROUP BY symbol""",
     "tape_latest": f"WITH {views.TICKS} SELECT * FROM ticks ORDER BY ts DESC, sequence DESC LIMIT 50",
-    "page_newest": f"WITH {views.TICKS} SELECT * FROM ticks WHERE ts <= {_AT} ORDER BY ts DESC, sequence DESC LIMIT 100",
+    "page_newest": f"WITH {views.TICKS} SELECT *, count(*) OVER () AS total FROM ticks WHERE ts <= {_AT} ORDER BY ts DESC, sequence DESC LIMIT 100 OFFSET 50",
     "delta_state": f"""WITH {views.TICKS}, r AS (SELECT 'T' || CAST(substr(symbol, 2) AS INT) % 20 AS name, symbol, CASE side WHEN 'signup' THEN 'partial' WHEN 'purchase' THEN 'insert' WHEN 'error' THEN 'delete' ELSE 'update' END AS action,
  sequence AS seq, CASE WHEN side <> 'click' THEN price END AS price, CASE WHEN side <> 'view' THEN size END AS size FROM ticks),
 f AS (SELECT name, max(seq) AS since FROM r WHERE action = 'partial' GROUP BY name), live AS (SELECT r.* FROM r LEFT JOIN f USING (name) WHERE since IS NULL OR seq >= since),

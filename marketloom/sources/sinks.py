@@ -15,22 +15,23 @@ NO_LEVEL = "ticks"
 SPLIT_BYTES = 1 << 30
 
 
-def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights: DataFrame | None = None, split_bytes: int = SPLIT_BYTES, files_for_hot: int = 31, records_per_file: int = 50_000_000) -> None:
+def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights: DataFrame | None = None, split_bytes: int = SPLIT_BYTES, records_per_file: int = 50_000_000) -> None:
     """Replaces the partitions that df has rows of; others stay. Rows are by symbol and time in each file.
 
     df has the table's columns and path levels; an absent level is written as `ticks`. weights (the
     path levels and bytes of each partition) says which months are light: those are one file each. All
-    others are dealt by symbol, and a symbol by day over `files_for_hot` tasks.
+    others are dealt by symbol and then rebalanced: Spark puts small symbols together and cuts large ones, so that a file is about
+    spark.sql.adaptive.advisoryPartitionSizeInBytes of shuffled rows, whatever share of a month a symbol has.
     """
     levels = levels_of(table)
     rows = df.withColumns({c: F.coalesce(F.col(c), F.lit(NO_LEVEL)) if c in df.columns else F.lit(NO_LEVEL) for c in levels}).withColumn("part", F.lit(part))
-    heavy = F.lit(True)
-    if weights is not None:
+    if weights is None:
+        dealt = rows.hint("rebalance", *[F.col(c) for c in (*levels, "symbol")])
+    else:
         laid = layout_for(weights, split_bytes).select(*levels, (F.col("layout") == "whole").alias("_whole"))
-        rows = rows.join(laid, levels, "left")
-        heavy = ~F.coalesce("_whole", F.lit(False))
-    salt = F.when(heavy, F.pmod(F.floor(F.col("ts") / 86_400_000_000), F.lit(files_for_hot)))
-    dealt = rows.repartition(*[F.col(c) for c in levels], F.when(heavy, F.col("symbol")), salt).drop("_whole")
+        marked = rows.join(laid, levels, "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
+        light, heavy = marked.filter("_whole").drop("_whole"), marked.filter("NOT _whole").drop("_whole")
+        dealt = light.repartition(*levels).unionByName(heavy.hint("rebalance", *[F.col(c) for c in (*levels, "symbol")]))
     (dealt.sortWithinPartitions(*levels, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .option("maxRecordsPerFile", records_per_file).partitionBy(*levels, "part").parquet(f"{root}/{table}"))
 
@@ -47,15 +48,19 @@ def layout_for(partitions: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFra
 
 
 def compact_partitions(df: DataFrame, root: str, table: str, staged: str, distinct: bool = False) -> None:
-    """Partitions of a table (df: their rows, read from root) rewritten as one ordered piece each.
+    """Partitions of a table (df: their rows, read from root) that are in several pieces rewritten as one ordered piece each, or as many as their
+    size asks for. Partitions of one piece are neither read nor written.
 
     The pieces are joined in a folder beside the table first, as what is read cannot be replaced at once;
     a run that ends between the two has lost nothing.
     """
     columns = [*levels_of(table), "part"]
+    names = df.select(*columns, F.col("_metadata.file_path").alias("_file")).distinct()
+    several = names.groupBy(*columns).agg(F.count("*").alias("_pieces")).filter("_pieces > 1").drop("_pieces")
+    df = df.join(several, columns, "left_semi").select(*df.columns)  # Spark prunes the partitions that are not among these
     (df.distinct() if distinct else df).write.mode("overwrite").partitionBy(*columns).parquet(staged)
     held = df.sparkSession.read.schema(df.schema).parquet(staged)
-    (held.repartition(*columns).sortWithinPartitions(*columns, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
+    (held.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*columns, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy(*columns).parquet(f"{root}/{table}"))
 
 

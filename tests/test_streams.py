@@ -287,6 +287,48 @@ def test_vault_round_trip(spark, tmp_path):
     assert scans.read_table(spark, root, "trades", month="2024-03").count() == 0
 
 
+def test_files_by_size(spark, tmp_path):
+    """A symbol with nine tenths of a month is cut, small symbols are put together, and files come near the size asked for; sorted all the same."""
+    from marketloom.schema import TABLES
+
+    names = [n for n, _ in TABLES["trades"]]
+    rows = spark.range(60_000).select(F.when(F.col("id") % 10 > 0, "HOT").otherwise(F.concat(F.lit("S"), F.col("id") % 500)).alias("symbol"), (F.col("id") * 7919 % 60_000).alias("ts"), F.sha2(F.col("id").cast("string"), 256).alias("tradeId"))
+    kinds = dict(TABLES["trades"])
+    rows = rows.select("symbol", *[F.col(n) if n in rows.columns else F.lit(None).cast(kinds[n]).alias(n) for n in names], F.lit("v").alias("venue"), F.lit("spot").alias("market"), F.lit("false").alias("aggregated"), F.lit("2024-01").alias("month"))
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "512k")
+        sinks.write_table(rows.repartition(8), str(tmp_path / "v"), "trades")
+    finally:
+        spark.conf.set(key, before)
+    files = [f for f in (tmp_path / "v").rglob("*.parquet")]
+    sizes = sorted(f.stat().st_size for f in files)
+    middle = sizes[len(sizes) // 2]
+    assert 4 <= len(files) <= 24 and sizes[-1] <= 2 * middle, sizes
+    for f in files:
+        got = [(r.symbol, r.ts) for r in spark.read.parquet(str(f)).select("symbol", "ts").collect()]
+        assert got == sorted(got)
+    assert scans.read_table(spark, str(tmp_path / "v"), "trades").count() == 60_000
+
+
+def test_only_partitions_in_pieces_are_compacted(spark, tmp_path):
+    from marketloom.schema import TABLES
+
+    kinds = ", ".join(f"{n} {t}" for n, t in [("symbol", "string"), *TABLES["trades"], ("venue", "string"), ("market", "string"), ("aggregated", "string"), ("month", "string")])
+    row = lambda s, ts, month: (s, ts, *[None] * (len(TABLES["trades"]) - 1), "v", "spot", "false", month)
+    root = str(tmp_path / "v")
+    sinks.write_table(spark.createDataFrame([row("A", 1, "2024-01"), row("A", 1, "2024-02"), row("B", 2, "2024-02")], kinds), root, "trades")
+    spark.createDataFrame([row("C", 5, "2024-02"), row("A", 1, "2024-02")], kinds).withColumn("part", F.lit("own")).repartition(2).write.mode("append").partitionBy("venue", "market", "aggregated", "month", "part").parquet(f"{root}/trades")
+    still = [f for f in (tmp_path / "v").rglob("*.parquet") if "2024-01" in str(f)]
+    sinks.compact_partitions(scans.read_table(spark, root, "trades"), root, "trades", str(tmp_path / "staged"), distinct=True)
+    after = [f for f in (tmp_path / "v").rglob("*.parquet")]
+    assert [f for f in after if "2024-01" in str(f)] == still and len(after) == 2
+    got = [(r.symbol, r.ts) for r in spark.read.parquet(str(next(f for f in after if "2024-02" in str(f)))).collect()]
+    assert got == [("A", 1), ("B", 2), ("C", 5)]
+    assert not [f for f in (tmp_path / "staged").rglob("*.parquet") if "2024-01" in str(f)]
+
+
 def test_archives_and_logs(spark, tmp_path):
     import tarfile
     import zipfile
