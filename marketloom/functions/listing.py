@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from marketloom.functions.names import norm_etag
 from marketloom.functions.times import last_settled, next_period, stamp_to_time
 
-# Endings, slots and levels.
+# Endings, slots, durations, levels by dataset, and the names of two kinds of misnamed files.
 COMPRESSED = ["gz", "bz2", "xz", "zst"]
 SLOTS = {"{YYYY}": r"\d{4}", "{MM}": r"\d{2}", "{DD}": r"\d{2}", "{MONTH_LAST_DAY}": r"\d{2}", "{PART}": "(.+?)"}
 DURATION = r"(?i)^\d+(?:s|m|min|h|hour|d|day|w|week|mo|mon|month)$"
-LEVELS = {"interval": ["klines", "markPrice", "indexPrice", "premiumIndex", "volatilityIndex", "optionSummary", "optionTicker"], "kind,depth": ["books"], "aggregation": ["trades"], "kind": ["funding"]}
+MINUTES = r"\{SYMBOL\}_(\d+)_\{"
+LEVELS = [
+    (["interval"], ["klines", "markPrice", "indexPrice", "premiumIndex", "volatilityIndex", "optionSummary", "optionTicker"]),
+    (["kind", "depth"], ["books"]),
+    (["aggregation"], ["trades"]),
+    (["kind"], ["funding"]),
+]
+BOOK_SLICE = r"(^|/)orderbooks_slice/[^/]+/[^/]+\.gz$"
+TEXT_SLICE = r"(^|/)slice_[a-z_]+_\d+$"
 
 
 def _extension_like(text: Column) -> Column:
@@ -24,7 +32,7 @@ def extension_of(path: Column) -> Column:
     misnamed files hold."""
     parts = F.split(F.lower(F.element_at(F.split(path, "/"), -1)), r"\.")
     last, inner = F.when(F.size(parts) > 1, F.element_at(parts, -1)), F.when(F.size(parts) > 2, F.element_at(parts, -2))
-    return (F.when(path.rlike(r"(^|/)orderbooks_slice/[^/]+/[^/]+\.gz$"), ".json.gz").when(path.rlike(r"(^|/)slice_[a-z_]+_\d+$"), ".txt")
+    return (F.when(path.rlike(BOOK_SLICE), ".json.gz").when(path.rlike(TEXT_SLICE), ".txt")
             .when(~_extension_like(last), ".txt").when(~last.isin(COMPRESSED), F.concat(F.lit("."), last))
             .when(_extension_like(inner), F.concat(F.lit("."), inner, F.lit("."), last)).otherwise(F.concat(F.lit(".txt."), last)))
 
@@ -55,15 +63,14 @@ def catalog_key(prefix: Column, pattern: Column, date: Column, path: Column) ->
 def interval_of(pattern: Column) -> Column:
     """The bar length in a URL pattern: a segment that is a duration, or minutes after the symbol."""
     segment = F.get(F.filter(F.split(pattern, "/"), lambda x: x.rlike(DURATION)), F.lit(0))
-    return F.coalesce(segment, F.nullif(F.regexp_extract(pattern, r"\{SYMBOL\}_(\d+)_\{", 1), F.lit("")))
+    return F.coalesce(segment, F.nullif(F.regexp_extract(pattern, MINUTES, 1), F.lit("")))
 
 
 def levels_map(dataset: Column, variant: Column) -> Column:
     """A variant's named levels; the last takes what is left. Trades without a variant have the default aggregation."""
     parts = F.split(variant, ",")
     out = F.create_map().cast("map<string,string>")
-    for names, datasets in LEVELS.items():
-        names = names.split(",")
+    for names, datasets in LEVELS:
         values = [F.get(parts, F.lit(i)) if i < len(names) - 1 else F.array_join(F.slice(parts, i + 1, F.greatest(F.size(parts) - i, F.lit(0))), ",") for i in range(len(names))]
         given = F.map_filter(F.map_from_arrays(F.array(*[F.lit(n) for n in names]), F.array(*values)), lambda k, v: F.coalesce(v, F.lit("")) != "")
         out = F.when(dataset.isin(datasets) & (variant != ""), given).otherwise(out)

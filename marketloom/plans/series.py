@@ -55,45 +55,45 @@ def json_line(schema: str) -> Callable[[DataFrame], DataFrame]:
     return lambda df: df.withColumn("_m", F.when(F.col("line").startswith("{"), F.from_json("line", schema))).drop("line")
 
 
-def _p(text: str) -> dict[str, str]:
-    """name=column words to a projection; a bare name is its own column."""
-    return {w.split("=")[0]: f"`{w.split('=')[-1]}`" for w in text.split()}
+def _cells(*same: str, **named: str) -> dict[str, str]:
+    """A projection: canonical columns from raw cells of the same names, and of other names."""
+    return {name: f"`{cell}`" for name, cell in {**{n: n for n in same}, **named}.items()}
 
 
 # The venues' column orders ("-" is not read), names and codes.
-C = {name: tuple(text.split()) for name, text in {
-    "binance spot trade": "id price qty quoteQty rawTs buyerMaker -",
-    "binance linear trade": "id price qty quoteQty rawTs buyerMaker",
-    "binance inverse trade": "id price qty baseQty rawTs buyerMaker",
-    "binance aggregate": "id price qty - - rawTs buyerMaker",
-    "binance spot aggregate": "id price qty - - rawTs buyerMaker -",
-    "binance kline": "rawTs open high low close volume - quoteVolume trades takerBuyVolume takerBuyQuote -",
-    "bybit kline": "rawTs open high low close volume",
-    "gate spot trade": "rawTs id price size side",
-    "gate futures trade": "rawTs id price size",
-    "gate kline": "rawTs volume close high low open",
-    "gate tradfi kline": "rawTs close high low open",
-    "gate mark": "rawTs price - -",
-    "gate funding": "rawTs rate",
-    "gate predicted funding": "rawTs rate - - - - - -",
-    "gate spot book": "rawTs side action price size id -",
-    "gate futures book": "rawTs action price size id -",
-    "gate index": "name price",
-    "gate option": "name markPrice markIv bidSize bidPrice bidIv askSize askPrice askIv delta gamma theta vega",
-    "htx spot trade": "id rawTs price base side",
-    "htx inverse trade": "id rawTs price contracts base side",
-    "htx linear trade": "id rawTs price contracts base quote side",
-    "htx kline": "rawTs open close high low vol amount",
-    "htx reference": "rawTs open close high low",
-}.items()}
-OHLC = _p("open high low close")
+C = {
+    "binance spot trade": ("id", "price", "qty", "quoteQty", "rawTs", "buyerMaker", "-"),
+    "binance linear trade": ("id", "price", "qty", "quoteQty", "rawTs", "buyerMaker"),
+    "binance inverse trade": ("id", "price", "qty", "baseQty", "rawTs", "buyerMaker"),
+    "binance aggregate": ("id", "price", "qty", "-", "-", "rawTs", "buyerMaker"),
+    "binance spot aggregate": ("id", "price", "qty", "-", "-", "rawTs", "buyerMaker", "-"),
+    "binance kline": ("rawTs", "open", "high", "low", "close", "volume", "-", "quoteVolume", "trades", "takerBuyVolume", "takerBuyQuote", "-"),
+    "bybit kline": ("rawTs", "open", "high", "low", "close", "volume"),
+    "gate spot trade": ("rawTs", "id", "price", "size", "side"),
+    "gate futures trade": ("rawTs", "id", "price", "size"),
+    "gate kline": ("rawTs", "volume", "close", "high", "low", "open"),
+    "gate tradfi kline": ("rawTs", "close", "high", "low", "open"),
+    "gate mark": ("rawTs", "price", "-", "-"),
+    "gate funding": ("rawTs", "rate"),
+    "gate predicted funding": ("rawTs", "rate", "-", "-", "-", "-", "-", "-"),
+    "gate spot book": ("rawTs", "side", "action", "price", "size", "id", "-"),
+    "gate futures book": ("rawTs", "action", "price", "size", "id", "-"),
+    "gate index": ("name", "price"),
+    "gate option": ("name", "markPrice", "markIv", "bidSize", "bidPrice", "bidIv", "askSize", "askPrice", "askIv", "delta", "gamma", "theta", "vega"),
+    "htx spot trade": ("id", "rawTs", "price", "base", "side"),
+    "htx inverse trade": ("id", "rawTs", "price", "contracts", "base", "side"),
+    "htx linear trade": ("id", "rawTs", "price", "contracts", "base", "quote", "side"),
+    "htx kline": ("rawTs", "open", "close", "high", "low", "vol", "amount"),
+    "htx reference": ("rawTs", "open", "close", "high", "low"),
+}
+OHLC = _cells("open", "high", "low", "close")
 SIDE = {"side": "lower(`side`)"}
 MAKER = {"side": "CASE WHEN lower(buyerMaker) IN ('true', '1') THEN 'sell' ELSE 'buy' END", "buyerMaker": "lower(buyerMaker) IN ('true', '1')"}
 LEVEL = {"side": "_side", "price": "_price", "size": "_size"}
 BOOK = "instId string, action string, ts string, asks array<array<string>>, bids array<array<string>>"
 IMAGE = "CASE WHEN {} = 'snapshot' THEN 'snapshot' ELSE 'set' END"
 TIME_IN_NAME = r"regexp_extract(filename, '\\.part(\\d+)\\.[a-z0-9]+$', 1)"
-GREEKS = "delta gamma vega theta"
+GREEKS = ("delta", "gamma", "vega", "theta")
 SIGNED = {"size": "abs(try_cast(`size` AS double))"}
 HTX_NEW = "2026-02"
 
@@ -108,60 +108,60 @@ def _json(column: str) -> str:
 
 def _binance() -> list[Series]:
     def trade(market, columns, extra, variant="", margin=None):
-        return Series("binance", market, "trades", "trades", "rawTs", {**_p(f"tradeId=id price size=qty {extra}"), **MAKER}, header=False, columns=C[columns], variant=variant, margin=margin)
+        return Series("binance", market, "trades", "trades", "rawTs", {**_cells("price", tradeId="id", size="qty"), **extra, **MAKER}, header=False, columns=C[columns], variant=variant, margin=margin)
 
     out = [
-        trade("spot", "binance spot trade", "baseSize=qty quoteSize=quoteQty"),
-        trade("perp", "binance linear trade", "baseSize=qty quoteSize=quoteQty", margin="linear"),
-        trade("perp", "binance inverse trade", "baseSize=baseQty", margin="inverse"),
-        trade("spot", "binance spot aggregate", "baseSize=qty", "aggregated"),
-        trade("perp", "binance aggregate", "baseSize=qty", "aggregated", "linear"),
-        trade("perp", "binance aggregate", "", "aggregated", "inverse"),
+        trade("spot", "binance spot trade", _cells(baseSize="qty", quoteSize="quoteQty")),
+        trade("perp", "binance linear trade", _cells(baseSize="qty", quoteSize="quoteQty"), margin="linear"),
+        trade("perp", "binance inverse trade", _cells(baseSize="baseQty"), margin="inverse"),
+        trade("spot", "binance spot aggregate", _cells(baseSize="qty"), "aggregated"),
+        trade("perp", "binance aggregate", _cells(baseSize="qty"), "aggregated", "linear"),
+        trade("perp", "binance aggregate", {}, "aggregated", "inverse"),
     ]
     for market in ("spot", "perp"):
-        out.append(Series("binance", market, "klines", "klines", "rawTs", _p("open high low close volume quoteVolume trades takerBuyVolume takerBuyQuote"), header=False, columns=C["binance kline"], variant="*"))
+        out.append(Series("binance", market, "klines", "klines", "rawTs", _cells("open", "high", "low", "close", "volume", "quoteVolume", "trades", "takerBuyVolume", "takerBuyQuote"), header=False, columns=C["binance kline"], variant="*"))
     for dataset in ("markPrice", "indexPrice", "premiumIndex"):
         out.append(Series("binance", "perp", dataset, dataset, "rawTs", OHLC, header=False, columns=C["binance kline"], variant="*"))
     out += [
-        Series("binance", "perp", "funding", "funding", "calc_time", _p("rate=last_funding_rate intervalHours=funding_interval_hours"), variant="realised"),
-        Series("binance", "perp", "quotes", "quotes", "transaction_time", _p("bidPrice=best_bid_price bidSize=best_bid_qty askPrice=best_ask_price askSize=best_ask_qty")),
-        Series("binance", "perp", "books", "orderBookBands", "timestamp", _p("percentage depth notional"), variant="bands,5pct"),
-        Series("binance", "perp", "openInterest", "openInterest", "create_time", _p("openInterest=sum_open_interest openInterestValue=sum_open_interest_value longShortRatio=count_long_short_ratio takerLongShortVol=sum_taker_long_short_vol_ratio")),
-        Series("binance", "option", "optionSummary", "optionTicker", "`date` || ' ' || lpad(`hour`, 2, '0') || ':00:00'", _p(
-            "option=symbol open high low close volume=volume_contracts quoteVolume=volume_usdt bidPrice=best_bid_price bidSize=best_bid_qty bidIv=best_buy_iv askPrice=best_ask_price "
-            f"askSize=best_ask_qty askIv=best_sell_iv markPrice=mark_price markIv=mark_iv {GREEKS} openInterest=openinterest_contracts openInterestValue=openinterest_usdt"), variant="*"),
-        Series("binance", "option", "volatilityIndex", "volatilityIndex", "calc_time", _p("value=index_value"), variant="ticks"),
+        Series("binance", "perp", "funding", "funding", "calc_time", _cells(rate="last_funding_rate", intervalHours="funding_interval_hours"), variant="realised"),
+        Series("binance", "perp", "quotes", "quotes", "transaction_time", _cells(bidPrice="best_bid_price", bidSize="best_bid_qty", askPrice="best_ask_price", askSize="best_ask_qty")),
+        Series("binance", "perp", "books", "orderBookBands", "timestamp", _cells("percentage", "depth", "notional"), variant="bands,5pct"),
+        Series("binance", "perp", "openInterest", "openInterest", "create_time", _cells(openInterest="sum_open_interest", openInterestValue="sum_open_interest_value", longShortRatio="count_long_short_ratio", takerLongShortVol="sum_taker_long_short_vol_ratio")),
+        Series("binance", "option", "optionSummary", "optionTicker", "`date` || ' ' || lpad(`hour`, 2, '0') || ':00:00'", _cells(
+            "open", "high", "low", "close", *GREEKS, option="symbol", volume="volume_contracts", quoteVolume="volume_usdt", bidPrice="best_bid_price",
+            bidSize="best_bid_qty", bidIv="best_buy_iv", askPrice="best_ask_price", askSize="best_ask_qty", askIv="best_sell_iv", markPrice="mark_price", markIv="mark_iv", openInterest="openinterest_contracts", openInterestValue="openinterest_usdt"), variant="*"),
+        Series("binance", "option", "volatilityIndex", "volatilityIndex", "calc_time", _cells(value="index_value"), variant="ticks"),
     ]
     for market in ("perp", "future"):
-        out.append(Series("binance", market, "liquidations", "liquidations", "time", {**SIDE, **_p("price size=original_quantity averagePrice=average_price status=order_status")}, repeats=True))
+        out.append(Series("binance", market, "liquidations", "liquidations", "time", {**SIDE, **_cells("price", size="original_quantity", averagePrice="average_price", status="order_status")}, repeats=True))
     return out
 
 
 def _bybit() -> list[Series]:
-    def trade(market, text, margin=None, side=SIDE, instrument=None):
-        return Series("bybit", market, "trades", "trades", "timestamp", {**_p(text), **side}, margin=margin, instrument=instrument)
+    def trade(market, cells, margin=None, side=SIDE, instrument=None):
+        return Series("bybit", market, "trades", "trades", "timestamp", {**cells, **side}, margin=margin, instrument=instrument)
 
     return [
-        trade("perp", "tradeId=trdMatchID price size baseSize=size", "linear"),
-        trade("perp", "tradeId=trdMatchID price size quoteSize=size", "inverse"),
-        trade("spot", "tradeId=id price size=volume baseSize=volume"),
-        trade("option", "tradeId=trade_id price size=amount", side={"side": "lower(direction)"}, instrument="instrument_name"),
-        Series("bybit", "perp", "klines", "klines", "rawTs", _p("open high low close volume"), header=False, columns=C["bybit kline"], variant="*", utc_offset_hours=3, spill="back"),
+        trade("perp", _cells("price", "size", tradeId="trdMatchID", baseSize="size"), "linear"),
+        trade("perp", _cells("price", "size", tradeId="trdMatchID", quoteSize="size"), "inverse"),
+        trade("spot", _cells("price", tradeId="id", size="volume", baseSize="volume")),
+        trade("option", _cells("price", tradeId="trade_id", size="amount"), side={"side": "lower(direction)"}, instrument="instrument_name"),
+        Series("bybit", "perp", "klines", "klines", "rawTs", _cells("open", "high", "low", "close", "volume"), header=False, columns=C["bybit kline"], variant="*", utc_offset_hours=3, spill="back"),
         Series("bybit", "perp", "premiumIndex", "premiumIndex", "start_at", OHLC, variant="*"),
         Series("bybit", "spot", "indexPrice", "indexPrice", "start_at", OHLC, variant="*"),
         Series("bybit", "perp", "books", "orderBook", "ts", {**LEVEL, "action": IMAGE.format("type"), "sequence": "data.seq"}, format="ndjson",
                fields="type string, ts bigint, data struct<a: array<array<string>>, b: array<array<string>>, seq: bigint>", variant="*", rows=unfold_levels("data.a", "data.b")),
-        Series("bybit", "option", "markPrice", "optionMarkPrice", "open_time", {**OHLC, **_p("option=instrument_name delta gamma=gama vega theta")}, variant="*"),
+        Series("bybit", "option", "markPrice", "optionMarkPrice", "open_time", {**OHLC, **_cells("delta", "vega", "theta", option="instrument_name", gamma="gama")}, variant="*"),
     ]
 
 
 def _kucoin() -> list[Series]:
     out = [
-        Series("kucoin", "spot", "trades", "trades", "trade_time", {**_p("tradeId=trade_id price size baseSize=size"), **SIDE}),
-        Series("kucoin", "perp", "trades", "trades", "trade_time", {**_p("tradeId=trade_id price size"), **SIDE}),
-        Series("kucoin", "spot", "klines", "klines", "time", _p("open high low close volume quoteVolume=turnover"), variant="*"),
-        Series("kucoin", "perp", "klines", "klines", "time", _p("open high low close volume"), variant="*"),
-        Series("kucoin", "perp", "funding", "funding", "time", _p("rate=fundingRate"), variant="realised"),
+        Series("kucoin", "spot", "trades", "trades", "trade_time", {**_cells("price", "size", tradeId="trade_id", baseSize="size"), **SIDE}),
+        Series("kucoin", "perp", "trades", "trades", "trade_time", {**_cells("price", "size", tradeId="trade_id"), **SIDE}),
+        Series("kucoin", "spot", "klines", "klines", "time", _cells("open", "high", "low", "close", "volume", quoteVolume="turnover"), variant="*"),
+        Series("kucoin", "perp", "klines", "klines", "time", _cells("open", "high", "low", "close", "volume"), variant="*"),
+        Series("kucoin", "perp", "funding", "funding", "time", _cells(rate="fundingRate"), variant="realised"),
     ]
     for dataset in ("indexPrice", "markPrice"):
         out.append(Series("kucoin", "perp", dataset, dataset, "time", OHLC, variant="*"))
@@ -178,18 +178,18 @@ def _htx() -> list[Series]:
     def new(market, dataset, table, ts, project, **more):
         return Series("htx", market, dataset, table, ts, project, since=HTX_NEW, spill="back", **more)
 
-    contracts = {**_p("tradeId=id price size=contracts baseSize=base"), **SIDE}
-    both = {**_p("tradeId=id price size=contracts baseSize=base quoteSize=quote"), **SIDE}
-    out = [old("spot", "trades", "trades", "htx spot trade", {**_p("tradeId=id price size=base baseSize=base"), **SIDE}), old("option", "trades", "trades", "htx linear trade", both),
-           old("spot", "klines", "klines", "htx kline", _p("open high low close volume=amount quoteVolume=vol"), variant="*"),
-           new("spot", "trades", "trades", "ts", {**_p("tradeId price=px size baseSize=size"), **SIDE}), new("perp", "funding", "funding", "fundingTime", _p("rate=fundingRate"), variant="realised")]
+    contracts = {**_cells("price", tradeId="id", size="contracts", baseSize="base"), **SIDE}
+    both = {**_cells("price", tradeId="id", size="contracts", baseSize="base", quoteSize="quote"), **SIDE}
+    out = [old("spot", "trades", "trades", "htx spot trade", {**_cells("price", tradeId="id", size="base", baseSize="base"), **SIDE}), old("option", "trades", "trades", "htx linear trade", both),
+           old("spot", "klines", "klines", "htx kline", _cells("open", "high", "low", "close", volume="amount", quoteVolume="vol"), variant="*"),
+           new("spot", "trades", "trades", "ts", {**_cells("tradeId", "size", price="px", baseSize="size"), **SIDE}), new("perp", "funding", "funding", "fundingTime", _cells(rate="fundingRate"), variant="realised")]
     for market in ("perp", "future"):
         out += [old(market, "trades", "trades", "htx inverse trade", contracts, margin="inverse"), old(market, "trades", "trades", "htx linear trade", both, margin="linear"),
-                new(market, "trades", "trades", "ts", {**_p("tradeId price=px size"), **SIDE})]
+                new(market, "trades", "trades", "ts", {**_cells("tradeId", "size", price="px"), **SIDE})]
     for market in ("perp", "future", "option"):
-        out.append(old(market, "klines", "klines", "htx kline", _p("open high low close volume=vol"), variant="*"))
+        out.append(old(market, "klines", "klines", "htx kline", _cells("open", "high", "low", "close", volume="vol"), variant="*"))
     for market in ("spot", "perp", "future"):
-        out.append(new(market, "klines", "klines", "ts", _p("open high low close volume=vol quoteVolume=volCcyQuote"), variant="*"))
+        out.append(new(market, "klines", "klines", "ts", _cells("open", "high", "low", "close", volume="vol", quoteVolume="volCcyQuote"), variant="*"))
         out.append(Series("htx", market, "books", "orderBook", "ts", {**LEVEL, "action": IMAGE.format("action")}, format="ndjson", fields=BOOK, variant="*", spill="back", rows=unfold_levels("asks", "bids")))
     for market, dataset in (("perp", "indexPrice"), ("perp", "markPrice"), ("future", "markPrice")):
         out += [old(market, dataset, dataset, "htx reference", OHLC, variant="*"), new(market, dataset, dataset, "ts", OHLC, variant="*")]
@@ -201,38 +201,38 @@ def _gate() -> list[Series]:
         return Series("gate", market, dataset, table, "rawTs", project, header=False, columns=C[columns], **more)
 
     out = [
-        positional("spot", "trades", "trades", "gate spot trade", {**_p("tradeId=id price size baseSize=size"), "side": "CASE trim(side) WHEN '1' THEN 'buy' WHEN '2' THEN 'sell' END"}),
-        positional("perp", "trades", "trades", "gate futures trade", {**_p("tradeId=id price"), **SIGNED, "side": "CASE WHEN try_cast(`size` AS double) < 0 THEN 'sell' ELSE 'buy' END"}),
+        positional("spot", "trades", "trades", "gate spot trade", {**_cells("price", "size", tradeId="id", baseSize="size"), "side": "CASE trim(side) WHEN '1' THEN 'buy' WHEN '2' THEN 'sell' END"}),
+        positional("perp", "trades", "trades", "gate futures trade", {**_cells("price", tradeId="id"), **SIGNED, "side": "CASE WHEN try_cast(`size` AS double) < 0 THEN 'sell' ELSE 'buy' END"}),
         positional("tradfi", "klines", "klines", "gate tradfi kline", OHLC, variant="*"),
-        positional("perp", "markPrice", "markPrice", "gate mark", _p("price"), variant="ticks"),
-        positional("perp", "funding", "funding", "gate funding", _p("rate"), variant="realised"),
-        positional("perp", "funding", "funding", "gate predicted funding", _p("rate"), variant="predicted"),
-        positional("spot", "books", "orderBook", "gate spot book", {**_p("action price size sequence=id"), "side": "CASE trim(side) WHEN '1' THEN 'ask' WHEN '2' THEN 'bid' END"}, variant="incremental,full"),
-        Series("gate", "spot", "books", "orderBookSnapshot", "`current`", _p("asks bids sequence=id"), format="ndjson", fields="id bigint, current string, asks array<array<string>>, bids array<array<string>>", variant="snapshot,20"),
+        positional("perp", "markPrice", "markPrice", "gate mark", _cells("price"), variant="ticks"),
+        positional("perp", "funding", "funding", "gate funding", _cells("rate"), variant="realised"),
+        positional("perp", "funding", "funding", "gate predicted funding", _cells("rate"), variant="predicted"),
+        positional("spot", "books", "orderBook", "gate spot book", {**_cells("action", "price", "size", sequence="id"), "side": "CASE trim(side) WHEN '1' THEN 'ask' WHEN '2' THEN 'bid' END"}, variant="incremental,full"),
+        Series("gate", "spot", "books", "orderBookSnapshot", "`current`", _cells("asks", "bids", sequence="id"), format="ndjson", fields="id bigint, current string, asks array<array<string>>, bids array<array<string>>", variant="snapshot,20"),
         Series("gate", "perp", "books", "orderBookSnapshot", "`current`", {"asks": "transform(asks, x -> array(x.p, x.s))", "bids": "transform(bids, x -> array(x.p, x.s))", "sequence": "id"}, format="ndjson",
                fields="id bigint, current string, asks array<struct<p: string, s: string>>, bids array<struct<p: string, s: string>>", variant="snapshot,20"),
-        Series("gate", "spot", "indexPrice", "indexPrice", TIME_IN_NAME, _p("price"), format="words", header=False, columns=C["gate index"], variant="ticks", instrument="name"),
-        Series("gate", "option", "optionTicker", "optionTicker", TIME_IN_NAME, _p(f"option=name markPrice markIv bidPrice bidSize bidIv askPrice askSize askIv {GREEKS}"), format="words", header=False,
+        Series("gate", "spot", "indexPrice", "indexPrice", TIME_IN_NAME, _cells("price"), format="words", header=False, columns=C["gate index"], variant="ticks", instrument="name"),
+        Series("gate", "option", "optionTicker", "optionTicker", TIME_IN_NAME, _cells("markPrice", "markIv", "bidPrice", "bidSize", "bidIv", "askPrice", "askSize", "askIv", *GREEKS, option="name"), format="words", header=False,
                columns=C["gate option"], variant="ticks", instrument="regexp_extract(name, '^([^-]+)-', 1)"),
     ]
     for market in ("spot", "perp"):
-        out.append(positional(market, "klines", "klines", "gate kline", _p("open high low close volume"), variant="*"))
+        out.append(positional(market, "klines", "klines", "gate kline", _cells("open", "high", "low", "close", "volume"), variant="*"))
     for market in ("perp", "future"):
         sign = "CASE WHEN try_cast(`size` AS double) < 0 THEN 'ask' WHEN try_cast(`size` AS double) > 0 THEN 'bid' END"
-        out.append(positional(market, "books", "orderBook", "gate futures book", {**_p("action price sequence=id"), **SIGNED, "side": sign}, variant="incremental,full"))
+        out.append(positional(market, "books", "orderBook", "gate futures book", {**_cells("action", "price", sequence="id"), **SIGNED, "side": sign}, variant="incremental,full"))
     return out
 
 
 def _okx() -> list[Series]:
     out = [
-        Series("okx", "perp", "funding", "funding", "funding_time", _p("rate=funding_rate"), variant="realised", spill="back", instrument="instrument_name"),
-        Series("okx", "spot", "borrowing", "borrowing", "time", _p("currency=currency_name rate=borrow_rate"), spill="back", instrument="currency_name"),
+        Series("okx", "perp", "funding", "funding", "funding_time", _cells(rate="funding_rate"), variant="realised", spill="back", instrument="instrument_name"),
+        Series("okx", "spot", "borrowing", "borrowing", "time", _cells(currency="currency_name", rate="borrow_rate"), spill="back", instrument="currency_name"),
     ]
     for market in ("spot", "perp", "future", "option"):
         spot = market == "spot"
         quote = "coalesce(try_cast(vol_quote AS double), try_cast(vol_ccy AS double))" if spot else "`vol_quote`"
         out += [
-            Series("okx", market, "trades", "trades", "created_time", {**_p("tradeId=trade_id price size" + " baseSize=size" * spot), **SIDE}, spill="back", instrument="instrument_name"),
+            Series("okx", market, "trades", "trades", "created_time", {**_cells("price", "size", tradeId="trade_id"), **(_cells(baseSize="size") if spot else {}), **SIDE}, spill="back", instrument="instrument_name"),
             Series("okx", market, "klines", "klines", "open_time", {**OHLC, "volume": "vol", "quoteVolume": quote}, variant="*", spill="back", repeats=True, instrument="instrument_name"),
             Series("okx", market, "books", "orderBook", "ts", {**LEVEL, "action": IMAGE.format("action"), "orderCount": "_third"}, format="ndjson", fields=BOOK, variant="*", instrument="instId", rows=unfold_levels("asks", "bids")),
         ]
@@ -243,8 +243,8 @@ def _bitget() -> list[Series]:
     out = []
     for market in ("spot", "perp", "future"):
         out += [
-            Series("bitget", market, "trades", "trades", "timestamp", {**_p("tradeId=trade_id price size=size(base) baseSize=size(base) quoteSize=volume(quote)"), **SIDE}, spill="back"),
-            Series("bitget", market, "klines", "klines", "timestamp", _p("open high low close volume=basevolume quoteVolume=usdtvolume"), format="sheet", variant="*", spill="back"),
+            Series("bitget", market, "trades", "trades", "timestamp", {**_cells("price", tradeId="trade_id", size="size(base)", baseSize="size(base)", quoteSize="volume(quote)"), **SIDE}, spill="back"),
+            Series("bitget", market, "klines", "klines", "timestamp", _cells("open", "high", "low", "close", volume="basevolume", quoteVolume="usdtvolume"), format="sheet", variant="*", spill="back"),
             Series("bitget", market, "books", "orderBookSnapshot", "timestamp", {"asks": _json("asks"), "bids": _json("bids")}, format="sheet", variant="*", spill="back"),
             Series("bitget", market, "quotes", "quotes", "timestamp", {k: _quote(v) for k, v in (("bidPrice", "bid_price"), ("bidSize", "bid_volume"), ("askPrice", "ask_price"), ("askSize", "ask_volume"))}, format="sheet", spill="back"),
         ]
