@@ -646,6 +646,15 @@ def test_leaks_of_all_documents(spark):
     assert {(d, i, j) for d, i, _, j in brute_leaks(texts, items)} == {(d, i, j) for (d, i), j in got.items() if d in small}
 
 
+def test_leaks_at_the_exact_radius(spark):
+    """EXACT takes every fingerprint, its complement too; on these documents the default radius loses nothing against it."""
+    index = decontam.HammingIndex([0, 2**64 - 1, 5], decontam.EXACT)
+    assert sorted(i for i, _ in index.within(0)) == [0, 1, 2]
+    docs, bench = documents(spark), spark.read.parquet(f"{SF}/benchmark.parquet")
+    key = lambda frame: sorted((r.doc_id, r.item_id, r.first_word, round(r.similarity, 9)) for r in frame.collect())
+    assert key(decontam.find_leaks(docs, bench)) == key(decontam.find_leaks(docs, bench, radius=decontam.EXACT))
+
+
 def test_hamming_index():
     rnd = random.Random(6)
     held = [rnd.getrandbits(64) for _ in range(300)]
