@@ -244,14 +244,17 @@ def normalised_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Headed files of which some have rows of fewer cells: how many rows the bad ones have."""
-    c = table(spark, sf_dir, "customer")
+    """Headed files, eight of each kind: sound ones, some with commas inside quotes, ones of a single column and ones whose header is wider than their rows. How
+    many rows the bad ones have, and how many cells."""
+    c = table(spark, sf_dir, "customer").repartition(8)
     path = scratch(spark, "malformed")
-    c.select("c_custkey", "c_name", "c_acctbal").write.option("header", True).csv(f"{path}/good")
-    c.coalesce(1).select(F.concat_ws(",", F.lit("x"), "c_custkey").alias("a"), F.lit(None).cast("string").alias("b")).select(F.col("a").alias("value")).write.text(f"{path}/bare")
-    c.coalesce(1).select(F.col("c_custkey").cast("string").alias("value")).write.text(f"{path}/single")
-    found = scans.malformed_files(spark, [f"{path}/good", f"{path}/bare", f"{path}/single"])
-    return found.groupBy(F.regexp_extract(scans.FILE, "/(good|bare|single)/", 1).alias("kind")).agg(F.sum("rows").alias("rows"), F.max("most_cells").alias("most_cells"))
+    headed = lambda df, kind, **more: df.write.options(header=True, **more).csv(f"{path}/{kind}")
+    headed(c.select("c_custkey", "c_name", "c_acctbal"), "good")
+    headed(c.select(F.concat(F.lit('say "x", '), "c_name").alias("said"), "c_custkey"), "quoted", escape='"')
+    headed(c.select("c_custkey"), "single")
+    headed(c.select(F.concat_ws(",", "c_custkey", "c_name").alias("key,name,more")), "narrow", sep="|")
+    found = scans.malformed_files(spark, [f"{path}/{kind}" for kind in ("good", "quoted", "single", "narrow")])
+    return found.groupBy(F.regexp_extract(scans.FILE, "/(good|quoted|single|narrow)/", 1).alias("kind")).agg(F.count("*").alias("files"), F.sum("rows").alias("rows"), F.max("header_cells").alias("header_cells"), F.max("most_cells").alias("most_cells"))
 
 
 def rows_too_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -434,7 +437,7 @@ UNION ALL SELECT 'gate', 'BTC_USDT', (1704067200 + p_partkey % 50 * 60) * 100000
 UNION ALL SELECT 'bitget', symbol || 'USDT', ts // 1000 * 1000, CASE WHEN side <> 'error' THEN price END, NULL, NULL, size, 'linear' FROM ticks""",
     "normalised_archives": f"""WITH {_T} SELECT 'binance' AS venue, 'BTCUSDT' AS symbol, ts // 1000 * 1000 AS ts, CAST(sequence AS VARCHAR) AS "tradeId", price, size, CASE WHEN side = 'click' THEN 'sell' ELSE 'buy' END AS side FROM ticks
 UNION ALL SELECT 'okx', symbol, ts // 1000 * 1000, CAST(sequence AS VARCHAR), price, size, CASE WHEN side = 'click' THEN 'sell' ELSE 'buy' END FROM ticks""",
-    "files_malformed": "SELECT 'single' AS kind, count(*) - 1 AS rows, 1 AS most_cells FROM customer",
+    "files_malformed": "SELECT kind, 8::BIGINT AS files, count(*) AS rows, h AS header_cells, m AS most_cells FROM customer, (VALUES ('single', 1, 1), ('narrow', 3, 2)) AS x(kind, h, m) GROUP BY kind, h, m",
     "rows_too_wide": "SELECT count(*) AS wide, 'more' AS overflow FROM supplier WHERE s_suppkey % 7 = 0",
     "times_implausible": f"""WITH r AS (SELECT 'C' || o_custkey AS symbol, epoch_us(o_orderdate + INTERVAL 25 YEARS) - CASE WHEN o_orderkey % 11 = 0 THEN {50 * 365 * market.DAY} ELSE 0 END AS ts FROM orders)
 SELECT symbol, min(ts) AS first, max(ts) AS last FROM r GROUP BY symbol HAVING min(ts) < epoch_us(TIMESTAMP '2015-01-01') OR max(ts) >= epoch_us(TIMESTAMP '2035-01-01')""",

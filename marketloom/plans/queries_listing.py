@@ -176,7 +176,7 @@ def patterns_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("p_partkey")
     pattern = _pick(k, "a/{SYMBOL}/{YYYY}{MM}{DD}{HH}{MI}", "b/{TRANSFORM:dir:{SYMBOL}}.{PART}", "c/{TRANSFORM:name:plain}/{MM}")
     known = F.when(k % 2 == 0, F.concat(F.lit("K"), k))
-    return p.select("p_partkey", names.transform_kind(pattern).alias("kind"), names.fill_pattern(pattern, F.lit("202402030405"), F.concat(F.lit("S"), k), F.when(k % 5 != 0, F.concat(F.lit("p"), k)), known).alias("key"))
+    return p.select("p_partkey", names.transform_kind(pattern).alias("kind"), names.fill_pattern(pattern, F.lit("202402030405"), F.concat(F.lit("S"), k), F.when(k % 5 != 0, F.concat(F.lit("p"), k)), known).alias("key"), times.grain_of(pattern).alias("grain"))
 
 
 def revisions_made(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -283,7 +283,7 @@ e AS (SELECT k, g, substr(strftime(t, '%Y%m%d%H%M'), 1, CASE g WHEN 0 THEN 6 WHE
 f AS (SELECT * FROM e WHERE NOT (k % 5 = 0 AND date BETWEEN CASE g WHEN 0 THEN '199709' WHEN 1 THEN '19980205' WHEN 2 THEN '1998022815' ELSE '199803020012' END AND CASE g WHEN 0 THEN '199710' WHEN 1 THEN '19980210' WHEN 2 THEN '1998022820' ELSE '199803020015' END))
 SELECT k AS series, date, 'x/' || CASE WHEN k % 2 = 1 THEN 'S' || k WHEN substr(date, 1, 6) = '199801' THEN 'own' WHEN substr(date, 1, 6) BETWEEN '199709' AND '199802' THEN 'all$1' ELSE 'S' || k END || '/' || substr(date, 1, 4) || '-' || substr(date, 5, 2) || '-' || substr(date, 7, 2) || '-' || substr(date, 9, 2) || '-' || substr(date, 11, 2) AS key FROM f""",
     "patterns_filled": """SELECT p_partkey, CASE p_partkey % 3 WHEN 1 THEN 'dir' WHEN 2 THEN 'name' END AS kind, CASE p_partkey % 3 WHEN 0 THEN 'a/S' || p_partkey || '/202402030405' WHEN 1 THEN 'b/' || CASE WHEN p_partkey % 2 = 0 THEN 'K' ELSE 'S' END || p_partkey || '.' || CASE WHEN p_partkey % 5 <> 0 THEN 'p' || p_partkey ELSE '' END
- ELSE 'c/' || CASE WHEN p_partkey % 2 = 0 THEN 'K' || p_partkey ELSE 'plain' END || '/02' END AS key FROM part""",
+ ELSE 'c/' || CASE WHEN p_partkey % 2 = 0 THEN 'K' || p_partkey ELSE 'plain' END || '/02' END AS key, CASE p_partkey % 3 WHEN 0 THEN 'minutely' ELSE 'monthly' END AS grain FROM part""",
     "revisions_made": f"""WITH {views.PARTITIONS}, p AS (SELECT concat_ws('/', {_B}) AS partition, files, month FROM partitions)
 SELECT partition, substr(sha256(replace('every=1.0.0~series=1.2.0~[{{"name":"ts","type":"BIGINT"}},{{"name":"bidPrice","type":"DOUBLE"}},{{"name":"bidSize","type":"DOUBLE"}},{{"name":"askPrice","type":"DOUBLE"}},{{"name":"askSize","type":"DOUBLE"}},{{"name":"margin","type":"VARCHAR"}}]'
  || partition || '~' || files || '~' || CASE files % 3 WHEN 0 THEN 'apart~n~pre~' || month || '~' WHEN 1 THEN 'apart~post~missing~pre~missing~' ELSE '' END, '~', chr(10))), 1, 12) AS revision FROM p""",
