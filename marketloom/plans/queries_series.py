@@ -216,7 +216,7 @@ def _levels(price: Column, size: Column, more: int = 0) -> tuple[Column, Column,
 
 
 def books_of_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as book changes of the series that normalised_books has not: JSON of two venues, signed sizes of a third."""
+    """Ticks as book changes of the series that normalised_books has not: JSON of two venues, in whose lists of levels a price of zero is padding, and signed sizes of a third."""
     t = _ticks(spark, sf_dir)
     asks, bids, _ = _levels(F.col("price"), F.col("size"), 3)
     action = F.when(F.col("side") == "signup", "snapshot").otherwise("update")
@@ -293,7 +293,7 @@ SELECT venue, market, own AS symbol, ts + later * {LATER} * {DAY} AS ts, NULL::D
     "books_of_series": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('htx', 'spot', 'BTC-USDT', NULL, '150'), ('htx', 'perp', 'BTC-USDT', 'linear', '150'), ('htx', 'future', 'BTC-USDT', 'linear', '150'), ('okx', 'perp', NULL, 'linear', '400'), ('okx', 'future', NULL, 'linear', '400'), ('okx', 'option', NULL, NULL, '400'),
  ('gate', 'perp', 'BTC_USDT', 'linear', 'full'), ('gate', 'future', 'BTC_USDT', 'linear', 'full')) AS x(venue, market, own, margin, depth))
 SELECT venue, market, coalesce(own, symbol) AS symbol, CASE WHEN venue = 'gate' THEN ts ELSE ts // 1000 * 1000 END AS ts, CASE WHEN venue <> 'gate' AND side = 'signup' THEN 'snapshot' ELSE 'set' END AS action,
- CASE WHEN venue = 'gate' AND size = 0 THEN NULL WHEN sequence % 2 = 0 THEN 'ask' ELSE 'bid' END AS side, price, size, CASE WHEN venue = 'okx' THEN 3::BIGINT END AS "orderCount", CASE WHEN venue = 'gate' THEN sequence END AS sequence, margin, 'incremental' AS kind, depth FROM ticks, v""",
+ CASE WHEN venue = 'gate' AND size = 0 THEN NULL WHEN sequence % 2 = 0 THEN 'ask' ELSE 'bid' END AS side, price, size, CASE WHEN venue = 'okx' THEN 3::BIGINT END AS "orderCount", CASE WHEN venue = 'gate' THEN sequence END AS sequence, margin, 'incremental' AS kind, depth FROM ticks, v WHERE venue = 'gate' OR price IS DISTINCT FROM 0""",
     "snapshots_of_series": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('kucoin', 'perp', 'XBTUSDTM', 'linear', '50'), ('bitget', 'spot', 'BTCUSDT', NULL, '5'), ('bitget', 'perp', 'BTCUSDT', 'linear', '5'), ('bitget', 'future', 'BTCUSDT', 'linear', '5')) AS x(venue, market, symbol, margin, depth))
 SELECT venue, market, v.symbol, ts // 1000 * 1000 AS ts, CASE WHEN sequence % 2 = 0 THEN price END AS ask, CASE WHEN sequence % 2 = 0 THEN size END AS ask_size, CASE WHEN sequence % 2 = 1 THEN price END AS bid, CASE WHEN sequence % 2 = 1 THEN size END AS bid_size,
  CASE WHEN venue = 'kucoin' THEN sequence END AS sequence, margin, 'snapshot' AS kind, depth FROM ticks, v""",
