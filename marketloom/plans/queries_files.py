@@ -162,7 +162,7 @@ def normalised_funding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def normalised_books(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ticks as levels of order books of three venues: JSON with padding levels, and a table of coded sides."""
+    """Ticks as levels of order books of three venues: JSON whose levels of price zero are padding, and a table of coded sides."""
     t = views.ticks(spark, sf_dir)
     ms, price, size = F.expr("ts div 1000"), F.col("price").cast("string"), F.col("size").cast("string")
     level = F.array(F.array(price, size), F.array(F.lit("0"), F.lit("0")))
@@ -428,7 +428,7 @@ SELECT venue, coalesce(own, symbol) AS symbol, ts, open, high, low, close, volum
 SELECT venue, coalesce(own, symbol) AS symbol, ts // unit * unit AS ts, price AS rate, hours::BIGINT AS "intervalHours", kind FROM ticks, v""",
     "normalised_books": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('bybit', 'BTCUSDT', 1000, NULL, 'incremental', '500'), ('okx', NULL, 1000, 3, 'incremental', '400'), ('gate', 'BTC_USDT', 1, NULL, 'incremental', 'full')) AS x(venue, own, unit, orders, kind, depth))
 SELECT venue, coalesce(own, symbol) AS symbol, ts // unit * unit AS ts, CASE WHEN venue <> 'gate' AND side = 'signup' THEN 'snapshot' ELSE 'set' END AS action, CASE WHEN sequence % 2 = 0 THEN 'ask' ELSE 'bid' END AS side, price, size, orders::BIGINT AS "orderCount",
- CASE WHEN venue <> 'okx' THEN sequence END AS sequence, kind, depth FROM ticks, v""",
+ CASE WHEN venue <> 'okx' THEN sequence END AS sequence, kind, depth FROM ticks, v WHERE venue = 'gate' OR price IS DISTINCT FROM 0""",
     "normalised_snapshots": f"""WITH {_T}, v AS (SELECT * FROM (VALUES ('kucoin', 'spot', true, false, '50'), ('gate', 'spot', false, true, '20'), ('gate', 'perp', true, true, '20')) AS x(venue, market, a, b, depth))
 SELECT venue, market, ts // 1000 * 1000 AS ts, CASE WHEN a THEN price END AS asks_price, CASE WHEN a THEN size END AS asks_size, CASE WHEN b THEN price END AS bids_price, CASE WHEN b THEN size END AS bids_size, sequence, depth FROM ticks, v""",
     "normalised_options": """SELECT 'binance' AS venue, 'BTCUSDT' AS symbol, 1704412800000000 + p_partkey % 24 * 3600000000 AS ts, 'BTC-' || p_partkey AS option, p_retailprice AS "markPrice", p_size::DOUBLE AS delta, '1h' AS interval FROM part

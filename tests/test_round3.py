@@ -53,3 +53,7 @@ def test_padding_levels_of_series(spark, free_ticks):
     assert len(rows) == 8 * 60 - 6 * 6  # gate's rows of price zero stay
 
 
+def test_padding_levels(spark, free_ticks):
+    assert len(same(spark, free_ticks, "normalised_books")) == 3 * 60 - 2 * 6
+
+
