@@ -30,11 +30,11 @@ def _opened(spans: DataFrame, by: list[str]) -> DataFrame:
 
 def span_union(spans: DataFrame, by: list[str]) -> DataFrame:
     """The union of month spans (from, to; null is open), by group: spans that overlap are one, and spans that only
-    adjoin stay apart."""
+    adjoin stay apart. Equal spans are of one island, in whatever order they come."""
     order = Window.partitionBy(*by).orderBy("_a", "_b")
     reach = F.max("_b").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = _closed(spans).withColumn("_new", (reach.isNull() | (reach < F.col("_a"))).cast("int"))
-    islands = marked.withColumn("_island", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    islands = marked.withColumn("_island", F.sum("_new").over(order.rangeBetween(Window.unboundedPreceding, Window.currentRow)))
     return _opened(islands.groupBy(*by, "_island").agg(F.min("_a").alias("_a"), F.max("_b").alias("_b")), by)
 
 

@@ -133,7 +133,7 @@ def _spans(spark, sf_dir):
 
 _SPANS = """sp AS (SELECT 'C' || c_custkey AS slice, o_orderkey, strftime(o_orderdate, '%Y%m') AS f, strftime(o_orderdate + to_months(CAST(c_nationkey % 4 AS INT)), '%Y%m') AS t,
  year(o_orderdate) * 12 + month(o_orderdate) - 1 AS a, year(o_orderdate) * 12 + month(o_orderdate) - 1 + c_nationkey % 4 AS b FROM orders JOIN customer ON o_custkey = c_custkey)"""
-_ISLANDS = """(SELECT slice, min(a) AS a, max(b) AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY slice ORDER BY a, b ROWS UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN max(b) OVER (PARTITION BY slice ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a
+_ISLANDS = """(SELECT slice, min(a) AS a, max(b) AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY slice ORDER BY a, b RANGE UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN max(b) OVER (PARTITION BY slice ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a
  THEN 0 ELSE 1 END AS fresh FROM sp {where})) GROUP BY slice, island)"""
 _MONTH = "lpad(CAST({x} // 12 AS VARCHAR), 4, '0') || lpad(CAST({x} % 12 + 1 AS VARCHAR), 2, '0')"
 

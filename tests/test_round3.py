@@ -57,3 +57,25 @@ def test_padding_levels(spark, free_ticks):
     assert len(same(spark, free_ticks, "normalised_books")) == 3 * 60 - 2 * 6
 
 
+@pytest.fixture
+def equal_spans(tmp_path):
+    """Two customers of 40 orders each, of few months, so that spans of one customer are equal by the dozen and islands adjoin; a file of each order."""
+    from datetime import date, datetime
+
+    o, l = given("orders").slice(0, 80), given("lineitem").slice(0, 80)
+    when = pa.array([datetime(1995, 1 + i // 2 % 12, 3) for i in range(80)], o["o_orderdate"].type)
+    put = lambda t, **columns: pa.table({n: columns.get(n, t[n]) for n in t.column_names})
+    orders = put(o, o_orderkey=pa.array(range(80), pa.int64()), o_custkey=pa.array([1 + i % 2 for i in range(80)], pa.int64()), o_orderdate=when)
+    ship = pa.array([datetime(1995, 1 + i // 2 % 12, 1 + i % 28) for i in range(80)], l["l_shipdate"].type)
+    lineitem = put(l, l_orderkey=pa.array(range(80), pa.int64()), l_shipdate=ship)
+    c = given("customer")
+    customer = put(c, c_nationkey=pa.array([0] * len(c), pa.int64()))
+    return tables(tmp_path, orders=orders, lineitem=lineitem, customer=customer)
+
+
+def test_equal_spans_are_one(spark, equal_spans):
+    """The SQL tells it whatever order it takes equal spans in: each month of each customer is a span."""
+    rows = same(spark, equal_spans, "spans_united")
+    assert len(rows) == 24 and all(r[1] == r[2] for r in rows)
+
+
