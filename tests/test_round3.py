@@ -79,3 +79,8 @@ def test_equal_spans_are_one(spark, equal_spans):
     assert len(rows) == 24 and all(r[1] == r[2] for r in rows)
 
 
+def test_files_in_equal_spans(spark, equal_spans):
+    rows = same(spark, equal_spans, "contents_exact")
+    assert all(r[2][:6] == r[3][:6] for r in rows)
+
+
