@@ -84,3 +84,8 @@ def test_files_in_equal_spans(spark, equal_spans):
     assert all(r[2][:6] == r[3][:6] for r in rows)
 
 
+def test_bounds_in_equal_spans(spark, equal_spans):
+    rows = same(spark, equal_spans, "contents_through_lens")
+    assert all(r[3].endswith("99") or r[2][:6] == r[3][:6] for r in rows)
+
+
