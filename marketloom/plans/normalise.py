@@ -44,6 +44,8 @@ def scan(spark: SparkSession, series: Series, paths: list[str], archived: bool =
     """Raw rows of a series' files, as strings (or declared fields), with their file's name. archived: the files are zip or
     tar archives, whose members are read line by line; tables that may be workbooks are told by their first bytes.
     contents (path, content): the files themselves, where they are at hand. width takes the rows of a text table with what lies past their columns."""
+    if series.format == "sheet" and contents is None and not archived:
+        return scans.scan_sheet_files(spark, paths, _wanted(series))
     if contents is not None or archived or series.format == "sheet":
         whole = scans.drop_empty(contents if contents is not None else scans.binary_files(spark, paths))
         if series.format == "sheet":

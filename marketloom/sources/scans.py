@@ -13,6 +13,7 @@ import xml.etree.ElementTree as ET
 import zipfile
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -107,6 +108,15 @@ class _Utf8(io.RawIOBase):
         return out
 
 
+#: Bytes of an Arrow batch sent to Python: files must not meet in one.
+BATCH_BYTES = 16 << 20
+
+
+def _apart(spark: SparkSession) -> None:
+    """Files of some size go to Python one by one."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def _split_from(spark: SparkSession) -> int:
     """The size from which a file is read in splits. Splits of two such files are never one task's, so a task that reads the head of one begins with it."""
     text = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
@@ -121,15 +131,30 @@ def scan_csv_named(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
     first lines of such files, each from the head of one task's split, and every split has its file's header beside it (a short row for each file of half
     a split's size or more). There, a quoted line break ends the row. Empty files have no header and are left out.
     """
+    _apart(spark)
     cells, most = _Cells(wanted), _split_from(spark)
     schema = ", ".join(f"`{w}` string" for w in [*wanted, OVERFLOW, FILE])
 
     def whole(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                for name, stream in _members(path.as_py(), content.as_buffer().to_pybytes(), single=True):
+                for name, stream in _members(path.as_py(), content.as_buffer(), single=True):
                     yield from cells.table(path.as_py(), stream)
 
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+    small = files.filter(F.col("length").between(1, most)).select(file_of().alias("path"), "content").mapInArrow(whole, schema)
+    lines = _large_lines(spark, paths, most)
+    return small.unionByName(_cells_of_splits(lines, _heads(lines), wanted))
+
+
+def _large_lines(spark: SparkSession, paths, most: int) -> DataFrame:
+    """value, path, at (where its split begins) of the lines of files of over most bytes."""
+    return spark.read.option("recursiveFileLookup", True).text(paths).filter(F.col("_metadata.file_size") > most).select("value", file_of().alias("path"), F.col("_metadata.file_block_start").alias("at"))
+
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """path, header: the first line of each file, from the head of one task's split."""
+
     def heads(batches):
         for batch in batches:
             if batch.num_rows:
@@ -137,6 +162,14 @@ def scan_csv_named(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([batch.column(1).slice(0, 1), batch.column(0).slice(0, 1)], names=["path", "header"])
                 return
 
+    return lines.mapInArrow(heads, "path string, header string")
+
+
+def _cells_of_splits(lines: DataFrame, known: DataFrame, wanted: list[str]) -> DataFrame:
+    """Cells of the files of known (path, header) from their lines, split by split."""
+    cells = _Cells(wanted)
+    schema = ", ".join(f"`{w}` string" for w in [*wanted, OVERFLOW, FILE])
+
     def splits(batches):
         for batch in batches:
             value, path, at, header = batch.columns
@@ -153,12 +186,7 @@ def scan_csv_named(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
                     yield from cells.batches(name, _header(first), io.BytesIO("\n".join(lines).encode()), False)
 
     begun: set[str] = set()
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
-    small = files.filter(F.col("length").between(1, most)).select(file_of().alias("path"), "content").mapInArrow(whole, schema)
-    lines = spark.read.option("recursiveFileLookup", True).text(paths).filter(F.col("_metadata.file_size") > most).select("value", file_of().alias("path"), F.col("_metadata.file_block_start").alias("at"))
-    known = lines.mapInArrow(heads, "path string, header string")
-    large = lines.join(F.broadcast(known), "path").select("value", "path", "at", "header").mapInArrow(splits, schema)
-    return small.unionByName(large)
+    return lines.join(F.broadcast(known), "path").select("value", "path", "at", "header").mapInArrow(splits, schema)
 
 
 def scan_ndjson(spark: SparkSession, paths, fields: str) -> DataFrame:
@@ -194,21 +222,26 @@ def split_by_signature(files: DataFrame) -> DataFrame:
     return files.select("path", F.when(F.substring("content", 1, 4) == F.lit(SHEET), "sheet").otherwise("text").alias("kind"), F.length("content").cast("long").alias("length"))
 
 
-def _members(path: str, content: bytes, single: bool = False) -> Iterator[tuple[str, io.BufferedIOBase]]:
+def _stream(content: bytes | pa.Buffer) -> io.BufferedIOBase:
+    """A stream over bytes where they are."""
+    return io.BufferedReader(pa.BufferReader(content))
+
+
+def _members(path: str, content: bytes | pa.Buffer, single: bool = False) -> Iterator[tuple[str, io.BufferedIOBase]]:
     """The files in a file: single takes it for one, compressed or not."""
     if path.endswith(".gz") and not path.endswith(".tar.gz"):
-        yield path.rsplit("/", 1)[-1][:-3], gzip.GzipFile(fileobj=io.BytesIO(content))
+        yield path.rsplit("/", 1)[-1][:-3], gzip.GzipFile(fileobj=_stream(content))
     elif path.endswith(".bz2"):
-        yield path.rsplit("/", 1)[-1][:-4], bz2.BZ2File(io.BytesIO(content))
+        yield path.rsplit("/", 1)[-1][:-4], bz2.BZ2File(_stream(content))
     elif single or not path.endswith((".zip", ".tar.gz", ".tgz", ".tar")):
-        yield path.rsplit("/", 1)[-1], io.BytesIO(content)
+        yield path.rsplit("/", 1)[-1], _stream(content)
     elif not path.endswith(".zip"):
-        with tarfile.open(fileobj=io.BytesIO(content)) as tar:
+        with tarfile.open(fileobj=_stream(content)) as tar:
             for member in tar:
                 if member.isfile():
                     yield member.name, tar.extractfile(member)
     else:
-        with zipfile.ZipFile(io.BytesIO(content)) as archive:
+        with zipfile.ZipFile(_stream(content)) as archive:
             for info in archive.infolist():
                 if not info.is_dir():
                     yield info.filename, archive.open(info)
@@ -275,12 +308,13 @@ def _unpacked(files: DataFrame, read, schema: str) -> DataFrame:
     """read(archive, member, stream) over every member of files (path, content). Zip archives over SPREAD_FROM are taken apart first, and their
     members, still packed, dealt over tasks, which inflate and read them; any other file is one task's, its members streamed, and so is a file without
     a length (see binary_files), which a reader could not choose by."""
+    _apart(files.sparkSession)
     spread = F.col("path").endswith(".zip") & (F.col("length") > SPREAD_FROM)
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                for name, stream in _members(path.as_py(), content.as_buffer().to_pybytes()):
+                for name, stream in _members(path.as_py(), content.as_buffer()):
                     yield from read(path.as_py(), name, stream)
 
     def run_members(batches):
@@ -361,48 +395,58 @@ def sheet_rows(content: bytes) -> Iterator[list[str | None]]:
             element.clear()
 
 
-def _table_rows(content: bytes) -> Iterator[list[str | None]]:
+def _table_rows(stream: io.BufferedReader) -> Iterator[list[str | None]]:
     """Rows of a workbook's first sheet, or of a text table: the first four bytes tell."""
-    if content[:4] == SHEET:
-        yield from sheet_rows(content)
+    if stream.peek(4)[:4] == SHEET:
+        yield from sheet_rows(stream.read())
     else:
-        for row in csv.reader(io.TextIOWrapper(io.BytesIO(content), encoding="utf-8-sig", errors="replace", newline="")):
+        for row in csv.reader(io.TextIOWrapper(stream, encoding="utf-8-sig", errors="replace", newline="")):
             if row:
                 yield [c if c != "" else None for c in row]
 
 
-def _inside(path: str, content: bytes) -> Iterator[bytes]:
-    """The tables in a file: a workbook is one although it is a zip; other archives hold theirs as members."""
-    with_members = path.endswith((".tar.gz", ".tgz", ".tar", ".gz")) or path.endswith(".zip")
-    if not with_members:
-        yield content
-        return
-    for _, stream in _members(path, content):
-        data = stream.read()
-        if data:
-            yield data
+#: Endings of files that hold their tables as members; a workbook is a table although it is a zip.
+PACKED = (".zip", ".tar.gz", ".tgz", ".tar", ".gz")
+#: Rows of a table that are in Python at a time.
+SHEET_ROWS = 8192
 
 
 def scan_sheets(files: DataFrame, wanted: list[str]) -> DataFrame:
     """The wanted columns of the tables in files (path, content), by the names in each table's first row,
     without case. A table is the first sheet of a workbook or a text table, alone or in an archive; a
-    file is one task's."""
+    file is one task's, its rows streamed."""
+    _apart(files.sparkSession)
 
     def run(batches):
         for batch in batches:
             for path, content in zip(batch.column(0), batch.column(1)):
-                for table in _inside(path.as_py(), content.as_py()):
-                    rows = _table_rows(table)
+                for _, stream in _members(path.as_py(), content.as_buffer(), single=not path.as_py().endswith(PACKED)):
+                    rows = _table_rows(stream if isinstance(stream, io.BufferedReader) else io.BufferedReader(stream))
                     names = [(n or "").strip().lower() for n in next(rows, [])]
                     places = [names.index(w.lower()) if w.lower() in names else None for w in wanted]
-                    cells = [[r[p] if p is not None and p < len(r) else None for p in places] for r in rows]
-                    yield pa.RecordBatch.from_arrays(
-                        [*[pa.array([c[i] for c in cells], pa.string()) for i in range(len(wanted))], pa.array([path.as_py()] * len(cells), pa.string())], names=[*wanted, FILE])
+                    while held := list(islice(rows, SHEET_ROWS)):
+                        columns = [pa.array([r[p] if p is not None and p < len(r) else None for r in held], pa.string()) for p in places]
+                        yield pa.RecordBatch.from_arrays([*columns, pa.array([path.as_py()] * len(held), pa.string())], names=[*wanted, FILE])
 
     schema = ", ".join(f"`{w}` string" for w in [*wanted, FILE])
     return files.select("path", "content").mapInArrow(run, schema)
 
 
+def scan_sheet_files(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
+    """scan_sheets over the files at paths. Text tables of half a split or more are read in splits, as scan_csv_named does, if no line has an odd number of quotes: then no
+    cell has a line break in it. Which of the large files are such tables is found by a first pass over their lines."""
+    _apart(spark)
+    most = _split_from(spark)
+    whole = F.col("path").rlike("[.](zip|tar[.]gz|tgz|tar|gz)$")
+    lines = _large_lines(spark, paths, most).filter(~whole)
+    broken = lines.groupBy("path").agg(F.bool_or(F.length("value") % 2 != F.length(F.replace("value", F.lit('"'))) % 2).alias("broken"))
+    plain = _heads(lines).filter(~F.startswith("header", F.lit(SHEET.decode()))).join(broken.filter("NOT broken"), "path").select("path", "header")
+    files = spark.read.format("binaryFile").load(paths).filter("length > 0").select(file_of().alias("path"), "content", "length")
+    other = files.filter(F.col("length") > most).join(F.broadcast(plain.select("path")), "path", "left_anti")
+    cells = _cells_of_splits(lines, plain, wanted).select(*[F.when(F.col(w) != "", F.col(w)).alias(w) for w in wanted], FILE)
+    return scan_sheets(files.filter(F.col("length") <= most), wanted).unionByName(scan_sheets(other, wanted)).unionByName(cells)
+
+
 def malformed_files(spark: SparkSession, paths) -> DataFrame:
     """Headed files whose rows have fewer cells than the header, or that are a single column: file,
     header_cells, most_cells, rows."""
@@ -440,10 +484,12 @@ def drop_empty(files: DataFrame) -> DataFrame:
     that decode to nothing."""
     if "content" not in files.columns:
         return files.filter("length > 0")
+    _apart(files.sparkSession)
 
     def run(batches):
         for batch in batches:
-            keep = [len(c.as_py()) > 0 and (c.as_py()[:2] != b"\x1f\x8b" or gzip.GzipFile(fileobj=io.BytesIO(c.as_py())).read(1) != b"") for c in batch.column("content")]
+            held = [c.as_buffer() for c in batch.column("content")]
+            keep = [b.size > 0 and (b.slice(0, 2).to_pybytes() != b"\x1f\x8b" or gzip.GzipFile(fileobj=_stream(b)).read(1) != b"") for b in held]
             yield batch.filter(pa.array(keep))
 
     return files.mapInArrow(run, files.schema)

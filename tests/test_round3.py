@@ -89,3 +89,27 @@ def test_bounds_in_equal_spans(spark, equal_spans):
     assert all(r[3].endswith("99") or r[2][:6] == r[3][:6] for r in rows)
 
 
+def test_large_text_tables_among_sheets_are_split(spark, tmp_path):
+    """Of the large files, plain tables are read by several tasks, one with line breaks in its cells and a workbook whole."""
+    from marketloom.plans.queries_files import workbook
+    from marketloom.sources import scans
+
+    body = lambda word: "".join(f"{i},{word},{i % 7 or ''}\n" for i in range(3000))
+    files = {"a b+c.csv": "Key,word,Rest\n" + body("w"), "broken.csv": "rest,key,word\n" + "".join(f'{i % 7 or ""},{i},"u\nv"\n' for i in range(3000)), "small.csv": "key,word\n1,s\n"}
+    for name, text in files.items():
+        (tmp_path / name).write_text(text)
+    (tmp_path / "book.xlsx").write_bytes(workbook([["KEY", "word", "rest"], *[[str(i), f"x{i * 7919 % 3001}", "5"] for i in range(3000)]]))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert min(os.path.getsize(tmp_path / n) for n in ("a b+c.csv", "broken.csv", "book.xlsx")) > 8192
+        rows = scans.scan_sheet_files(spark, str(tmp_path), ["key", "word", "rest", "none"]).selectExpr("*", "spark_partition_id() AS task").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    of = lambda name: [r for r in rows if r.filename.endswith(name)]
+    for name, word in (("a b+c.csv", "w"), ("broken.csv", "u\nv")):
+        assert sorted((int(r.key), r.word, r.rest, r.none) for r in of(name)) == [(i, word, str(i % 7) if i % 7 else None, None) for i in range(3000)]
+    assert sorted(int(r.key) for r in of("book.xlsx")) == list(range(3000)) and [(r.key, r.word, r.rest) for r in of("small.csv")] == [("1", "s", None)]
+    assert len({r.task for r in of("a b+c.csv")}) > 1 and len({r.task for r in of("broken.csv")}) == 1
+
+
