@@ -9,7 +9,7 @@ from marketloom.functions import listing, names
 from marketloom.functions.times import WIDTH, at_grain, last_closed, last_settled, next_period
 from marketloom.operators import catalog, changes, lenses, reconcile
 from marketloom.plans import views
-from marketloom.session import scratch, table
+from marketloom.session import scratch, stored, table
 from marketloom.sources import ordered
 
 BY = ["venue", "dataset", "month"]
@@ -369,9 +369,9 @@ def stocking_from_storage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is to be done about each month as its archives are on the disk: of months that end in 1 a file is missing, in 2 one is cut short, in 3 nothing is there,
     and everywhere lie files that are no archives."""
     a = _archives(spark, sf_dir)
-    partitions = a.groupBy(*reconcile.PARTITION).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"))
-    first = a.groupBy(*reconcile.PARTITION).agg(F.min("name").alias("_first"))
-    disk = a.join(first, reconcile.PARTITION).filter("k <> '3' AND NOT (k = '1' AND name = _first)").select(F.concat(F.lit("/archives/x/"), "name").alias("path"), (F.col("size") - F.when((F.col("k") == "2") & (F.col("name") == F.col("_first")), 1).otherwise(0)).alias("length"))
+    partitions = stored(a.groupBy(*reconcile.PARTITION).agg(F.count("*").alias("files"), F.sum("size").alias("bytes"), F.min("name").alias("_first")), "partitions")
+    first, partitions = partitions.select(*reconcile.PARTITION, "_first"), partitions.drop("_first")  # a row a month of each dataset
+    disk = a.join(F.broadcast(first), reconcile.PARTITION).filter("k <> '3' AND NOT (k = '1' AND name = _first)").select(F.concat(F.lit("/archives/x/"), "name").alias("path"), (F.col("size") - F.when((F.col("k") == "2") & (F.col("name") == F.col("_first")), 1).otherwise(0)).alias("length"))
     junk = a.select(F.explode(F.array(F.concat(F.lit("/archives/x/"), "name", F.lit(".part")), F.concat(F.lit("/archives/x/"), "name", F.lit(".bak")), F.lit("/archives/x/notes.txt"))).alias("path"), F.lit(9).cast("long").alias("length"))
     judged = reconcile.matches_catalog(reconcile.archive_files(disk.unionByName(junk)), partitions)
     edge = F.array(F.struct(F.lit("next").alias("id"), F.lit("post").alias("side"), F.lit("e1").alias("version"), F.lit(True).alias("here")))
