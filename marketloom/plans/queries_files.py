@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import lenses, market, reconcile
 from marketloom.plans import normalise, views
 from marketloom.schema import TABLES
-from marketloom.session import scratch, table
+from marketloom.session import scratch, stored, table
 from marketloom.sources import scans, sinks
 
 HOUR = market.HOUR
@@ -111,7 +111,7 @@ def empties_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(spark, sf_dir):
-    return market.bars(views.ticks(spark, sf_dir), HOUR)
+    return stored(market.bars(views.ticks(spark, sf_dir), HOUR), "bars")
 
 
 def _written(spark, rows: DataFrame, columns: list[Column], header: bool = False) -> str:

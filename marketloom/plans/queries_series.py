@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from marketloom.operators import market
 from marketloom.plans import normalise, queries_files, views
 from marketloom.plans.queries_files import packed
-from marketloom.session import scratch, table
+from marketloom.session import scratch, stored, table
 from marketloom.sources import scans
 
 HOUR, DAY = market.HOUR, market.DAY
@@ -93,7 +93,7 @@ def trades_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _bars(spark, sf_dir):
-    b = market.bars(views.ticks(spark, sf_dir), HOUR)
+    b = stored(market.bars(views.ticks(spark, sf_dir), HOUR), "bars")  # every series' files are made of them
     return b.withColumns({"ms": F.expr("ts div 1000"), "s": F.expr("ts div 1000000"), "turnover": F.col("volume") * 2, "zero": F.lit("0")})
 
 
