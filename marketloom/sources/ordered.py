@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a range: about 64 MB of catalogue rows.
+#: Rows of a range: about 64 MB of catalogue rows. A task that writes ranges takes as many rows at least, however small they are.
 RANGE_ROWS = 500_000
 #: Index rows that a reader looks at at a time.
 LOOK = 64
@@ -21,10 +22,14 @@ LOOK = 64
 def _write_ranges(rows: DataFrame, root: str, snapshot: int, key: list[str], range_rows: int, begins: list[tuple] = ()) -> DataFrame:
     """Writes rows as ranges of a snapshot, none of which holds keys on both sides of one of begins; their index rows."""
     spark, path = rows.sparkSession, f"{root}/data/{snapshot}"
-    count = max(1, -(-rows.count() // range_rows))
+    held = rows.persist(StorageLevel.DISK_ONLY)  # made once to be counted, sampled and written
+    tasks = max(1, -(-held.count() // max(range_rows, RANGE_ROWS)))
     zone = sum((F.when(F.struct(*key) >= F.struct(*[F.lit(v).alias(k) for k, v in zip(key, b)]), 1).otherwise(0) for b in begins), F.lit(0))
-    dealt = rows.repartitionByRange(count, *key).withColumn("range", F.concat_ws("-", F.spark_partition_id(), zone))
+    ordered = held.repartitionByRange(tasks, *key).sortWithinPartitions(*key).withColumn("_at", F.monotonically_increasing_id())  # the task, and in the low 33 bits the row's place in it
+    place = F.concat_ws("-", F.shiftright("_at", 33), F.floor(F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)) / range_rows), zone)
+    dealt = ordered.withColumn("range", place).drop("_at")
     dealt.sortWithinPartitions("range", *key).write.mode("overwrite").partitionBy("range").parquet(path)
+    held.unpersist()
     written = spark.read.schema(dealt.schema).parquet(path)
     place = F.struct(*key)
     return written.groupBy("range").agg(F.min(place).alias("low"), F.max(place).alias("high"), F.count("*").alias("rows")).select(F.concat(F.lit(f"{snapshot}/range="), "range").alias("path"), "low", "high", "rows")

@@ -66,3 +66,17 @@ def test_merges_touch_their_ranges_only(spark, tmp_path):
     bounds = sorted((tuple(r.low), tuple(r.high)) for r in index.collect())
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
     assert spark.read.parquet(f"{root}/index/snapshot=0").count() == len(first)  # a reader of an earlier snapshot still has it
+
+
+def test_small_ranges_share_tasks(spark, tmp_path):
+    """A hundred ranges of ten rows are written by one task, in the order of the key, and none has more rows than asked for."""
+    import glob
+
+    rows = spark.range(1000).selectExpr("printf('%04d', (id * 7) % 1000) AS key", "id AS size").repartition(3)
+    ordered.build(rows, str(tmp_path / "t"), ["key"], range_rows=10)
+    files = glob.glob(f"{tmp_path}/t/data/0/range=*/*.parquet")
+    assert len(files) == 100 and {f.rsplit("/", 1)[1][:10] for f in files} == {"part-00000"}
+    _, index = ordered.current(spark, str(tmp_path / "t"))
+    held = sorted((r.low.key, r.high.key, r.rows) for r in index.collect())
+    assert held == [(f"{i:04d}", f"{i + 9:04d}", 10) for i in range(0, 1000, 10)]
+    assert [r.size for r in ordered.read_all(spark, str(tmp_path / "t")).orderBy("key").collect()] == [r.size for r in rows.orderBy("key").collect()]
