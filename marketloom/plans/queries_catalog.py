@@ -203,20 +203,23 @@ def listing_merged_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The catalogue in ordered ranges of files, and a listing's page of one venue's paths from 2 to 3 merged into it: the catalogue after it, and whether
     most ranges were neither read nor written."""
     root = scratch(spark, "catalogue")
-    before = _before(spark, sf_dir)
-    ordered.build(before, root, changes.KEY, range_rows=max(100, before.count() // 60))
+    before = stored(_before(spark, sf_dir), "before")
+    rows = max(100, before.count() // 60)
+    ordered.build(before, root, changes.KEY, range_rows=rows)
     page = _page(spark, sf_dir).filter("venue = 'N' AND path >= '2' AND path < '3'")
-    done = ordered.merge(spark, root, changes.KEY, page, changes.merge_listing, range_rows=1000)
+    done = ordered.merge(spark, root, changes.KEY, page, changes.merge_listing, range_rows=rows)
     after = ordered.read_all(spark, root)
     return after.groupBy("venue", "existence").agg(
         F.count("*").alias("files"), F.sum("size").alias("bytes"), F.count_if(F.col("downloaded_at").isNull()).alias("owed"), F.min("path").alias("lowest"), F.max("path").alias("highest")).withColumn("mostly_kept", F.lit(done["kept"] > 3 * done["touched"]))
 
 
 def listing_page_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The page of listing_page from keys in ordered ranges, of which the index names those to open."""
+    """The page of listing_page from keys in ordered ranges, of which the index names those to open: ranges of 1,000 keys, or of a 600th of
+    more than 600,000, up to the rows of a range."""
     root = scratch(spark, "keys")
     keys = views.catalog_files(spark, sf_dir).select(F.concat_ws("|", "venue", "dataset", "date", "path").alias("key"), "size").groupBy("key").agg(F.max("size").alias("size"))
-    ordered.build(keys, root, ["key"], range_rows=1000)
+    keys = stored(keys, "listed")
+    ordered.build(keys, root, ["key"], range_rows=min(ordered.RANGE_ROWS, max(1000, keys.count() // 600)))
     prefix, after = "N|3-MEDIUM", "N|3-MEDIUM|19960101"
     return catalog.list_page(ordered.read_from(spark, root, "key", prefix, after, 201), prefix, after, 200)
 

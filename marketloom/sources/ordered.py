@@ -79,7 +79,7 @@ def merge(spark: SparkSession, root: str, key: list[str], page: DataFrame, chang
     side by side, so it touches as few ranges as it is long. Returns snapshot, touched and kept (numbers of ranges) and rows (of the changed ranges).
     """
     snapshot, index = current(spark, root)
-    place = F.struct(*key)
+    place, page = F.struct(*key), page.persist(StorageLevel.DISK_ONLY)
     spans = page.groupBy(key[0]).agg(F.min(place).alias("_from"), F.max(place).alias("_to"))  # a row a venue
     hit = index.join(F.broadcast(spans), (F.col("high") >= F.col("_from")) & (F.col("low") <= F.col("_to")), "left_semi")
     found = hit.collect()  # what is read and written anyway
@@ -94,8 +94,10 @@ def merge(spark: SparkSession, root: str, key: list[str], page: DataFrame, chang
     new = _write_ranges(change(old, page).select(*old.columns), root, snapshot + 1, key, range_rows, begins)
     left = index.join(F.broadcast(spark.createDataFrame([(p,) for p in touched], "path string")), "path", "left_anti")
     left.unionByName(new).write.mode("overwrite").parquet(f"{root}/index/snapshot={snapshot + 1}")
-    facts = new.agg(F.sum("rows")).first()[0]
-    return {"snapshot": snapshot + 1, "touched": len(touched), "kept": left.count(), "rows": int(facts or 0)}
+    page.unpersist()
+    made = F.startswith("path", F.lit(f"{snapshot + 1}/"))
+    facts = current(spark, root)[1].agg(F.sum(F.when(made, F.col("rows"))).alias("rows"), F.count_if(~made).alias("kept")).first()
+    return {"snapshot": snapshot + 1, "touched": len(touched), "kept": facts["kept"], "rows": int(facts["rows"] or 0)}
 
 
 def read_all(spark: SparkSession, root: str) -> DataFrame:
