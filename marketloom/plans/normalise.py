@@ -166,16 +166,17 @@ def normalise(spark: SparkSession, files: DataFrame, venue: str, dataset: str, r
     contents = files.select("path", "content") if "content" in files.columns else None
     listed = parse_keys(files.select("path", "key")).filter((F.col("venue") == venue) & (F.col("dataset") == dataset))
     assigned = assign_series(listed, rules).filter("series IS NOT NULL")
-    groups: dict[tuple, list[str]] = {}
+    groups: dict[tuple, list[tuple]] = {}
     archived = F.col("container").isin("zip", "tar.gz")
-    for row in assigned.select("series", "path", "variant", archived.alias("archived")).toLocalIterator():  # a path for each file of the months asked for, as readers take them
-        groups.setdefault((row["series"], row["variant"], row["archived"]), []).append(row["path"])
+    for row in assigned.select("series", "path", "variant", archived.alias("archived"), "symbol", "month").toLocalIterator():  # a path for each file of the months asked for, as readers take them
+        groups.setdefault((row["series"], row["variant"], row["archived"]), []).append((row["path"], row["symbol"], row["month"]))
     plain = lambda path: F.regexp_replace(path, r"^(file:)?/*", "/")
-    owners = assigned.select(plain(F.col("path")).alias(scans.FILE), F.col("symbol").alias("owner"), F.col("month").alias("own_month"))
     tables: dict[str, list[DataFrame]] = {}
-    for (number, variant, packed), paths in sorted(groups.items()):
-        series = rules[number]
-        own_contents = None if contents is None else contents.join(assigned.filter((F.col("series") == number) & (F.col("variant") == variant) & (archived == packed)).select("path"), "path", "left_semi")
+    for (number, variant, packed), listed_files in sorted(groups.items()):
+        series, paths = rules[number], [path for path, _, _ in listed_files]
+        held = F.broadcast(spark.createDataFrame(listed_files, "path string, owner string, own_month string"))  # the paths just listed, so that no rows are dealt by their file
+        owners = held.select(plain(F.col("path")).alias(scans.FILE), "owner", "own_month")
+        own_contents = None if contents is None else contents.join(held.select("path"), "path", "left_semi")
         seen, width = watch.added(series, variant) if watch is not None else (None, None)
 
         def counted(rows: DataFrame, width=width) -> DataFrame:

@@ -38,7 +38,7 @@ def _normalised(spark: SparkSession, made: list[tuple[str, DataFrame, dict[str,
 
 
 def _ticks(spark, sf_dir):
-    t = views.ticks(spark, sf_dir)
+    t = stored(views.ticks(spark, sf_dir), "ticks")  # every series' files are made of them
     return t.withColumns({"word": F.when(F.col("side") == "click", "SELL").otherwise("Buy"), "base": F.col("size") * 3, "quote": F.col("size") * 5, "ms": F.expr("ts div 1000"),
                           "seconds": F.concat(F.expr("ts div 1000000"), F.lit("."), F.lpad(F.expr("ts % 1000000").cast("string"), 6, "0"))})
 
