@@ -54,16 +54,18 @@ def packed(rows: DataFrame) -> DataFrame:
     """rows (path, member, n, line) as path, content: an archive of each path's members, lines in the order of n; a path ending
     in .xlsx is a workbook of comma-separated cells. An archive is one task's, as it is to its reader."""
 
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        path = group["path"].iloc[0]
-        group = group.sort_values(["member", "n"])
-        if path.endswith(".xlsx"):
-            content = workbook([line.split(",") for line in group["line"]])
-        else:
-            content = pack(path, {m: "".join(x + "\n" for x in g["line"]) for m, g in group.groupby("member", sort=True)})
-        return pd.DataFrame({"path": [path], "content": [content]})
-
-    return rows.select("path", "member", "n", "line").groupBy("path").applyInPandas(build, "path string, content binary")
+    texts = rows.repartition("path").groupBy("path", "member").agg(F.array_sort(F.collect_list(F.struct("n", "line"))).alias("lines"))
+    texts = texts.select("path", "member", F.concat(F.array_join("lines.line", "\n"), F.lit("\n")).alias("text"))
+    files = texts.groupBy("path").agg(F.array_sort(F.collect_list(F.struct("member", "text"))).alias("held"))
+    scans.one_by_one(rows.sparkSession)
+
+    def build(frames):
+        for f in frames:
+            made = [workbook([x.split(",") for t in texts for x in t.split("\n")[:-1]]) if path.endswith(".xlsx") else pack(path, dict(zip(members, texts))) for path, members, texts in zip(f["path"], f["members"], f["texts"])]
+            yield pd.DataFrame({"path": f["path"], "content": made})
+
+    files = files.select("path", F.col("held.member").alias("members"), F.col("held.text").alias("texts"))
+    return stored(files.mapInPandas(build, "path string, content binary"), "packed")  # whoever takes them lists, chooses and reads them
 
 
 def _pick(k: Column, *values: str) -> Column:

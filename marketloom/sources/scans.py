@@ -112,7 +112,7 @@ class _Utf8(io.RawIOBase):
 BATCH_BYTES = 16 << 20
 
 
-def _apart(spark: SparkSession) -> None:
+def one_by_one(spark: SparkSession) -> None:
     """Files of some size go to Python one by one."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
@@ -131,7 +131,7 @@ def scan_csv_named(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
     first lines of such files, each from the head of one task's split, and every split has its file's header beside it (a short row for each file of half
     a split's size or more). There, a quoted line break ends the row. Empty files have no header and are left out.
     """
-    _apart(spark)
+    one_by_one(spark)
     cells, most = _Cells(wanted), _split_from(spark)
     schema = ", ".join(f"`{w}` string" for w in [*wanted, OVERFLOW, FILE])
 
@@ -308,7 +308,7 @@ def _unpacked(files: DataFrame, read, schema: str) -> DataFrame:
     """read(archive, member, stream) over every member of files (path, content). Zip archives over SPREAD_FROM are taken apart first, and their
     members, still packed, dealt over tasks, which inflate and read them; any other file is one task's, its members streamed, and so is a file without
     a length (see binary_files), which a reader could not choose by."""
-    _apart(files.sparkSession)
+    one_by_one(files.sparkSession)
     spread = F.col("path").endswith(".zip") & (F.col("length") > SPREAD_FROM)
 
     def run(batches):
@@ -415,7 +415,7 @@ def scan_sheets(files: DataFrame, wanted: list[str]) -> DataFrame:
     """The wanted columns of the tables in files (path, content), by the names in each table's first row,
     without case. A table is the first sheet of a workbook or a text table, alone or in an archive; a
     file is one task's, its rows streamed."""
-    _apart(files.sparkSession)
+    one_by_one(files.sparkSession)
 
     def run(batches):
         for batch in batches:
@@ -435,7 +435,7 @@ def scan_sheets(files: DataFrame, wanted: list[str]) -> DataFrame:
 def scan_sheet_files(spark: SparkSession, paths, wanted: list[str]) -> DataFrame:
     """scan_sheets over the files at paths. Text tables of half a split or more are read in splits, as scan_csv_named does, if no line has an odd number of quotes: then no
     cell has a line break in it. Which of the large files are such tables is found by a first pass over their lines."""
-    _apart(spark)
+    one_by_one(spark)
     most = _split_from(spark)
     whole = F.col("path").rlike("[.](zip|tar[.]gz|tgz|tar|gz)$")
     lines = _large_lines(spark, paths, most).filter(~whole)
@@ -484,7 +484,7 @@ def drop_empty(files: DataFrame) -> DataFrame:
     that decode to nothing."""
     if "content" not in files.columns:
         return files.filter("length > 0")
-    _apart(files.sparkSession)
+    one_by_one(files.sparkSession)
 
     def run(batches):
         for batch in batches:

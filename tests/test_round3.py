@@ -1,6 +1,8 @@
 """Queries against their SQL on small tables made for the case."""
 
+import io
 import os
+import zipfile
 
 import duckdb
 import pyarrow as pa
@@ -134,3 +136,32 @@ def test_coverage_meets_each_file_once(spark):
     assert plan.count("Exchange hashpartitioning(path") == 2
 
 
+
+
+def test_files_at_hand_are_packed_once(spark):
+    """Packed files are read where they were stored: what chooses among them and what reads them does not pack them again."""
+    from marketloom.plans.queries_files import packed
+
+    rows = spark.createDataFrame([("a.csv", "m", 2, "y,2"), ("a.csv", "m", 1, "x,1"), ("b.zip", "n", 1, "z,3"), ("b.zip", "k", 5, "w,4")], "path string, member string, n long, line string")
+    files = packed(rows)
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    content = {r.path: bytes(r.content) for r in files.collect()}
+    with zipfile.ZipFile(io.BytesIO(content["b.zip"])) as z:
+        assert content["a.csv"] == b"x,1\ny,2\n" and {n: z.read(n) for n in z.namelist()} == {"k": b"w,4\n", "n": b"z,3\n"}
+
+
+def test_rows_are_not_dealt_by_their_file(spark):
+    """Files' owners meet rows without a shuffle of the rows, even where Spark would broadcast nothing by itself; ticks are parsed once."""
+    from marketloom.plans import queries_series
+
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = queries_series._normalised(spark, [("gate|spot|trades|BTC_USDT|202401.csv", queries_series._ticks(spark, "/root/testdata/sf0.001"), {"a": "seconds", "b": "sequence", "c": "price", "d": "size", "e": "word"}, False)], "trades", ["symbol", "ts"])
+        plan = rows._jdf.queryExecution().executedPlan().toString()
+        ticks = queries_series._ticks(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and {r.symbol for r in rows.collect()} == {"BTC_USDT"}
+    assert "get_json_object" not in ticks
