@@ -331,10 +331,14 @@ def partitions_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two writes of the same ticks into pieces, made one ordered file a partition without the repeats."""
     rows, root = _trades(spark, sf_dir).drop("margin").withColumn("margin", F.lit(None).cast("string")), scratch(spark, "vault")
     for _ in range(2):
-        rows.withColumn("part", F.lit("own")).repartition(3).write.mode("append").partitionBy("venue", "market", "aggregated", "month", "part").parquet(f"{root}/trades")
+        rows.withColumn("part", F.lit("own")).hint("rebalance").write.mode("append").partitionBy("venue", "market", "aggregated", "month", "part").parquet(f"{root}/trades")
     sinks.compact_partitions(scans.read_table(spark, root, "trades"), root, "trades", scratch(spark, "staged"), distinct=True)
     back = scans.read_table(spark, root, "trades").withColumn("file", F.col("_metadata.file_path"))
-    return back.groupBy("market", "month").agg(F.countDistinct("file").alias("files"), F.count("*").alias("rows"), F.max("tradeId").alias("highest"))
+    # the greatest text, of numbers of one sign and length the one farthest from zero: of texts themselves Spark would sort all rows
+    below, far = F.col("tradeId").startswith("-"), F.abs(F.col("tradeId").cast("decimal(20,0)"))
+    held = back.groupBy("market", "month", "file", F.length("tradeId").alias("digits"), below.alias("below")).agg(F.count("*").alias("rows"), F.max(far).alias("far"))
+    ids = F.concat(F.when(F.col("below"), "-").otherwise(""), F.col("far").cast("string"))
+    return held.groupBy("market", "month").agg(F.countDistinct("file").alias("files"), F.sum("rows").alias("rows"), F.max(ids).alias("highest"))
 
 
 def ledger_written(spark: SparkSession, sf_dir: str) -> DataFrame:

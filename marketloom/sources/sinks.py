@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
+from urllib.parse import unquote
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +17,10 @@ from marketloom.schema import levels_of, order_of, struct_of
 NO_LEVEL = "ticks"
 #: Input bytes above which a month has files by instrument.
 SPLIT_BYTES = 1 << 30
+#: Rows that a task puts in order at a time where a partition is one file, whatever its size.
+SORT_ROWS = 500_000
+#: Partitions of more rows that are put together at a time, a task each.
+AT_ONCE = 16
 
 
 def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights: DataFrame | None = None, split_bytes: int = SPLIT_BYTES, records_per_file: int = 50_000_000) -> None:
@@ -36,6 +44,43 @@ def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights
      .option("maxRecordsPerFile", records_per_file).partitionBy(*levels, "part").parquet(f"{root}/{table}"))
 
 
+def write_whole(df: DataFrame, path: str, columns: list[str], order: list[str], staged: str, distinct: bool = False, records_per_file: int = 50_000_000) -> None:
+    """Replaces the partitions (by columns) that df has rows of by one file each, in the order of `order`, which no task sorts whole.
+
+    Rows are dealt by ranges of their partition and order, about SORT_ROWS a task, and staged in that order. Partitions of up to SORT_ROWS rows are then dealt whole and
+    sorted again; each larger one is what its staged files give one after another, in a task of its own that sorts nothing.
+    """
+    spark, rest = df.sparkSession, [c for c in df.columns if c not in (*columns, *order)]
+    held = df.persist(StorageLevel.DISK_ONLY)  # made once to be counted, sampled and staged
+    if tasks := -(-held.count() // SORT_ROWS):
+        ranged = held.repartitionByRange(tasks, *columns, *order, *rest)  # by all columns: equal rows meet, and rows of one time may be cut
+        (ranged.distinct() if distinct else ranged).sortWithinPartitions(*columns, *order).write.mode("overwrite").partitionBy(*columns).parquet(staged)
+    held.unpersist()
+    if not tasks:
+        return
+    back = spark.read.schema(df.schema).parquet(staged)
+    files = back.groupBy(*columns, F.col("_metadata.file_path").alias("_file")).agg(F.count("*").alias("_rows"))
+    number = F.regexp_extract("_file", r"/part-(\d+)-[^/]*$", 1).cast("long").alias("_range")
+    sizes = files.groupBy(*columns).agg(F.sum("_rows").alias("_rows"), F.array_sort(F.collect_list(F.struct(number, "_file")))["_file"].alias("_files")).persist(StorageLevel.DISK_ONLY)
+    small = sizes.filter(F.col("_rows") <= SORT_ROWS)
+    if rows := small.agg(F.sum("_rows")).first()[0]:
+        match = reduce(lambda a, b: a & b, [back[c].eqNullSafe(small[c]) for c in columns])
+        (back.join(F.broadcast(small.drop("_rows", "_files")), match, "left_semi").repartition(-(-rows // SORT_ROWS), *columns).sortWithinPartitions(*columns, *order)
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").option("maxRecordsPerFile", records_per_file).partitionBy(*columns).parquet(path))
+
+    def joined(names: list[str]) -> None:
+        names = [unquote(n) for n in names]  # by the number of their range: that is the order of the rows
+        folder = "/".join(names[0].split("/")[-len(columns) - 1 : -1])
+        pieces = [back_of(n) for n in names]
+        reduce(DataFrame.union, pieces).coalesce(1).write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", records_per_file).parquet(f"{path}/{folder}")
+
+    back_of = spark.read.schema(back.drop(*columns).schema).parquet
+    large = [r["_files"] for r in sizes.filter(F.col("_rows") > SORT_ROWS).select("_files").collect()]  # at most a partition for each SORT_ROWS rows
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        list(pool.map(joined, large))
+    sizes.unpersist()
+
+
 def write_empty(spark, root: str, table: str, **levels: str) -> None:
     """A partition without rows still has a file with the table's columns."""
     path = "/".join([f"{root}/{table}", *[f"{c}={levels.get(c, NO_LEVEL)}" for c in levels_of(table)], "part=own"])
@@ -48,20 +93,18 @@ def layout_for(partitions: DataFrame, split_bytes: int = SPLIT_BYTES) -> DataFra
 
 
 def compact_partitions(df: DataFrame, root: str, table: str, staged: str, distinct: bool = False) -> None:
-    """Partitions of a table (df: their rows, read from root) that are in several pieces rewritten as one ordered piece each, or as many as their
-    size asks for. Partitions of one piece are neither read nor written.
+    """Partitions of a table (df: their rows, read from root) that are in several pieces rewritten as one ordered file each (see write_whole).
+    Partitions of one piece are neither read nor written.
 
-    The pieces are joined in a folder beside the table first, as what is read cannot be replaced at once;
+    The pieces are staged in a folder beside the table first, as what is read cannot be replaced at once;
     a run that ends between the two has lost nothing.
     """
     columns = [*levels_of(table), "part"]
     names = df.select(*columns, F.col("_metadata.file_path").alias("_file")).distinct()
     several = names.groupBy(*columns).agg(F.count("*").alias("_pieces")).filter("_pieces > 1").drop("_pieces")
-    df = df.join(several, columns, "left_semi").select(*df.columns)  # Spark prunes the partitions that are not among these
-    (df.distinct() if distinct else df).write.mode("overwrite").partitionBy(*columns).parquet(staged)
-    held = df.sparkSession.read.schema(df.schema).parquet(staged)
-    (held.hint("rebalance", *[F.col(c) for c in columns]).sortWithinPartitions(*columns, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
-     .partitionBy(*columns).parquet(f"{root}/{table}"))
+    # a row a partition: met without dealing the rows by partition, whose repeats would then be one task's
+    df = df.join(F.broadcast(several), columns, "left_semi").select(*df.columns)  # Spark prunes the partitions that are not among these
+    write_whole(df, f"{root}/{table}", columns, order_of(table), staged, distinct)
 
 
 def write_sides(df: DataFrame, root: str, table: str, side: str) -> None:

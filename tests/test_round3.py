@@ -8,6 +8,7 @@ import duckdb
 import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 
@@ -165,3 +166,40 @@ def test_rows_are_not_dealt_by_their_file(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "Exchange hashpartitioning" not in plan and {r.symbol for r in rows.collect()} == {"BTC_USDT"}
     assert "get_json_object" not in ticks
+
+
+def _market_rows(spark, rows):
+    """Trades (symbol, ts, month) of one market."""
+    from marketloom.schema import TABLES
+
+    kinds = ", ".join(f"{n} {t}" for n, t in [("symbol", "string"), *TABLES["trades"], ("venue", "string"), ("market", "string"), ("aggregated", "string"), ("month", "string")])
+    return spark.createDataFrame([(s, ts, str(ts), *[None] * (len(TABLES["trades"]) - 2), "v", "spot", "false", month) for s, ts, month in rows], kinds)
+
+
+def _files_by_month(root):
+    """month: the (symbol, ts) of each of its files, in the order they stand in."""
+    found = {}
+    for path in sorted(root.rglob("*.parquet")):
+        month = next(p.split("=")[1] for p in path.parts if p.startswith("month="))
+        t = pq.ParquetFile(path).read(columns=["symbol", "ts"])
+        found.setdefault(month, []).append(list(zip(t["symbol"].to_pylist(), t["ts"].to_pylist())))
+    return found
+
+
+_MONTHS = [(f"S{i * 7919 % 13}", i * 104729 % 1009, month) for month, n in (("2024-01", 1000), ("2024-02", 30), ("2024-03", 40)) for i in range(n)]
+
+
+def test_partitions_are_compacted_by_ranges(spark, tmp_path, monkeypatch):
+    """A partition of any size becomes one ordered file without the repeats, put together of pieces that are sorted each."""
+    from marketloom.sources import scans, sinks
+
+    monkeypatch.setattr(sinks, "SORT_ROWS", 100)
+    root, rows = tmp_path / "v", _market_rows(spark, _MONTHS).withColumn("part", F.lit("own"))
+    for n in (2, 3):
+        rows.repartition(n).write.mode("append").partitionBy("venue", "market", "aggregated", "month", "part").parquet(f"{root}/trades")
+    sinks.compact_partitions(scans.read_table(spark, str(root), "trades"), str(root), "trades", str(tmp_path / "staged"), distinct=True)
+    want = {m: [sorted({(s, ts) for s, ts, month in _MONTHS if month == m})] for m in ("2024-01", "2024-02", "2024-03")}
+    assert _files_by_month(root) == want
+    staged = _files_by_month(tmp_path / "staged")["2024-01"]
+    assert len(staged) > 8 and max(map(len, staged)) < 300
+    assert spark.read.parquet(f"{root}/trades").count() == sum(len(x[0]) for x in want.values())
