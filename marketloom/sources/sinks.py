@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketloom.schema import levels_of, order_of, struct_of
+from marketloom.session import scratch
 
 NO_LEVEL = "ticks"
 #: Input bytes above which a month has files by instrument.
@@ -27,7 +28,7 @@ def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights
     """Replaces the partitions that df has rows of; others stay. Rows are by symbol and time in each file.
 
     df has the table's columns and path levels; an absent level is written as `ticks`. weights (the
-    path levels and bytes of each partition) says which months are light: those are one file each. All
+    path levels and bytes of each partition) says which months are light: those are one file each (see write_whole). All
     others are dealt by symbol and then rebalanced: Spark puts small symbols together and cuts large ones, so that a file is about
     spark.sql.adaptive.advisoryPartitionSizeInBytes of shuffled rows, whatever share of a month a symbol has.
     """
@@ -36,10 +37,12 @@ def write_table(df: DataFrame, root: str, table: str, part: str = "own", weights
     if weights is None:
         dealt = rows.hint("rebalance", *[F.col(c) for c in (*levels, "symbol")])
     else:
+        # a row a partition
         laid = layout_for(weights, split_bytes).select(*levels, (F.col("layout") == "whole").alias("_whole"))
-        marked = rows.join(laid, levels, "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
+        marked = rows.join(F.broadcast(laid), levels, "left").withColumn("_whole", F.coalesce("_whole", F.lit(False)))
         light, heavy = marked.filter("_whole").drop("_whole"), marked.filter("NOT _whole").drop("_whole")
-        dealt = light.repartition(*levels).unionByName(heavy.hint("rebalance", *[F.col(c) for c in (*levels, "symbol")]))
+        write_whole(light, f"{root}/{table}", [*levels, "part"], order_of(table), scratch(df.sparkSession, "staged"), records_per_file=records_per_file)
+        dealt = heavy.hint("rebalance", *[F.col(c) for c in (*levels, "symbol")])
     (dealt.sortWithinPartitions(*levels, *order_of(table)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .option("maxRecordsPerFile", records_per_file).partitionBy(*levels, "part").parquet(f"{root}/{table}"))
 

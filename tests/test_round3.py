@@ -203,3 +203,19 @@ def test_partitions_are_compacted_by_ranges(spark, tmp_path, monkeypatch):
     staged = _files_by_month(tmp_path / "staged")["2024-01"]
     assert len(staged) > 8 and max(map(len, staged)) < 300
     assert spark.read.parquet(f"{root}/trades").count() == sum(len(x[0]) for x in want.values())
+
+
+def test_light_months_are_sorted_by_ranges(spark, tmp_path, monkeypatch):
+    """A month that is light by its weights is one ordered file, of whatever size, and no task sorts it whole."""
+    from marketloom.sources import sinks
+
+    monkeypatch.setattr(sinks, "SORT_ROWS", 100)
+    monkeypatch.setattr(sinks, "scratch", lambda spark, name: str(tmp_path / name))
+    rows = _market_rows(spark, _MONTHS)
+    weights = rows.groupBy("venue", "market", "aggregated", "month").agg(F.max(F.when(F.col("month") == "2024-02", sinks.SPLIT_BYTES).otherwise(1)).alias("bytes"))
+    sinks.write_table(rows, str(tmp_path / "v"), "trades", weights=weights)
+    got = _files_by_month(tmp_path / "v")
+    assert {m: sorted(x for f in got[m] for x in f) for m in got} == {m: sorted((s, ts) for s, ts, month in _MONTHS if month == m) for m in got}
+    assert all(len(got[m]) == 1 and got[m][0] == sorted(got[m][0]) for m in ("2024-01", "2024-03"))
+    staged = _files_by_month(tmp_path / "staged")
+    assert "2024-02" not in staged and max(map(len, staged["2024-01"])) < 300
