@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -15,6 +14,8 @@ from pyspark.sql.types import StructType
 PATIENCE = "15 days"
 #: Rows of a bucket that are written even if their time has not come, and of one file.
 FLUSH_ROWS = 10_000
+#: Buckets that symbols are dealt into by their hash, whose tapes are one entry of the state each.
+TAPE_BUCKETS = 2048
 
 
 def stream_frames(spark: SparkSession, path: str, schema: str = "venue string, value string", form: str = "json", files: int = 100) -> DataFrame:
@@ -246,32 +247,37 @@ def tape(ticks: DataFrame, n: int, sink: Callable[[DataFrame, int], None], check
 
 
 class NewestRows(StatefulProcessor):
-    """A symbol's n newest rows, as a list that never grows past n."""
+    """The n newest rows of each symbol of a bucket, as one list, which holds no more than n a symbol."""
 
     def __init__(self, n: int):
         self.n = n
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getListState("kept", "ts long, sequence long, row string")
+        self.kept = handle.getListState("kept", "symbol string, ts long, sequence long, row string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        newest = [tuple(r) for r in self.kept.get()] if self.kept.exists() else []
-        for frame in rows:  # chunk by chunk: no more than n and a chunk are held
-            newest = heapq.nlargest(self.n, [*newest, *((int(t), int(s), r) for t, s, r in frame[["ts", "sequence", "row"]].itertuples(index=False))], key=lambda r: r[:2])
-        self.kept.put(newest)
-        yield pd.DataFrame({"symbol": [key[0]] * len(newest), "place": range(1, len(newest) + 1), "row": [r[2] for r in newest]})
+        columns, touched = ["symbol", "ts", "sequence", "row"], set()
+        newest = pd.DataFrame(list(self.kept.get()), columns=columns) if self.kept.exists() else None
+        for frame in rows:  # chunk by chunk: no more than n a symbol and a chunk are held
+            touched.update(frame["symbol"].unique())
+            both = frame[columns] if newest is None else pd.concat([newest, frame[columns]], ignore_index=True)
+            newest = both.sort_values(["ts", "sequence"], ascending=False, kind="stable").groupby("symbol", sort=False, dropna=False).head(self.n)
+        self.kept.put([(symbol, int(ts), int(sequence), row) for symbol, ts, sequence, row in newest.itertuples(index=False)])
+        given = newest[newest["symbol"].isin(touched)]
+        yield pd.DataFrame({"symbol": given["symbol"], "place": given.groupby("symbol", sort=False, dropna=False).cumcount() + 1, "row": given["row"]})
 
     def close(self) -> None:
         pass
 
 
-def tape_by_symbol(ticks: DataFrame, n: int) -> DataFrame:
+def tape_by_symbol(ticks: DataFrame, n: int, buckets: int = TAPE_BUCKETS) -> DataFrame:
     """The n newest trades of each symbol that a batch has trades of: symbol, place (1 is the newest) and the trade's columns. What a batch gives of a
-    symbol stands in place of what earlier ones gave."""
+    symbol stands in place of what earlier ones gave. Symbols are kept by the bucket of their hash, so that a batch calls Python and the store once a bucket, however many
+    symbols there are; it rewrites the tapes of the buckets that it has trades of."""
     keyed_state(ticks.sparkSession)
     rest = [f for f in ticks.schema.fields if f.name != "symbol"]
-    rows = ticks.select("symbol", "ts", "sequence", F.to_json(F.struct(*[f.name for f in rest])).alias("row"))
-    kept = rows.groupBy("symbol").transformWithStateInPandas(NewestRows(n), "symbol string, place int, row string", "update", "none")
+    rows = ticks.select(F.pmod(F.xxhash64("symbol"), F.lit(buckets)).alias("bucket"), "symbol", "ts", "sequence", F.to_json(F.struct(*[f.name for f in rest])).alias("row"))
+    kept = rows.groupBy("bucket").transformWithStateInPandas(NewestRows(n), "symbol string, place int, row string", "update", "none")
     return kept.select("symbol", "place", F.from_json("row", StructType(rest)).alias("_r")).select("symbol", "place", "_r.*")
 
 

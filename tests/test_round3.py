@@ -219,3 +219,21 @@ def test_light_months_are_sorted_by_ranges(spark, tmp_path, monkeypatch):
     assert all(len(got[m]) == 1 and got[m][0] == sorted(got[m][0]) for m in ("2024-01", "2024-03"))
     staged = _files_by_month(tmp_path / "staged")
     assert "2024-02" not in staged and max(map(len, staged["2024-01"])) < 300
+
+
+def test_tapes_are_kept_by_bucket(spark, tmp_path):
+    """The tapes of any number of symbols are as many entries of the state as there are buckets; a batch gives the tapes of its own symbols only."""
+    from marketloom.streaming import streams
+
+    rows, got = [(f"S{i % 60}" if i % 60 else None, i * 7919 % 211, i, float(i)) for i in range(1200)], []
+    kinds, feed, state = "symbol string, ts long, sequence long, price double", str(tmp_path / "feed"), str(tmp_path / "state")
+    for part in (rows[600:], rows[:600], [("S7", 500, 1200, 0.5)]):
+        spark.createDataFrame(part, kinds).repartition(2).write.mode("append").parquet(feed)
+        tapes = streams.tape_by_symbol(streams.stream_frames(spark, feed, kinds, "parquet"), 4, buckets=3)
+        tapes.writeStream.outputMode("update").option("checkpointLocation", state).trigger(availableNow=True).foreachBatch(lambda f, n: got.append([tuple(r) for r in f.collect()])).start().awaitTermination()
+    tape = lambda seen, symbol: [(symbol, k + 1, *r) for k, r in enumerate(sorted(((ts, q, p) for s, ts, q, p in seen if s == symbol), reverse=True)[:4])]
+    names = {r[0] for r in rows}
+    assert sorted(got[1], key=repr) == sorted((r for s in names for r in tape(rows, s)), key=repr)
+    assert sorted(got[2]) == tape([*rows, ("S7", 500, 1200, 0.5)], "S7")
+    held = spark.read.format("statestore").option("path", state).option("stateVarName", "kept").option("flattenCollectionTypes", True).load()
+    assert held.select("key").distinct().count() <= 3 and held.count() == 4 * 60
