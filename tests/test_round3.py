@@ -237,3 +237,43 @@ def test_tapes_are_kept_by_bucket(spark, tmp_path):
     assert sorted(got[2]) == tape([*rows, ("S7", 500, 1200, 0.5)], "S7")
     held = spark.read.format("statestore").option("path", state).option("stateVarName", "kept").option("flattenCollectionTypes", True).load()
     assert held.select("key").distinct().count() <= 3 and held.count() == 4 * 60
+
+
+def _reachable(n, pairs):
+    """The sets of 0 to n - 1 that pairs connect."""
+    of = {i: {i} for i in range(n)}
+    for a, b in pairs:
+        if of[a] is not of[b]:
+            of[a] |= of[b]
+            for i in of[b]:
+                of[i] = of[a]
+    return of.values()
+
+
+def test_near_copies_go_through_the_grid(spark):
+    """Texts whose fingerprint words are within two bits are found by the grid, as brute force finds them; what only the bands can reach is grouped too."""
+    import random
+
+    from marketloom.llm import simhash
+
+    rnd, texts = random.Random(11), []
+    for k in range(12):
+        words = [f"w{rnd.randrange(10**6)}" for _ in range(900)]
+        for edits in (0, 0, 1, 2, 4):  # at 4 edits far apart, a similarity of about 0.96
+            copy = list(words)
+            for at in range(edits):
+                copy[100 + 190 * at] = f"e{k}-{edits}-{at}"
+            texts.append((k, " ".join(copy)))
+    sets = {simhash.shingle_set(t.encode()).tobytes() for _, t in texts}
+    prints = [simhash.fingerprint_words(simhash.np.frombuffer(b, simhash.np.uint64), simhash.COPY_WORDS) for b in sets]
+    nodes = spark.createDataFrame([(i, fp.view("int64").tolist()) for i, fp in enumerate(prints)], "node long, fp array<long>")
+    found = {tuple(r) for r in simhash.grid_pairs(nodes).collect()}
+    bits = lambda i, j, k: bin(int(prints[i][k]) ^ int(prints[j][k])).count("1")
+    want = {(i, j) for i in range(len(prints)) for j in range(i) if any(bits(i, j, k) <= simhash.GRID_RADIUS for k in range(simhash.GRID_WORDS))}
+    reach = lambda pairs: {frozenset(x) for x in _reachable(len(prints), pairs)}
+    assert want and found <= want and reach(found) == reach(want)
+    docs = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(texts)], "doc_id long, text string")
+    groups = {}
+    for r in simhash.near_copies(docs).collect():
+        groups.setdefault(r["group"], set()).add(texts[r["doc"]][0])
+    assert len(groups) == 12 and all(len(g) == 1 for g in groups.values())
