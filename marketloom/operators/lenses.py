@@ -114,11 +114,11 @@ def lens_slices(slices: DataFrame, rules: DataFrame) -> DataFrame:
 
 def through_lens(series: DataFrame, spans: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """series (slice, series, first, last) cut to the months of the lens: one row for each span it meets. By their bounds alone, or
-    with files (slice, series, date) exactly: to the first and last file in the span, and left out if there is none."""
+    with files (slice, series, date) exactly: to the first and last file in the span, and left out if there is none with a date."""
     joined = series.join(spans, "slice")
     if files is not None:
         held = files.select("slice", "series", "date").join(spans, "slice").filter(span_holds(F.col("date"), F.col("from"), F.col("to")))
-        return held.groupBy("slice", "series", "from", "to").agg(F.min("date").alias("first"), F.max("date").alias("last")).select("slice", "series", "first", "last")
+        return held.groupBy("slice", "series", "from", "to").agg(F.min("date").alias("first"), F.max("date").alias("last")).filter(F.col("first").isNotNull()).select("slice", "series", "first", "last")
     first = F.greatest(F.col("first"), F.coalesce("from", F.lit(FIRST)))
     last = F.least(F.col("last"), F.concat(F.coalesce("to", F.lit(LAST)), F.lit("99")))
     return joined.select("slice", "series", first.alias("first"), last.alias("last")).filter(F.substring("first", 1, 6) <= F.substring("last", 1, 6))

@@ -124,7 +124,7 @@ lens AS (SELECT rend.* FROM rend WHERE partition IN (SELECT partition FROM inc)
 
 
 def _spans(spark, sf_dir):
-    """Spans of months by customer: of orders, from their month for as many months as the customer's nation says."""
+    """Spans of months by customer: of orders, from their month for as many months as the customer's nation says. A month that is not known leaves its end open."""
     o, c = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
     j = o.join(c, o["o_custkey"] == c["c_custkey"])
     end = F.add_months("o_orderdate", F.col("c_nationkey") % 4)
@@ -134,7 +134,9 @@ def _spans(spark, sf_dir):
 _SPANS = """sp AS (SELECT 'C' || c_custkey AS slice, o_orderkey, strftime(o_orderdate, '%Y%m') AS f, strftime(o_orderdate + to_months(CAST(c_nationkey % 4 AS INT)), '%Y%m') AS t,
  year(o_orderdate) * 12 + month(o_orderdate) - 1 AS a, year(o_orderdate) * 12 + month(o_orderdate) - 1 + c_nationkey % 4 AS b FROM orders JOIN customer ON o_custkey = c_custkey)"""
 _ISLANDS = """(SELECT slice, min(a) AS a, max(b) AS b FROM (SELECT *, sum(fresh) OVER (PARTITION BY slice ORDER BY a, b RANGE UNBOUNDED PRECEDING) AS island FROM (SELECT *, CASE WHEN max(b) OVER (PARTITION BY slice ORDER BY a, b ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) >= a
- THEN 0 ELSE 1 END AS fresh FROM sp {where})) GROUP BY slice, island)"""
+ THEN 0 ELSE 1 END AS fresh FROM {spans} )) GROUP BY slice, island)"""
+#: The spans with their open ends, which lie beyond every month.
+_OPEN_SPANS = "open_spans AS (SELECT slice, coalesce(a, 0) AS a, coalesce(b, 9999 * 12 + 11) AS b FROM sp)"
 _MONTH = "lpad(CAST({x} // 12 AS VARCHAR), 4, '0') || lpad(CAST({x} % 12 + 1 AS VARCHAR), 2, '0')"
 
 
@@ -515,11 +517,11 @@ SELECT venue, market, dataset, variant, month, grain, bundle, files FROM n WHERE
     "lens_members": f"WITH {_LENS} SELECT partition, files, bytes FROM lens",
     "lens_figures": f"WITH {_LENS} SELECT venue, count(*) AS partitions, sum(files)::BIGINT AS files, sum(bytes)::BIGINT AS bytes FROM lens GROUP BY ROLLUP (venue)",
     "lens_changes": f"WITH {_LENS}, held AS (SELECT partition FROM rend WHERE files > 2) SELECT partition, 'add' AS change FROM lens WHERE partition NOT IN (SELECT partition FROM held) UNION ALL SELECT partition, 'remove' FROM held WHERE partition NOT IN (SELECT partition FROM lens)",
-    "spans_united": f"WITH {_SPANS} SELECT slice, {_MONTH.format(x='a')} AS \"from\", {_MONTH.format(x='b')} AS \"to\" FROM {_ISLANDS.format(where='')}",
+    "spans_united": f"WITH {_SPANS} SELECT slice, {_MONTH.format(x='a')} AS \"from\", {_MONTH.format(x='b')} AS \"to\" FROM {_ISLANDS.format(spans='sp')}",
     "spans_cut": f"""WITH {_SPANS}, plus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 0), minus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 1)
 SELECT slice, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM plus EXCEPT SELECT * FROM minus)""",
     "contents_through_lens": f"""WITH {_SPANS}, {views.CATALOG_FILES}, s AS (SELECT 'C' || owner AS slice, dataset AS series, min(date) AS first, max(date) AS last FROM catalog_files GROUP BY ALL),
-u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(where='')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
+u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(spans='sp')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
 SELECT * FROM j WHERE substr(first, 1, 6) <= substr(last, 1, 6)""",
     "listing_page": f"""WITH {views.CATALOG_FILES}, k AS (SELECT concat_ws('|', venue, dataset, date, path) AS key, max(size) AS size FROM catalog_files GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY key) AS n, count(*) OVER () AS c FROM k WHERE starts_with(key, 'N|3-MEDIUM') AND key > 'N|3-MEDIUM|19960101')
 SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",

@@ -261,7 +261,7 @@ SELECT * FROM r WHERE (prefix, date, path) > ('R/1-URGENT/3', '19950101', '') OR
     "lens_drafted": f"""WITH {_R}, s AS (SELECT DISTINCT slice, venue, market, dataset, grain FROM rend),
 plus AS (SELECT slice, 1 - 1 + 12 * 0 AS a, 9999 * 12 + 11 AS b FROM s), cut AS (SELECT slice, CASE WHEN venue = 'N' AND grain = 'hourly' THEN 0 ELSE 23945 END AS c FROM s WHERE (venue = 'N' AND grain = 'hourly') OR (market = 'perp' AND dataset = '5-LOW'))
 SELECT s.slice, CAST(NULL AS VARCHAR) AS "from", CASE WHEN c IS NOT NULL THEN '199505' END AS "to" FROM s LEFT JOIN cut USING (slice) WHERE c IS NULL OR c > 0""",
-    "contents_exact": f"""WITH {base._SPANS}, {_CF}, u AS (SELECT slice, {_OPEN.format(x='a')} AS f, {_OPEN.format(x='b')} AS t FROM {base._ISLANDS.format(where='')}), d AS (SELECT 'C' || owner AS slice, dataset AS series, date FROM catalog_files)
+    "contents_exact": f"""WITH {base._SPANS}, {base._OPEN_SPANS}, {_CF}, u AS (SELECT slice, {_OPEN.format(x='a')} AS f, {_OPEN.format(x='b')} AS t FROM {base._ISLANDS.format(spans='open_spans')}), d AS (SELECT 'C' || owner AS slice, dataset AS series, date FROM catalog_files)
 SELECT slice, series, min(date) AS first, max(date) AS last FROM d JOIN u USING (slice) WHERE substr(date, 1, 6) BETWEEN f AND t GROUP BY slice, series, f, t""",
     "partitions_named": f"WITH {_R}, n AS (SELECT DISTINCT {_KEY} FROM rend WHERE bundle = 'market') SELECT concat_ws('|', {_KEY}) AS name, partition, files FROM rend JOIN n USING ({_KEY})",
     "files_excluded": f"WITH {_CF} SELECT venue, dataset, count(*) AS files, sum(size)::BIGINT AS bytes FROM catalog_files WHERE number <> 1 GROUP BY ALL",
