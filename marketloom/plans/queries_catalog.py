@@ -520,8 +520,8 @@ SELECT venue, market, dataset, variant, month, grain, bundle, files FROM n WHERE
     "spans_united": f"WITH {_SPANS} SELECT slice, {_MONTH.format(x='a')} AS \"from\", {_MONTH.format(x='b')} AS \"to\" FROM {_ISLANDS.format(spans='sp')}",
     "spans_cut": f"""WITH {_SPANS}, plus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 0), minus AS (SELECT DISTINCT slice, unnest(range(a, b + 1)) AS m FROM sp WHERE o_orderkey % 2 = 1)
 SELECT slice, {_MONTH.format(x='m')} AS month FROM (SELECT * FROM plus EXCEPT SELECT * FROM minus)""",
-    "contents_through_lens": f"""WITH {_SPANS}, {views.CATALOG_FILES}, s AS (SELECT 'C' || owner AS slice, dataset AS series, min(date) AS first, max(date) AS last FROM catalog_files GROUP BY ALL),
-u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(spans='sp')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
+    "contents_through_lens": f"""WITH {_SPANS}, {_OPEN_SPANS}, {views.CATALOG_FILES}, s AS (SELECT 'C' || owner AS slice, dataset AS series, min(date) AS first, max(date) AS last FROM catalog_files GROUP BY ALL),
+u AS (SELECT slice, {_MONTH.format(x='a')} AS f, {_MONTH.format(x='b')} AS t FROM {_ISLANDS.format(spans='open_spans')}), j AS (SELECT slice, series, greatest(first, f) AS first, least(last, t || '99') AS last FROM s JOIN u USING (slice))
 SELECT * FROM j WHERE substr(first, 1, 6) <= substr(last, 1, 6)""",
     "listing_page": f"""WITH {views.CATALOG_FILES}, k AS (SELECT concat_ws('|', venue, dataset, date, path) AS key, max(size) AS size FROM catalog_files GROUP BY 1), n AS (SELECT *, row_number() OVER (ORDER BY key) AS n, count(*) OVER () AS c FROM k WHERE starts_with(key, 'N|3-MEDIUM') AND key > 'N|3-MEDIUM|19960101')
 SELECT key, size, c > 200 AS more FROM n WHERE n <= 200""",

@@ -112,6 +112,12 @@ def test_files_in_open_spans(spark, open_spans):
     assert [r for r in rows if r[0] == "C2"] == [("C2", "p0", "19950411", "19951207"), ("C2", "p1", "19950514", "19951104")]
 
 
+def test_bounds_in_open_spans(spark, open_spans):
+    rows = same(spark, open_spans, "contents_through_lens")
+    assert [r for r in rows if r[:2] == ("C1", "p0")] == [("C1", "p0", "19950101", "19951103")]
+    assert [r for r in rows if r[0] == "C2"] == [("C2", "p0", "199504", "19951207"), ("C2", "p1", "199504", "19951104")]
+
+
 def test_large_text_tables_among_sheets_are_split(spark, tmp_path):
     """Of the large files, plain tables are read by several tasks, one with line breaks in its cells and a workbook whole."""
     from marketloom.plans.queries_files import workbook
